@@ -58,12 +58,12 @@ def prefix_sums(df: DataFrame, keys: list[str], order: str, value: str, out: str
     runs = df.groupBy(*keys, "_run").agg(F.sum(value).alias("_total"))
     if not keys:
         outer = Window.partitionBy(F.lit(0)).orderBy("_run").rowsBetween(Window.unboundedPreceding, -1)
-    runs = runs.select(*keys, "_run", F.coalesce(F.sum("_total").over(outer), F.lit(0)).alias("_before"))
+    runs = runs.select(*keys, "_run", F.coalesce(F.sum("_total").over(outer), F.lit(0)).alias("_runs_before"))
     return (
         df.withColumn(out, F.coalesce(F.sum(value).over(inner), F.lit(0)))
         .join(runs, [*keys, "_run"])
-        .withColumn(out, (F.col(out) + F.col("_before")).cast("long"))
-        .drop("_run", "_before")
+        .withColumn(out, (F.col(out) + F.col("_runs_before")).cast("long"))
+        .drop("_run", "_runs_before")
     )
 
 

@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-from . import packing, repair
+from . import bitslice, langid, mixing, packing, pq_dedup, quality, repair, url_rules
 
-MODULES = (repair, packing)
+MODULES = (repair, bitslice, quality, url_rules, mixing, packing, pq_dedup, langid)
 QUERIES = {name: f for m in MODULES for name, f in m.QUERIES.items()}
 SQL = {name: s for m in MODULES for name, s in m.SQL.items()}
