@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-from . import bitslice, chosen_path, langid, mixing, packing, pq_dedup, quality, repair, url_rules
+from . import bitslice, chosen_path, langid, mixing, packing, pii, pq_dedup, quality, repair, url_rules
 
-MODULES = (repair, bitslice, quality, chosen_path, url_rules, mixing, packing, pq_dedup, langid)
+MODULES = (repair, pii, bitslice, quality, chosen_path, url_rules, mixing, packing, pq_dedup, langid)
 QUERIES = {name: f for m in MODULES for name, f in m.QUERIES.items()}
 SQL = {name: s for m in MODULES for name, s in m.SQL.items()}
