@@ -2,9 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from tallybrook.plans import ledger_queries, text_queries
 
-from pyspark.sql import DataFrame, SparkSession
-
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-SQL: dict[str, str] = {}
+MODULES = (ledger_queries, text_queries)
+QUERIES = {name: f for m in MODULES for name, f in m.QUERIES.items()}
+SQL = {name: s for m in MODULES for name, s in m.SQL.items()}
