@@ -118,7 +118,7 @@ def dictionary_match(spark: SparkSession, sf: str) -> DataFrame:
     return linkage.dictionary_match(table(spark, sf, "part").select(F.col("p_partkey").alias("id"), F.col("p_name").alias("t")), words, "id", "t")
 
 
-@query("""with x as (select p_partkey, p_name, unnest(list_distinct(list_transform(range(1, length(p_name)), i -> p_name[i:i+1]))) as g from part), y as (select n, unnest(list_distinct(list_transform(range(1, length(n)), i -> n[i:i+1]))) as g from (values ('small rings'), ('red widgets'), ('blue gear')) v(n)),
+@query("""with x as (select p_partkey, p_name, unnest(list_distinct(list_transform(range(1, length(p_name)), lambda i: p_name[i:i+1]))) as g from part), y as (select n, unnest(list_distinct(list_transform(range(1, length(n)), lambda i: n[i:i+1]))) as g from (values ('small rings'), ('red widgets'), ('blue gear')) v(n)),
 nx as (select p_partkey, count(*) as k from x group by 1), ny as (select n, count(*) as k from y group by 1), s as (select p_partkey, n, count(*) as k from x join y on x.g = y.g group by 1, 2)
 select s.p_partkey, s.n as name, round(cast(s.k as double) / (nx.k + ny.k - s.k), 6) as jaccard from s join nx on nx.p_partkey = s.p_partkey join ny on ny.n = s.n where cast(s.k as double) / (nx.k + ny.k - s.k) >= 0.5""")
 def bigram_jaccard(spark: SparkSession, sf: str) -> DataFrame:
@@ -157,9 +157,10 @@ def html_elements(spark: SparkSession, sf: str) -> DataFrame:
     return table(spark, sf, "pages").select("page_id", F.explode(found).alias("p")).groupBy("page_id").agg(F.count("*").alias("rows"))
 
 
-@query()
+@query("""with l as (select page_id, url, unnest(regexp_extract_all(html, '(?i)<a\\s[^>]*href\\s*=\\s*["'']?([^"''\\s>]+)', 1)) as link from pages)
+select distinct page_id, case when regexp_matches(link, '^[a-z]+://') then link when starts_with(link, '/') then regexp_extract(url, '^([a-z]+://[^/?#]+)', 1) || link else regexp_extract(url, '^([a-z]+://[^?#]*/)', 1) || link end as link from l""")
 def html_links(spark: SparkSession, sf: str) -> DataFrame:
-    return grids.html_links(table(spark, sf, "pages"), [".html", "/", ".pdf"])
+    return grids.html_links(table(spark, sf, "pages"), [""])
 
 
 @query("select event_id, cast(json_extract(props, '$.k') as integer) as k from events")
