@@ -159,9 +159,9 @@ def op3_bit_sliced_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {"op3_bit_sliced_top_k": op3_bit_sliced_top_k}
 SQL = {
     "op3_bit_sliced_top_k": """
-with v as (select vec_id, list_transform(embedding, x -> cast(floor(256 * cast(x as double)) as bigint)) as e from embeddings
-           where embedding is not null and len(embedding) > 0 and len(list_filter(embedding, x -> x is null or not isfinite(x))) = 0),
-s as (select q.vec_id as query_id, c.vec_id, cast(list_sum(list_transform(list_zip(q.e, c.e), p -> p[1] * p[2])) as bigint) as score
+with v as (select vec_id, list_transform(embedding, lambda x: cast(floor(256 * cast(x as double)) as bigint)) as e from embeddings
+           where embedding is not null and len(embedding) > 0 and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0),
+s as (select q.vec_id as query_id, c.vec_id, cast(list_sum(list_transform(list_zip(q.e, c.e), lambda p: p[1] * p[2])) as bigint) as score
       from v q join v c on q.vec_id <> c.vec_id and len(q.e) = len(c.e) where q.vec_id % 50 = 0),
 r as (select query_id, cast(row_number() over (partition by query_id order by score desc, vec_id) as integer) as rank, vec_id, score from s)
 select query_id, rank, vec_id, score from r where rank <= 5
