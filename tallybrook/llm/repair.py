@@ -52,7 +52,7 @@ def compress(ids: np.ndarray, off: np.ndarray, rounds: int = ROUNDS, rules_a_rou
         bar = max(least, int(np.partition(counts, len(counts) - room)[len(counts) - room]))
         chosen = counts >= bar
         mask = chosen[cell]
-        mask[at[1:-1] - 1] = False  # a pair that spans two documents
+        mask[at[(at > 0) & (at < len(s))] - 1] = False  # a pair that spans two documents
         pos = np.flatnonzero(mask)
         if not len(pos):
             break
@@ -144,7 +144,8 @@ class Shard:
         """Tokens lo to hi of the shard's doc-th document; expands only the symbols that they touch."""
         own = self.symbols[self.doc_symbols[doc] : self.doc_symbols[doc + 1]]
         ends = np.cumsum(self.lengths[own])
-        hi = int(ends[-1]) if hi is None else min(hi, int(ends[-1]))
+        last = int(ends[-1]) if len(ends) else 0
+        hi = last if hi is None else min(hi, last)
         a, b = int(np.searchsorted(ends, lo, "right")), int(np.searchsorted(ends, hi))
         ids = [i for x in own[a : b + 1].tolist() for i in self._symbol(x)]
         skip = lo - (int(ends[a - 1]) if a else 0)
