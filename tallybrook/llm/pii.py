@@ -251,7 +251,7 @@ def trained(spark: SparkSession) -> Model:
             for i, (score, good) in enumerate(ranked):
                 right += good
                 if score > 0 and right >= PRECISION * (i + 1) and (i + 1 == len(ranked) or ranked[i + 1][0] < score):
-                    bars[k] = score
+                    bars[k] = (score + max(0.0, ranked[i + 1][0] if i + 1 < len(ranked) else 0.0)) / 2  # between two scores
         _trained.append(Model(trees, {k: b if b < math.inf else 1e9 for k, b in bars.items()}))
     return _trained[0]
 
