@@ -42,7 +42,7 @@ def slices_of(values: np.ndarray) -> tuple[np.ndarray, np.ndarray, int]:
     pad = -len(up) % WORD
     up = np.concatenate([up, np.zeros((pad, up.shape[1]), np.uint64)])
     planes = (up.T[:, None, :] >> np.arange(bits, dtype=np.uint64)[None, :, None]) & np.uint64(1)
-    packed = np.packbits(planes.astype(np.uint8), axis=2, bitorder="little")
+    packed = np.ascontiguousarray(np.packbits(planes.astype(np.uint8), axis=2, bitorder="little"))
     return packed.view(np.uint64), low, bits
 
 
