@@ -118,9 +118,11 @@ def fit(rows: list[tuple[np.ndarray, np.ndarray]], y: np.ndarray, n_langs: int,
 
 
 def temperature_of(logits: np.ndarray, y: np.ndarray) -> float:
+    if not len(y):
+        return 1.0
     options = np.exp(np.linspace(np.log(0.05), np.log(5), 60))
     loss = [-np.log(np.maximum(_softmax(logits / t)[np.arange(len(y)), y], 1e-12)).mean() for t in options]
-    return float(options[int(np.argmin(loss))]) if len(y) else 1.0
+    return float(options[int(np.argmin(loss))])
 
 
 def train(docs: DataFrame, most_a_lang: int = MOST_A_LANG) -> Model:
