@@ -104,17 +104,22 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x
 
 
-def words_of(raw: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Words between ASCII white space: a 64-bit hash and the length in bytes of each, and the number of words before each text."""
-    n = len(raw)
-    if n == 0:
-        return np.empty(0, np.uint64), np.empty(0, np.int64), np.zeros(len(off), np.int64)
-    inner = ~SPACE[raw]
+def begins_of(inner: np.ndarray, off: np.ndarray) -> np.ndarray:
+    """Where words begin, given which bytes belong to words."""
     begins = inner.copy()
     begins[1:] &= ~inner[:-1]
     head = off[:-1][off[:-1] < off[1:]]
     begins[head] = inner[head]
-    start = np.flatnonzero(begins)
+    return np.flatnonzero(begins)
+
+
+def words_of(raw: np.ndarray, off: np.ndarray, inner: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Words between ASCII white space (or between bytes outside `inner`): a 64-bit hash and the length in bytes of each, and the number of words before each text."""
+    n = len(raw)
+    if n == 0:
+        return np.empty(0, np.uint64), np.empty(0, np.int64), np.zeros(len(off), np.int64)
+    inner = ~SPACE[raw] if inner is None else inner
+    start = begins_of(inner, off)
     counts = np.searchsorted(start, off)
     if not len(start):
         return np.empty(0, np.uint64), np.empty(0, np.int64), counts

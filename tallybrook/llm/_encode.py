@@ -1,7 +1,7 @@
 """Ids of public tokenizers for whole texts, with each distinct word encoded once in a task process.
 
 Both tokenizers cut a text where a space or a line end stands between two words, whatever the words are, so a text's
-ids are those of its words end to end. Texts where that is not certain (white space of other kinds, control characters
+ids are those of its words end to end; so they do before a comma or full stop that ends a word after a letter. Texts where that is not certain (white space of other kinds, control characters
 that libraries class differently, spellings of special tokens) are encoded whole, by the same library.
 """
 
@@ -14,7 +14,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 
-from ._base import SPACE, bytes_of, words_of
+from ._base import SPACE, begins_of, bytes_of, words_of
 
 #: Most words that a process remembers; beyond it the memory starts afresh.
 MOST_WORDS = 3_000_000
@@ -23,6 +23,8 @@ JOINED = 500
 #: Bytes that begin white space or control characters which libraries class differently, or "<|"; then what makes it sure.
 LEADS = np.zeros(256, bool)
 LEADS[[0x01, 0x1C, 0x1D, 0x1E, 0x1F, 0x3C, 0xC2, 0xE1, 0xE2, 0xE3]] = True
+LETTER = np.zeros(256, bool)
+LETTER[[*range(ord("A"), ord("Z") + 1), *range(ord("a"), ord("z") + 1)]] = True
 UNSURE = re.compile(rb"[\x01\x1c-\x1f]|<\||\xc2[\x85\xa0]|\xe1\x9a\x80|\xe2\x80[\x80-\x8a\xa8\xa9\xaf]|\xe2\x81\x9f|\xe3\x80\x80")
 
 
@@ -39,6 +41,10 @@ class Encoder:
         self.between = "\n" if self.spaces else " \x01 "
         self.mark = np.array(ids(self.between), np.uint32)
         self.line = ids("\n")
+        self.tails = np.zeros(256, np.uint32)
+        for c in ",.":
+            if len(ids(c)) == 1 and ids(f"a{c} a") == ids("a") + ids(c) + ids(" a"):
+                self.tails[ord(c)] = ids(c)[0]
         self.forget()
 
     def forget(self) -> None:
@@ -83,42 +89,48 @@ class Encoder:
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts end to end, the end id after each, and where each text's ids begin. Null counts as empty."""
         raw, off = bytes_of(texts)
-        hashes, length, counts = words_of(raw, off)
+        inner = ~SPACE[raw]
+        tail = inner & (self.tails[raw] > 0)
+        tail[1:] &= LETTER[raw[:-1]]
+        tail[:-1] &= ~inner[1:] | (np.bincount(off[1:-1], minlength=len(raw) + 1)[1 : len(raw)] > 0)
+        tail[off[:-1][off[:-1] < len(raw)]] = False
+        inner &= ~tail
+        hashes, length, counts = words_of(raw, off, inner)
         per, doc = np.diff(counts), np.repeat(np.arange(len(off) - 1), np.diff(counts))
+        start = begins_of(inner, off) if len(raw) else np.empty(0, np.int64)
+        stop = start + length
+        ended = np.zeros(len(start), np.uint32)
+        has = stop < len(raw)
+        ended[has] = np.where(tail[stop[has]], self.tails[raw[stop[has]]], 0)
+        stop = stop + (ended > 0)
         whole = np.zeros(len(off) - 1, bool)
         if (lead := np.flatnonzero(LEADS[raw])).size:
             data = raw.tobytes()
             found = [i for i in lead.tolist() if UNSURE.match(data, i)]
             whole[np.searchsorted(off, found, "right") - 1] = True
-        inner = ~SPACE[raw] if len(raw) else np.empty(0, bool)
-        begins = inner.copy()
-        begins[1:] &= ~inner[:-1]
-        head = off[:-1][off[:-1] < off[1:]]
-        begins[head] = inner[head]
-        start = np.flatnonzero(begins)
         if self.spaces:
-            before = np.where(np.arange(len(doc)) == counts[doc] if len(doc) else False, off[doc], np.append(0, start + length)[: len(doc)])
+            before = np.where(np.arange(len(doc)) == counts[doc] if len(doc) else False, off[doc], np.append(0, stop)[: len(doc)])
             gap = start - before
             single = np.where(start > 0, raw[np.maximum(start, 1) - 1], 0) if len(raw) else np.empty(0, np.uint8)
             first = np.arange(len(doc)) == counts[doc]
             odd = np.where(first, gap != 0, (gap != 1) | ((single != 32) & (single != 10)))
             np.logical_or.at(whole, doc[odd], True)
-            ends = np.where(per > 0, (start + length)[np.maximum(counts[1:] - 1, 0)] if len(start) else 0, off[:-1])
+            ends = np.where(per > 0, stop[np.maximum(counts[1:] - 1, 0)] if len(start) else 0, off[:-1])
             whole |= ends != off[1:]
             spaced, line = ~first & (single == 32), ~first & (single == 10)
         else:
             spaced = line = np.zeros(len(doc), bool)
         used = ~whole[doc]
         place = self._places(raw, (hashes ^ spaced.astype(np.uint64))[used], start[used], length[used], spaced[used])
-        size, lines, of = self.len[place], line[used].astype(np.int64), doc[used]
+        size, lines, of, ended = self.len[place], line[used].astype(np.int64), doc[used], ended[used]
         own = {int(i): np.array(self.tokenizer.encode(texts[int(i)].as_py(), add_special_tokens=False).ids, np.uint32) for i in np.flatnonzero(whole)}
-        total = np.bincount(of, size + lines, len(off) - 1).astype(np.int64)
+        step = size + lines + (ended > 0)
+        total = np.bincount(of, step, len(off) - 1).astype(np.int64)
         for i, ids in own.items():
             total[i] = len(ids)
         at = np.concatenate([[0], np.cumsum(total + 1)])
         out = np.empty(at[-1], np.uint32)
         out[at[1:] - 1] = self.end
-        step = size + lines
         rank = np.cumsum(step) - step
         base = np.cumsum(np.bincount(of, step, len(off) - 1)).astype(np.int64)
         base = np.concatenate([[0], base[:-1]])
@@ -126,6 +138,7 @@ class Encoder:
         if lines.any():
             out[to[lines > 0]] = self.line[0]
         to = to + lines
+        out[(to + size)[ended > 0]] = ended[ended > 0]
         first = np.cumsum(size) - size
         within = np.arange(size.sum()) - np.repeat(first, size)
         out[np.repeat(to, size) + within] = self.flat[np.repeat(self.at[place], size) + within]
