@@ -100,7 +100,7 @@ def buckets_of(tokens: np.ndarray, runs: int, depth: int, split: float = SPLIT)
         text = np.arange(len(tokens))
         node = np.full(len(tokens), mix(np.array([run + 1], np.uint64))[0])
         for _ in range(depth):
-            next_text, next_node = [], []
+            next_text, next_node = [np.empty(0, np.int64)], [np.empty(0, np.uint64)]
             for i in range(0, len(text), 8192):
                 t, p = text[i : i + 8192], node[i : i + 8192]
                 h = salted[t] ^ (p >> np.uint64(32)).astype(np.uint32)[:, None]
