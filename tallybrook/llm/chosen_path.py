@@ -141,10 +141,10 @@ def described(docs: DataFrame, runs: int, depth: int) -> DataFrame:
 
 def ties(rows: DataFrame) -> DataFrame:
     """Edges (a, b) between texts that meet in a bucket and may be alike."""
-    dealt = rows.select("id", "n", "s1", "s2", F.explode("buckets").alias("bucket")).repartition("bucket")
+    dealt = rows.select("id", F.explode("buckets").alias("bucket"))
     sizes = dealt.groupBy("bucket").agg(F.count("*").alias("size"), F.min("id").alias("hub")).where("size > 1")
-    dealt = dealt.join(sizes, "bucket")
-    small = dealt.where(F.col("size") <= SMALL_BUCKET)
+    dealt = stored(dealt.join(sizes, "bucket"), "shared")  # few buckets have two texts
+    small = dealt.where(F.col("size") <= SMALL_BUCKET).select("bucket", "id").join(rows.select("id", "n", "s1", "s2"), "id")
     x, y = small.alias("x"), small.alias("y")
     differ = F.bit_count(F.col("x.s1").bitwiseXOR(F.col("y.s1"))) + F.bit_count(F.col("x.s2").bitwiseXOR(F.col("y.s2")))
     alike = (F.col("x.id") > F.col("y.id")) & (differ <= SKETCH_BITS) & (F.least("x.n", "y.n") >= F.greatest("x.n", "y.n") * SIMILARITY)
@@ -241,10 +241,10 @@ def join(docs: DataFrame, similarity: float = SIMILARITY, recall: float = RECALL
 
 
 def one_of_each(docs: DataFrame) -> DataFrame:
-    """The rows of docs, with one of each class: the one of the smallest doc_id."""
+    """The rows of docs, with one of each class: that of the smallest doc_id, once. Rows without a doc_id all stay."""
     found = stored(join(docs), "joined")
-    kept = found.where((F.col("class_id") == F.col("doc_id")) | F.col("doc_id").isNull()).select(F.col("doc_id").alias("_kept")).distinct()
-    return docs.join(kept, F.col("doc_id").cast("long").eqNullSafe(F.col("_kept")), "left_semi")
+    kept = found.where(F.col("class_id") == F.col("doc_id")).select("doc_id").distinct()
+    return docs.join(kept, "doc_id", "left_semi").dropDuplicates(["doc_id", "text"]).unionByName(docs.where("doc_id is null"))
 
 
 def op5_chosen_path_join(spark: SparkSession, sf_dir: str) -> DataFrame:
