@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-from tallybrook.plans import ledger_queries, text_queries
+from tallybrook.plans import ledger_queries, text_queries, view_queries
 
-MODULES = (ledger_queries, text_queries)
+MODULES = (ledger_queries, text_queries, view_queries)
 QUERIES = {name: f for m in MODULES for name, f in m.QUERIES.items()}
 SQL = {name: s for m in MODULES for name, s in m.SQL.items()}
