@@ -45,6 +45,14 @@ def fold(key: Column, of: int) -> Column:
     return F.crc32(key.cast("string")) % F.lit(of)
 
 
+def drawn(df: DataFrame, key: str, n: int, most: int, salt: int) -> DataFrame:
+    """About `most` of n rows, those of the lowest hash of their key; all of them if there are no more. No sort, no limit: what
+    reaches the driver is the sample alone."""
+    if n <= most:
+        return df
+    return df.where(F.pmod(F.xxhash64(F.lit(salt), key), F.lit(1 << 40)) < F.lit(int(most / n * (1 << 40))))
+
+
 def prefix_sums(df: DataFrame, keys: list[str], order: str, value: str, out: str, group: int = 1024) -> DataFrame:
     """Adds the sum of `value` over smaller `order` (an integer column) within `keys`.
 

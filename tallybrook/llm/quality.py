@@ -5,7 +5,7 @@ round the features again and again: a shallow tree on the one feature's bins tak
 and is added to that feature's lookup table; then the pairs that explain most of what is left get tables of their own in
 the same way. A score is the logistic of the sum of the tables' entries.
 
-The model is fitted on at most MOST_ROWS labelled rows, those of the lowest hash; scoring covers every row. Labels, lang,
+The model is fitted on about MOST_ROWS labelled rows, those of the lowest hash; scoring covers every row. Labels, lang,
 source and doc_id are never inputs of a score.
 
 Cases: null and empty texts have all numbers 0 and are scored like any; equal doc_ids are scored each; with no labelled
@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ._base import SPACE, bytes_of, fold, pieces, stored, table, words_of
+from ._base import SPACE, bytes_of, drawn, fold, pieces, stored, table, words_of
 
 MOST_ROWS = 40_000
 BINS, PAIR_BINS, PAIRS, ROUNDS, PAIR_ROUNDS, STEP, RIDGE = 48, 8, 6, 120, 60, 0.15, 4.0
@@ -198,12 +198,14 @@ def featured(docs: DataFrame) -> DataFrame:
 
 
 def train(features: DataFrame, labels: DataFrame, most: int = MOST_ROWS) -> Additive:
-    """Fits on labelled documents outside the held-out fold, at most `most`, those of the lowest hash."""
+    """Fits on labelled documents outside the held-out fold, about `most`, those of the lowest hash."""
     labels = labels.where(F.col("quality").isNotNull() & (fold(F.col("doc_id"), 5) != 0)).select(F.col("doc_id").cast("long").alias("doc_id"), F.col("quality").cast("int").alias("quality"))
-    rows = features.join(labels, "doc_id").orderBy(F.xxhash64("doc_id"), "doc_id", "quality", *(f"f{j}" for j in range(len(FEATURES)))).limit(most).toPandas()
+    labels = drawn(labels, "doc_id", labels.count(), most, 13)
+    columns = [f"f{j}" for j in range(len(FEATURES))]
+    rows = features.join(labels, "doc_id").toPandas().sort_values(["doc_id", "quality", *columns])
     if not len(rows):
         return Additive()
-    return fit(rows[[f"f{j}" for j in range(len(FEATURES))]].to_numpy(), (rows.quality == 1).to_numpy(float))
+    return fit(rows[columns].to_numpy(), (rows.quality == 1).to_numpy(float))
 
 
 def scored(features: DataFrame, model: Additive) -> DataFrame:
