@@ -8,7 +8,7 @@ one visits the lower, so no pair is met twice. In a cell, a lookup table for eac
 members further than r plus their own coding error cannot be partners (triangle inequality), the rest have their exact
 cosine taken in double precision.
 
-Centroids and codes are fitted on SAMPLE rows, those of the lowest hash; every row is indexed. Cells are split into
+Centroids and codes are fitted on about SAMPLE rows, those of the lowest hash; every row is indexed. Cells are split into
 blocks of BLOCK members and VISITORS visitors, so copies that fill a cell spread over tasks; a task sends back counts
 and a spanning forest, never all pairs.
 
@@ -28,7 +28,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ._base import stored, table
+from ._base import drawn, stored, table
 from ._components import components, roots
 
 COSINE, SURE = 0.9, 4.0
@@ -122,7 +122,7 @@ def links_of(q: Quantiser, cell: int, visitors: np.ndarray, members: np.ndarray,
 def _linked(rows: DataFrame, dim: int, n: int, cosine: float) -> DataFrame:
     """(id, links, root) parts: how many links of an id a task found, and the id its forest hangs it on."""
     spark, radius = rows.sparkSession, math.sqrt(2 - 2 * cosine)
-    sample = rows.orderBy(F.xxhash64("vec_id"), "vec_id").limit(SAMPLE).select("v").toArrow()
+    sample = drawn(rows, "vec_id", n, SAMPLE, 17).select("vec_id", "v").toArrow().sort_by("vec_id")
     q = Quantiser(unit(_matrix(sample.column("v"))), max(1, min(MOST_CELLS, n // CELL_ROWS, sample.num_rows // 4)))
 
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
