@@ -5,7 +5,7 @@ is SCALE times the bucket's share of the text's n-grams, times its inverse docum
 Weights are learnt by follow-the-regularised-leader with L1 and L2 penalties, then one temperature is fitted on a tenth
 of the sample that training left out.
 
-Fitted on at most MOST_A_LANG documents of each language, those of the lowest hash; the frequencies and the predictions
+Fitted on about MOST_A_LANG documents of each language, those of the lowest hash; the frequencies and the predictions
 cover every document. lang, source and doc_id are never inputs of a prediction.
 
 Cases: a text that is null or has no letter is `und` with score 0; with no learning rows every text is `und`; equal
@@ -159,7 +159,8 @@ def train(docs: DataFrame, most_a_lang: int = MOST_A_LANG) -> Model:
                 found = list(sparse(piece.column("text")))
                 yield pa.RecordBatch.from_arrays([piece.column("doc_id").cast(pa.int64()), piece.column("lang"), pa.array([i.astype(np.uint16).tobytes() for i, _ in found], pa.binary()), pa.array([v.astype(np.float32).tobytes() for _, v in found], pa.binary())], ["doc_id", "lang", "idx", "val"])
 
-    rows = picked.mapInArrow(shares, "doc_id long, lang string, idx binary, val binary").orderBy(F.xxhash64("doc_id"), "doc_id", "idx").limit(most_a_lang * len(langs) * 2).toPandas()
+    rows = picked.mapInArrow(shares, "doc_id long, lang string, idx binary, val binary").toPandas()
+    rows = rows.sort_values(["doc_id", "lang", "idx"]).sample(frac=1, random_state=7)  # languages must not come in runs
     number = {lang: k for k, lang in enumerate(langs)}
     y = rows.lang.map(number).to_numpy()
     data = [(i := np.frombuffer(a, np.uint16).astype(np.int64), SCALE * np.frombuffer(v, np.float32) * idf[i]) for a, v in zip(rows.idx, rows.val, strict=True)]
