@@ -48,7 +48,7 @@ class Encoder:
         self.forget()
 
     def forget(self) -> None:
-        self.known = pd.Index(np.empty(0, np.uint64))
+        self.known = self.recent = pd.Index(np.empty(0, np.uint64))
         self.flat, self.at, self.len = np.empty(0, np.uint32), np.empty(0, np.int64), np.empty(0, np.int64)
 
     def _ids_of(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
@@ -67,12 +67,20 @@ class Encoder:
                 length.append(np.array([len(x) for x in each], np.int64))
         return np.concatenate(ids), np.concatenate(length)
 
+    def _find(self, keys: np.ndarray) -> np.ndarray:
+        found = self.known.get_indexer(keys)
+        missing = np.flatnonzero(found < 0)
+        if len(missing) and len(self.recent):
+            late = self.recent.get_indexer(keys[missing])
+            found[missing] = np.where(late < 0, -1, late + len(self.known))
+        return found
+
     def _places(self, raw: np.ndarray, keys: np.ndarray, start: np.ndarray, length: np.ndarray, spaced: np.ndarray) -> np.ndarray:
         """Where each word stands in the memory, after learning those that are new."""
         codes, distinct = pd.factorize(keys)
-        found = self.known.get_indexer(distinct)
+        found = self._find(distinct)
         if (new := np.flatnonzero(found < 0)).size:
-            if len(self.known) + len(new) > MOST_WORDS:
+            if len(self.known) + len(self.recent) + len(new) > MOST_WORDS:
                 self.forget()
                 new = np.arange(len(distinct))
             example = np.empty(len(distinct), np.int64)
@@ -82,8 +90,10 @@ class Encoder:
             ids, size = self._ids_of(words)
             self.at = np.concatenate([self.at, len(self.flat) + np.cumsum(size) - size])
             self.len, self.flat = np.concatenate([self.len, size]), np.concatenate([self.flat, ids])
-            self.known = self.known.append(pd.Index(distinct[new]))
-            found = self.known.get_indexer(distinct)
+            self.recent = self.recent.append(pd.Index(distinct[new]))
+            if len(self.recent) > len(self.known) // 4:  # a large index is built anew only when it has grown by a quarter
+                self.known, self.recent = self.known.append(self.recent), self.recent[:0]
+            found = self._find(distinct)
         return found[codes]
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
