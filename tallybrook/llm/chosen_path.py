@@ -178,7 +178,7 @@ def exact(members: DataFrame, docs: DataFrame, similarity: float) -> DataFrame:
     groups = max(1, -(-members.count() // GROUP_ROWS))
     blocks = F.ceil(F.col("size") / BLOCK).cast("int")
     members = members.withColumn("blocks", blocks).withColumn("block", F.pmod(F.xxhash64(F.lit(3), "id"), F.col("blocks")).cast("int"))
-    texts = docs.select(F.col("doc_id").cast("long").alias("id"), "text").join(members, "id")
+    texts = docs.select(F.col("doc_id").cast("long").alias("id"), "text").join(members.hint("merge"), "id")  # members grow with the input: no broadcast
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -244,7 +244,7 @@ def one_of_each(docs: DataFrame) -> DataFrame:
     """The rows of docs, with one of each class: that of the smallest doc_id, once. Rows without a doc_id all stay."""
     found = stored(join(docs), "joined")
     kept = found.where(F.col("class_id") == F.col("doc_id")).select("doc_id").distinct()
-    return docs.join(kept, "doc_id", "left_semi").dropDuplicates(["doc_id", "text"]).unionByName(docs.where("doc_id is null"))
+    return docs.join(kept.hint("merge"), "doc_id", "left_semi").dropDuplicates(["doc_id", "text"]).unionByName(docs.where("doc_id is null"))
 
 
 def op5_chosen_path_join(spark: SparkSession, sf_dir: str) -> DataFrame:
