@@ -8,8 +8,6 @@ from pyspark.sql import functions as F
 from tallybrook.functions import dates
 from tallybrook.operators import linkage, votes
 
-ORG = "struct<org:string,source:string,confidence:double,ref:bigint>"
-
 
 def _answer(org: Column, source: str, confidence: Column | float, ref: Column | None = None) -> Column:
     c = confidence if isinstance(confidence, Column) else F.lit(confidence)
