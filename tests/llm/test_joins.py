@@ -1,7 +1,6 @@
 """Searches, joins, rules and mixing against brute force, and defined results on odd rows."""
 
 import numpy as np
-import pandas as pd
 from pyspark.sql import functions as F
 
 from tallybrook.llm import bitslice, chosen_path, mixing, pq_dedup, url_rules
