@@ -44,20 +44,39 @@ HINT = {"email": r"(?i)[\[(](?:at|dot)[\])]|@ | @", "ip": r"[0-9](?:\[\.\]|\(\.\
 CUE = {"email": r"(?i)(?:mail|contact|write|reach|addr)", "ip": r"(?i)(?:\bip\b|host|server|addr|login|from)", "card": r"(?i)(?:card|visa|master|amex|credit|debit|pay)", "phone": r"(?i)(?:tel|phone|call|fax|mobile|cell|dial|whatsapp|number)"}
 OCTET = r"0*(?:[0-9]{1,2}|1[0-9]{2}|2[0-4][0-9]|25[0-5])"
 BEFORE = 24
+RUN = 128
 SPAN = "array<struct<kind:string,start:int,end:int>>"
 
 
+def let(value: Column, f: Callable[[Column], Column]) -> Column:
+    """f(value) with the value computed once a row: what stands in a lambda itself is computed for each element."""
+    return F.transform(F.array(value), f)[0]
+
+
+def total(xs: Column) -> Column:
+    return F.aggregate(xs, F.lit(0), lambda a, x: a + x)
+
+
 def spans(text: Column, found: Column, pattern: str) -> Column:
-    """(match, start, end) of each match, in code points."""
-    gaps = F.transform(F.split(text, pattern, -1), lambda g: F.length(g))
-    sizes = F.transform(found, lambda m: F.length(m))
-    total = lambda xs: F.aggregate(xs, F.lit(0), lambda a, x: a + x)
+    """(match, start, end) of each match, in code points.
+
+    A match ends where the gaps and matches up to it do; sums over runs of RUN steps keep texts of many matches cheap.
+    """
+    steps = F.zip_with(F.transform(F.split(text, pattern, -1), lambda g: F.length(g)), F.transform(found, lambda m: F.length(m)), lambda g, m: g + F.coalesce(m, F.lit(0)))
+
+    def with_runs(each: Column) -> Column:
+        runs = F.transform(F.sequence(F.lit(0), F.floor(F.size(each) / RUN).cast("int")), lambda r: total(F.slice(each, r * RUN + 1, F.lit(RUN))))
+        return let(F.struct(each.alias("each"), runs.alias("runs")), placed)
+
+    def placed(sums: Column) -> Column:
+        def place(m: Column, i: Column) -> Column:
+            run = F.floor((i + 1) / RUN).cast("int")
+            end = total(F.slice(sums["runs"], F.lit(1), run)) + total(F.slice(sums["each"], run * RUN + 1, i + 1 - run * RUN))
+            return F.struct(m.alias("match"), (end - F.length(m)).alias("start"), end.alias("end"))
 
-    def place(m: Column, i: Column) -> Column:
-        start = total(F.slice(gaps, 1, i + 1)) + total(F.slice(sizes, 1, i))
-        return F.struct(m.alias("match"), start.alias("start"), (start + F.length(m)).alias("end"))
+        return F.transform(found, place)
 
-    return F.when(F.size(found) > 0, F.transform(found, place)).otherwise(F.from_json(F.lit("[]"), "array<struct<match:string,start:int,end:int>>"))
+    return F.when(F.size(found) > 0, let(steps, with_runs)).otherwise(F.from_json(F.lit("[]"), "array<struct<match:string,start:int,end:int>>"))
 
 
 def digits(x: Column) -> Column:
