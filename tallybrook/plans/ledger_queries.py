@@ -23,6 +23,10 @@ def query(sql: str | None = None):
     return add
 
 
+#: Splits the events in two sides; the same moment stands in the SQL.
+HALF = "2024-01-16 00:00:00"
+
+
 def money(c: Column | str) -> Column:
     return F.sum(c).cast("double")
 
@@ -303,6 +307,14 @@ def upsert_last(spark: SparkSession, sf: str) -> DataFrame:
     return merge.upsert(merge.first_of(e.where("event_id % 2 = 0"), ["user_id"], F.col("event_id")), e.where("event_id % 3 = 1"), ["user_id"], "event_id")
 
 
+@query("with a as (select user_id, event_id, event_type from events where ts < timestamp '2024-01-16' qualify row_number() over (partition by user_id order by event_id) = 1), b as (select user_id, event_id, event_type from events where ts >= timestamp '2024-01-16' qualify row_number() over (partition by user_id order by event_id desc) = 1) select * from b union all select * from a where user_id not in (select user_id from b)")
+def upsert_last_all(spark: SparkSession, sf: str) -> DataFrame:
+    """Every event is on one side: those before HALF are the table, those from then on the new rows."""
+    e = table(spark, sf, "events").select("user_id", "event_id", "event_type", "ts")
+    old = merge.first_of(e.where(F.col("ts") < HALF), ["user_id"], F.col("event_id")).drop("ts")
+    return merge.upsert(old, e.where(F.col("ts") >= HALF), ["user_id"], "event_id")
+
+
 @query("with {contracts}, c as (select id, fiscal_year, status from contracts), n as (select id + 1000000 as id, fiscal_year, 'N' as status from contracts where fiscal_year = 1998) select * from c where fiscal_year <> 1998 union all select * from n")
 def replace_year(spark: SparkSession, sf: str) -> DataFrame:
     c = contracts(spark, sf).select("id", "fiscal_year", "status")
@@ -349,6 +361,15 @@ def null_safe_join(spark: SparkSession, sf: str) -> DataFrame:
     return a.join(b, F.col("a.u").eqNullSafe(F.col("b.u")) & (F.col("a.event_type") == F.col("b.event_type"))).groupBy("a.event_id").agg(F.count("*").alias("n"))
 
 
+@query("with a as (select event_id, nullif(user_id % 10, 0) as u, event_type from events where ts < timestamp '2024-01-16'), b as (select nullif(user_id % 10, 0) as u, event_type, count(*) as n from events where ts >= timestamp '2024-01-16' group by 1, 2) select event_id, n from a join b on a.u is not distinct from b.u and a.event_type = b.event_type")
+def null_safe_join_all(spark: SparkSession, sf: str) -> DataFrame:
+    """Every event is on one side of HALF; the later side is counted by key first, so no pairs are made."""
+    e = table(spark, sf, "events").select("event_id", F.nullif(F.col("user_id") % 10, F.lit(0)).alias("u"), "event_type", "ts")
+    a = e.where(F.col("ts") < HALF).alias("a")
+    b = e.where(F.col("ts") >= HALF).groupBy("u", "event_type").agg(F.count("*").alias("n")).alias("b")
+    return a.join(b, F.col("a.u").eqNullSafe(F.col("b.u")) & (F.col("a.event_type") == F.col("b.event_type"))).select("a.event_id", "b.n")
+
+
 @query("with {contracts}, t as (select fiscal_year, month, count(*) as n from (select fiscal_year, try_cast(substr(contract_date, 5, 2) as integer) as month from contracts) group by 1, 2) select fiscal_year, month, n, row_number() over (partition by fiscal_year order by (month + 8) % 12) as place from t")
 def fiscal_month_order(spark: SparkSession, sf: str) -> DataFrame:
     t = contracts(spark, sf).groupBy("fiscal_year", dates.month_of_text(F.col("contract_date")).alias("month")).agg(F.count("*").alias("n"))
