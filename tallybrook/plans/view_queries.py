@@ -74,6 +74,14 @@ def display_columns(spark: SparkSession, sf: str) -> DataFrame:
     return contracts(spark, sf).where("id < 500").select("id", text.truncated(F.col("vendor"), 12).alias("short"), F.concat(F.lit("/x?id="), F.col("id")).alias("link"), dates.display(F.col("contract_date")).alias("shown"))
 
 
+@query("with {contracts} select id, case when length(vendor) > 12 then substr(vendor, 1, 12) || '…' else vendor end as short, '/x?id=' || id as link, substr(contract_date, 1, 4) || '/' || substr(contract_date, 5, 2) || '/' || substr(contract_date, 7, 2) as shown from contracts")
+def display_columns_all(spark: SparkSession, sf: str) -> DataFrame:
+    """Every contract."""
+    from tallybrook.functions import dates, text
+
+    return contracts(spark, sf).select("id", text.truncated(F.col("vendor"), 12).alias("short"), F.concat(F.lit("/x?id="), F.col("id")).alias("link"), dates.display(F.col("contract_date")).alias("shown"))
+
+
 @query("select l_orderkey as id, count(distinct l_partkey) as parts from lineitem group by 1 having count(distinct l_partkey) <> count(*)")
 def duplicate_links(spark: SparkSession, sf: str) -> DataFrame:
     grouped = equipment_links(spark, sf).groupBy("id").agg(F.count_distinct("equipment_id").alias("parts"), F.count("*").alias("n"))

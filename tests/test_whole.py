@@ -25,3 +25,8 @@ def test_upsert_reads_every_event(spark, sf):
     want = e[early].groupby("user_id").event_id.first().to_dict() | e[~early].groupby("user_id").event_id.last().to_dict()
     got = registry.QUERIES["upsert_last_all"](spark, sf).collect()
     assert {r.user_id: r.event_id for r in got} == want and len(got) == e.user_id.nunique()
+
+
+def test_display_shows_every_contract(spark, sf):
+    got = [r.id for r in registry.QUERIES["display_columns_all"](spark, sf).collect()]
+    assert sorted(got) == sorted(pd.read_parquet(f"{sf}/orders.parquet").o_orderkey) and len(got) > 500
