@@ -2,14 +2,14 @@
 
 Unit vectors are dealt to the cell of their nearest coarse centroid; what is left of each after its centroid is coded in
 SUBSPACES parts. A vector's links are sought in its own cell and in the cells that a partner within the radius
-r = sqrt(2 - 2 * cosine) may lie in: those whose bisector with the own cell is nearer than SURE * r / sqrt(dimensions),
-SURE standard deviations of a partner's offset in a direction not chosen by it. Of two cells, the vector in the higher
-one visits the lower, so no pair is met twice. In a cell, a lookup table for each visitor gives its distance to every coded member;
-members further than r plus their own coding error cannot be partners (triangle inequality), the rest have their exact
-cosine taken in double precision.
-
-Centroids and codes are fitted on about SAMPLE rows, those of the lowest hash; every row is indexed. Cells are split into
-blocks of BLOCK members and VISITORS visitors, so copies that fill a cell spread over tasks; a task sends back counts
+r = sqrt(2 - 2 * cosine) may lie in: those whose bisector with the own cell is not further than r. No partner lies beyond,
+whatever the spread of the vectors, so every pair is found. Of two cells, the vector in the higher one visits the lower,
+so no pair is met twice. In a cell, a lookup table for each visitor gives its distance to every coded member; members
+further than r plus their own coding error cannot be partners (triangle inequality), the rest have their exact cosine
+taken in double precision. A visitor is sent once to a group of up to GROUP_CELLS cells.
+
+Centroids and codes are fitted on about SAMPLE rows, those of the lowest hash; every row is indexed. Groups of cells are split into
+blocks of BLOCK members a cell and VISITORS visitors, so copies that fill a cell spread over tasks; a task sends back counts
 and a spanning forest, never all pairs.
 
 Cases: vectors that are null, empty or zero, or hold null or non-finite components, link with nothing and are kept;
@@ -31,9 +31,13 @@ from pyspark.sql import functions as F
 from ._base import drawn, stored, table
 from ._components import components, roots
 
-COSINE, SURE = 0.9, 4.0
+COSINE = 0.9
 SAMPLE, MOST_CELLS, CELL_ROWS, SUBSPACES, CODES, TURNS = 16_384, 4096, 512, 16, 16, 6
 BLOCK, VISITORS, MOST_DIMS = 1024, 4096, 64
+#: Cells that are sent to a task together, and the groups there should be before cells are joined.
+GROUP_CELLS, LEAST_GROUPS = 8, 32
+#: For rounding.
+SLACK = 1e-9
 
 
 def unit(v: np.ndarray) -> np.ndarray:
@@ -86,7 +90,7 @@ class Quantiser:
         apart = np.sqrt(np.maximum(size[cell][:, None] + size[None] - 2 * self.cells[cell] @ self.cells.T, 1e-24))
         border = (d - d[np.arange(len(x)), cell][:, None]) / (2 * apart)
         lower = np.arange(len(self.cells))[None] < cell[:, None]
-        near = lower & (border <= min(radius, SURE * radius / math.sqrt(self.dim)))
+        near = lower & (border <= radius + SLACK)
         return [np.flatnonzero(row) for row in near]
 
 
@@ -136,16 +140,21 @@ def _linked(rows: DataFrame, dim: int, n: int, cosine: float) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([part.column("vec_id"), part.column("v"), pa.array(cell.astype(np.int32)), pa.array([c.tobytes() for c in codes], pa.binary()), pa.ListArray.from_arrays(pa.array(at), pa.array(np.concatenate([*probes, []]).astype(np.int32)))], ["id", "v", "cell", "codes", "probes"])
 
     dealt = stored(rows.select("vec_id", "v").mapInArrow(deal, "id long, v array<double>, cell int, codes binary, probes array<int>"), "dealt")
-    visits = dealt.select(F.explode("probes").alias("cell")).groupBy("cell").agg(F.count("*").alias("foreign"))
-    sizes = dealt.groupBy("cell").agg(F.count("*").alias("own")).join(visits, "cell", "left")
-    sizes = sizes.select("cell", F.ceil(F.col("own") / BLOCK).cast("int").alias("blocks"), F.ceil((F.col("own") + F.coalesce("foreign", F.lit(0))) / VISITORS).cast("int").alias("chunks"))
+    joined = max(1, min(GROUP_CELLS, len(q.cells) // LEAST_GROUPS))
+    of_group = lambda c: F.floor(c / joined).cast("int")
+    dealt = dealt.withColumn("group", of_group(F.col("cell")))
+    away = dealt.select("id", "v", "probes", F.explode(F.array_distinct(F.transform("probes", of_group))).alias("group"))
+    visits = away.groupBy("group").agg(F.count("*").alias("foreign"))
+    sizes = dealt.groupBy("group").agg(F.count("*").alias("own")).join(visits, "group", "left")
+    sizes = sizes.select("group", F.ceil(F.col("own") / (BLOCK * joined)).cast("int").alias("blocks"), F.ceil((F.col("own") + F.coalesce("foreign", F.lit(0))) / VISITORS).cast("int").alias("chunks"))
     sizes = F.broadcast(sizes)  # at most MOST_CELLS rows
     pick = lambda salt, of: F.pmod(F.xxhash64(F.lit(salt), "id"), F.col(of)).cast("int")
     upto = lambda of: F.sequence(F.lit(0), F.col(of) - 1)
-    member = dealt.join(sizes, "cell").select("id", "v", "codes", "cell", pick(1, "blocks").alias("block"), F.explode(upto("chunks")).alias("chunk"), F.lit(True).alias("member"), F.lit(-1).alias("home_block"))
-    own = dealt.join(sizes, "cell").select("id", "v", "cell", pick(1, "blocks").alias("home_block"), pick(2, "chunks").alias("chunk"), F.explode(upto("blocks")).alias("block")).where("block <= home_block")
-    foreign = dealt.select("id", "v", F.explode("probes").alias("cell")).join(sizes, "cell").select("id", "v", "cell", F.lit(1 << 30).alias("home_block"), pick(2, "chunks").alias("chunk"), F.explode(upto("blocks")).alias("block"))
-    names = ["id", "v", "codes", "cell", "block", "chunk", "member", "home_block"]
+    member = dealt.join(sizes, "group").select("id", "v", "codes", F.array("cell").alias("cells"), "group", pick(1, "blocks").alias("block"), F.explode(upto("chunks")).alias("chunk"), F.lit(True).alias("member"), F.lit(-1).alias("home_block"))
+    own = dealt.join(sizes, "group").select("id", "v", F.array("cell").alias("cells"), "group", pick(1, "blocks").alias("home_block"), pick(2, "chunks").alias("chunk"), F.explode(upto("blocks")).alias("block")).where("block <= home_block")
+    foreign = away.withColumn("cells", F.filter("probes", lambda c: of_group(c) == F.col("group")))
+    foreign = foreign.join(sizes, "group").select("id", "v", "cells", "group", F.lit(1 << 30).alias("home_block"), pick(2, "chunks").alias("chunk"), F.explode(upto("blocks")).alias("block"))
+    names = ["id", "v", "codes", "cells", "group", "block", "chunk", "member", "home_block"]
     visitor = own.unionByName(foreign).withColumns({"codes": F.lit(None).cast("binary"), "member": F.lit(False)})
 
     def match(group: pa.Table) -> pa.Table:
@@ -155,19 +164,28 @@ def _linked(rows: DataFrame, dim: int, n: int, cosine: float) -> DataFrame:
             return EMPTY.empty_table()
         m_id, v_id = mine.column("id").to_numpy(), theirs.column("id").to_numpy()
         codes = np.frombuffer(b"".join(mine.column("codes").to_pylist()), np.uint8).reshape(len(m_id), -1)
-        a, b = links_of(q, mine.column("cell")[0].as_py(), unit(_matrix(theirs.column("v"))), unit(_matrix(mine.column("v"))), codes, cosine)
-        same = theirs.column("home_block").to_numpy()[a] == mine.column("block")[0].as_py()
-        keep = ~same | (v_id[a] > m_id[b])  # within a block both are members: one order of each pair
-        a, b = a[keep], b[keep]
+        m_cell, visited = (pc.list_flatten(t.column("cells")).to_numpy() for t in (mine, theirs))
+        visitor = pc.list_parent_indices(theirs.column("cells")).to_numpy()
+        m, v = unit(_matrix(mine.column("v"))), unit(_matrix(theirs.column("v")))
+        at_home = theirs.column("home_block").to_numpy() == mine.column("block")[0].as_py()
         ids, at = np.unique(np.concatenate([v_id, m_id]), return_inverse=True)
-        pa_, pb = at[: len(v_id)][a], at[len(v_id) :][b]
-        links = np.bincount(pa_, minlength=len(ids)) + np.bincount(pb, minlength=len(ids))
-        root = roots(len(ids), pa_, pb)
+        links, root = np.zeros(len(ids), np.int64), np.arange(len(ids))
+        for cell in np.unique(m_cell).tolist():
+            here, all_there = np.flatnonzero(m_cell == cell), visitor[visited == cell]
+            for i in range(0, len(all_there), 256):  # what a hot cell finds is counted before it piles up
+                there = all_there[i : i + 256]
+                a, b = links_of(q, cell, v[there], m[here], codes[here], cosine)
+                a, b = there[a], here[b]
+                keep = ~at_home[a] | (v_id[a] > m_id[b])  # within a block both are members: one order of each pair
+                a, b = at[a[keep]], at[len(v_id) + b[keep]]
+                if len(a):
+                    links += np.bincount(a, minlength=len(ids)) + np.bincount(b, minlength=len(ids))
+                    root = roots(len(ids), root[a], root[b])[root]
         some = links > 0
         return pa.table({"id": ids[some], "links": links[some], "root": ids[root[some]]}, schema=EMPTY)
 
     EMPTY = pa.schema([("id", pa.int64()), ("links", pa.int64()), ("root", pa.int64())])
-    return member.select(names).unionByName(visitor.select(names)).groupBy("cell", "block", "chunk").applyInArrow(match, "id long, links long, root long")
+    return member.select(names).unionByName(visitor.select(names)).groupBy("group", "block", "chunk").applyInArrow(match, "id long, links long, root long")
 
 
 def near_duplicates(vectors: DataFrame, cosine: float = COSINE) -> DataFrame:

@@ -4,7 +4,7 @@ import numpy as np
 from pyspark.sql import functions as F
 
 from tallybrook.llm import bitslice, chosen_path, mixing, pq_dedup, url_rules
-from tallybrook.llm._components import components
+from tallybrook.llm._components import components, roots
 
 
 def test_components(spark):
@@ -58,6 +58,22 @@ def test_pq_dedup(spark, monkeypatch):
     assert pq_dedup.near_duplicates(df.limit(0)).count() == 0
 
 
+def test_pq_dedup_finds_every_pair_of_a_decaying_spectrum(spark, monkeypatch):
+    r = np.random.default_rng(8)
+    spread = np.arange(1, 65) ** -1.5
+    x = r.normal(size=(1000, 64)) * spread
+    x /= np.linalg.norm(x, axis=1)[:, None]
+    off = r.normal(size=(1000, 64)) * spread
+    off -= (off * x).sum(1)[:, None] * x
+    x = np.concatenate([x, 0.91 * x + np.sqrt(1 - 0.91**2) * off / np.linalg.norm(off, axis=1)[:, None]])
+    n = (x @ x.T >= 0.9).sum(1) - 1
+    monkeypatch.setattr(pq_dedup, "CELL_ROWS", 20)
+    got = {v.vec_id: v for v in pq_dedup.near_duplicates(spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>")).collect()}
+    assert n.sum() > 2000 and [got[i].n_links for i in range(len(x))] == n.tolist()
+    a, b = np.nonzero(x @ x.T >= 0.9)
+    assert [got[i].component_id for i in range(len(x))] == roots(len(x), a, b).tolist()
+
+
 def brute(texts):
     sets = []
     for t in texts:
