@@ -1,7 +1,7 @@
 """Corpus pipeline: documents in, packed pieces out. Each stage's rows are written and read again by the next.
 
 Rejected documents go, one of each group of near copies stays, personal data is replaced in the texts, documents are put
-in the order of the mix, and the mix is packed. Null and empty texts pass through as documents; equal doc_ids are each
+in the order of the mix, and the mix is packed in that order: sequence ids follow it, by groups of sequences. Null and empty texts pass through as documents; equal doc_ids are each
 judged; an empty table gives no rows; columns beyond those of documents are carried up to the packing.
 """
 
@@ -31,7 +31,8 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return packing.pack_documents(docs)
+    # files are not read in the order they were written: the slots, which follow from the rows, are laid out anew
+    return packing.pack_documents(mixing.reordered(docs.select("doc_id", "source", "text")))
 
 
 STAGES = [("quality classifier", keep_good), ("n-gram Jaccard join", keep_one), ("PII", redact), ("mixing", mix), ("packing", pack)]

@@ -26,5 +26,21 @@ def test_run_equals_its_stages(spark, sf):
     assert len(set(out.doc_id) & set(labels.doc_id[labels.quality == 0])) < 0.2 * (labels.quality == 0).sum()
 
 
+def test_sequences_follow_the_mix(spark, sf):
+    text = "one two three four five six seven eight nine ten " * 100
+    of = ["a"] * 2400 + ["b"] * 600 + ["c"] * 600  # a source of two thirds, stored ahead of the others; alone at the mix's end, but for a group's part
+    docs = spark.createDataFrame([(i, text, s) for i, s in enumerate(of)], "doc_id long, text string, source string")
+    docs = stored(docs.coalesce(1).sortWithinPartitions("doc_id"), "sources")
+    got = corpus_pipeline.pack(spark, docs, sf).toPandas().sort_values(["sequence_id", "offset"])
+    got["source"] = [of[i] for i in got.doc_id]
+    assert sorted(set(got.doc_id)) == list(range(len(of)))
+    at, total = got.length.cumsum(), got.length.sum()
+    head, tail = got[at <= 0.6 * total], got[at > 0.9 * total]
+    shares = head.groupby("source").length.sum() / head.length.sum()
+    weights = {"a": 2400**0.7, "b": 600**0.7, "c": 600**0.7}
+    assert all(abs(shares[s] - w / sum(weights.values())) < 0.04 for s, w in weights.items())
+    assert tail.length[tail.source == "a"].sum() > 0.85 * tail.length.sum()
+
+
 def test_names():
     assert sorted(n.split("_")[0] for n in queries.QUERIES) == sorted(f"op{i}" for i in range(1, 11))
