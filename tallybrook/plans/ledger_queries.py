@@ -118,6 +118,16 @@ def method_pivot(spark: SparkSession, sf: str) -> DataFrame:
     return wide.select("bid_method", *(F.col(str(y)).alias(f"fy{y}") for y in years))
 
 
+@query("with {contracts}, g as (select bid_method, fiscal_year, count(*) as n from contracts group by 1, 2), m as (select distinct bid_method from g), y as (select distinct fiscal_year from g) select m.bid_method, y.fiscal_year, coalesce(g.n, 0) as n from m cross join y left join g on g.bid_method is not distinct from m.bid_method and g.fiscal_year is not distinct from y.fiscal_year")
+def method_pivot_all(spark: SparkSession, sf: str) -> DataFrame:
+    """A row for each method and year that the contracts hold."""
+    g = contracts(spark, sf).groupBy("bid_method", "fiscal_year").agg(F.count("*").alias("n"))
+    grid = g.select("bid_method").distinct().crossJoin(g.select("fiscal_year").distinct()).alias("k")  # methods x years: the grid itself
+    g = g.alias("g")
+    same = F.col("k.bid_method").eqNullSafe(F.col("g.bid_method")) & F.col("k.fiscal_year").eqNullSafe(F.col("g.fiscal_year"))
+    return grid.join(g, same, "left").select("k.bid_method", "k.fiscal_year", F.coalesce("g.n", F.lit(0)).alias("n"))
+
+
 BUDGET = [(y, 5.0e8 + 1.0e7 * (y - 1995)) for y in range(1994, 2003)]
 
 
@@ -222,6 +232,17 @@ def rank_matrix(spark: SparkSession, sf: str) -> DataFrame:
     return windows.rank_matrix(r, "fiscal_year", "rank", "vendor", 20, years).select("rank", *(F.col(str(y)).alias(f"fy{y}") for y in years))
 
 
+@query("""with {contracts}, t as (select fiscal_year, vendor, sum(amount) as s from contracts group by 1, 2), r as (select *, row_number() over (partition by fiscal_year order by s desc, vendor) as rank from t)
+select k.rank, y.fiscal_year, coalesce(r.vendor, '-') as vendor from (select unnest(range(1, 21)) as rank) k cross join (select distinct fiscal_year from t) y left join r on r.rank = k.rank and r.fiscal_year is not distinct from y.fiscal_year""")
+def rank_matrix_all(spark: SparkSession, sf: str) -> DataFrame:
+    """A row for each of 20 ranks and each year that the contracts hold."""
+    t = contracts(spark, sf).groupBy("fiscal_year", "vendor").agg(F.sum("amount").alias("s"))
+    r = t.withColumn("rank", F.row_number().over(Window.partitionBy("fiscal_year").orderBy(F.desc("s"), "vendor"))).where("rank <= 20").alias("r")
+    grid = spark.range(1, 21).select(F.col("id").alias("rank")).crossJoin(t.select("fiscal_year").distinct()).alias("k")  # ranks x years: the matrix itself
+    same = (F.col("k.rank") == F.col("r.rank")) & F.col("k.fiscal_year").eqNullSafe(F.col("r.fiscal_year"))
+    return grid.join(r, same, "left").select("k.rank", "k.fiscal_year", F.coalesce("r.vendor", F.lit("-")).alias("vendor"))
+
+
 @query("with {contracts}, t as (select agency, sum(case when fiscal_year = 1996 then amount end) as a, sum(case when fiscal_year = 2000 then amount end) as b from contracts group by 1) select agency, round(cast(b as double) / nullif(cast(a as double), 0), 6) as growth from t")
 def growth_ratio(spark: SparkSession, sf: str) -> DataFrame:
     of = lambda y: money(F.when(F.col("fiscal_year") == y, F.col("amount")))
@@ -273,6 +294,13 @@ def set_union_per_key(spark: SparkSession, sf: str) -> DataFrame:
     return table(spark, sf, "events").groupBy("event_type").agg(F.slice(F.array_sort(F.collect_set(day)), 1, 5).alias("days"), F.min("value").alias("low"))
 
 
+@query("select event_type, list_sort(list(distinct month(ts) * 100 + day(ts))) as days, min(value) as low from events group by 1")
+def set_union_per_key_all(spark: SparkSession, sf: str) -> DataFrame:
+    """Every day of each type: 366 at most."""
+    day = (F.month("ts") * 100 + F.dayofmonth("ts")).cast("long")
+    return table(spark, sf, "events").groupBy("event_type").agg(F.array_sort(F.collect_set(day)).alias("days"), F.min("value").alias("low"))
+
+
 @query("""with d as (select distinct event_type from events), k as (select distinct cast(ts as date) as day from events), g as (select event_type, cast(ts as date) as day, count(*) as n from events group by 1, 2)
 select d.event_type, k.day, coalesce(g.n, 0) as n, case when g.n is null then 'dash' when g.n > 60 then 'filled' else 'pending' end as state from d cross join k left join g on g.event_type = d.event_type and g.day = k.day""")
 def dense_grid(spark: SparkSession, sf: str) -> DataFrame:

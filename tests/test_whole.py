@@ -30,3 +30,17 @@ def test_upsert_reads_every_event(spark, sf):
 def test_display_shows_every_contract(spark, sf):
     got = [r.id for r in registry.QUERIES["display_columns_all"](spark, sf).collect()]
     assert sorted(got) == sorted(pd.read_parquet(f"{sf}/orders.parquet").o_orderkey) and len(got) > 500
+
+
+def test_set_union_keeps_every_day(spark, sf):
+    e, _ = events(sf)
+    want = (e.ts.dt.month * 100 + e.ts.dt.day).groupby(e.event_type).agg(lambda d: sorted(set(d))).to_dict()
+    assert {r.event_type: r.days for r in registry.QUERIES["set_union_per_key_all"](spark, sf).collect()} == want
+
+
+def test_years_are_those_of_the_contracts(spark, sf):
+    years = (pd.to_datetime(pd.read_parquet(f"{sf}/orders.parquet").o_orderdate) - pd.DateOffset(months=3)).dt.year
+    method = registry.QUERIES["method_pivot_all"](spark, sf).toPandas()
+    assert method.groupby("fiscal_year").n.sum().to_dict() == years.value_counts().to_dict() and len(method) == method.bid_method.nunique() * years.nunique()
+    ranks = registry.QUERIES["rank_matrix_all"](spark, sf).toPandas()
+    assert set(ranks.fiscal_year) == set(years) and len(ranks) == 20 * years.nunique()
