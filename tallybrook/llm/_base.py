@@ -21,9 +21,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that spark.checkpoint.dir names; a temporary one only where none is set, as in tests."""
+    """The folder that spark.checkpoint.dir names; a temporary one only in local mode where none is set, as in tests."""
     path = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not path:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that all machines share")
         spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="spark-"))
         path = spark.sparkContext.getCheckpointDir()
     return path.rstrip("/")
@@ -40,6 +42,18 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def join_counted(left: DataFrame, right: DataFrame, key: str, count: str, total: int, most: int = 1000) -> DataFrame:
+    """Inner join on `key`, of which `right` has each value once, with `count`, the rows of `left` (`total` in all) that have it.
+
+    Values that hold more than 1 / `most` of the rows, so fewer than `most` of them, are broadcast, and their rows stay
+    where they are; the others are shuffled.
+    """
+    bar = max(total // most, 100)
+    hot, cold = right.where(F.col(count) > bar), right.where(F.col(count) <= bar)
+    rest = left.join(F.broadcast(hot.select(key)), key, "left_anti")
+    return left.join(F.broadcast(hot), key).unionByName(rest.join(cold.hint("merge"), key))
+
+
 def fold(key: Column, of: int) -> Column:
     """crc32 of a key's text form, modulo `of`."""
     return F.crc32(key.cast("string")) % F.lit(of)
