@@ -8,9 +8,13 @@ gives its k best of each query, and the k best of all blocks are the result: not
 
 Queries go to row blocks as packed blocks, an equi-join on the block's number.
 
-Cases: vectors that are null, empty, or hold a null or non-finite component, or one of 2**28 and more after scaling,
-take no part; vectors of different lengths are not compared; rows of equal vec_id are each kept, and none is found by
-its own id; with fewer than k candidates all are returned; an empty table gives no rows.
+Rows with a component of WIDE and more after scaling have blocks of their own, of fewer rows, whose slices are cut from
+whole numbers of any length; so their scores are exact too.
+
+Cases: vectors that are null, empty, or hold a component that is null or not finite after scaling take no part; vectors
+of different lengths are not compared; rows of equal vec_id are each kept, and none is found by its own id; rows without
+a vec_id take no part; scores beyond a long are ranked exactly and shown as the nearest long; with fewer than k
+candidates all are returned; an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -25,24 +29,38 @@ from pyspark.sql import functions as F
 from ._base import table
 
 SCALE, TOP = 256, 5
-BLOCK_ROWS, BLOCK_QUERIES = 16_384, 512
+BLOCK_ROWS, BLOCK_QUERIES, WIDE_ROWS = 16_384, 512, 256
 WORD = 64
+#: Whole numbers below this are held in 64 bits.
+WIDE = 2.0**62
+MOST_LONG = 2**63 - 1
+
+
+def usable(scaled: Column) -> Column:
+    return scaled.isNotNull() & (F.size(scaled) > 0) & F.forall(scaled, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
 
 
-def usable(vector: Column) -> Column:
-    good = lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float(2**28) / SCALE)
-    return vector.isNotNull() & (F.size(vector) > 0) & F.forall(vector, good)
+def whole(values: np.ndarray) -> np.ndarray:
+    """Whole numbers that stand as doubles: 64 bits where they fit, else Python's."""
+    if not values.size or np.abs(values).max() < WIDE:
+        return values.astype(np.int64)
+    return np.array([int(x) for x in values.ravel().tolist()], object).reshape(values.shape)
 
 
 def slices_of(values: np.ndarray) -> tuple[np.ndarray, np.ndarray, int]:
     """Bitmaps (components, bits, words) of values less each component's smallest, those smallest, and the bits."""
     low = values.min(0)
-    up = (values - low).astype(np.uint64)
-    bits = max(1, int(up.max()).bit_length())
+    up = values - low
+    bits = max(1, max(int(x) for x in up.max(0)).bit_length())
     pad = -len(up) % WORD
-    up = np.concatenate([up, np.zeros((pad, up.shape[1]), np.uint64)])
-    planes = (up.T[:, None, :] >> np.arange(bits, dtype=np.uint64)[None, :, None]) & np.uint64(1)
-    packed = np.ascontiguousarray(np.packbits(planes.astype(np.uint8), axis=2, bitorder="little"))
+    if up.dtype == object:
+        wide = np.frombuffer(b"".join(x.to_bytes(-(-bits // 8), "little") for x in up.T.ravel()), np.uint8)
+        planes = np.unpackbits(wide.reshape(up.shape[1], len(up), -1), axis=2, count=bits, bitorder="little").transpose(0, 2, 1)
+        planes = np.concatenate([planes, np.zeros((*planes.shape[:2], pad), np.uint8)], axis=2)
+    else:
+        up = np.concatenate([up.astype(np.uint64), np.zeros((pad, up.shape[1]), np.uint64)])
+        planes = ((up.T[:, None, :] >> np.arange(bits, dtype=np.uint64)[None, :, None]) & np.uint64(1)).astype(np.uint8)
+    packed = np.ascontiguousarray(np.packbits(planes, axis=2, bitorder="little"))
     return packed.view(np.uint64), low, bits
 
 
@@ -51,7 +69,7 @@ def score_slices(planes: np.ndarray, weights: np.ndarray) -> tuple[list[np.ndarr
     dims, bits, words = planes.shape[0] // 2, planes.shape[1], planes.shape[2]
     size = np.abs(weights)
     columns: dict[int, list[int]] = {}
-    for j in range(int(size.max(initial=0)).bit_length()):
+    for j in range(max((int(x) for x in size), default=0).bit_length()):
         d = np.flatnonzero(size >> j & 1)
         rows = d + np.where(weights[d] < 0, dims, 0)
         for b in range(bits):
@@ -74,7 +92,7 @@ def score_slices(planes: np.ndarray, weights: np.ndarray) -> tuple[list[np.ndarr
             items = np.concatenate([half, items[3 * m :]]) if len(items) > 3 * m else half
         out.append(items[0] if len(items) else np.zeros(words, np.uint64))
         k += 1
-    return out, -int(size[weights < 0].sum()) * ((1 << bits) - 1)
+    return out, -sum(int(x) for x in size[weights < 0]) * ((1 << bits) - 1)
 
 
 def places(bitmap: np.ndarray) -> np.ndarray:
@@ -112,21 +130,24 @@ def search(planes: np.ndarray, low: np.ndarray, ids: np.ndarray, query_id: int,
 
 def top_k(vectors: DataFrame, queries: Column, k: int = TOP, scale: int = SCALE) -> DataFrame:
     """query_id, rank, vec_id, score: for each row that `queries` picks, its k best others by inner product of floor(scale * x)."""
-    values = F.transform("embedding", lambda x: F.floor(F.lit(float(scale)) * x.cast("double")))
-    rows = vectors.where(usable(F.col("embedding"))).select(F.col("vec_id").cast("long").alias("vec_id"), F.size("embedding").alias("dim"), values.alias("v"))
-    n, n_queries = rows.agg(F.count("*"), F.count_if(queries)).first()
-    blocks, packs = max(1, -(-n // BLOCK_ROWS)), max(1, -(-n_queries // BLOCK_QUERIES))
-    block = lambda of, salt: F.pmod(F.xxhash64(F.lit(salt), "vec_id"), F.lit(of)).cast("int")
+    scaled = F.transform("embedding", lambda x: F.lit(float(scale)) * x.cast("double"))
+    rows = vectors.select(F.col("vec_id").cast("long").alias("vec_id"), scaled.alias("v")).where(usable(F.col("v")) & F.col("vec_id").isNotNull())
+    rows = rows.withColumns({"dim": F.size("v"), "wide": F.exists("v", lambda x: F.abs(x) >= F.lit(WIDE))})
+    n, n_wide, n_queries = rows.agg(F.count_if(~F.col("wide")), F.count_if("wide"), F.count_if(queries)).first()
+    narrow, wide, packs = -(-n // BLOCK_ROWS), -(-n_wide // WIDE_ROWS), max(1, -(-n_queries // BLOCK_QUERIES))
+    dealt = lambda of, salt: F.pmod(F.xxhash64(F.lit(salt), "vec_id"), F.lit(max(1, of))).cast("int")
+    block = F.when(F.col("wide"), dealt(wide, 1) + F.lit(narrow)).otherwise(dealt(narrow, 1))
 
     def matrix(group: pa.Table) -> tuple[np.ndarray, np.ndarray]:
+        """Ids in order, and the floors of their components as doubles."""
         group = group.sort_by("vec_id")
         flat = group.column("v").combine_chunks().flatten().to_numpy(zero_copy_only=False)
-        return group.column("vec_id").to_numpy(), flat.reshape(group.num_rows, -1).astype(np.int64)
+        return group.column("vec_id").to_numpy(), np.floor(flat).reshape(group.num_rows, -1)
 
     def index(group: pa.Table) -> pa.Table:
         ids, v = matrix(group)
-        planes, low, bits = slices_of(v)
-        one = {"block": group.column("block")[0].as_py(), "dim": v.shape[1], "ids": ids.tobytes(), "bits": bits, "low": low.tobytes(), "slices": planes.tobytes()}
+        planes, _, bits = slices_of(whole(v))
+        one = {"block": group.column("block")[0].as_py(), "dim": v.shape[1], "ids": ids.tobytes(), "bits": bits, "low": v.min(0).tobytes(), "slices": planes.tobytes()}
         return pa.Table.from_pylist([one], pa.schema([("block", pa.int32()), ("dim", pa.int32()), ("ids", pa.binary()), ("bits", pa.int32()), ("low", pa.binary()), ("slices", pa.binary())]))
 
     def packed(group: pa.Table) -> pa.Table:
@@ -139,16 +160,18 @@ def top_k(vectors: DataFrame, queries: Column, k: int = TOP, scale: int = SCALE)
                 r = batch.slice(i, 1).to_pylist()[0]
                 planes = np.frombuffer(r["slices"], np.uint64).reshape(r["dim"], r["bits"], -1)
                 planes = np.concatenate([planes, ~planes])
-                low, ids = np.frombuffer(r["low"], np.int64), np.frombuffer(r["ids"], np.int64)
-                weights = np.frombuffer(r["weights"], np.int64).reshape(-1, r["dim"])
-                found = [(q, *x) for q, w in zip(np.frombuffer(r["query_ids"], np.int64).tolist(), weights, strict=True) for x in search(planes, low, ids, q, w, k)]
-                yield pa.RecordBatch.from_arrays([pa.array([x[c] for x in found], pa.int64()) for c in range(3)], ["query_id", "vec_id", "score"])
-
-    built = rows.withColumn("block", block(blocks, 1)).groupBy("dim", "block").applyInArrow(index, "block int, dim int, ids binary, bits int, low binary, slices binary")
-    asked = rows.where(queries).withColumn("pack", block(packs, 2)).groupBy("dim", "pack").applyInArrow(packed, "dim int, query_ids binary, weights binary")
-    asked = asked.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
-    best = asked.join(built, ["dim", "block"]).mapInArrow(run, "query_id long, vec_id long, score long")
-    order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
+                low, ids = whole(np.frombuffer(r["low"])), np.frombuffer(r["ids"], np.int64)
+                weights = np.frombuffer(r["weights"]).reshape(-1, r["dim"])
+                found = [(q, *x) for q, w in zip(np.frombuffer(r["query_ids"], np.int64).tolist(), weights, strict=True) for x in search(planes, low, ids, q, whole(w), k)]
+                shown = [max(-MOST_LONG - 1, min(MOST_LONG, x[2])) for x in found]
+                beyond = ["" if x[2] == y else f"{x[2] + (1 << 2300):0576x}" for x, y in zip(found, shown, strict=True)]
+                yield pa.RecordBatch.from_arrays([pa.array([x[0] for x in found], pa.int64()), pa.array([x[1] for x in found], pa.int64()), pa.array(shown, pa.int64()), pa.array(beyond, pa.string())], ["query_id", "vec_id", "score", "beyond"])
+
+    built = rows.withColumn("block", block).groupBy("dim", "block").applyInArrow(index, "block int, dim int, ids binary, bits int, low binary, slices binary")
+    asked = rows.where(queries).withColumn("pack", dealt(packs, 2)).groupBy("dim", "pack").applyInArrow(packed, "dim int, query_ids binary, weights binary")
+    asked = asked.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(max(1, narrow + wide) - 1))))
+    best = asked.join(built, ["dim", "block"]).mapInArrow(run, "query_id long, vec_id long, score long, beyond string")
+    order = Window.partitionBy("query_id").orderBy(F.desc("score"), F.desc("beyond"), "vec_id")
     return best.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
 
 
