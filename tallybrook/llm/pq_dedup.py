@@ -10,17 +10,21 @@ taken in double precision. A visitor is sent once to a group of up to GROUP_CELL
 
 Centroids and codes are fitted on about SAMPLE rows, those of the lowest hash; every row is indexed. Groups of cells are split into
 blocks of BLOCK members a cell and VISITORS visitors, so copies that fill a cell spread over tasks; a task sends back counts
-and a spanning forest, never all pairs.
+and a spanning forest, never all pairs. Rows go by a key of their own, not by vec_id, and vectors keep the element type
+that they came in until a task takes their unit vectors in double precision, after a division by their largest component,
+so that no length over- or underflows.
 
 Cases: vectors that are null, empty or zero, or hold null or non-finite components, link with nothing and are kept;
-vectors of different lengths are not compared (at most MOST_DIMS lengths); rows of equal vec_id are one vector (the
-lowest by components); an empty table gives no rows; other columns play no part.
+vectors of different lengths are not compared; rows of equal vec_id are each a vector, linked like any others, and all
+of a component that have its smallest vec_id are kept; a row without a vec_id gives no component its name, and is kept
+where its whole component has none; an empty table gives no rows; other columns play no part.
 """
 
 from __future__ import annotations
 
 import math
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -28,12 +32,14 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ._base import drawn, stored, table
+from ._base import drawn, join_counted, stored, table
 from ._components import components, roots
 
 COSINE = 0.9
-SAMPLE, MOST_CELLS, CELL_ROWS, SUBSPACES, CODES, TURNS = 16_384, 4096, 512, 16, 16, 6
-BLOCK, VISITORS, MOST_DIMS = 1024, 4096, 64
+SAMPLE, MOST_CELLS, CELL_ROWS, SUBSPACES, CODES, TURNS = 16_384, 4096, 512, 8, 256, 6
+BLOCK, VISITORS = 1024, 4096
+#: Lengths of vectors that one job takes.
+DIMS_A_JOB = 16
 #: Cells that are sent to a task together, and the groups there should be before cells are joined.
 GROUP_CELLS, LEAST_GROUPS = 8, 32
 #: For rounding.
@@ -41,6 +47,7 @@ SLACK = 1e-9
 
 
 def unit(v: np.ndarray) -> np.ndarray:
+    v = v / np.abs(v).max(axis=1, keepdims=True, initial=np.finfo(float).tiny)
     return v / np.linalg.norm(v, axis=1, keepdims=True)
 
 
@@ -65,6 +72,8 @@ class Quantiser:
         self.dim = sample.shape[1]
         self.width = -(-self.dim // SUBSPACES)
         self.cells = k_means(sample, cells)
+        size = (self.cells**2).sum(1)
+        self.apart = np.sqrt(np.maximum(size[:, None] + size[None] - 2 * self.cells @ self.cells.T, 1e-24))
         rest = self.padded(sample - self.cells[nearest(sample, self.cells)])
         self.books = [k_means(rest[:, m], CODES) for m in range(rest.shape[1])]
 
@@ -85,10 +94,9 @@ class Quantiser:
 
     def probes(self, x: np.ndarray, cell: np.ndarray, radius: float) -> list[np.ndarray]:
         """Lower cells that each row visits."""
-        d = (self.cells**2).sum(1)[None] - 2 * x @ self.cells.T
         size = (self.cells**2).sum(1)
-        apart = np.sqrt(np.maximum(size[cell][:, None] + size[None] - 2 * self.cells[cell] @ self.cells.T, 1e-24))
-        border = (d - d[np.arange(len(x)), cell][:, None]) / (2 * apart)
+        d = size[None] - 2 * x @ self.cells.T
+        border = (d - d[np.arange(len(x)), cell][:, None]) / (2 * self.apart[cell])
         lower = np.arange(len(self.cells))[None] < cell[:, None]
         near = lower & (border <= radius + SLACK)
         return [np.flatnonzero(row) for row in near]
@@ -104,16 +112,18 @@ def links_of(q: Quantiser, cell: int, visitors: np.ndarray, members: np.ndarray,
     radius = math.sqrt(2 - 2 * cosine)
     guess = q.decode(np.full(len(members), cell), codes)
     error = np.linalg.norm(members - guess, axis=1)
-    bar = (radius + error) ** 2 + 1e-9
-    norm = (guess**2).sum(1)
+    # a member is no partner where 1 + |guess|^2 - 2 * dot is over (radius + error)^2
+    least = ((1 + (guess**2).sum(1) - (radius + error) ** 2) / 2 - 1e-5).astype(np.float32)[:, None]
+    by_part = np.ascontiguousarray(codes.T.astype(np.intp))
     found = []
     for i in range(0, len(visitors), 256):
         v = visitors[i : i + 256]
         parts = q.padded(v)
-        dot = np.repeat((v @ q.cells[cell])[:, None], len(members), 1).astype(np.float32)
-        for m, book in enumerate(q.books):
-            dot += np.ascontiguousarray(parts[:, m] @ book.T, np.float32)[:, codes[:, m]]
-        a, b = np.nonzero((1 + norm)[None] - 2 * dot <= bar[None] + 1e-5)
+        dot = np.repeat((q.cells[cell] @ v.T).astype(np.float32)[None], len(members), 0)
+        row = np.empty_like(dot)
+        for m, book in enumerate(q.books):  # a table of all codes for each visitor; a member takes the row of its code
+            dot += np.take((book @ parts[:, m].T).astype(np.float32), by_part[m], axis=0, out=row, mode="clip")
+        b, a = np.nonzero(dot >= least)
         for k in range(0, len(a), 1 << 18):
             s, t = a[k : k + (1 << 18)], b[k : k + (1 << 18)]
             good = np.einsum("ij,ij->i", v[s], members[t]) >= cosine
@@ -125,8 +135,9 @@ def links_of(q: Quantiser, cell: int, visitors: np.ndarray, members: np.ndarray,
 
 def _linked(rows: DataFrame, dim: int, n: int, cosine: float) -> DataFrame:
     """(id, links, root) parts: how many links of an id a task found, and the id its forest hangs it on."""
-    spark, radius = rows.sparkSession, math.sqrt(2 - 2 * cosine)
-    sample = drawn(rows, "vec_id", n, SAMPLE, 17).select("vec_id", "v").toArrow().sort_by("vec_id")
+    radius = math.sqrt(2 - 2 * cosine)
+    kind = dict(rows.dtypes)["v"]
+    sample = drawn(rows, "id", n, SAMPLE, 17).select("id", "v").toArrow().sort_by("id")
     q = Quantiser(unit(_matrix(sample.column("v"))), max(1, min(MOST_CELLS, n // CELL_ROWS, sample.num_rows // 4)))
 
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -137,9 +148,9 @@ def _linked(rows: DataFrame, dim: int, n: int, cosine: float) -> DataFrame:
                 cell, codes = q.encode(x)
                 probes = q.probes(x, cell, radius)
                 at = np.cumsum([0, *map(len, probes)]).astype(np.int32)
-                yield pa.RecordBatch.from_arrays([part.column("vec_id"), part.column("v"), pa.array(cell.astype(np.int32)), pa.array([c.tobytes() for c in codes], pa.binary()), pa.ListArray.from_arrays(pa.array(at), pa.array(np.concatenate([*probes, []]).astype(np.int32)))], ["id", "v", "cell", "codes", "probes"])
+                yield pa.RecordBatch.from_arrays([part.column("id"), part.column("v"), pa.array(cell.astype(np.int32)), pa.array([c.tobytes() for c in codes], pa.binary()), pa.ListArray.from_arrays(pa.array(at), pa.array(np.concatenate([*probes, []]).astype(np.int32)))], ["id", "v", "cell", "codes", "probes"])
 
-    dealt = stored(rows.select("vec_id", "v").mapInArrow(deal, "id long, v array<double>, cell int, codes binary, probes array<int>"), "dealt")
+    dealt = stored(rows.select("id", "v").mapInArrow(deal, f"id long, v {kind}, cell int, codes binary, probes array<int>"), "dealt")
     joined = max(1, min(GROUP_CELLS, len(q.cells) // LEAST_GROUPS))
     of_group = lambda c: F.floor(c / joined).cast("int")
     dealt = dealt.withColumn("group", of_group(F.col("cell")))
@@ -190,26 +201,27 @@ def _linked(rows: DataFrame, dim: int, n: int, cosine: float) -> DataFrame:
 
 def near_duplicates(vectors: DataFrame, cosine: float = COSINE) -> DataFrame:
     """vec_id, n_links, component_id, kept of every vector."""
-    vectors = vectors.select(F.col("vec_id").cast("long").alias("vec_id"), F.col("embedding").cast("array<double>").alias("v"))
-    vectors = stored(vectors.groupBy("vec_id").agg(F.min("v").alias("v")), "vectors")
+    kind = "array<float>" if dict(vectors.dtypes)["embedding"] == "array<float>" else "array<double>"
+    vectors = vectors.select(F.monotonically_increasing_id().alias("id"), F.col("vec_id").cast("long").alias("vec_id"), F.col("embedding").cast(kind).alias("v"))
+    vectors = stored(vectors, "vectors")
     good = F.col("v").isNotNull() & (F.size("v") > 0) & F.forall("v", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf"))) & F.exists("v", lambda x: x != 0)
     rows = vectors.where(good).withColumn("dim", F.size("v"))
-    dims = rows.groupBy("dim").count().orderBy("dim").limit(MOST_DIMS + 1).collect()
-    if len(dims) > MOST_DIMS:
-        raise ValueError(f"vectors of more than {MOST_DIMS} lengths")
-    ids = vectors.select("vec_id")
-    if not dims:
+    dims = rows.groupBy("dim").count().orderBy("dim").collect()
+    parts = []
+    for i in range(0, len(dims), DIMS_A_JOB):
+        some = [_linked(rows.where(F.col("dim") == r.dim), r.dim, r["count"], cosine) for r in dims[i : i + DIMS_A_JOB]]
+        parts.append(stored(reduce(DataFrame.unionByName, some), "links"))
+    ids = vectors.select("id", "vec_id")
+    if not parts:
         return ids.select("vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"), F.lit(True).alias("kept"))
-    found = None
-    for r in dims:
-        part = _linked(rows.where(F.col("dim") == r.dim), r.dim, r["count"], cosine)
-        found = part if found is None else found.unionByName(part)
-    found = stored(found, "links")
+    found = reduce(DataFrame.unionByName, parts)
     links = found.groupBy("id").agg(F.sum("links").alias("n_links"))
-    classes = components(found.select(F.col("id").alias("a"), F.col("root").alias("b")))
-    out = ids.join(links, ids.vec_id == links.id, "left").drop("id").join(classes, ids.vec_id == classes.id, "left")
-    component = F.coalesce("component", "vec_id")
-    return out.select("vec_id", F.coalesce("n_links", F.lit(0)).alias("n_links"), component.alias("component_id"), (component == F.col("vec_id")).alias("kept"))
+    classes = stored(components(found.select(F.col("id").alias("a"), F.col("root").alias("b"))).join(ids, "id"), "classes")
+    names = classes.groupBy("component").agg(F.min("vec_id").alias("name"), F.count("*").alias("rows"))
+    named = join_counted(classes.select("id", "component"), names, "component", "rows", classes.count()).select("id", "name", F.lit(True).alias("linked"))
+    out = ids.join(links, "id", "left").join(named, "id", "left")
+    component = F.when(F.col("linked"), F.col("name")).otherwise(F.col("vec_id"))
+    return out.select("vec_id", F.coalesce("n_links", F.lit(0)).alias("n_links"), component.alias("component_id"), component.eqNullSafe(F.col("vec_id")).alias("kept"))
 
 
 def op9_pq_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -1,5 +1,7 @@
 """Searches, joins, rules and mixing against brute force, and defined results on odd rows."""
 
+import math
+
 import numpy as np
 from pyspark.sql import functions as F
 
@@ -49,15 +51,37 @@ def test_pq_dedup(spark, monkeypatch):
     monkeypatch.setattr(pq_dedup, "CELL_ROWS", 40)
     monkeypatch.setattr(pq_dedup, "BLOCK", 16)
     monkeypatch.setattr(pq_dedup, "VISITORS", 32)
-    got = {r.vec_id: r for r in pq_dedup.near_duplicates(df.unionByName(df.where("vec_id = 5"))).collect()}
+    rows = pq_dedup.near_duplicates(df.unionByName(df.where("vec_id = 5"))).collect()
+    got = {r.vec_id: r for r in rows}
     u = x.astype(float) / np.linalg.norm(x.astype(float), axis=1)[:, None]
     n = (u @ u.T >= 0.9).sum(1) - 1
-    assert len(got) == 308 and sum(got[i].n_links for i in range(300)) >= 0.98 * n.sum() and all(got[i].n_links <= n[i] for i in range(300))
+    n[5] += 1
+    assert len(rows) == 309 and [got[i].n_links for i in range(300)] == n.tolist()
+    assert [(r.n_links, r.component_id, r.kept) for r in rows if r.vec_id == 5] == [(1, 5, True)] * 2
     assert got[230].component_id == 0 and not got[230].kept and got[0].kept
     assert got[904].n_links == 1 and got[905].component_id == 904 and all(got[i].n_links == 0 and got[i].kept for i in (900, 901, 902, 903, 906, 907))
     assert pq_dedup.near_duplicates(df.limit(0)).count() == 0
 
 
+def test_bit_sliced_top_k_of_large_components(spark, monkeypatch):
+    monkeypatch.setattr(bitslice, "WIDE_ROWS", 4)
+    r = np.random.default_rng(9)
+    x = [[3e6, 1.0], [1.0, 1.0], [2.0, 1.0], [-5e5, 2.0], [2e6, 0.5]] + [(r.normal(size=2) * 10.0 ** r.integers(-3, 160)).tolist() for _ in range(40)]
+    df = spark.createDataFrame(list(enumerate(x)), "vec_id long, embedding array<double>")
+    got = sorted(tuple(v) for v in bitslice.top_k(df, F.col("vec_id") % 5 == 0, 7).collect())
+    whole, want = [[math.floor(256 * c) for c in v] for v in x], []
+    for q in range(0, len(x), 5):
+        scores = sorted((-sum(a * b for a, b in zip(whole[q], v)), i) for i, v in enumerate(whole) if i != q)[:7]
+        want += [(q, k + 1, i, max(-(2**63), min(2**63 - 1, -s))) for k, (s, i) in enumerate(scores)]
+    assert got == want and {0, 4} <= {g[2] for g in got} | {g[0] for g in got}
+
+
+def test_pq_dedup_of_equal_ids_and_extreme_lengths(spark):
+    rows = [(1, [1.0, 0.0]), (1, [0.0, 1.0]), (7, [2.0, 0.1]), (8, [1e200, 0.0]), (9, [0.0, 1e-200]), (3, [0.0, 5e-324]), (4, [-1.0, -1.0]), (None, [-2.0, -2.0]), (None, [1.0, -1.0]), (6, [1e308, -1e308])]
+    got = pq_dedup.near_duplicates(spark.createDataFrame(rows, "vec_id long, embedding array<double>")).collect()
+    assert sorted((r.vec_id or 0, r.n_links, r.component_id or 0, r.kept) for r in got) == sorted([(1, 2, 1, True), (1, 2, 1, True), (7, 2, 1, False), (8, 2, 1, False), (9, 2, 1, False), (3, 2, 1, False), (4, 1, 4, True), (0, 1, 4, False), (0, 1, 6, False), (6, 1, 6, True)])
+
+
 def test_pq_dedup_finds_every_pair_of_a_decaying_spectrum(spark, monkeypatch):
     r = np.random.default_rng(8)
     spread = np.arange(1, 65) ** -1.5
