@@ -34,6 +34,12 @@ def components(edges: DataFrame) -> DataFrame:
     return out.union(edges.select("b", "b").distinct())
 
 
+def named(classes: DataFrame, total: int) -> DataFrame:
+    """classes (id, component, name and more, `total` rows) with `least`, the smallest name of their component."""
+    least = classes.groupBy("component").agg(F.min("name").alias("least"), F.count("*").alias("_rows"))
+    return join_counted(classes, least, "component", "_rows", total).drop("_rows")
+
+
 def _told(edges: DataFrame) -> tuple:
     """How many edges there are, and a sum of their hashes."""
     return tuple(edges.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first())

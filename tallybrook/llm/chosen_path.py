@@ -8,15 +8,18 @@ similarity meets in a run with the chance that the critical branching process li
 chance of never meeting is at most 1 - recall.
 
 Small buckets are compared by brute force on one-bit min-hash sketches, at a bar five standard deviations under the
-threshold; in larger buckets each text is tied to the smallest. The components of these ties are then compared whole, by
-exact Jaccard of the shingle sets: small ones many to a task, large ones in pairs of blocks, so no task holds more than
-two blocks and no list of all pairs leaves a task.
+threshold. In larger buckets each text is first compared with the smallest; those unlike it are compared with all of the
+bucket, in pairs of blocks, of which a task gives a spanning forest. The components of these ties are then compared
+whole, by exact Jaccard of the shingle sets: small ones many to a task, large ones in pairs of blocks of at most BLOCK
+texts, or of BLOCK_SHINGLES where texts are long; so no task holds more than two blocks and no list of all pairs leaves
+a task. Buckets, classes and components that hold many rows are joined without moving those.
 
 Texts of equal shingle sets are one class of copies: one stands for all, and counts say how many there are.
 
 Cases: null texts and texts without a word link with nothing; a text of under five words has one shingle of all of them;
-rows of equal doc_id are each kept and count as copies where their texts are equal; an empty table gives no rows; other
-columns play no part, and `one_of_each` keeps them.
+rows of equal doc_id are each judged by their own text, and count as copies where their texts are equal; rows without a
+doc_id are compared like any, and give a class its name (null) only where no row of it has one; an empty table gives no
+rows; other columns play no part, and `one_of_each` keeps them.
 """
 
 from __future__ import annotations
@@ -27,17 +30,20 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ._base import bytes_of, mix, pieces, shingles_of, stored, table, words_of
-from ._components import components, roots
+from ._base import bytes_of, join_counted, mix, pieces, shingles_of, stored, table, words_of
+from ._components import components, named, roots
 
 WORDS, SIMILARITY, RECALL = 5, 0.8, 0.999
 TOKENS, SPLIT, DEPTH = 128, 0.8, 4
-SMALL_BUCKET, BLOCK, GROUP_ROWS = 32, 256, 2000
+SMALL_BUCKET, BLOCK, GROUP_ROWS = 32, 512, 2000
+SKETCH_BLOCK, BLOCK_SHINGLES = 2048, 1 << 20
 #: Bits of 128 in which sketches may differ: at the threshold 12.8 do on average, with a deviation of 3.4.
 SKETCH_BITS = 30
+#: A character that belongs to a word.
+WORD = r"[^\x09-\x0d\x1c-\x20]"
 SEEDS = mix(np.arange(1, TOKENS + 1, dtype=np.uint64) * np.uint64(0xD1342543DE82EF95)) | np.uint64(1)
 
 
@@ -118,8 +124,12 @@ def buckets_of(tokens: np.ndarray, runs: int, depth: int, split: float = SPLIT)
     return np.concatenate(texts), np.concatenate(nodes).view(np.int64)
 
 
+def printed(docs: DataFrame) -> DataFrame:
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("print"), "text")
+
+
 def described(docs: DataFrame, runs: int, depth: int) -> DataFrame:
-    """doc_id, fp1, fp2, n shingles, sketch and buckets of every text."""
+    """key (a number of the row), doc_id, print (of the text), fp1, fp2, n shingles, sketch and buckets of every text."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -134,23 +144,62 @@ def described(docs: DataFrame, runs: int, depth: int) -> DataFrame:
                 order = np.argsort(some[text], kind="stable")
                 ends = np.cumsum(np.bincount(some[text], minlength=len(n)))
                 lists = pa.ListArray.from_arrays(pa.array(np.append(0, ends).astype(np.int32)), pa.array(bucket[order]))
-                yield pa.RecordBatch.from_arrays([piece.column("doc_id").cast(pa.int64()), pa.array(fp1), pa.array(fp2), pa.array(n), pa.array(s1), pa.array(s2), lists], ["doc_id", "fp1", "fp2", "n", "s1", "s2", "buckets"])
+                yield pa.RecordBatch.from_arrays([piece.column("doc_id"), piece.column("print"), pa.array(fp1), pa.array(fp2), pa.array(n), pa.array(s1), pa.array(s2), lists], ["doc_id", "print", "fp1", "fp2", "n", "s1", "s2", "buckets"])
+
+    out = printed(docs).mapInArrow(run, "doc_id long, print long, fp1 long, fp2 long, n long, s1 long, s2 long, buckets array<long>")
+    return out.withColumn("key", F.monotonically_increasing_id())
+
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, "doc_id long, fp1 long, fp2 long, n long, s1 long, s2 long, buckets array<long>")
+def differ(a: str, b: str) -> Column:
+    return F.bit_count(F.col(f"{a}1").bitwiseXOR(F.col(f"{b}1"))) + F.bit_count(F.col(f"{a}2").bitwiseXOR(F.col(f"{b}2")))
 
 
-def ties(rows: DataFrame) -> DataFrame:
-    """Edges (a, b) between texts that meet in a bucket and may be alike."""
+def ties(rows: DataFrame, total: int) -> DataFrame:
+    """Edges (a, b) between texts that meet in a bucket and may be alike; `rows` have `total` buckets."""
     dealt = rows.select("id", F.explode("buckets").alias("bucket"))
     sizes = dealt.groupBy("bucket").agg(F.count("*").alias("size"), F.min("id").alias("hub")).where("size > 1")
-    dealt = stored(dealt.join(sizes, "bucket"), "shared")  # few buckets have two texts
-    small = dealt.where(F.col("size") <= SMALL_BUCKET).select("bucket", "id").join(rows.select("id", "n", "s1", "s2"), "id")
+    dealt = stored(join_counted(dealt, sizes, "bucket", "size", total), "shared")  # few buckets have two texts
+    sketch = rows.select("id", "n", "s1", "s2")
+    small = dealt.where(F.col("size") <= SMALL_BUCKET).select("bucket", "id").join(sketch, "id")
     x, y = small.alias("x"), small.alias("y")
-    differ = F.bit_count(F.col("x.s1").bitwiseXOR(F.col("y.s1"))) + F.bit_count(F.col("x.s2").bitwiseXOR(F.col("y.s2")))
-    alike = (F.col("x.id") > F.col("y.id")) & (differ <= SKETCH_BITS) & (F.least("x.n", "y.n") >= F.greatest("x.n", "y.n") * SIMILARITY)
-    pairs = x.join(y, (F.col("x.bucket") == F.col("y.bucket")) & alike).select(F.col("x.id").alias("a"), F.col("y.id").alias("b"))
-    hubs = dealt.where((F.col("size") > SMALL_BUCKET) & (F.col("id") != F.col("hub"))).select(F.col("id").alias("a"), F.col("hub").alias("b"))
-    return pairs.union(hubs).distinct()
+    near = (F.col("x.id") > F.col("y.id")) & (differ("x.s", "y.s") <= SKETCH_BITS) & (F.least("x.n", "y.n") >= F.greatest("x.n", "y.n") * SIMILARITY)
+    pairs = x.join(y, (F.col("x.bucket") == F.col("y.bucket")) & near).select(F.col("x.id").alias("a"), F.col("y.id").alias("b"))
+    large = dealt.where(F.col("size") > SMALL_BUCKET)
+    if not large.take(1):
+        return pairs.distinct()
+    hubs = large.where("id = hub").select("bucket", "hub", "size").join(sketch.select(F.col("id").alias("hub"), F.col("s1").alias("h1"), F.col("s2").alias("h2")), "hub")
+    large = join_counted(large.drop("hub", "size").join(sketch, "id"), hubs, "bucket", "size", total).withColumn("tied", differ("s", "h") <= SKETCH_BITS)
+    large = stored(large.select("bucket", "id", "n", "s1", "s2", "hub", "size", "tied"), "large")
+    tied = large.where(F.col("tied") & (F.col("id") != F.col("hub"))).select(F.col("id").alias("a"), F.col("hub").alias("b"))
+    return pairs.union(tied).union(unlike_hub(large, total)).distinct()
+
+
+def unlike_hub(large: DataFrame, total: int) -> DataFrame:
+    """Edges between the texts of large buckets that are unlike their hub, and those that they may be alike to."""
+    blocks = lambda n: F.ceil(F.col(n) / SKETCH_BLOCK).cast("int")
+    loose = large.groupBy("bucket").agg(F.count_if(~F.col("tied")).alias("loose"), F.count("*").alias("of")).where("loose > 0")
+    loose = loose.select("bucket", "of", blocks("loose").alias("ours"), blocks("of").alias("theirs"))
+    rows = join_counted(large.drop("hub", "size"), loose, "bucket", "of", total)
+    pick = lambda salt, of: F.pmod(F.xxhash64(F.lit(salt), "id"), F.col(of)).cast("int")
+    upto = lambda of: F.explode(F.sequence(F.lit(0), F.col(of) - 1))
+    kept = ["bucket", "id", "n", "s1", "s2", "i", "j", "own"]
+    ours = rows.where(~F.col("tied")).withColumns({"i": pick(5, "ours"), "own": F.lit(True)}).withColumn("j", upto("theirs")).select(kept)
+    theirs = rows.withColumns({"j": pick(6, "theirs"), "own": F.lit(False)}).withColumn("i", upto("ours")).select(kept)
+
+    def compare(group: pa.Table) -> pa.Table:
+        ids, n, s1, s2, own = (group.column(c).to_numpy() for c in ("id", "n", "s1", "s2", "own"))
+        s1, s2 = s1.view(np.uint64), s2.view(np.uint64)  # bits of signed numbers are counted without the sign
+        ids, at = np.unique(ids, return_inverse=True)
+        left, right, root = np.flatnonzero(own), np.flatnonzero(~own), np.arange(len(ids))
+        for k in range(0, len(left), 128):  # what many like texts give is joined before it piles up
+            a = left[k : k + 128]
+            bits = np.bitwise_count(s1[a][:, None] ^ s1[right][None]) + np.bitwise_count(s2[a][:, None] ^ s2[right][None])
+            x, y = np.nonzero((bits <= SKETCH_BITS) & (np.minimum(n[a][:, None], n[right][None]) >= SIMILARITY * np.maximum(n[a][:, None], n[right][None])))
+            root = roots(len(ids), root[at[a[x]]], root[at[right[y]]])[root]
+        some = root != np.arange(len(ids))
+        return pa.table({"a": ids[some], "b": ids[root[some]]}, schema=pa.schema([("a", pa.int64()), ("b", pa.int64())]))
+
+    return ours.union(theirs).groupBy("bucket", "i", "j").applyInArrow(compare, "a long, b long")
 
 
 def alike(sets: list[np.ndarray], left: np.ndarray, right: np.ndarray, similarity: float) -> tuple[np.ndarray, np.ndarray]:
@@ -174,11 +223,12 @@ def alike(sets: list[np.ndarray], left: np.ndarray, right: np.ndarray, similarit
 
 
 def exact(members: DataFrame, docs: DataFrame, similarity: float) -> DataFrame:
-    """(id, links, root) parts for members (id, fp1, fp2, copies, component, size): exact links within components."""
+    """(id, links, root) parts for members (id, doc_id, print, fp1, fp2, copies, component, size, shingles): exact links within components."""
     groups = max(1, -(-members.count() // GROUP_ROWS))
-    blocks = F.ceil(F.col("size") / BLOCK).cast("int")
+    blocks = F.greatest(F.ceil(F.col("size") / BLOCK), F.least(F.ceil(F.col("shingles") / BLOCK_SHINGLES), F.col("size"))).cast("int")
     members = members.withColumn("blocks", blocks).withColumn("block", F.pmod(F.xxhash64(F.lit(3), "id"), F.col("blocks")).cast("int"))
-    texts = docs.select(F.col("doc_id").cast("long").alias("id"), "text").join(members.hint("merge"), "id")  # members grow with the input: no broadcast
+    m, d = members.hint("merge").alias("m"), printed(docs).alias("d")  # members grow with the input: no broadcast
+    texts = d.join(m, F.col("d.doc_id").eqNullSafe(F.col("m.doc_id")) & (F.col("d.print") == F.col("m.print"))).select("d.text", "m.*")
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -222,29 +272,47 @@ def exact(members: DataFrame, docs: DataFrame, similarity: float) -> DataFrame:
     return whole.union(parts.select(whole.columns)).groupBy("one", "i", "j").applyInArrow(compare, "id long, links long, root long")
 
 
-def join(docs: DataFrame, similarity: float = SIMILARITY, recall: float = RECALL) -> DataFrame:
-    """doc_id, class_id (the smallest doc_id reachable by links) and n_links (other rows at least so similar) of every row."""
+def classed(docs: DataFrame, similarity: float, recall: float) -> tuple[DataFrame, DataFrame]:
+    """Rows as described, and classes of equal sets: fp1, fp2, id (the smallest key), copies, name (the smallest doc_id),
+    component, least (the smallest name of the component) and n_links."""
     depth = depth_for(docs.count())
     rows = stored(described(docs, runs_for(recall, depth), depth), "described")
-    classes = rows.where("n > 0").groupBy("fp1", "fp2").agg(F.min("doc_id").alias("id"), F.count("*").alias("copies"))
+    classes = rows.where("n > 0").groupBy("fp1", "fp2").agg(F.min("key").alias("id"), F.min("doc_id").alias("name"), F.count("*").alias("copies"))
     classes = stored(classes, "classes")
-    stand = rows.where("n > 0").join(classes.withColumnRenamed("id", "doc_id"), ["fp1", "fp2", "doc_id"]).withColumnRenamed("doc_id", "id").dropDuplicates(["id", "fp1", "fp2"])
-    tied = components(ties(stand))
-    sizes = tied.groupBy("component").agg(F.count("*").alias("size"))
-    members = stored(classes.join(tied, "id").join(sizes, "component").select("id", "fp1", "fp2", "copies", "component", "size"), "members")
+    stand = stored(rows.withColumnRenamed("key", "id").join(classes.select("id", "name", "copies").hint("merge"), "id"), "stand")
+    n, total = stand.agg(F.count("*"), F.coalesce(F.sum(F.size("buckets")), F.lit(0))).first()
+    tied = components(ties(stand, total))
+    members = stored(stand.drop("buckets", "s1", "s2").join(tied, "id"), "tied")
+    sizes = members.groupBy("component").agg(F.count("*").alias("size"), F.sum("n").alias("shingles"))
+    members = stored(join_counted(members, sizes, "component", "size", n), "members")
     found = stored(exact(members, docs, similarity), "links")
     links = found.groupBy("id").agg(F.sum("links").alias("links"))
-    roots_ = components(found.select(F.col("id").alias("a"), F.col("root").alias("b")))
-    classes = classes.join(links, "id", "left").join(roots_, "id", "left").select("fp1", "fp2", F.coalesce("component", "id").alias("class_id"), (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links"))
-    out = rows.select("doc_id", F.when(F.col("n") > 0, F.col("fp1")).alias("fp1"), "fp2").join(classes, ["fp1", "fp2"], "left")
-    return out.select("doc_id", F.coalesce("class_id", "doc_id").alias("class_id"), F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"))
+    linked = components(found.select(F.col("id").alias("a"), F.col("root").alias("b")))
+    classes = classes.join(links, "id", "left").join(linked, "id", "left")
+    classes = classes.withColumns({"component": F.coalesce("component", "id"), "n_links": F.coalesce("links", F.lit(0)) + F.col("copies") - 1}).drop("links")
+    return rows, named(stored(classes, "linked"), n)
+
+
+def join(docs: DataFrame, similarity: float = SIMILARITY, recall: float = RECALL) -> DataFrame:
+    """doc_id, class_id (the smallest doc_id reachable by links) and n_links (other rows at least so similar) of every row."""
+    rows, classes = classed(docs, similarity, recall)
+    out = join_counted(rows.where("n > 0"), classes, ["fp1", "fp2"], "copies", rows.count())
+    out = out.select("doc_id", F.col("least").alias("class_id"), F.col("n_links").cast("long").alias("n_links"))
+    return out.union(rows.where("n = 0").select("doc_id", "doc_id", F.lit(0).cast("long")))
 
 
 def one_of_each(docs: DataFrame) -> DataFrame:
-    """The rows of docs, with one of each class: that of the smallest doc_id, once. Rows without a doc_id all stay."""
-    found = stored(join(docs), "joined")
-    kept = found.where(F.col("class_id") == F.col("doc_id")).select("doc_id").distinct()
-    return docs.join(kept.hint("merge"), "doc_id", "left_semi").dropDuplicates(["doc_id", "text"]).unionByName(docs.where("doc_id is null"))
+    """The rows of docs, with one of each class: that of the smallest doc_id, once. Rows without a word all stay."""
+    rows, classes = classed(docs, SIMILARITY, RECALL)
+    first = classes.where(F.col("name").eqNullSafe(F.col("least"))).groupBy("component").agg(F.min("id").alias("id"))
+    first = classes.join(first.select("id").hint("merge"), "id", "left_semi").select("fp1", "fp2", "name", "copies")
+    kept = join_counted(rows.where("n > 0"), first, ["fp1", "fp2"], "copies", rows.count()).where(F.col("doc_id").eqNullSafe(F.col("name")))
+    kept = kept.groupBy("fp1", "fp2").agg(F.min("key").alias("key")).select("key")
+    kept = stored(rows.join(kept.hint("merge"), "key").select("doc_id", "print"), "kept")
+    wordless = ~F.coalesce(F.col("text").rlike(WORD), F.lit(False))
+    held = docs.where(~wordless).select(F.struct(*docs.columns).alias("row"), F.col("doc_id").cast("long").alias("_id"), F.xxhash64("text").alias("_print"))
+    of = F.col("_id").eqNullSafe(F.col("doc_id")) & (F.col("_print") == F.col("print"))
+    return held.join(kept.hint("merge"), of, "left_semi").dropDuplicates(["_id", "_print"]).select("row.*").unionByName(docs.where(wordless))
 
 
 def op5_chosen_path_join(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -32,8 +32,8 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ._base import drawn, join_counted, stored, table
-from ._components import components, roots
+from ._base import drawn, stored, table
+from ._components import components, named, roots
 
 COSINE = 0.9
 SAMPLE, MOST_CELLS, CELL_ROWS, SUBSPACES, CODES, TURNS = 16_384, 4096, 512, 8, 256, 6
@@ -216,11 +216,11 @@ def near_duplicates(vectors: DataFrame, cosine: float = COSINE) -> DataFrame:
         return ids.select("vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"), F.lit(True).alias("kept"))
     found = reduce(DataFrame.unionByName, parts)
     links = found.groupBy("id").agg(F.sum("links").alias("n_links"))
-    classes = stored(components(found.select(F.col("id").alias("a"), F.col("root").alias("b"))).join(ids, "id"), "classes")
-    names = classes.groupBy("component").agg(F.min("vec_id").alias("name"), F.count("*").alias("rows"))
-    named = join_counted(classes.select("id", "component"), names, "component", "rows", classes.count()).select("id", "name", F.lit(True).alias("linked"))
-    out = ids.join(links, "id", "left").join(named, "id", "left")
-    component = F.when(F.col("linked"), F.col("name")).otherwise(F.col("vec_id"))
+    classes = components(found.select(F.col("id").alias("a"), F.col("root").alias("b")))
+    classes = stored(classes.join(ids.withColumnRenamed("vec_id", "name"), "id"), "classes")
+    of = named(classes, classes.count()).select("id", "least", F.lit(True).alias("linked"))
+    out = ids.join(links, "id", "left").join(of, "id", "left")
+    component = F.when(F.col("linked"), F.col("least")).otherwise(F.col("vec_id"))
     return out.select("vec_id", F.coalesce("n_links", F.lit(0)).alias("n_links"), component.alias("component_id"), component.eqNullSafe(F.col("vec_id")).alias("kept"))
 
 

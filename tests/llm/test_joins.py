@@ -106,8 +106,16 @@ def brute(texts):
     return [[j for j, b in enumerate(sets) if i != j and a and len(a & b) / len(a | b) >= 0.8] for i, a in enumerate(sets)]
 
 
-def test_chosen_path_equals_brute_force(spark, monkeypatch):
-    r = np.random.default_rng(4)
+def judged(ids, texts):
+    """Links and the smallest id of the component of each row, by brute force."""
+    want, low = brute(texts), list(ids)
+    for _ in range(len(texts)):
+        for i, w in enumerate(want):
+            low[i] = min([low[i], *(low[j] for j in w)])
+    return [len(w) for w in want], low
+
+
+def near_copies(r):
     words = [f"w{i}" for i in range(500)]
     texts = [" ".join(r.choice(words, r.integers(1, 80))) for _ in range(60)]
     base_text = r.choice(words, 120).tolist()
@@ -116,19 +124,42 @@ def test_chosen_path_equals_brute_force(spark, monkeypatch):
         for i in r.integers(0, 120, 1):
             w[i] = str(r.choice(words))
         texts.append(" ".join(w))
-    texts += [texts[0], texts[0].upper(), "one two", "ONE  two", "", None]
+    return texts + [texts[0], texts[0].upper(), "one two", "ONE  two", "", None]
+
+
+def test_chosen_path_equals_brute_force(spark, monkeypatch):
+    texts = near_copies(np.random.default_rng(4))
     monkeypatch.setattr(chosen_path, "BLOCK", 20)
     monkeypatch.setattr(chosen_path, "SMALL_BUCKET", 8)
     got = chosen_path.join(spark.createDataFrame([(i, t, 1) for i, t in enumerate(texts)], "doc_id long, text string, id int")).toPandas().set_index("doc_id")
-    want = brute(texts)
-    assert [got.n_links[i] for i in range(len(texts))] == [len(w) for w in want]
-    low = list(range(len(texts)))
-    for _ in range(len(texts)):
-        for i, w in enumerate(want):
-            low[i] = min([low[i], *(low[j] for j in w)])
+    links, low = judged(range(len(texts)), texts)
+    assert [got.n_links[i] for i in range(len(texts))] == links
     assert [got.class_id[i] for i in range(len(texts))] == low
 
 
+def test_chosen_path_with_hubs_that_are_unlike_their_buckets(spark, monkeypatch):
+    texts = near_copies(np.random.default_rng(5))
+    for name, value in {"BLOCK": 20, "SMALL_BUCKET": 2, "SKETCH_BLOCK": 7, "SKETCH_BITS": 26, "BLOCK_SHINGLES": 900}.items():
+        monkeypatch.setattr(chosen_path, name, value)
+    monkeypatch.setattr(chosen_path, "differ", lambda a, b, own=chosen_path.differ: own(a, b) + (F.lit(100) if b == "h" else F.lit(0)))  # no hub is like any
+    got = chosen_path.join(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).toPandas().set_index("doc_id")
+    links, low = judged(range(len(texts)), texts)
+    assert [got.n_links[i] for i in range(len(texts))] == links and [got.class_id[i] for i in range(len(texts))] == low
+
+
+def test_chosen_path_of_equal_ids_with_different_texts(spark):
+    a, b = " ".join(f"a{i}" for i in range(60)), " ".join(f"b{i}" for i in range(60))
+    ids, texts = [1, 1, 2, 3, 4, 0, 1], [a, b, a + " x", b + " y", b + " z", a + " w", a]
+    df = spark.createDataFrame([*zip(ids, texts), (None, a + " x"), (None, "alone here"), (None, "alone here"), (None, None), (None, None)], "doc_id long, text string")
+    got = sorted((r.doc_id, r.class_id, r.n_links) for r in chosen_path.join(df.where("doc_id is not null")).collect())
+    links, low = judged(ids, texts)
+    assert got == sorted(zip(ids, low, links))
+    every = [(r.doc_id, r.class_id, r.n_links) for r in chosen_path.join(df).collect()]
+    assert len(every) == 12 and (None, 0, 4) in every and every.count((None, None, 1)) == 2 and every.count((None, None, 0)) == 2
+    left = [(r.doc_id, r.text) for r in chosen_path.one_of_each(df).collect()]
+    assert sorted(left, key=str) == sorted([(0, a + " w"), (1, b), (None, "alone here"), (None, None), (None, None)], key=str)
+
+
 def test_chosen_path_of_odd_documents(spark, odd_docs, no_docs):
     got = chosen_path.join(odd_docs).collect()
     assert len(got) == odd_docs.count()
