@@ -3,6 +3,9 @@
 Both tokenizers cut a text where a space or a line end stands between two words, whatever the words are, so a text's
 ids are those of its words end to end; so they do before a comma or full stop that ends a word after a letter. Texts where that is not certain (white space of other kinds, control characters
 that libraries class differently, spellings of special tokens) are encoded whole, by the same library.
+
+Words are found by a 64-bit hash and then compared byte by byte; a text with a word that another's hash meets is encoded
+whole too.
 """
 
 from __future__ import annotations
@@ -28,6 +31,11 @@ LETTER[[*range(ord("A"), ord("Z") + 1), *range(ord("a"), ord("z") + 1)]] = True
 UNSURE = re.compile(rb"[\x01\x1c-\x1f]|<\||\xc2[\x85\xa0]|\xe1\x9a\x80|\xe2\x80[\x80-\x8a\xa8\xa9\xaf]|\xe2\x81\x9f|\xe3\x80\x80")
 
 
+def _spread(start: np.ndarray, length: np.ndarray) -> np.ndarray:
+    """Every place of the stretches that begin at `start`."""
+    return np.arange(int(length.sum())) + np.repeat(start - np.cumsum(length) + length, length)
+
+
 class Encoder:
     """`spaces`: white space has ids of its own, and a word after a space other ids than one after a line end."""
 
@@ -50,6 +58,7 @@ class Encoder:
     def forget(self) -> None:
         self.known = self.recent = pd.Index(np.empty(0, np.uint64))
         self.flat, self.at, self.len = np.empty(0, np.uint32), np.empty(0, np.int64), np.empty(0, np.int64)
+        self.bytes, self.byte_at, self.byte_len = np.empty(0, np.uint8), np.empty(0, np.int64), np.empty(0, np.int64)
 
     def _ids_of(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Ids end to end and how many each word has."""
@@ -85,8 +94,12 @@ class Encoder:
                 new = np.arange(len(distinct))
             example = np.empty(len(distinct), np.int64)
             example[codes] = np.arange(len(codes))
+            own = example[new]
+            self.byte_at = np.concatenate([self.byte_at, len(self.bytes) + np.cumsum(length[own]) - length[own]])
+            self.byte_len = np.concatenate([self.byte_len, length[own]])
+            self.bytes = np.concatenate([self.bytes, raw[_spread(start[own], length[own])]])
             data = raw.tobytes()
-            words = [(" " if s else "") + data[a : a + n].decode() for a, n, s in zip(*(x[example[new]].tolist() for x in (start, length, spaced)), strict=True)]
+            words = [(" " if s else "") + data[a : a + n].decode() for a, n, s in zip(*(x[own].tolist() for x in (start, length, spaced)), strict=True)]
             ids, size = self._ids_of(words)
             self.at = np.concatenate([self.at, len(self.flat) + np.cumsum(size) - size])
             self.len, self.flat = np.concatenate([self.len, size]), np.concatenate([self.flat, ids])
@@ -96,6 +109,16 @@ class Encoder:
             found = self._find(distinct)
         return found[codes]
 
+    def _same(self, raw: np.ndarray, start: np.ndarray, length: np.ndarray, place: np.ndarray) -> np.ndarray:
+        """Which words have the bytes of the remembered word at their place."""
+        same = self.byte_len[place] == length
+        some = np.flatnonzero(same & (length > 0))
+        if len(some):
+            n = length[some]
+            equal = raw[_spread(start[some], n)] == self.bytes[_spread(self.byte_at[place[some]], n)]
+            same[some] = np.logical_and.reduceat(equal, np.cumsum(n) - n)
+        return same
+
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts end to end, the end id after each, and where each text's ids begin. Null counts as empty."""
         raw, off = bytes_of(texts)
@@ -132,6 +155,9 @@ class Encoder:
             spaced = line = np.zeros(len(doc), bool)
         used = ~whole[doc]
         place = self._places(raw, (hashes ^ spaced.astype(np.uint64))[used], start[used], length[used], spaced[used])
+        if not (same := self._same(raw, start[used], length[used], place)).all():
+            whole[doc[used][~same]] = True
+            place, used = place[~whole[doc[used]]], ~whole[doc]
         size, lines, of, ended = self.len[place], line[used].astype(np.int64), doc[used], ended[used]
         own = {int(i): np.array(self.tokenizer.encode(texts[int(i)].as_py(), add_special_tokens=False).ids, np.uint32) for i in np.flatnonzero(whole)}
         step = size + lines + (ended > 0)

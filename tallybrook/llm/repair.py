@@ -5,8 +5,10 @@ rules (pairs of symbols; symbol numbers go on after the alphabet), each rule's e
 documents end to end. No rule spans two documents, so a document, or a range of its tokens, is decoded alone.
 
 Rounds: count pairs of neighbouring symbols, give a nonterminal to each of the most frequent ones, replace them where
-no better pair overlaps, and go on over the shorter row of symbols until no pair is frequent or `rounds` is reached.
-Pairs are counted in a table of hashes; a table cell stands for one of its pairs, whose own count decides.
+no better pair overlaps, and go on over the shorter row of symbols until no pair stands LEAST_COUNT times without
+overlap. The first rounds count pairs in a table of hashes, in which a cell stands for one of its pairs; once such a round
+replaces little, pairs are counted by sorting, so that none is missed. After that a pair can only be frequent where one was
+before, or beside a new symbol, so later rounds look there alone.
 
 Cases: null and empty texts are documents of the end id alone; rows of equal doc_id are each kept, in the order of
 their text; rows with a null doc_id come first; an empty table gives no rows. Other columns of the input play no part.
@@ -28,68 +30,115 @@ from ._encode import encoder
 
 #: A shard is closed when it has so many tokens.
 SHARD_TOKENS = 4_000_000
-ROUNDS, RULES_A_ROUND, LEAST_COUNT = 4, 3000, 8
-HASH_BITS = 16
+RULES_A_ROUND, LEAST_COUNT = 3000, 8
+HASH_BITS = 20
+#: Share of the symbols that a round by hashes must replace for another to follow.
+WORTH = 0.03
 SHARD = "shard long, width int, n_tokens long, doc_ids binary, doc_nulls binary, doc_symbols binary, doc_tokens binary, alphabet binary, rules binary, lengths binary, symbols binary"
 DOCS = "doc_id long, shard long, local long, n_tokens long, ids_crc32 long"
 
 
-def compress(ids: np.ndarray, off: np.ndarray, rounds: int = ROUNDS, rules_a_round: int = RULES_A_ROUND, least: int = LEAST_COUNT):
+def compress(ids: np.ndarray, off: np.ndarray, rules_a_round: int = RULES_A_ROUND, least: int = LEAST_COUNT):
     """Alphabet, rules (n, 2), symbols, and where each document's symbols begin."""
     alphabet = np.flatnonzero(np.bincount(ids)).astype(np.uint32) if len(ids) else np.empty(0, np.uint32)
     number = np.zeros(int(alphabet[-1]) + 1 if len(alphabet) else 1, np.uint32)
     number[alphabet] = np.arange(len(alphabet))
-    s, at, rules = number[ids], off.copy(), []
-    top_symbol = len(alphabet)
-    for _ in range(rounds):
-        if len(s) < 2 * least:
-            break
-        cell = ((s[:-1] * np.uint32(0x9E3779B1)) ^ (s[1:] * np.uint32(0x85EBCA77)) ^ (s[1:] << np.uint32(7))) >> np.uint32(32 - HASH_BITS)
-        counts = np.bincount(cell, minlength=1 << HASH_BITS)
-        room = min(rules_a_round, 65_536 - top_symbol if len(alphabet) < 60_000 else rules_a_round)
-        if room <= 0:
-            break
-        bar = max(least, int(np.partition(counts, len(counts) - room)[len(counts) - room]))
-        chosen = counts >= bar
-        mask = chosen[cell]
-        mask[at[(at > 0) & (at < len(s))] - 1] = False  # a pair that spans two documents
-        pos = np.flatnonzero(mask)
-        if not len(pos):
-            break
-        c = cell[pos]
-        example = np.zeros(1 << HASH_BITS, np.int64)
-        example[c[::-1]] = pos[::-1]
-        same = (s[pos] == s[example[c]]) & (s[pos + 1] == s[example[c] + 1])
-        pos, c = pos[same], c[same]
-        count = np.bincount(c, minlength=1 << HASH_BITS)
-        rank = count[c]
-        frequent = rank >= least
-        pos, c, rank = pos[frequent], c[frequent], rank[frequent]
-        if not len(pos):
-            break
+    s, at, rules, n_rules, by_hash, places = number[ids], off.copy(), [], 0, True, None
+    while len(s) >= 2 * least:
+        held, kind = _by_hash(s, at, rules_a_round, least) if by_hash else _by_sorting(s, at, places, least)
+        pos, kind = _apart(held, kind)
+        count = np.bincount(kind)
+        often = count >= least
+        if not often.any():
+            if not by_hash:
+                break
+            by_hash = False
+            continue
+        place = np.empty(len(count), np.int64)  # a pair's rank: by its count, no two alike
+        place[np.argsort(count, kind="stable")] = np.arange(len(count))
+        good = often[kind]
+        pos, kind = pos[good], kind[good]
+        rank = place[kind]
         touching = pos[1:] == pos[:-1] + 1
         lose = np.zeros(len(pos), bool)
-        lose[1:] |= touching & (rank[:-1] >= rank[1:])
+        lose[1:] |= touching & (rank[:-1] > rank[1:])
         lose[:-1] |= touching & (rank[1:] > rank[:-1])
-        pos, c = pos[~lose], c[~lose]
-        used = np.bincount(c, minlength=1 << HASH_BITS)
-        kinds = np.flatnonzero(used >= least)[:room]
-        if not len(kinds):
-            break
-        symbol = np.zeros(1 << HASH_BITS, np.uint32)
-        symbol[kinds] = top_symbol + np.arange(len(kinds), dtype=np.uint32)
-        good = symbol[c] > 0
-        pos, c = pos[good], c[good]
-        rules.append(np.stack([s[example[kinds]], s[example[kinds] + 1]], 1))
-        top_symbol += len(kinds)
-        s[pos] = symbol[c]
+        pos, kind = pos[~lose], kind[~lose]
+        used = np.bincount(kind, minlength=len(count)) >= least  # the highest rank loses nowhere, so one is left
+        good = used[kind]
+        pos, kind = pos[good], kind[good]
+        first = np.empty(len(count), np.int64)
+        first[kind[::-1]] = pos[::-1]
+        example = first[used]
+        rules.append(np.stack([s[example], s[example + 1]], 1))
+        symbol = (np.cumsum(used) - 1 + len(alphabet) + n_rules).astype(np.uint32)
+        n_rules += int(used.sum())
+        s[pos] = symbol[kind]
         keep = np.ones(len(s), bool)
         keep[pos + 1] = False
         s = s[keep]
         at = at - np.searchsorted(pos, at)
+        if by_hash:
+            by_hash = len(pos) >= WORTH * len(s)
+        else:
+            new = pos - np.arange(len(pos))
+            held = held[np.searchsorted(pos + 1, held, "right") == np.searchsorted(pos + 1, held)]  # not taken into a symbol
+            places = np.unique(np.concatenate([new, new - 1, held - np.searchsorted(pos + 1, held)]))
     return alphabet, np.concatenate(rules) if rules else np.empty((0, 2), np.uint32), s, at
 
 
+def _within(s: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """Which places begin a pair of one document."""
+    out = np.ones(len(s) - 1, bool)
+    out[at[(at > 0) & (at < len(s))] - 1] = False
+    return out
+
+
+def _cells(s: np.ndarray) -> np.ndarray:
+    cell = s[:-1] * np.uint32(0x9E3779B1) + s[1:] * np.uint32(0x85EBCA77)
+    return (cell ^ (cell >> np.uint32(15))) * np.uint32(0x2C1B3C6D) >> np.uint32(32 - HASH_BITS)
+
+
+def _by_hash(s: np.ndarray, at: np.ndarray, most: int, least: int) -> tuple[np.ndarray, np.ndarray]:
+    """Places and kinds of frequent pairs: one pair of each of the fullest cells."""
+    cell = _cells(s)
+    counts = np.bincount(cell, minlength=1 << HASH_BITS)
+    bar = max(least, int(np.partition(counts, -min(most, len(counts)))[-min(most, len(counts))]))
+    pos = np.flatnonzero((counts >= bar)[cell] & _within(s, at))
+    c = cell[pos]
+    example = np.zeros(1 << HASH_BITS, np.int64)
+    example[c[::-1]] = pos[::-1]
+    same = (s[pos] == s[example[c]]) & (s[pos + 1] == s[example[c] + 1])
+    pos, c = pos[same], c[same]
+    kind = np.zeros(1 << HASH_BITS, np.int64)
+    kind[c] = 1
+    return pos, (np.cumsum(kind) - 1)[c]
+
+
+def _by_sorting(s: np.ndarray, at: np.ndarray, places: np.ndarray | None, least: int) -> tuple[np.ndarray, np.ndarray]:
+    """Places and kinds of every frequent pair, of those that begin at `places` (None: anywhere)."""
+    if places is None:
+        cell = _cells(s)
+        pos = np.flatnonzero((np.bincount(cell, minlength=1 << HASH_BITS) >= least)[cell] & _within(s, at))  # no frequent pair is in a cell of fewer
+    else:
+        pos = places[(places >= 0) & (places < len(s) - 1)]
+        pos = pos[~np.isin(pos, at - 1)]
+    _, kind, count = np.unique(s[pos].astype(np.uint64) << np.uint64(32) | s[pos + 1], return_inverse=True, return_counts=True)
+    often = (count >= least)[kind]
+    return pos[often], np.unique(kind[often], return_inverse=True)[1]
+
+
+def _apart(pos: np.ndarray, kind: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Without every second one of a row of equal pairs that overlap, as in a run of one symbol."""
+    again = np.zeros(len(pos), bool)
+    again[1:] = (pos[1:] == pos[:-1] + 1) & (kind[1:] == kind[:-1])
+    if not again.any():
+        return pos, kind
+    head = np.maximum.accumulate(np.where(again, 0, np.arange(len(pos))))
+    even = (np.arange(len(pos)) - head) % 2 == 0
+    return pos[even], kind[even]
+
+
 def lengths_of(n_base: int, rules: np.ndarray) -> np.ndarray:
     """How many ids each symbol stands for."""
     out = np.ones(n_base + len(rules), np.int64)
@@ -152,7 +201,7 @@ class Shard:
         return ids[skip : skip + hi - lo] if hi > lo else []
 
 
-def write_shards(docs: DataFrame, path: str, tokenizer_file: str, end_id: int, rounds: int = ROUNDS, shard_tokens: int = SHARD_TOKENS) -> None:
+def write_shards(docs: DataFrame, path: str, tokenizer_file: str, end_id: int, shard_tokens: int = SHARD_TOKENS) -> None:
     """Encodes every text and writes Re-Pair shards, in ascending doc_id order, as Parquet rows."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -163,7 +212,7 @@ def write_shards(docs: DataFrame, path: str, tokenizer_file: str, end_id: int, r
         def close() -> pa.RecordBatch:
             ids = np.concatenate([x[1] for x in held])
             off = np.concatenate([[0], np.cumsum(np.concatenate([np.diff(x[2]) for x in held]))]).astype(np.int64)
-            alphabet, rules, s, at = compress(ids, off, rounds)
+            alphabet, rules, s, at = compress(ids, off)
             n = len(alphabet)
             width = 2 if n + len(rules) <= 65_536 else 4
             col = pa.concat_arrays([x[0] for x in held])

@@ -1,5 +1,6 @@
 """Tokenised output and packing against the tokenizers library and exact round trips."""
 
+import re
 import zlib
 
 import numpy as np
@@ -11,7 +12,7 @@ from hypothesis import strategies as st
 from tokenizers import Tokenizer
 
 from tallybrook.llm import _encode, packing, repair
-from tallybrook.llm._base import new_path
+from tallybrook.llm._base import new_path, words_of
 
 BYTE, WORD = public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("word_bpe_49k.json")
 ODD = ["a, b. c, d", "x.", ",", "., a", "1, 2.", "é, a.b, c!.", "A.\nB,\nC", None, "", "  a  b\n\n c ", " \t\n b", "é  x　y  z", "a", "\n", "<|endoftext|> x <|startoftext|>", "a\x01b \x01", "!\x1cb!\x85 \x1c", "É Σας ΣΑΣ don't I'LL 1234 a1b2 中文 ٣٤", "a　\n　b", "a" * 5000, "x.\x85y", "end. "]
@@ -40,14 +41,17 @@ TOKENIZERS: dict = {}
 
 
 @settings(max_examples=60, deadline=None)
-@given(st.lists(st.lists(st.integers(0, 5), max_size=60), max_size=6), st.integers(0, 4))
-def test_repair_round_trip(docs, rounds):
+@given(st.lists(st.lists(st.integers(0, 5), max_size=60), max_size=6), st.integers(1, 4))
+def test_repair_round_trip(docs, rules_a_round):
     ids = np.array([i for d in docs for i in d], np.uint32)
     off = np.concatenate([[0], np.cumsum([len(d) for d in docs])]).astype(np.int64)
-    alphabet, rules, s, at = repair.compress(ids, off, rounds, 50, 2)
+    alphabet, rules, s, at = repair.compress(ids, off, rules_a_round, 2)
     lengths = repair.lengths_of(len(alphabet), rules)
     flat, starts = repair.expansions(alphabet, rules, lengths)
     assert repair.expand(s, flat, starts, lengths).tolist() == ids.tolist()
+    for pair in {p for a, b in zip(at[:-1].tolist(), at[1:].tolist()) for p in zip(s[a : b - 1].tolist(), s[a + 1 : b].tolist())}:  # no pair is left that stands twice without overlap
+        text = [" ".join(map(str, s[a:b].tolist())) for a, b in zip(at[:-1].tolist(), at[1:].tolist())]
+        assert sum(len(re.findall(rf"(?<!\S){pair[0]} {pair[1]}(?!\S)", t)) for t in text) < 2
     row = {"width": 4, "doc_ids": np.arange(len(docs)).astype(np.int64).tobytes(), "doc_nulls": np.zeros(len(docs), bool).tobytes(), "doc_symbols": at.astype(np.int64).tobytes(), "doc_tokens": off.tobytes(), "alphabet": alphabet.astype(np.uint32).tobytes(), "rules": rules.astype(np.uint32).tobytes(), "lengths": lengths[len(alphabet) :].astype(np.uint32).tobytes(), "symbols": s.astype(np.uint32).tobytes()}
     shard = repair.Shard(row)
     for i, d in enumerate(docs):
@@ -56,8 +60,21 @@ def test_repair_round_trip(docs, rounds):
 
 def test_repair_makes_rules():
     ids = np.array([1, 2, 3, 4] * 500, np.uint32)
-    _, rules, s, _ = repair.compress(ids, np.array([0, 2000]), 4)
-    assert len(rules) and len(s) < 700
+    _, rules, s, _ = repair.compress(ids, np.array([0, 2000]))
+    assert len(rules) and len(s) <= 20
+    _, rules, s, _ = repair.compress(np.zeros(4096, np.uint32), np.array([0, 4096]))
+    assert len(s) <= 20
+
+
+def test_words_of_one_hash_are_told_apart(monkeypatch):
+    texts = ["some other words", "words of some other kind", "kind", "some, words."]
+    for file, end in ((BYTE, 0), (WORD, 2)):
+        want, t = _encode.Encoder(file, end), Tokenizer.from_file(file)
+        monkeypatch.setattr(_encode, "words_of", lambda *a, own=words_of: (own(*a)[0] & np.uint64(4), *own(*a)[1:]))
+        ids, off = want.encode(pa.array(texts))
+        for i, x in enumerate(texts):
+            assert ids[off[i] : off[i + 1]].tolist() == [*t.encode(x, add_special_tokens=False).ids, end]
+        monkeypatch.undo()
 
 
 def test_shards_of_odd_documents(spark, odd_docs, no_docs):
