@@ -42,7 +42,7 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def join_counted(left: DataFrame, right: DataFrame, key: str | list[str], count: str, total: int, most: int = 1000) -> DataFrame:
+def join_counted(left: DataFrame, right: DataFrame, key: str | list[str], count: str, total: int, most: int = 10_000) -> DataFrame:
     """Inner join on the key, of which `right` has each value once, with `count`, the rows of `left` (`total` in all) that have it.
 
     Values that hold more than 1 / `most` of the rows, so fewer than `most` of them, are broadcast, and their rows stay

@@ -241,9 +241,9 @@ def exact(members: DataFrame, docs: DataFrame, similarity: float) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([*columns, held], ["id", "copies", "component", "blocks", "block", "set"]).filter(pa.array(own))
 
     texts = texts.mapInArrow(sets, "id long, copies long, component long, blocks int, block int, set binary").dropDuplicates(["id"])
-    whole = texts.where("blocks = 1").withColumns({"one": F.pmod(F.xxhash64("component"), F.lit(groups)).cast("long"), "i": F.lit(-1), "j": F.lit(-1)})
-    other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
-    parts = texts.where("blocks > 1").withColumn("other", other).withColumns({"one": F.col("component"), "i": F.least("block", "other"), "j": F.greatest("block", "other")}).drop("other")
+    one, block = F.col("blocks") == 1, F.col("block")
+    texts = texts.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    dealt = texts.withColumns({"one": F.when(one, F.pmod(F.xxhash64("component"), F.lit(groups)).cast("long")).otherwise(F.col("component")), "i": F.when(one, -1).otherwise(F.least(block, "other")), "j": F.when(one, -1).otherwise(F.greatest(block, "other"))}).drop("other")
 
     def compare(group: pa.Table) -> pa.Table:
         group = group.sort_by("id")
@@ -269,7 +269,7 @@ def exact(members: DataFrame, docs: DataFrame, similarity: float) -> DataFrame:
         some = links > 0
         return pa.table({"id": ids[some], "links": links[some].astype(np.int64), "root": ids[root[some]]}, schema=pa.schema([("id", pa.int64()), ("links", pa.int64()), ("root", pa.int64())]))
 
-    return whole.union(parts.select(whole.columns)).groupBy("one", "i", "j").applyInArrow(compare, "id long, links long, root long")
+    return dealt.groupBy("one", "i", "j").applyInArrow(compare, "id long, links long, root long")
 
 
 def classed(docs: DataFrame, similarity: float, recall: float) -> tuple[DataFrame, DataFrame]:
