@@ -33,7 +33,9 @@ UNSURE = re.compile(rb"[\x01\x1c-\x1f]|<\||\xc2[\x85\xa0]|\xe1\x9a\x80|\xe2\x80[
 
 def _spread(start: np.ndarray, length: np.ndarray) -> np.ndarray:
     """Every place of the stretches that begin at `start`."""
-    return np.arange(int(length.sum())) + np.repeat(start - np.cumsum(length) + length, length)
+    total = int(length.sum())
+    kind = np.int32 if total + int(start.max(initial=0)) < 1 << 31 else np.int64
+    return np.arange(total, dtype=kind) + np.repeat((start - np.cumsum(length) + length).astype(kind), length)
 
 
 class Encoder:
@@ -175,9 +177,7 @@ class Encoder:
             out[to[lines > 0]] = self.line[0]
         to = to + lines
         out[(to + size)[ended > 0]] = ended[ended > 0]
-        first = np.cumsum(size) - size
-        within = np.arange(size.sum()) - np.repeat(first, size)
-        out[np.repeat(to, size) + within] = self.flat[np.repeat(self.at[place], size) + within]
+        out[_spread(to, size)] = self.flat[_spread(self.at[place], size)]
         for i, ids in own.items():
             out[at[i] : at[i] + len(ids)] = ids
         return out, at
