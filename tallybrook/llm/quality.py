@@ -8,7 +8,8 @@ the same way. A score is the logistic of the sum of the tables' entries.
 The model is fitted on about MOST_ROWS labelled rows, those of the lowest hash; scoring covers every row. Labels, lang,
 source and doc_id are never inputs of a score.
 
-Cases: null and empty texts have all numbers 0 and are scored like any; equal doc_ids are scored each; with no labelled
+Cases: null and empty texts have all numbers 0 and are scored like any; equal doc_ids are scored each, and the smallest of
+their texts is learnt from; with no labelled
 rows every score is 0.5; an empty table gives no rows; other columns play no part in scores and are kept by `kept`.
 """
 
@@ -197,24 +198,27 @@ def featured(docs: DataFrame) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, ", ".join(f"{n} {'long' if n == 'doc_id' else 'double'}" for n in names))
 
 
-def train(features: DataFrame, labels: DataFrame, most: int = MOST_ROWS) -> Additive:
-    """Fits on labelled documents outside the held-out fold, about `most`, those of the lowest hash."""
+def train(docs: DataFrame, labels: DataFrame, most: int = MOST_ROWS) -> Additive:
+    """Fits on labelled documents outside the held-out fold, about `most`, those of the lowest hash; only their texts are described."""
     labels = labels.where(F.col("quality").isNotNull() & (fold(F.col("doc_id"), 5) != 0)).select(F.col("doc_id").cast("long").alias("doc_id"), F.col("quality").cast("int").alias("quality"))
-    labels = drawn(labels, "doc_id", labels.count(), most, 13)
+    labels = labels.distinct()
+    labels = stored(drawn(labels, "doc_id", labels.count(), most, 13), "labels")
     columns = [f"f{j}" for j in range(len(FEATURES))]
-    rows = features.join(labels, "doc_id").toPandas().sort_values(["doc_id", "quality", *columns])
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(F.broadcast(labels.select("doc_id").distinct()), "doc_id", "left_semi")  # about MOST_ROWS ids
+    rows = featured(texts.groupBy("doc_id").agg(F.min("text").alias("text"))).join(F.broadcast(labels), "doc_id").toPandas().sort_values(["doc_id", "quality", *columns])
     if not len(rows):
         return Additive()
     return fit(rows[columns].to_numpy(), (rows.quality == 1).to_numpy(float))
 
 
-def scored(features: DataFrame, model: Additive) -> DataFrame:
+def scored(docs: DataFrame, model: Additive) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            score = model.scores(np.stack([batch.column(f"f{j}").to_numpy() for j in range(len(FEATURES))], 1))
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(score), pa.array((score >= THRESHOLD).astype(np.int32))], ["doc_id", "score", "predicted"])
+            for piece in pieces(batch, "text"):
+                score = model.scores(features_of(piece.column("text")))
+                yield pa.RecordBatch.from_arrays([piece.column("doc_id"), pa.array(score), pa.array((score >= THRESHOLD).astype(np.int32))], ["doc_id", "score", "predicted"])
 
-    out = features.mapInArrow(run, "doc_id long, score double, predicted int")
+    out = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, "doc_id long, score double, predicted int")
     return out.select("doc_id", F.coalesce(fold(F.col("doc_id"), 5) == 0, F.lit(False)).alias("held_out"), "score", "predicted")
 
 
@@ -230,8 +234,8 @@ def kept(docs: DataFrame, model: Additive) -> DataFrame:
 
 
 def op4_additive_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
-    features = stored(featured(table(spark, sf_dir, "documents")), "quality-features")
-    return scored(features, train(features, table(spark, sf_dir, "labels")))
+    docs = table(spark, sf_dir, "documents")
+    return scored(docs, train(docs, table(spark, sf_dir, "labels")))
 
 
 QUERIES = {"op4_additive_quality": op4_additive_quality}
