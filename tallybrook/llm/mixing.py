@@ -6,9 +6,10 @@ ceil((k + 1) W / n). Of the blocks that may run, each slot takes the one of the
 source within less than one block of its share at every slot. The schedule repeats with the period, so one period's
 slots (W rows; the sources are few and counted) are laid out once and joined to all blocks by (source, k mod n).
 
-Every document is kept. A source that has run out leaves its slots empty; `on_target` marks the slots up to the first
-such point, where the shares hold exactly. Prefix sums go by hashed buckets of a source, so a source with a third of all
-rows is no single task.
+Every document is kept. A source that has run out leaves its slots empty; `on_target` marks the slots before the release
+of the first block that is missing, where the shares hold exactly. Prefix sums go by hashed buckets of a source, so a
+source with a third of all rows is no single task. The MOST_SOURCES sources with most characters have slots of their own;
+where there are more, all others share those of one pool, in which each has its part by chance of the hashed order.
 
 Cases: a null source is a source of the name ''; null and empty texts count one character; rows of equal doc_id are each
 kept; an empty table gives no rows; other columns are carried by `mixed` and play no part.
@@ -29,8 +30,9 @@ BLOCK_CHARS = 32_768
 POWER = 0.7
 #: Slots of a period; at least four for each source.
 SLOTS = 1000
-#: More sources than this are an error: their list is held by the driver.
-MOST_SOURCES = 100_000
+#: Sources that have slots of their own: their list is held by the driver, and broadcast with four slots for each.
+MOST_SOURCES = 10_000
+POOL = "\0others"
 BUCKET_ROWS, LEAST_BUCKETS = 10_000, 512
 
 
@@ -66,17 +68,22 @@ def mixed(docs: DataFrame, size: Column | None = None, weights: dict[str, float]
     spark = docs.sparkSession
     size = F.greatest(F.coalesce(F.length("text"), F.lit(0)), F.lit(1)) if size is None else size
     docs = docs.withColumns({"mix_source": F.coalesce("source", F.lit("")), "mix_size": size.cast("long")})
-    stats = docs.groupBy("mix_source").agg(F.sum("mix_size").alias("chars"), F.count("*").alias("n")).limit(MOST_SOURCES + 1).collect()
+    sources = docs.groupBy("mix_source").agg(F.sum("mix_size").alias("chars"), F.count("*").alias("n"))
+    stats = sources.orderBy(F.desc("chars"), "mix_source").limit(MOST_SOURCES + 1).collect()
     if len(stats) > MOST_SOURCES:
-        raise ValueError(f"more than {MOST_SOURCES} sources")
+        stats = stats[:MOST_SOURCES]
+        own = F.broadcast(spark.createDataFrame([(r.mix_source, True) for r in stats], "mix_source string, _own boolean"))
+        pooled = sources.join(own, "mix_source", "left_anti").agg(F.lit(POOL).alias("mix_source"), F.sum("chars").alias("chars"), F.sum("n").alias("n"))
+        stats += pooled.collect()
+        docs = docs.join(own, "mix_source", "left").withColumn("mix_source", F.when(F.col("_own"), F.col("mix_source")).otherwise(POOL)).drop("_own")
     have = {r.mix_source: r.chars for r in stats}
     given = slots_of({s: (weights or {}).get(s, 0.0) if weights else float(c) ** POWER for s, c in have.items()}) if have else {}
     period = sum(given.values())
-    horizon = min((c // block_chars * period // given[s] for s, c in have.items()), default=0)
+    horizon = min((-(-c // block_chars) * period // given[s] for s, c in have.items()), default=0)
     rows = json.dumps([{"mix_source": s, "_k": k, "_slot": slot, "_n": given[s]} for s, k, slot in schedule(given)])
     plan = spark.range(1).select(F.inline(F.from_json(F.lit(rows), "array<struct<mix_source:string,_k:long,_slot:long,_n:long>>")))
     buckets = max(LEAST_BUCKETS, sum(r.n for r in stats) // BUCKET_ROWS)
-    docs = docs.withColumn("_bucket", F.pmod(F.xxhash64("doc_id"), F.lit(buckets)))
+    docs = docs.withColumn("_bucket", F.pmod(F.xxhash64("doc_id", "mix_size"), F.lit(buckets)))
     sums = docs.groupBy("mix_source", "_bucket").agg(F.sum("mix_size").alias("_size"))
     sums = prefix_sums(sums, ["mix_source"], "_bucket", "_size", "_before").drop("_size")
     own = Window.partitionBy("mix_source", "_bucket").orderBy(F.xxhash64(F.lit(7), "doc_id"), "doc_id", "mix_size").rowsBetween(Window.unboundedPreceding, -1)
@@ -97,7 +104,7 @@ def reordered(docs: DataFrame) -> DataFrame:
 
 def op7_pfair_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = mixed(table(spark, sf_dir, "documents").select("doc_id", "source", "text"))
-    return out.select("doc_id", F.col("mix_source").alias("source"), F.col("mix_block").alias("block"), F.col("mix_slot").alias("slot"), F.col("mix_start").alias("start"), F.col("mix_on_target").alias("on_target"))
+    return out.select("doc_id", F.coalesce("source", F.lit("")).alias("source"), F.col("mix_block").alias("block"), F.col("mix_slot").alias("slot"), F.col("mix_start").alias("start"), F.col("mix_on_target").alias("on_target"))
 
 
 QUERIES = {"op7_pfair_mixing": op7_pfair_mixing}
