@@ -201,6 +201,15 @@ def test_pfair_schedule_keeps_within_a_block():
         assert seen == given
 
 
+def test_sources_beyond_the_list_share_a_pool(spark, monkeypatch):
+    monkeypatch.setattr(mixing, "MOST_SOURCES", 2)
+    rows = [(i, f"s{i % 5}", "x" * (400 if i % 5 < 2 else 100)) for i in range(500)]
+    got = mixing.mixed(spark.createDataFrame(rows, "doc_id long, source string, text string"), block_chars=500).toPandas()
+    assert sorted(got.doc_id) == list(range(500)) and set(got.mix_source) == {"s0", "s1", mixing.POOL} and set(got.source) == {f"s{i}" for i in range(5)}
+    own = got[got.mix_source == mixing.POOL].sort_values("mix_start")
+    assert (own.mix_start == np.arange(300) * 100).all() and own.head(100).source.nunique() == 3
+
+
 def test_mixing(spark, odd_docs, no_docs):
     r = np.random.default_rng(6)
     rows = [(i, str(r.choice(["a", "b", "c"], p=[0.7, 0.2, 0.1])), "x" * int(r.integers(1, 90))) for i in range(1500)]
@@ -212,6 +221,10 @@ def test_mixing(spark, odd_docs, no_docs):
         assert (own.mix_start == size.cumsum() - size).all() and (own.mix_block == own.mix_start // 500).all() and own.mix_slot.is_monotonic_increasing
     slots = got[got.mix_on_target].groupby("mix_slot").mix_source.nunique()
     assert (slots == 1).all() and len(slots) > 10
+    tiny = mixing.mixed(spark.createDataFrame([*rows, (5000, "tiny", "x")], "doc_id long, source string, text string"), block_chars=500).toPandas()
+    assert tiny[tiny.mix_on_target].mix_slot.nunique() > 10  # a source of one block takes nothing from the others
+    long = mixing.mixed(spark.createDataFrame([(i, "ab"[i % 2], "x" * 1700) for i in range(40)] + [(None, "a", "y")] * 5, "doc_id long, source string, text string"), block_chars=500).toPandas()
+    assert len(long) == 45 and (long.mix_block == long.mix_start // 500).all()  # documents longer than a block begin in their own
     out = mixing.reordered(odd_docs)
     assert out.columns == odd_docs.columns and out.count() == odd_docs.count() and out.where("mix_slot = 5").count() == odd_docs.count()
     assert mixing.reordered(no_docs).count() == 0

@@ -1,17 +1,19 @@
 """Learned operators: held-out accuracy and defined results on odd rows."""
 
+import zlib
+
 import numpy as np
 import pandas as pd
 import pyarrow as pa
 
 from tallybrook.llm import langid, pii, quality
-from tallybrook.llm._base import stored
 
 
 def test_quality_held_out(spark, sf):
     sf = sf.replace("0.001", "0.01")
     got = quality.op4_additive_quality(spark, sf).toPandas()
     labels = pd.read_parquet(f"{sf}/labels.parquet")
+    assert all(got.held_out == [zlib.crc32(str(i).encode()) % 5 == 0 for i in got.doc_id])
     held = got.merge(labels, on="doc_id").query("held_out")
     assert len(got) == len(pd.read_parquet(f"{sf}/documents.parquet")) and got.score.between(0, 1).all()
     assert (held.predicted == held.quality).mean() > 0.93 and (got.predicted == (got.score >= 0.3)).all()
@@ -19,13 +21,25 @@ def test_quality_held_out(spark, sf):
 
 def test_quality_of_odd_documents(spark, odd_docs, no_docs):
     labels = spark.createDataFrame([(3, 1), (5, 0), (None, 1), (7, None)], "doc_id long, quality int")
-    f = stored(quality.featured(odd_docs), "f")
-    model = quality.train(f, labels)
-    got = quality.scored(f, model)
+    model = quality.train(odd_docs, labels)
+    got = quality.scored(odd_docs, model)
     assert got.count() == odd_docs.count() and got.where("score is null or held_out is null or predicted is null").count() == 0
     assert quality.kept(odd_docs, model).columns == odd_docs.columns
-    assert quality.scored(quality.featured(no_docs), quality.Additive()).count() == 0
-    assert quality.train(quality.featured(no_docs), labels).base == 0
+    assert quality.scored(no_docs, quality.Additive()).count() == 0
+    assert quality.train(no_docs, labels).base == 0
+
+
+def test_quality_scores_are_sums_of_table_entries():
+    r = np.random.default_rng(3)
+    x = np.round(r.normal(size=(500, 4)), 1)
+    model = quality.fit(x, (x[:, 0] * x[:, 1] + x[:, 2] > 0).astype(float))
+    for row, score in zip(x, model.scores(x), strict=True):
+        z = model.base
+        for value, edges, table in zip(row, model.edges, model.tables, strict=True):
+            z += table[sum(e <= value for e in edges)]
+        for a, b, table in model.pairs:
+            z += table[sum(e <= row[a] for e in model.coarse[a]), sum(e <= row[b] for e in model.coarse[b])]
+        assert abs(score - 1 / (1 + np.exp(-z))) < 1e-9
 
 
 def test_pairs_of_features_are_learnt():
@@ -39,6 +53,7 @@ def test_pairs_of_features_are_learnt():
 def test_langid_held_out(spark, sf):
     sf = sf.replace("0.001", "0.01")
     got = langid.op10_ngram_langid(spark, sf).toPandas().merge(pd.read_parquet(f"{sf}/documents.parquet"), on="doc_id")
+    assert all(got.held_out == [zlib.crc32(str(i).encode()) % 4 == 2 for i in got.doc_id])
     held = got[got.held_out]
     assert (held.lang_pred == held.lang).mean() > 0.97 and got.score.between(0, 1).all()
 
@@ -53,6 +68,25 @@ def test_langid_of_odd_documents(spark, odd_docs, no_docs):
     assert langid.predicted(no_docs, empty).count() == 0
 
 
+def test_langid_learns_the_most_frequent_languages(spark, monkeypatch):
+    monkeypatch.setattr(langid, "MOST_LANGS", 2)
+    rows = [(i, t, lang) for i, (t, lang) in enumerate([("the cat and the dog", "en")] * 8 + [("der hund und die katze", "de")] * 8 + [("le chat et le chien", "fr")] * 3)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    model = langid.train(docs)
+    assert model.langs == ["de", "en"] and langid.predicted(docs, model).where("lang_pred in ('de', 'en')").count() == len(rows)
+
+
+def test_shares_of_ngrams_equal_counts():
+    texts = pa.array(["abab", "", None, "x", "é中🎉 aa"])
+    grams, at = langid.grams_of(texts)
+    for (idx, share), a, b in zip(langid.sparse(texts), at[:-1], at[1:], strict=True):
+        counts = {}
+        for g in grams:
+            for i in g[a : b - langid.GAP].tolist():
+                counts[i] = counts.get(i, 0) + 1
+        assert dict(zip(idx.tolist(), share.tolist())) == {i: n / (3 * (b - langid.GAP - a)) for i, n in counts.items()}
+
+
 def test_ngrams_stay_within_texts():
     one, _ = langid.grams_of(pa.array(["ab"]))
     many, at = langid.grams_of(pa.array(["zz", None, "ab", "yy"]))

@@ -42,5 +42,16 @@ def test_sequences_follow_the_mix(spark, sf):
     assert tail.length[tail.source == "a"].sum() > 0.85 * tail.length.sum()
 
 
+def test_stages_of_odd_documents_and_of_none(spark, odd_docs, no_docs, tmp_path):
+    spark.createDataFrame([(3, 1, 0), (5, 1, 0), (None, 0, 0)], "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    for docs in (odd_docs, no_docs):
+        columns, n = docs.columns, docs.count()
+        for name, stage in corpus_pipeline.STAGES:
+            docs = stored(stage(spark, docs, str(tmp_path)), "stage")
+            assert name == "packing" or docs.columns == columns, name
+            assert name == "packing" or docs.count() <= n
+        assert (docs.count() > 0) == (n > 0)
+
+
 def test_names():
     assert sorted(n.split("_")[0] for n in queries.QUERIES) == sorted(f"op{i}" for i in range(1, 11))

@@ -113,3 +113,19 @@ def test_assign_prefers_cheap_sequences():
     pieces = packing.assign(np.array([60, 60, 30, 30, 4, 4, 4]), 64)
     cut = len({(d, k) for d, _, _, k, _ in pieces}) - 7
     assert sum(p[2] for p in pieces) == 192 and cut <= 2
+
+
+def test_costs_are_more_even_than_those_of_first_fit():
+    sizes = np.random.default_rng(7).integers(1, 900, 400)
+    cost = lambda n: packing.LINEAR * n + packing.QUADRATIC * n * n
+    ours, used = {}, []
+    for _, _, n, seq, _ in packing.assign(sizes, 1024):
+        ours[seq] = ours.get(seq, 0) + cost(n)
+    for n in sizes.tolist():  # as they come, into the first with room
+        k = next((i for i, (room, _) in enumerate(used) if room >= n), None)
+        if k is None:
+            used.append((1024 - n, cost(n)))
+        else:
+            used[k] = used[k][0] - n, used[k][1] + cost(n)
+    full = sorted(ours.values())[len(ours) // 10 :]  # without the short sequences at a group's end
+    assert max(full) - min(full) < max(c for _, c in used) - min(c for _, c in used)
