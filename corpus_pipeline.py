@@ -14,8 +14,7 @@ from tallybrook.llm._base import stored, table
 
 
 def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    features = stored(quality.featured(docs), "quality-features")
-    return quality.kept(docs, quality.train(features, table(spark, sf_dir, "labels")))
+    return quality.kept(docs, quality.train(docs, table(spark, sf_dir, "labels")))
 
 
 def keep_one(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
