@@ -15,10 +15,9 @@ def amount(value: Column) -> Column:
 
 
 def last_amount(value: Column) -> Column:
-    """Page text: the last token that reads as a number."""
-    tokens = F.transform(F.split(F.trim(value), r"\s+"), lambda t: F.regexp_replace(t, "[,，円¥]", ""))
-    good = F.filter(tokens, lambda t: t.rlike("^-?[0-9]+$"))
-    return F.try_element_at(good, F.lit(-1)).try_cast("long")
+    """Page text: the last token whose digits, points and minus read as a number; half-even to a whole one."""
+    tokens = F.transform(F.split(F.trim(value), r"\s+"), lambda t: F.regexp_replace(t, "[^0-9.-]", "").try_cast("double"))
+    return F.bround(F.try_element_at(F.filter(tokens, lambda x: x.isNotNull()), F.lit(-1))).cast("long")
 
 
 def unit_price_total(cells: Column) -> Column:

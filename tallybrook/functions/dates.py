@@ -44,13 +44,16 @@ def _parts(text: Column, pattern: str) -> tuple[Column, Column, Column]:
 
 
 def date_text(value: Column) -> Column:
-    """YYYYMMDD of a cell: spreadsheet serial, era date (years 1 to 20 of the present era come first), Gregorian, eight digits."""
-    text = F.trim(value)
+    """YYYYMMDD of a cell: spreadsheet serial, era date (years 1 to 20 of the present era come first), Gregorian, eight digits.
+
+    Dates stand at the cell's begin; a Gregorian one has no point, and its month and day are taken as they are.
+    """
+    text = F.translate(F.trim(value), "０１２３４５６７８９", "0123456789")
     serial = F.when(text.rlike(r"^[3-6][0-9]{4}(\.0+)?$"), F.date_format(F.date_add(F.lit(SERIAL_ZERO).cast("date"), F.regexp_extract(text, "^([0-9]+)", 1).try_cast("int")), "yyyyMMdd"))
-    y, m, d = _parts(text, r"^(?:令和|R)?\s*([0-9]{1,2})\s*[.年/-]\s*([0-9]{1,2})\s*[.月/-]\s*([0-9]{1,2})")
+    y, m, d = _parts(text, r"^[Rr令和]*\s*([0-9]{1,2})[.年/]([0-9]{1,2})[.月/]([0-9]{1,2})")
     era = F.when(y.between(1, 20), _ymd(y + ERA_BASE["R"], m, d))
-    y, m, d = _parts(text, r"([0-9]{4})\s*[-/.年]\s*([0-9]{1,2})\s*[-/.月]\s*([0-9]{1,2})")
-    plain = _ymd(y, m, d)
+    y, m, d = _parts(text, r"^([0-9]{4})[-/年]([0-9]{1,2})[-/月]([0-9]{1,2})")
+    plain = F.when(y.isNotNull(), F.format_string("%04d%02d%02d", y, m, d))
     return F.coalesce(serial, era, plain, F.when(text.rlike("^[0-9]{8}$"), text))
 
 

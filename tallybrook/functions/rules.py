@@ -11,13 +11,14 @@ from tallybrook.functions import text
 
 
 def year_of_url(url: Column) -> Column:
-    """Fiscal year in an address: fy2024, /2024/, r06 or R6 (era years), or a date of eight digits, in this order."""
-    page = F.lower(text.unwrapped_url(url))
-    number = lambda p: F.nullif(F.regexp_extract(page, p, 1), F.lit("")).try_cast("int")
-    era = number(r"(?:^|[^a-z0-9])r0?([0-9]{1,2})(?:[^0-9]|$)")
-    day = F.nullif(F.regexp_extract(page, r"((?:19|20)[0-9]{2}(?:0[1-9]|1[0-2])[0-3][0-9])", 1), F.lit(""))
-    of_day = F.when(F.substring(day, 5, 2) >= "04", F.substring(day, 1, 4).try_cast("int")).otherwise(F.substring(day, 1, 4).try_cast("int") - 1)
-    return F.coalesce(number(r"fy((?:19|20)[0-9]{2})"), number(r"/((?:19|20)[0-9]{2})(?:/|$)"), F.when(era.between(1, 20), era + 2018), of_day)
+    """Fiscal year in an address, by the first of: fy2024, an era year with its month (r6.3 is of 2023), an era year as a
+    whole part, a calendar year as a whole part."""
+    page = text.unwrapped_url(url)
+    number = lambda p, i=1: F.nullif(F.regexp_extract(page, p, i), F.lit("")).try_cast("int")
+    with_month = r"[rR]0?([0-9]{1,2})[.\-_/]([0-9]{1,2})"
+    era, month, alone = number(with_month), number(with_month, 2), number(r"(?i)[/\-_]r0?([0-9]{1,2})[/\-_]")
+    dated = F.when(era.between(1, 20) & month.between(1, 12), F.when(month >= 4, era + 2018).otherwise(era + 2017))
+    return F.coalesce(number(r"(?i)fy(202[2-9])"), dated, F.when(alone.between(1, 20), alone + 2018), number(r"[/\-_](202[2-9])[/\-_]"))
 
 
 def by_keywords(value: Column, rules: list[tuple[list[str], str]], other: str | None = None) -> Column:

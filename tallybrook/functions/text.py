@@ -33,16 +33,29 @@ def cp932_repaired(values: pd.Series) -> pd.Series:
     return values.map(fix, na_action="ignore")
 
 
+#: Marks that names of items, and of programmes, are stripped of after NFKC; dashes that it leaves.
+ITEM_MARKS = r"[\s\x1c-\x1f\x85、,。・/_\-‐ー()「」『』【】\[\]]+"
+PROGRAMME_MARKS = r"[\s\x1c-\x1f\x85\-―ー~〜・,、.。:;'\"()\[\]【】「」『』]"
+DASHES = "‐‑‒–—―−"
+#: Legal forms that move behind a name, and those that keep one in front where they stand inside.
+FORMS, INNER_FORMS = "株式会社|有限会社|合同会社|合名会社|合資会社", "株式会社|有限会社|合同会社"
+
+
 def item_name(value: Column) -> Column:
-    return F.lower(F.trim(F.regexp_replace(nfkc(value), r"[\s・,、。.()（）「」\[\]【】_/-]", "")))
+    """Without marks and lower-cased; NULL gives ''."""
+    return F.lower(F.regexp_replace(nfkc(F.coalesce(value, F.lit(""))), ITEM_MARKS, ""))
 
 
 def programme_name(value: Column) -> Column:
-    return F.trim(F.regexp_replace(nfkc(value), r"[\s・、。「」『』()]", ""))
+    return F.lower(F.regexp_replace(nfkc(F.coalesce(value, F.lit(""))), PROGRAMME_MARKS, ""))
 
 
 def equipment_name(value: Column) -> Column:
-    return F.translate(nfkc(value), "‐‑‒–—−ー", "-------")
+    return F.translate(nfkc(value), DASHES, "-" * len(DASHES))
+
+
+def stripped(value: Column) -> Column:
+    return F.regexp_replace(value, r"^[\s\x1c-\x1f\x85]+|[\s\x1c-\x1f\x85]+$", "")
 
 
 def without_parentheses(value: Column) -> Column:
@@ -54,18 +67,17 @@ def vendor(value: Column) -> Column:
     full = nfkc(value)
     for short, long in (("(株)", "株式会社"), ("(有)", "有限会社"), ("(合)", "合同会社")):
         full = F.replace(full, F.lit(short), F.lit(long))
-    full = F.trim(F.regexp_replace(full, r"\s+", " "))
-    form, rest = F.regexp_extract(full, "^(株式会社|有限会社|合同会社)", 1), F.trim(F.regexp_replace(full, "^(株式会社|有限会社|合同会社)", ""))
-    moved = F.when((form != "") & ~rest.rlike("株式会社|有限会社|合同会社"), F.concat(rest, form)).otherwise(full)
-    return F.nullif(moved, F.lit(""))
+    form, rest = (F.regexp_extract(full, rf"^({FORMS})\s*(.+)$", i) for i in (1, 2))
+    moved = F.when((form != "") & ~rest.rlike(INNER_FORMS), F.concat(stripped(rest), form)).otherwise(full)
+    return F.nullif(stripped(F.regexp_replace(moved, r"\s+", " ")), F.lit(""))
 
 
 def vendor_plain(value: Column) -> Column:
-    """The ledger's own column: forms in full, nothing moved."""
+    """The ledger's own column: two forms in full, nothing moved; '' stays ''."""
     full = nfkc(value)
-    for short, long in (("(株)", "株式会社"), ("(有)", "有限会社"), ("(合)", "合同会社")):
+    for short, long in (("(株)", "株式会社"), ("(有)", "有限会社")):
         full = F.replace(full, F.lit(short), F.lit(long))
-    return F.nullif(F.trim(full), F.lit(""))
+    return stripped(full)
 
 
 def vendor_and_address(cell: Column) -> tuple[Column, Column]:
@@ -149,7 +161,10 @@ def listed(values: Column, most: int = 12) -> Column:
 
 
 def model_names(value: Column) -> Column:
-    """F-35A -> [F-35A, F35A, F-35, F35]."""
-    v = equipment_name(value)
-    stem = F.regexp_replace(v, r"(?<=[0-9])[A-Z]+$", "")
-    return F.array_distinct(F.array(v, F.replace(v, F.lit("-"), F.lit("")), stem, F.replace(stem, F.lit("-"), F.lit(""))))
+    """Spellings of a model, in order: F-35A -> [F-35, F-35A, F35, F35A]; CH-47J/JA also gives both models apart."""
+    bare = lambda c: F.replace(c, F.lit("-"), F.lit(""))
+    first, other = F.regexp_extract(value, "^([^/]*)/", 1), F.regexp_extract(value, "^[^/]*/(?s)(.*)$", 1)
+    second = F.concat(F.regexp_replace(first, "[A-Za-z]+$", ""), other)
+    slash, base = F.contains(value, F.lit("/")), F.regexp_extract(value, "^([A-Za-z]+-?[0-9]+)", 1)
+    each = [value, bare(value), *(F.when(slash, c) for c in (first, bare(first), second, bare(second))), base, bare(base)]
+    return F.sort_array(F.array_distinct(F.filter(F.array(*each), lambda x: x.isNotNull() & (x != ""))))

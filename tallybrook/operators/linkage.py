@@ -20,12 +20,15 @@ def grams(text: Column, n: int = GRAM) -> Column:
 
 
 def contains_join(long: DataFrame, short: DataFrame, text: str, part: str) -> DataFrame:
-    """Rows of `long` and `short` where text contains part, of GRAM characters or more.
+    """Rows of `long` and `short` where text contains part; an empty part is in no text.
 
-    A contained text shares its own first GRAM characters, so the equi-join on that gram loses nothing.
+    A contained text shares its own first GRAM characters, or all if it has fewer, so the equi-join on that gram loses
+    nothing. Grams of fewer characters are made only for the lengths that parts have, which are counted first.
     """
-    keyed = short.where(F.char_length(part) >= GRAM).withColumn("_gram", F.substring(part, 1, GRAM))
-    return long.withColumn("_gram", F.explode(grams(F.col(text)))).join(keyed, "_gram").where(F.contains(F.col(text), F.col(part))).drop("_gram")
+    keyed = short.where(F.char_length(part) > 0).withColumn("_gram", F.substring(part, 1, GRAM))
+    sizes = [r[0] for r in keyed.select(F.char_length("_gram")).distinct().collect()]  # GRAM at most
+    every = F.flatten(F.array(*(grams(F.col(text), n) for n in sizes))) if sizes else F.array().cast("array<string>")
+    return long.withColumn("_gram", F.explode(every)).join(keyed, "_gram").where(F.contains(F.col(text), F.col(part))).drop("_gram")
 
 
 def either_contains(left: DataFrame, right: DataFrame, a: str, b: str) -> DataFrame:

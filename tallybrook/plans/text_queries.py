@@ -132,10 +132,13 @@ def fuzzy_best(spark: SparkSession, sf: str) -> DataFrame:
     return linkage.best_fuzzy(table(spark, sf, "part"), names, "p_partkey", "p_name", "name", "seq")
 
 
-@query()
+@query("""with m as (select label, i, avg(embedding[i]) as m from embeddings, range(1, 65) t(i) group by 1, 2), c as (select label, list(m order by i) as v from m group by 1),
+s as (select vec_id, c.label, list_sum(list_transform(list_zip(embedding, v), lambda p: p[1] * p[2])) as d from embeddings, c),
+r as (select *, row_number() over (partition by vec_id order by d desc, label desc) as k from s) select vec_id, label, round(d, 4) as confidence from r where k = 1 and round(d, 4) >= 0""")
 def embedding_argmax(spark: SparkSession, sf: str) -> DataFrame:
     e = table(spark, sf, "embeddings")
-    means = e.select("label", F.posexplode("embedding").alias("i", "x")).groupBy("label", "i").agg(F.avg("x").alias("m")).groupBy("label").agg(F.transform(F.array_sort(F.collect_list(F.struct("i", "m"))), lambda s: s["m"]).alias("embedding"))
+    dims = e.agg(F.max(F.size("embedding"))).first()[0]
+    means = e.groupBy("label").agg(F.array(*(F.avg(F.get("embedding", F.lit(i))) for i in range(dims))).alias("embedding"))
     return linkage.nearest_centroid(e, means, "vec_id", "embedding", "label", 0.0)
 
 

@@ -3,14 +3,14 @@
 import pytest
 from pyspark.sql import functions as F
 
-from tallybrook.functions import amounts, dates, text
+from tallybrook.functions import amounts, dates, rules, text
 
 
 def of(spark, f, value, kind="string"):
     return spark.createDataFrame([(value,)], f"v {kind}").select(f(F.col("v")).alias("r")).first().r
 
 
-@pytest.mark.parametrize("value, want", [("R6.4.1", "20240401"), ("6.4.1", "20240401"), ("令和6年4月1日", "20240401"), ("2024/4/1", "20240401"), ("2024年12月31日", "20241231"), ("20240401", "20240401"), ("45383", "20240401"), ("x", None), (None, None), ("2024/13/1", None)])
+@pytest.mark.parametrize("value, want", [("R6.4.1", "20240401"), ("6.4.1", "20240401"), ("令和6年4月1日", "20240401"), ("2024/4/1", "20240401"), ("2024年12月31日", "20241231"), ("20240401", "20240401"), ("45383", "20240401"), ("x", None), (None, None), ("2024/13/40", "20241340"), ("12-05-2024", None), ("6-4-1", None), ("2024.4.1", None), ("契約 2024/4/1", None), ("r6.4.1", "20240401"), ("R21.4.1", None)])
 def test_date_text(spark, value, want):
     assert of(spark, dates.date_text, value) == want
 
@@ -70,7 +70,8 @@ def test_names(spark):
     assert of(spark, text.item_name, "Ｆ－３５Ａ（改）") == "f35a改"
     assert of(spark, text.nfkc, "ＡＢＣ") == "ABC"
     assert of(spark, text.without_parentheses, "甲(乙)（丙）") == "甲"
-    assert of(spark, text.model_names, "F-35A") == ["F-35A", "F35A", "F-35", "F35"]
+    assert of(spark, text.model_names, "F-35A") == ["F-35", "F-35A", "F35", "F35A"]
+    assert of(spark, text.model_names, "CH-47J/JA") == ["CH-47", "CH-47J", "CH-47J/JA", "CH-47JA", "CH47", "CH47J", "CH47J/JA", "CH47JA"]
     assert of(spark, text.corporate_number, "1234-5678-90123") == "1234567890123"
     assert of(spark, text.corporate_number, "123") is None
     assert of(spark, text.cp932_repaired, "表示".encode("cp932").decode("latin-1")) == "表示"
@@ -89,3 +90,13 @@ def test_bids_and_urls(spark):
     assert of(spark, text.trailing_digits, "kekka0407.pdf") == "0407"
     assert of(spark, lambda c: text.vendor_and_address(c)[1], "A\n東京\n1-2") == "東京 / 1-2"
     assert of(spark, lambda c: text.listed(F.split(c, ""), 2), "abc") == "a, b 他1件"
+
+
+@pytest.mark.parametrize("function, value, want", [
+    (text.item_name, "『ミサイルー』 ‐改_Ａ", "ミサイル改a"), (text.item_name, None, ""), (text.item_name, "a.b", "a.b"), (text.programme_name, "F-35A：“ABC”〜", "f35a“abc”"), (text.programme_name, "Ｆ－35A 'ABC'", "f35aabc"),
+    (text.equipment_name, "ミサイルー", "ミサイルー"), (text.equipment_name, "F―35–A", "F-35-A"), (text.vendor, "合名会社山田", "山田合名会社"), (text.vendor, "株式会社A有限会社", "株式会社A有限会社"), (text.vendor, " ", None),
+    (text.vendor_plain, "(合)山田", "(合)山田"), (text.vendor_plain, "", ""), (text.vendor_plain, None, None), (amounts.last_amount, "1,234円 5.5", 6), (amounts.last_amount, "1000.5", 1000), (amounts.last_amount, "abc 12円也", 12),
+    (amounts.last_amount, "▲100", 100), (amounts.last_amount, "1-2 -", None), (rules.year_of_url, "https://x/r6.3/a.pdf", 2023), (rules.year_of_url, "https://x/R6_4", 2024), (rules.year_of_url, "https://x/r06/2025/", 2024), (rules.year_of_url, "https://x/FY2023/r06/", 2023),
+])
+def test_goldens_of_the_source_rules(spark, function, value, want):
+    assert of(spark, function, value) == want
