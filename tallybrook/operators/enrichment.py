@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallybrook.functions import dates
@@ -92,3 +92,22 @@ def agreement(predicted: DataFrame, labelled: DataFrame, key: str) -> DataFrame:
     """Rows of both and the share on which they agree."""
     both = predicted.select(key, F.col("label").alias("_a")).join(labelled.select(key, F.col("label").alias("_b")), key)
     return both.agg(F.count("*").alias("rows"), F.round(F.avg((F.col("_a") == F.col("_b")).cast("int")), 6).alias("accuracy"))
+
+
+def majority_cascade(rows: DataFrame, voters: DataFrame, only: str, majority: str, default: str) -> DataFrame:
+    """id, source, org, confidence: the row's org where its vendor has a single row, else the majority of the vendor's
+    voters (of equals, the first by seq), else the default.
+
+    rows: id, vendor, org; voters: vendor, org, seq.
+    """
+    alone = rows.groupBy("vendor").agg(F.count("*").alias("_n"))
+    most = votes.majority(voters, "vendor", "org", "seq").select("vendor", F.col("org").alias("_most"))
+    joined = rows.join(alone, "vendor").join(most, "vendor", "left")
+    steps = [(only, _answer(F.when(F.col("_n") == 1, F.col("org")), only, 0.9)), (majority, _answer(F.col("_most"), majority, 0.5))]
+    return linkage.cascade(joined, steps, _answer(F.lit(default), "default", 0.3)).select("id", "assigned.source", "assigned.org", "assigned.confidence")
+
+
+def catalogue(spark: SparkSession, rules: list[tuple[list[str], str, float]]) -> DataFrame:
+    """The rules as a table, a row for each keyword."""
+    flat = [(i + 1, word, label, confidence) for i, (words, label, confidence) in enumerate(rules) for word in words]
+    return spark.createDataFrame(flat, "rule int, keyword string, label string, confidence double")

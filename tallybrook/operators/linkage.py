@@ -19,21 +19,21 @@ def grams(text: Column, n: int = GRAM) -> Column:
     return F.when(F.char_length(text) >= n, F.array_distinct(F.transform(places, lambda i: F.substring(text, i, F.lit(n))))).otherwise(F.array().cast("array<string>"))
 
 
-def contains_join(long: DataFrame, short: DataFrame, text: str, part: str) -> DataFrame:
-    """Rows of `long` and `short` where text contains part; an empty part is in no text.
+def contains_join(long: DataFrame, short: DataFrame, text: str, part: str, least: int = 1) -> DataFrame:
+    """Rows of `long` and `short` where text contains part, of `least` characters or more; an empty part is in no text.
 
     A contained text shares its own first GRAM characters, or all if it has fewer, so the equi-join on that gram loses
     nothing. Grams of fewer characters are made only for the lengths that parts have, which are counted first.
     """
-    keyed = short.where(F.char_length(part) > 0).withColumn("_gram", F.substring(part, 1, GRAM))
+    keyed = short.where(F.char_length(part) >= max(least, 1)).withColumn("_gram", F.substring(part, 1, GRAM))
     sizes = [r[0] for r in keyed.select(F.char_length("_gram")).distinct().collect()]  # GRAM at most
     every = F.flatten(F.array(*(grams(F.col(text), n) for n in sizes))) if sizes else F.array().cast("array<string>")
     return long.withColumn("_gram", F.explode(every)).join(keyed, "_gram").where(F.contains(F.col(text), F.col(part))).drop("_gram")
 
 
-def either_contains(left: DataFrame, right: DataFrame, a: str, b: str) -> DataFrame:
-    """Pairs where either text contains the other."""
-    return contains_join(left, right, a, b).unionByName(contains_join(right, left, b, a)).distinct()
+def either_contains(left: DataFrame, right: DataFrame, a: str, b: str, least: int = GRAM) -> DataFrame:
+    """Pairs where either text contains the other, the inner one of `least` characters or more (the source's rule: four)."""
+    return contains_join(left, right, a, b, least).unionByName(contains_join(right, left, b, a, least)).distinct()
 
 
 def longest_contained(left: DataFrame, right: DataFrame, key: str, a: str, b: str, seq: str) -> DataFrame:

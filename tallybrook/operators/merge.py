@@ -87,9 +87,15 @@ def with_missing(df: DataFrame, columns: dict[str, str]) -> DataFrame:
 
 
 def invariant_swap(before: DataFrame, after: DataFrame, path: str, amount: str) -> bool:
-    """Writes `after` beside the old table and returns True only if rows and the rounded total are unchanged."""
+    """Writes `after` as a new version at `path`, which must not exist yet, and returns True, only if rows and the rounded
+    total are unchanged. The old version stays where it is: it is the backup, and what a refused swap leaves in force."""
     facts = lambda d: tuple(d.agg(F.count("*"), F.round(F.sum(amount) / 100_000_000)).first())
     if facts(before) != facts(after):
         return False
-    after.write.mode("overwrite").parquet(path)
+    after.write.mode("errorifexists").parquet(path)
     return True
+
+
+def protected_swap(existing: DataFrame, new: DataFrame, keys: list[str], protected: Column, seq: str, path: str, amount: str) -> bool:
+    """replace_unprotected, written as a new version if the invariants hold; else nothing is written."""
+    return invariant_swap(existing, replace_unprotected(existing, new, keys, protected, seq), path, amount)

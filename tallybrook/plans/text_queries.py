@@ -13,6 +13,8 @@ from tallybrook.plans.ledger_queries import BEST_SQL
 from tallybrook.sources import grids
 from tallybrook.sources.ledger import CONTRACTS_SQL, contracts, table
 
+#: Benchmark passages up to this many are broadcast.
+MOST_PASSAGES = 20_000
 QUERIES: dict = {}
 SQL: dict[str, str] = {}
 
@@ -171,11 +173,13 @@ def json_payload(spark: SparkSession, sf: str) -> DataFrame:
     return table(spark, sf, "events").select("event_id", F.from_json("props", "k int")["k"].alias("k"))
 
 
-@query("select page_id, coalesce(a.v, b.v) as doc, case when a.v is not null then 'exact' when b.v is not null then 'tail' end as strategy from (select page_id, lower(url) as exact, nullif(regexp_extract(url, '/([0-9]+)', 1), '') as tail from pages) p left join (select 'http' as k, 0::bigint as v where false) a on a.k = p.exact left join (select cast(doc_id as varchar) as k, min(doc_id) as v from documents group by 1) b on b.k = p.tail")
+@query("""with p as (select page_id, url as exact, regexp_extract(url, '^[^?#]*') as page from pages), a as (select exact as k, min(page_id) as v from p where starts_with(exact, 'https:') group by 1), b as (select page as k, min(page_id) as v from p group by 1)
+select page_id, coalesce(a.v, b.v) as doc, case when a.v is not null then 'exact' when b.v is not null then 'page' end as strategy from p left join a on a.k = p.exact left join b on b.k = p.page""")
 def multi_strategy(spark: SparkSession, sf: str) -> DataFrame:
-    p = table(spark, sf, "pages").select("page_id", F.lower("url").alias("exact"), F.nullif(F.regexp_extract("url", "/([0-9]+)", 1), F.lit("")).alias("tail"))
-    d = table(spark, sf, "documents").select(F.concat(F.lit("doc:"), F.col("doc_id")).alias("address"), F.col("doc_id").cast("string").alias("number"), F.col("doc_id").alias("doc"))
-    return linkage.multi_strategy(p, d, [("exact", "address"), ("tail", "number")], "doc").select("page_id", "doc", "strategy")
+    """The first page of the same address, if it is a secure one, else of the same address without its query."""
+    p = table(spark, sf, "pages").select("page_id", F.col("url").alias("exact"), F.regexp_extract("url", "^[^?#]*", 0).alias("page"))
+    known = p.select(F.when(F.startswith("exact", F.lit("https:")), F.col("exact")).alias("address"), F.col("page").alias("bare"), F.col("page_id").alias("doc"))
+    return linkage.multi_strategy(p, known, [("exact", "address"), ("page", "bare")], "doc").select("page_id", "doc", "strategy")
 
 
 @query("select b.item_id, count(*) as documents from benchmark b join documents d on contains(d.text, b.text) group by 1")
@@ -186,9 +190,14 @@ def benchmark_containment(spark: SparkSession, sf: str) -> DataFrame:
     under five words, of which there are few, are sought in every text.
     """
     passages = table(spark, sf, "benchmark").withColumn("anchor", F.regexp_extract("text", r"^\S*\s(\S+ \S+ \S+)\s", 1)).select("item_id", F.col("text").alias("part"), "anchor")
-    docs = table(spark, sf, "documents").select("doc_id", "text")
-    words = F.regexp_extract_all("text", F.lit(r"(?<=\s)(?=(\S+ \S+ \S+)\s)"), F.lit(1))
-    near = docs.select("doc_id", F.explode(F.array_distinct(words)).alias("anchor")).join(passages.where("anchor <> ''"), "anchor").select("doc_id", "item_id", "part")
-    held = near.join(docs, "doc_id").where(F.contains("text", F.col("part")))
-    short = docs.join(passages.where("anchor = ''"), F.contains(F.col("text"), F.col("part")))
-    return held.select("doc_id", "item_id").unionByName(short.select("doc_id", "item_id")).groupBy("item_id").agg(F.count_distinct("doc_id").alias("documents"))
+    few, none = passages.agg(F.count("*") <= MOST_PASSAGES, F.count_if(F.col("anchor") == "") == 0).first()
+    docs, anchored = table(spark, sf, "documents").select("doc_id", "text"), passages.where("anchor <> ''")
+    words = F.explode(F.array_distinct(F.regexp_extract_all("text", F.lit(r"(?<=\s)(?=(\S+ \S+ \S+)\s)"), F.lit(1)))).alias("anchor")
+    if few:  # the passages go to the texts, which stay where they are
+        held = docs.select("doc_id", "text", words).join(F.broadcast(anchored), "anchor")
+    else:
+        held = docs.select("doc_id", words).join(anchored, "anchor").join(docs, "doc_id")
+    held = held.where(F.contains("text", F.col("part"))).select("doc_id", "item_id")
+    if not none:
+        held = held.unionByName(docs.join(passages.where("anchor = ''"), F.contains(F.col("text"), F.col("part"))).select("doc_id", "item_id"))
+    return held.groupBy("item_id").agg(F.count_distinct("doc_id").alias("documents"))

@@ -11,7 +11,7 @@ def csv_by_category(df: DataFrame, path: str, category: str) -> None:
 
 
 def jsonl(df: DataFrame, path: str, meta: str) -> None:
-    """The header goes to a part of its own, read first by name order and dropped by the reader."""
+    """The header is an object of its own, with the one field _meta, in a part of its own; the reader drops it by that field."""
     head = df.sparkSession.range(1).select(F.lit(meta).alias("_meta"))
     df.write.mode("overwrite").option("compression", "gzip").json(path)
     head.write.mode("append").option("compression", "gzip").json(path)

@@ -60,7 +60,7 @@ def test_coverage(spark):
     assert [r.filename for r in audit.collect()] == ["h"]
 
 
-@pytest.mark.parametrize("url, want", [("http://a/fy2023/x", 2023), ("http://a/2022/x", 2022), ("http://a/r06_k.pdf", 2024), ("http://a/x20240331.pdf", 2023), ("http://a/x", None)])
+@pytest.mark.parametrize("url, want", [("http://a/fy2023/x", 2023), ("http://a/2022/x", 2022), ("http://a/r06_k.pdf", 2024), ("http://a/x20240331.pdf", None), ("http://a/r06.03/x.pdf", 2023), ("http://a/x", None)])
 def test_year_of_url(spark, url, want):
     assert spark.createDataFrame([(url,)], "u string").select(rules.year_of_url(F.col("u")).alias("r")).first().r == want
 

@@ -46,6 +46,8 @@ def test_substring_join_loses_nothing(spark):
     got = {(r.id, r.b) for r in linkage.either_contains(left, right, "a", "b").collect()}
     want = {(i, b) for i, a in left.collect() for b, _ in right.collect() if min(len(a), len(b)) >= 4 and (b in a or a in b)}
     assert got == want
+    short = {(r.id, r.b) for r in linkage.contains_join(left, right, "a", "b").collect()}
+    assert short == {(i, b) for i, a in left.collect() for b, _ in right.collect() if b in a}  # of any length
     best = {r.id: r.b for r in linkage.longest_contained(left, right, "id", "a", "b", "seq").collect()}
     assert best == {0: "abcdefghij", 1: "abcdefghij", 3: "cdef"}
 
