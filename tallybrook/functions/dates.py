@@ -65,6 +65,28 @@ def spaced_era_date(value: Column) -> Column:
     return F.coalesce(era, _ymd(y, m, d))
 
 
+def _either(text: Column, era: str, three: str | None = None) -> Column:
+    """YYYYMMDD of an era date (years 1 to 20 of the present era) anywhere, else a Gregorian one as it is, else a bare triplet."""
+    y, m, d = _parts(text, era)
+    out = F.when(y.between(1, 20), _ymd(y + ERA_BASE["R"], m, d))
+    y, m, d = _parts(text, r"([0-9]{4})[-/年]([0-9]{1,2})[-/月]([0-9]{1,2})")
+    out = F.coalesce(out, F.when(y.isNotNull(), F.format_string("%04d%02d%02d", y, m, d)))
+    if three:
+        y, m, d = _parts(text, three)
+        out = F.coalesce(out, F.when(y.between(1, 20), _ymd(y + ERA_BASE["R"], m, d)))
+    return out
+
+
+def page_date(text: Column) -> Column:
+    """The date of a cell of page text; "6 . 4 . 1" alone is a date of the present era."""
+    return _either(F.trim(text), r"(?:令和|R)\s*([0-9]{1,2})[./年]([0-9]{1,2})[./月]([0-9]{1,2})", r"^([0-9]{1,2})\s*\.\s*([0-9]{1,2})\s*\.\s*([0-9]{1,2})$")
+
+
+def scan_date(text: Column) -> Column:
+    """The date of recognised text: digits of an era date may be spaced."""
+    return _either(F.trim(text), r"(?:令和|[Rr])\s*([0-9]{1,2})\s*[./年]\s*([0-9]{1,2})\s*[./月]\s*([0-9]{1,2})")
+
+
 def era_year(text: Column) -> Column:
     """令和元年度 -> 2019."""
     out = F.lit(None).cast("int")
