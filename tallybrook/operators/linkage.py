@@ -12,6 +12,7 @@ from pyspark.sql.types import DoubleType
 GRAM = 4
 #: Rule tables up to this many rows are broadcast; more are blocked or shuffled.
 MOST_RULES = 5000
+MOST_OCTETS = 1 << 22
 
 
 def grams(text: Column, n: int = GRAM) -> Column:
@@ -23,10 +24,13 @@ def contains_join(long: DataFrame, short: DataFrame, text: str, part: str, least
     """Rows of `long` and `short` where text contains part, of `least` characters or more; an empty part is in no text.
 
     A contained text shares its own first GRAM characters, or all if it has fewer, so the equi-join on that gram loses
-    nothing. Grams of fewer characters are made only for the lengths that parts have, which are counted first.
+    nothing. Grams of fewer characters are made only for the lengths that parts have, which are counted first. Few and
+    short parts go to the texts, which then are not shuffled with their grams.
     """
     keyed = short.where(F.char_length(part) >= max(least, 1)).withColumn("_gram", F.substring(part, 1, GRAM))
-    sizes = [r[0] for r in keyed.select(F.char_length("_gram")).distinct().collect()]  # GRAM at most
+    sizes, rows, octets = keyed.agg(F.collect_set(F.char_length("_gram")), F.count("*"), F.coalesce(F.sum(F.octet_length(part)), F.lit(0))).first()  # GRAM sizes at most
+    if rows <= MOST_RULES and octets <= MOST_OCTETS:
+        keyed = F.broadcast(keyed)
     every = F.flatten(F.array(*(grams(F.col(text), n) for n in sizes))) if sizes else F.array().cast("array<string>")
     return long.withColumn("_gram", F.explode(every)).join(keyed, "_gram").where(F.contains(F.col(text), F.col(part))).drop("_gram")
 

@@ -1,4 +1,4 @@
-"""Sinks: partitioned CSV, gzipped JSON lines with a header object, snapshots of the expected state."""
+"""Sinks: partitioned CSV, gzipped JSON lines with a header object, the frames of workbooks, snapshots of the expected state."""
 
 from __future__ import annotations
 
@@ -11,10 +11,30 @@ def csv_by_category(df: DataFrame, path: str, category: str) -> None:
 
 
 def jsonl(df: DataFrame, path: str, meta: str) -> None:
-    """The header is an object of its own, with the one field _meta, in a part of its own; the reader drops it by that field."""
-    head = df.sparkSession.range(1).select(F.lit(meta).alias("_meta"))
-    df.write.mode("overwrite").option("compression", "gzip").json(path)
-    head.write.mode("append").option("compression", "gzip").json(path)
+    """Gzipped JSON lines. The header is an object of its own, with the one field _meta, and alone in the first part: a union
+    keeps the order of its sides' partitions. The reader drops it by that field."""
+    head = df.sparkSession.range(1, numPartitions=1).select(F.to_json(F.struct(F.lit(meta).alias("_meta"))).alias("value"))
+    head.unionByName(df.select(F.to_json(F.struct(*df.columns)).alias("value"))).write.mode("overwrite").option("compression", "gzip").text(path)
+
+
+def csv_download(df: DataFrame, path: str, order: list, most: int = 50) -> None:
+    """One CSV file of the first rows, with the mark that tells spreadsheets that it is UTF-8."""
+    first = df.columns[0]
+    df.orderBy(*order).limit(most).coalesce(1).withColumnRenamed(first, "\ufeff" + first).write.mode("overwrite").option("header", True).csv(path)
+
+
+def sheets(df: DataFrame, blocks: dict[str, list[str]], amount: str, order: list, most: int = 100_000) -> dict[str, DataFrame]:
+    """The frames of a workbook by sheet: one block of rows, amount and mean for each list of keys, the detail up to the sheet's
+    cap, and the notice of how many rows there are."""
+    total = lambda keys: df.groupBy(*keys).agg(F.count("*").alias("rows"), F.sum(amount).alias("amount"), F.avg(amount).alias("mean")).orderBy(F.desc_nulls_last("amount"), *keys)
+    detail, notice = capped(df, order, most)
+    return {name: total(keys) for name, keys in blocks.items()} | {"detail": detail, "notice": notice}
+
+
+def schemas(frames: dict[str, DataFrame], indexes: dict[str, tuple[str, list[str]]]) -> list[str]:
+    """Statements that build the tables and then their indexes, each by name."""
+    tables = [f"CREATE TABLE {name} ({', '.join(f'{f.name} {f.dataType.simpleString().upper()}' for f in frames[name].schema)})" for name in sorted(frames)]
+    return tables + [f"CREATE INDEX {name} ON {indexes[name][0]} ({', '.join(indexes[name][1])})" for name in sorted(indexes)]
 
 
 def snapshot(df: DataFrame, keys: list[str], amount: str) -> DataFrame:

@@ -13,6 +13,8 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tallybrook.functions import amounts, dates, text
+from tallybrook.lineage import cut
+from tallybrook.sources import pages
 
 #: A header is looked for in so many first rows.
 HEADER_ROWS = 15
@@ -61,24 +63,10 @@ def records(grid: DataFrame, headers: DataFrame, columns: DataFrame, bid_rules:
 
 
 def lines_of_words(words: DataFrame, tolerance: float = 10.0, least_confidence: float = 0.4) -> DataFrame:
-    """(file_id, page, line, text) of positioned words (text, x0, top, conf): a line goes on while a word is near its first.
-
-    The anchor is the line's start, not the word before, so it is a running state: one pass over each page, in Arrow batches.
-    """
-
-    def run(pages: pd.DataFrame) -> pd.DataFrame:
-        pages = pages.sort_values(["top", "x0"], kind="stable")
-        line, start, at = -1, None, []
-        for top in pages["top"]:
-            if start is None or top - start > tolerance:
-                line, start = line + 1, top
-            at.append(line)
-        pages["line"] = at
-        pages = pages.sort_values(["line", "x0"], kind="stable")
-        return pages.groupby(["file_id", "page", "line"], as_index=False)["text"].agg(" ".join)
-
-    good = words.where(F.coalesce("conf", F.lit(1.0)) >= least_confidence).select("file_id", "page", "text", "x0", "top")
-    return good.groupBy("file_id", "page").applyInPandas(run, "file_id string, page int, line int, text string")
+    """(file_id, page, line, text) of positioned words (text, x0, top, conf): a line goes on while a word is near its first."""
+    good = words.where(F.coalesce("conf", F.lit(1.0)) >= least_confidence)
+    lines = pages.pages_of(good, tolerance).select("file_id", "page", F.posexplode("lines").alias("line", "words"))
+    return lines.select("file_id", "page", "line", pages.joined(F.col("words")).alias("text"))
 
 
 def banded(words: DataFrame, anchors: DataFrame) -> DataFrame:
@@ -87,31 +75,67 @@ def banded(words: DataFrame, anchors: DataFrame) -> DataFrame:
     return words.join(a, ["file_id", "page"]).where((F.col("top") >= F.col("lo")) & (F.col("top") < F.col("hi")))
 
 
-def html_links(pages: DataFrame, extensions: list[str]) -> DataFrame:
-    """(page_id, link) of anchors whose target ends in an extension; relative targets are put on the page's own address."""
+def absolute(url: Column, link: Column) -> Column:
+    """A link on the address of the page that it stands in, its steps up taken."""
+    base, root = F.regexp_extract(url, r"^([a-z]+://[^?#]*/)", 1), F.regexp_extract(url, r"^([a-z]+://[^/?#]+)", 1)
+    full = F.when(link.rlike("^[a-z]+://"), link).when(F.startswith(link, F.lit("/")), F.concat(root, link)).otherwise(F.concat(base, link))
+    step = lambda a, s: F.when(s == ".", a).when(s == "..", F.slice(a, 1, F.greatest(F.size(a) - 1, F.lit(3)))).otherwise(F.array_append(a, s))
+    return F.when(full.rlike(r"/\.\.?/"), F.array_join(F.aggregate(F.split(full, "/"), F.array().cast("array<string>"), step), "/")).otherwise(full)
+
+
+def html_links(sites: DataFrame, extensions: list[str], include: str | None = None) -> DataFrame:
+    """(page_id, link) of anchors whose target ends in an extension and, if given, fits a pattern; relative targets are put
+    on the page's own address."""
     found = F.regexp_extract_all("html", F.lit(r"(?i)<a\s[^>]*href\s*=\s*[\"']?([^\"'\s>]+)"), F.lit(1))
-    links = pages.select("page_id", "url", F.explode(found).alias("link"))
-    base, root = F.regexp_extract("url", r"^([a-z]+://[^?#]*/)", 1), F.regexp_extract("url", r"^([a-z]+://[^/?#]+)", 1)
-    full = F.when(F.col("link").rlike("^[a-z]+://"), F.col("link")).when(F.startswith("link", F.lit("/")), F.concat(root, "link")).otherwise(F.concat(base, "link"))
+    links = sites.select("page_id", "url", F.explode(found).alias("link"))
+    full = absolute(F.col("url"), F.col("link"))
+    links = links if include is None else links.where(F.col("link").rlike(include))
     wanted = F.lit(False)
     for e in extensions:
         wanted = wanted | F.lower(F.regexp_extract("link", "^[^?#]*", 0)).endswith(e)
     return links.where(wanted).select("page_id", full.alias("link")).distinct()
 
 
-def html_rows(pages: DataFrame) -> DataFrame:
+def html_rows(sites: DataFrame) -> DataFrame:
     """(page_id, row, cells) of all table rows."""
     rows = F.regexp_extract_all("html", F.lit(r"(?is)<tr[^>]*>(.*?)</tr>"), F.lit(1))
     cells = F.regexp_extract_all("tr", F.lit(r"(?is)<t[dh][^>]*>(.*?)</t[dh]>"), F.lit(1))
     plain = F.transform(cells, lambda c: F.trim(F.regexp_replace(F.regexp_replace(c, "<[^>]+>", " "), r"\s+", " ")))
-    return pages.select("page_id", F.posexplode(rows).alias("row", "tr")).select("page_id", "row", plain.alias("cells"))
+    return sites.select("page_id", F.posexplode(rows).alias("row", "tr")).select("page_id", "row", plain.alias("cells"))
+
+
+def framed(sites: DataFrame) -> DataFrame:
+    """The sheets (page_id, url, html) behind workbooks saved as framesets, under the id of the frameset: its links are theirs,
+    on the sheet's own address."""
+    frames = sites.where(F.contains("html", F.lit("Excel Workbook Frameset")) | F.contains("html", F.lit("Excel.Sheet")))
+    sheet = F.nullif(F.regexp_extract("html", r"(?i)href=[\"']([^\"']*sheet001\.html)[\"']", 1), F.lit(""))
+    targets = frames.select("page_id", absolute(F.col("url"), sheet).alias("url")).where("url is not null")
+    return targets.join(sites.select("url", "html"), "url").select("page_id", "url", "html")
+
+
+def html_tables(sites: DataFrame) -> DataFrame:
+    """(page_id, table, row, cells) of the rows with text. Where no row of a page's tables names an amount, which is so where
+    tables lie within tables, all its rows count as one table and equal ones once."""
+    row, cell = r"(?is)<tr[^>]*>(.*?)</tr>", r"(?is)<t[dh][^>]*>(.*?)</t[dh]>"
+    text_of = lambda c: F.trim(F.regexp_replace(F.regexp_replace(F.regexp_replace(c, "<[^>]+>", " "), r"\s+", " "), r"\(PDF[:：][^)]*\)", ""))
+    cells = lambda r: F.transform(F.regexp_extract_all(r, F.lit(cell), F.lit(1)), text_of)
+    filled_rows = lambda h: F.filter(F.transform(F.regexp_extract_all(h, F.lit(row), F.lit(1)), cells), lambda c: F.exists(c, lambda x: x != ""))
+    parts = F.slice(F.split("html", r"(?i)</?table\b[^>]*>"), 2, 1_000_000)
+    tables = F.filter(F.transform(parts, filled_rows), lambda t: F.size(t) > 0)
+    named = F.exists("tables", lambda t: F.exists(t, lambda r: F.array_join(r, " ").rlike("契約金額|落札金額")))
+    flat = F.array_distinct(filled_rows(F.col("html")))
+    chosen = F.when(named, F.col("tables")).when(F.size(flat) > 0, F.array(flat)).otherwise(F.col("tables"))
+    out = sites.select("page_id", "html", tables.alias("tables")).select("page_id", F.posexplode(chosen).alias("table", "rows"))
+    return out.select("page_id", "table", F.posexplode("rows").alias("row", "cells"))
 
 
 def crawl(links: DataFrame, seeds: DataFrame, depth: int) -> DataFrame:
-    """(url, depth) of what can be reached over (src, dst) in so many steps; each round meets only what is new."""
+    """(url, depth) of what can be reached over (src, dst) in so many steps; each round meets only what is new, and is written."""
     seen = frontier = seeds.select("url").distinct().withColumn("depth", F.lit(0))
     for d in range(1, depth + 1):
-        frontier = frontier.join(links, F.col("url") == F.col("src")).select(F.col("dst").alias("url")).distinct().join(seen, "url", "left_anti").withColumn("depth", F.lit(d))
+        frontier = cut(frontier.join(links, F.col("url") == F.col("src")).select(F.col("dst").alias("url")).distinct().join(seen, "url", "left_anti").withColumn("depth", F.lit(d)))
+        if frontier.isEmpty():
+            break
         seen = seen.unionByName(frontier)
     return seen
 

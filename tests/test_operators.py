@@ -1,5 +1,7 @@
 """Merges, votes, linkage, grids, streams and reconciliation on small frames."""
 
+import gzip
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -92,6 +94,13 @@ def test_lines_bands_html(spark):
     pages = spark.createDataFrame([(1, "http://h/a/b.html", '<table><tr><th>x</th><td> y <b>z</b></td></tr></table><a href="c.pdf">.</a><a href="/d.pdf">.</a>')], "page_id int, url string, html string")
     assert [r.cells for r in grids.html_rows(pages).collect()] == [["x", "y z"]]
     assert {r.link for r in grids.html_links(pages, [".pdf"]).collect()} == {"http://h/a/c.pdf", "http://h/d.pdf"}
+    assert {r.link for r in grids.html_links(pages, [".pdf"], "^c").collect()} == {"http://h/a/c.pdf"}
+    sheets = [("http://h/x/i.html", '<!-- Excel Workbook Frameset --><link href="i.files/sheet001.html">'), ("http://h/x/i.files/sheet001.html", '<a href="../e.pdf">.</a>')]
+    sites = spark.createDataFrame([(i, *s) for i, s in enumerate(sheets)], pages.schema)
+    assert [(r.page_id, r.link) for r in grids.html_links(grids.framed(sites), [".pdf"]).collect()] == [(0, "http://h/x/e.pdf")]
+    tables = ["<table><tr><td>契約金額</td></tr><tr><td> </td></tr></table><table><tr><td>1 (PDF:2KB)</td></tr></table>", "<table><tr><td>a</td></tr></table><table><tr><td>a</td></tr><tr><td>b</td></tr></table>", None]
+    got = grids.html_tables(spark.createDataFrame([(i, "", t) for i, t in enumerate(tables)], pages.schema)).collect()
+    assert sorted((r.page_id, r.table, r.row, r.cells) for r in got) == [(0, 0, 0, ["契約金額"]), (0, 1, 0, ["1"]), (1, 0, 0, ["a"]), (1, 0, 1, ["b"])]
     links = spark.createDataFrame([("a", "b"), ("b", "a"), ("b", "c"), ("c", "d")], "src string, dst string")
     assert {(r.url, r.depth) for r in grids.crawl(links, spark.createDataFrame([("a",)], "url string"), 2).collect()} == {("a", 0), ("b", 1), ("c", 2)}
     grid = grids.url_grid(spark, "http://%s/%d", host=["a", "b"], year=[1, 2])
@@ -104,6 +113,13 @@ def test_files(spark, tmp_path):
     assert spark.read.option("header", True).csv(str(tmp_path / "csv")).count() == 2
     exports.jsonl(df, str(tmp_path / "j"), "v1")
     assert grids.jsonl(spark, str(tmp_path / "j"), "id long, name string, category string").count() == 2
+    assert gzip.open(sorted((tmp_path / "j").glob("part-*"))[0], "rt").read() == '{"_meta":"v1"}\n'
+    exports.csv_download(df, str(tmp_path / "d"), ["id"], 1)
+    assert next((tmp_path / "d").glob("part-*")).read_text() == "\ufeffid,name,category\n1,甲,x\n"
+    assert grids.csv(spark, str(tmp_path / "d")).columns == ["id", "name", "category"]
+    book = exports.sheets(df, {"by category": ["category"], "all": []}, "id", ["id"])
+    assert [tuple(r) for r in book["by category"].collect()] == [("y", 1, 2, 2.0), ("x", 1, 1, 1.0)] and book["all"].first().rows == 2 and book["detail"].count() == 2
+    assert exports.schemas({"b": df, "a": df.select("id")}, {"i": ("b", ["id"])}) == ["CREATE TABLE a (id BIGINT)", "CREATE TABLE b (id BIGINT, name STRING, category STRING)", "CREATE INDEX i ON b (id)"]
     (tmp_path / "s.html").write_bytes("表".encode("cp932"))
     files = spark.read.format("binaryFile").load(str(tmp_path / "s.html"))
     assert grids.decoded(files).first().text == "表"
