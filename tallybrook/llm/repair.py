@@ -20,6 +20,7 @@ import zlib
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
@@ -83,7 +84,9 @@ def compress(ids: np.ndarray, off: np.ndarray, rules_a_round: int = RULES_A_ROUN
         else:
             new = pos - np.arange(len(pos))
             held = held[np.searchsorted(pos + 1, held, "right") == np.searchsorted(pos + 1, held)]  # not taken into a symbol
-            places = np.unique(np.concatenate([new, new - 1, held - np.searchsorted(pos + 1, held)]))
+            near = np.zeros(len(s) + 1, bool)
+            near[new] = near[new - 1] = near[held - np.searchsorted(pos + 1, held)] = True
+            places = np.flatnonzero(near[: max(len(s) - 1, 0)])
     return alphabet, np.concatenate(rules) if rules else np.empty((0, 2), np.uint32), s, at
 
 
@@ -94,14 +97,14 @@ def _within(s: np.ndarray, at: np.ndarray) -> np.ndarray:
     return out
 
 
-def _cells(s: np.ndarray) -> np.ndarray:
-    cell = s[:-1] * np.uint32(0x9E3779B1) + s[1:] * np.uint32(0x85EBCA77)
+def _cells(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    cell = a * np.uint32(0x9E3779B1) + b * np.uint32(0x85EBCA77)
     return (cell ^ (cell >> np.uint32(15))) * np.uint32(0x2C1B3C6D) >> np.uint32(32 - HASH_BITS)
 
 
 def _by_hash(s: np.ndarray, at: np.ndarray, most: int, least: int) -> tuple[np.ndarray, np.ndarray]:
     """Places and kinds of frequent pairs: one pair of each of the fullest cells."""
-    cell = _cells(s)
+    cell = _cells(s[:-1], s[1:])
     counts = np.bincount(cell, minlength=1 << HASH_BITS)
     bar = max(least, int(np.partition(counts, -min(most, len(counts)))[-min(most, len(counts))]))
     pos = np.flatnonzero((counts >= bar)[cell] & _within(s, at))
@@ -118,14 +121,17 @@ def _by_hash(s: np.ndarray, at: np.ndarray, most: int, least: int) -> tuple[np.n
 def _by_sorting(s: np.ndarray, at: np.ndarray, places: np.ndarray | None, least: int) -> tuple[np.ndarray, np.ndarray]:
     """Places and kinds of every frequent pair, of those that begin at `places` (None: anywhere)."""
     if places is None:
-        cell = _cells(s)
-        pos = np.flatnonzero((np.bincount(cell, minlength=1 << HASH_BITS) >= least)[cell] & _within(s, at))  # no frequent pair is in a cell of fewer
+        pos = np.flatnonzero(_within(s, at))
     else:
-        pos = places[(places >= 0) & (places < len(s) - 1)]
-        pos = pos[~np.isin(pos, at - 1)]
-    _, kind, count = np.unique(s[pos].astype(np.uint64) << np.uint64(32) | s[pos + 1], return_inverse=True, return_counts=True)
-    often = (count >= least)[kind]
-    return pos[often], np.unique(kind[often], return_inverse=True)[1]
+        pos = places[_within(s, at)[places]]
+    cell = _cells(s[pos], s[pos + 1])
+    pos = pos[(np.bincount(cell, minlength=1 << HASH_BITS) >= least)[cell]]  # no frequent pair is in a cell of fewer
+    kind, pairs = pd.factorize(s[pos].astype(np.uint64) << np.uint64(32) | s[pos + 1])
+    often = np.flatnonzero(np.bincount(kind) >= least)
+    number = np.full(len(pairs), -1)
+    number[often[np.argsort(pairs[often])]] = np.arange(len(often))  # by symbols: by place, neighbours would be ranked in a row, and rounds be many
+    kind = number[kind]
+    return pos[kind >= 0], kind[kind >= 0]
 
 
 def _apart(pos: np.ndarray, kind: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
