@@ -125,11 +125,14 @@ class Encoder:
         """Ids of all texts end to end, the end id after each, and where each text's ids begin. Null counts as empty."""
         raw, off = bytes_of(texts)
         inner = ~SPACE[raw]
-        tail = inner & (self.tails[raw] > 0)
-        tail[1:] &= LETTER[raw[:-1]]
-        tail[:-1] &= ~inner[1:] | (np.bincount(off[1:-1], minlength=len(raw) + 1)[1 : len(raw)] > 0)
-        tail[off[:-1][off[:-1] < len(raw)]] = False
-        inner &= ~tail
+        edge, tail = np.zeros(len(raw) + 1, bool), np.zeros(len(raw) + 1, bool)
+        edge[off] = True
+        mark = np.flatnonzero((self.tails > 0)[raw])
+        mark = mark[~edge[mark]]
+        mark = mark[LETTER[raw[mark - 1]]]
+        mark = mark[edge[mark + 1] | SPACE[raw[np.minimum(mark + 1, len(raw) - 1)]]] if len(mark) else mark
+        tail[mark] = True
+        inner[mark] = False
         hashes, length, counts = words_of(raw, off, inner)
         per, doc = np.diff(counts), np.repeat(np.arange(len(off) - 1), np.diff(counts))
         start = begins_of(inner, off) if len(raw) else np.empty(0, np.int64)
