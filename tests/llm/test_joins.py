@@ -5,6 +5,7 @@ import math
 import numpy as np
 from pyspark.sql import functions as F
 
+import pytest
 from tallybrook.llm import bitslice, chosen_path, mixing, pq_dedup, url_rules
 from tallybrook.llm._components import components, roots
 
@@ -175,7 +176,9 @@ def test_meeting_chance():
     assert (1 - chosen_path.meeting(4, 0.8, 0.8)) ** runs <= 0.001
 
 
-def test_url_rules(spark):
+@pytest.mark.parametrize("shapes", [0, 8])
+def test_url_rules(spark, monkeypatch, shapes):
+    monkeypatch.setattr(url_rules, "MOST_SHAPES", shapes)  # by distinct urls, and in the pages' rows
     urls = ["http://A.Example.ORG/en/12?x", "https://org", "ftp://x.org/", "http://example.org/es/", "http://notexample.org/es/", "nothing", None, "", "http://m.com/fr/1#a", "http://m.com/de/1", "http://x.net/fr/", "http://x.org?y=http://a.com/de/", "http://" + "a." * 3000 + "com/de/", "http://ÉX.org/é"]
     pages = spark.createDataFrame([(i, u, 1) for i, u in enumerate(urls)] + [(0, urls[0], 1)], "page_id long, url string, rule int")
     got = url_rules.judge(pages, url_rules.rule_table(spark, url_rules.RULES)).collect()
