@@ -3,9 +3,9 @@
 import math
 
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
-import pytest
 from tallybrook.llm import bitslice, chosen_path, mixing, pq_dedup, url_rules
 from tallybrook.llm._components import components, roots
 
