@@ -52,6 +52,11 @@ def joined(words: Column, by: str = " ") -> Column:
     return F.array_join(F.transform(words, lambda w: w.text), by)
 
 
+def held(df: DataFrame) -> DataFrame:
+    """The same rows, their columns worked out once: Catalyst does not merge expressions across a generator."""
+    return df.select(F.inline(F.array(F.struct(*df.columns))))
+
+
 def word_records(words: DataFrame, rules: list[tuple[str, str]], bid_rules: list[tuple[str, str]], years: list[int] | None = None) -> DataFrame:
     """Contracts of pages whose columns are known by the centres of their header words.
 
@@ -59,20 +64,20 @@ def word_records(words: DataFrame, rules: list[tuple[str, str]], bid_rules: list
     word takes its first rule whose field is still free. Each later line with an amount in the amount's column ends a
     contract, whose other fields lie in that line and up to five above it. Texts left of all columns make up for a name.
     """
-    page = pages_of(words, LINE_APART).where((F.size("lines") >= 3) & (F.size(F.flatten("lines")) >= 5))
+    page = held(pages_of(words, LINE_APART)).where((F.size("lines") >= 3) & (F.size(F.flatten("lines")) >= 5))
     spans = F.array(*(F.struct(F.lit(s).alias("at"), F.lit(n).alias("n")) for s in range(12) for n in (1, 2, 3)))
     part = lambda h: F.flatten(F.slice("lines", h["at"] + 1, h["n"]))
     squeezed = lambda c: F.regexp_replace(c, "[ 　]", "")
     heads = lambda t: t.rlike(AMOUNT_HEADS) & t.rlike(NAME_HEADS)
-    page = page.withColumn("head", first(spans, lambda h: (h["at"] + h["n"] <= F.size("lines")) & heads(squeezed(joined(part(h), ""))))).where("head is not null")
+    page = held(page.withColumn("head", first(spans, lambda h: (h["at"] + h["n"] <= F.size("lines")) & heads(squeezed(joined(part(h), "")))))).where("head is not null")
     table = F.array(*(F.struct(F.lit(k).alias("keyword"), F.lit(f).alias("field")) for k, f in rules))
 
     def placed(fields: Column, w: Column) -> Column:
         field = first(table, lambda r: F.contains(squeezed(w.text), r["keyword"]) & ~F.map_contains_key(fields, r["field"]))["field"]
         return F.when(field.isNull(), fields).otherwise(F.map_concat(fields, F.create_map(F.coalesce(field, F.lit("")), (w.x0 + w.x1) / 2)))
 
-    page = page.withColumn("fields", F.aggregate(part(F.col("head")), F.create_map().cast("map<string,double>"), placed)).where(F.map_contains_key("fields", "contract_amount"))
-    page = page.withColumn("body", F.slice("lines", F.col("head")["at"] + F.col("head")["n"] + 1, F.size("lines")))
+    page = held(page.withColumn("fields", F.aggregate(part(F.col("head")), F.create_map().cast("map<string,double>"), placed))).where(F.map_contains_key("fields", "contract_amount"))
+    page = held(page.withColumn("body", F.slice("lines", F.col("head")["at"] + F.col("head")["n"] + 1, F.size("lines"))))
     at = lambda f: F.try_element_at("fields", F.lit(f))
     near = lambda ws, x: F.nullif(joined(F.filter(ws, lambda w: F.abs((w.x0 + w.x1) / 2 - x) <= COLUMN_APART)), F.lit(""))
     money = lambda line: amounts.last_amount(near(line, at("contract_amount")))
