@@ -2,7 +2,8 @@
 
 A token's score is the log-odds of toxic against other documents, smoothed by a Dirichlet prior whose mean is the odds of the
 token's next shorter beginning, and so on down to the corpus's odds: rare words lean on their stems, frequent ones speak for
-themselves. Evidence that its own error covers counts as none, and each token costs DRIFT, so a random text's sums fall.
+themselves. Evidence that its own error covers counts as none, a token's k-th stand in a text counts by k (odds are of texts, and a junk
+text may repeat one word throughout), and each token costs DRIFT, so a random text's sums fall.
 A linear-time scan then finds every maximal segment of a document (the segments of highest sum, none of which can be
 extended or joined with gain). How high such sums rise in clean texts follows an extreme-value law, whose rate and size
 are fitted to clean training documents scored by a model of the other half; segments beyond it are significant passages,
@@ -66,7 +67,7 @@ def tokens_of(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.n
             for i in live:
                 rest = raw[start[i] + k : start[i] + length[i]].astype(np.uint64) + np.uint64(1)
                 power = np.cumprod(np.full(len(rest), ODD, np.uint64))
-                whole[i] = whole[i] * power[-1] + (rest[::-1] * np.append(np.uint64(1), power[:-1])).sum(dtype=np.uint64)
+                whole[i : i + 1] = whole[i : i + 1] * power[-1:] + (rest[::-1] * np.append(np.uint64(1), power[:-1])).sum(dtype=np.uint64, keepdims=True)
             break
         whole[live] = whole[live] * ODD + raw[start[live] + k] + np.uint64(1)
     return mix(whole + (length.astype(np.uint64) << np.uint64(32))), stems, start - off[np.repeat(np.arange(len(off) - 1), np.diff(counts))], length, counts
@@ -108,8 +109,8 @@ class Model:
     size: float = 0.0
     logistic: tuple[float, float] = (0.0, 0.0)
 
-    def of(self, whole: np.ndarray, stems: np.ndarray) -> np.ndarray:
-        """Scores less DRIFT: of the longest form that the model knows."""
+    def of(self, whole: np.ndarray, stems: np.ndarray, counts: np.ndarray) -> np.ndarray:
+        """Scores less DRIFT: of the longest form that the model knows, for a token's k-th stand in its text by k if it speaks for toxic."""
         out = np.zeros(len(whole))
         if not len(self.hashes):
             return out - DRIFT
@@ -120,7 +121,15 @@ class Model:
             known = open_ & (self.hashes[place] == form) & (form != 0)
             value[known] = self.scores[place[known]]
             open_ &= ~known
-        return value[back] - DRIFT
+        out = value[back]
+        up = np.flatnonzero(out > 0)
+        doc = np.searchsorted(counts, up, "right")
+        order = np.lexsort((back[up], doc))
+        new = np.ones(len(up), bool)
+        new[1:] = (back[up][order][1:] != back[up][order][:-1]) | (doc[order][1:] != doc[order][:-1])
+        first = np.flatnonzero(new)
+        out[up[order]] /= np.arange(len(up)) - np.repeat(first, np.diff(np.append(first, len(up)))) + 1
+        return out - DRIFT
 
     def excess(self, total: np.ndarray | float, tokens: int) -> np.ndarray | float:
         """By how much a segment's sum, in units of the law, tops what a clean text of so many tokens shows once."""
@@ -159,7 +168,7 @@ def odds(hashes: np.ndarray, parents: np.ndarray, level: np.ndarray, toxic: np.n
         a, b = toxic[mine] + PRIOR * mean, other[mine] + PRIOR * (1 - mean)
         posterior[mine] = a / (a + b)
         value = np.log(a / b) - np.log(share / (1 - share))
-        error = np.sqrt(1 / a + 1 / b)
+        error = np.sqrt(1 / np.maximum(a, 0.5) + 1 / np.maximum(b, 0.5))  # half a document at least: a sure parent is no doubt
         out[mine] = np.where(np.abs(value) >= ERRORS * error, np.clip(value, -MOST_SCORE, MOST_SCORE), 0)
     return out
 
@@ -259,7 +268,7 @@ def train(docs: DataFrame, labels: DataFrame, most: int = MOST_ROWS) -> Model:
             for piece in pieces(batch, "text"):
                 whole, stems, _, _, counts = tokens_of(piece.column("text"))
                 half = piece.column("half").to_pylist()
-                both = [m.of(whole, stems) for m in crossed]
+                both = [m.of(whole, stems, counts) for m in crossed]
                 found = [[s for _, _, s in segments(both[k][a:b])] for k, a, b in zip(half, counts[:-1], counts[1:], strict=True)]
                 yield pa.RecordBatch.from_arrays([piece.column("toxic"), pa.array(np.diff(counts)), pa.array([sorted(f, reverse=True)[:64] for f in found], pa.list_(pa.float64()))], ["toxic", "tokens", "sums"])
 
@@ -281,7 +290,7 @@ def scored(docs: DataFrame, model: Model) -> DataFrame:
         for batch in batches:
             for piece in pieces(batch, "text"):
                 whole, stems, _, _, counts = tokens_of(piece.column("text"))
-                values, out = model.of(whole, stems), []
+                values, out = model.of(whole, stems, counts), []
                 for a, b in zip(counts[:-1], counts[1:], strict=True):
                     total, found = model.judged(segments(values[a:b]), b - a)
                     score = model.score(total)
@@ -300,7 +309,7 @@ def passages(docs: DataFrame, model: Model) -> DataFrame:
         for batch in batches:
             for piece in pieces(batch, "text"):
                 whole, stems, start, length, counts = tokens_of(piece.column("text"))
-                values, out = model.of(whole, stems), []
+                values, out = model.of(whole, stems, counts), []
                 for i, (doc, text) in enumerate(zip(piece.column("doc_id").to_pylist(), pc.utf8_lower(piece.column("text")).to_pylist(), strict=True)):
                     a, b = counts[i], counts[i + 1]
                     for first, end, s, p in model.judged(segments(values[a:b]), b - a)[1]:
