@@ -43,3 +43,29 @@ def rank_matrix(df: DataFrame, group: str, rank: str, cell: str, ranks: int, gro
     rows = df.sparkSession.range(1, ranks + 1).select(F.col("id").alias(rank))
     wide = df.groupBy(rank).pivot(group, groups).agg(F.first(cell))
     return rows.join(wide, rank, "left").na.fill(default, [str(g) for g in groups])
+
+
+#: Consecutive orders that one window of the functions below holds at most.
+RUN = 1024
+
+
+def carried_far(df: DataFrame, keys: list[str], order: str, value: str, out: str) -> DataFrame:
+    """The last value that is not NULL, up to this row, where a key may hold any number of rows: within runs of consecutive
+    orders (an integer column), then from run to run, so a window holds a run's rows or one row a run."""
+    df = df.withColumn("_run", F.floor(F.col(order) / RUN))
+    inner = Window.partitionBy(*keys, "_run").orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
+    outer = Window.partitionBy(*keys).orderBy("_run").rowsBetween(Window.unboundedPreceding, -1)
+    ends = df.groupBy(*keys, "_run").agg(F.max_by(value, F.when(F.col(value).isNotNull(), F.col(order))).alias("_end"))
+    ends = ends.select(*keys, "_run", F.last("_end", ignorenulls=True).over(outer).alias("_before"))
+    found = df.withColumn(out, F.last(value, ignorenulls=True).over(inner)).join(ends, [*keys, "_run"])
+    return found.withColumn(out, F.coalesce(out, "_before")).drop("_run", "_before")
+
+
+def summed_far(df: DataFrame, keys: list[str], order: str, value: str, out: str) -> DataFrame:
+    """The sum of a column over the rows before this one, in the same two steps."""
+    df = df.withColumn("_run", F.floor(F.col(order) / RUN))
+    inner = Window.partitionBy(*keys, "_run").orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
+    outer = Window.partitionBy(*keys).orderBy("_run").rowsBetween(Window.unboundedPreceding, -1)
+    runs = df.groupBy(*keys, "_run").agg(F.sum(value).alias("_sum")).select(*keys, "_run", F.coalesce(F.sum("_sum").over(outer), F.lit(0)).alias("_before"))
+    found = df.withColumn(out, F.coalesce(F.sum(value).over(inner), F.lit(0))).join(runs, [*keys, "_run"])
+    return found.withColumn(out, F.col(out) + F.col("_before")).drop("_run", "_before")
