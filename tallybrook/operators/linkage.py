@@ -9,13 +9,15 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType
 
-GRAM = 4
-#: Rule tables up to this many rows are broadcast; more are blocked or shuffled.
+from tallybrook.operators import automaton
+
+#: Least length of a text within another, by the source's rule.
+LEAST_INSIDE = 4
+#: Passages that ride in a plan at most.
 MOST_RULES = 5000
-MOST_OCTETS = 1 << 22
 
 
-def grams(text: Column, n: int = GRAM) -> Column:
+def grams(text: Column, n: int) -> Column:
     places = F.sequence(F.lit(1), F.greatest(F.char_length(text) - n + 1, F.lit(1)))
     return F.when(F.char_length(text) >= n, F.array_distinct(F.transform(places, lambda i: F.substring(text, i, F.lit(n))))).otherwise(F.array().cast("array<string>"))
 
@@ -23,19 +25,13 @@ def grams(text: Column, n: int = GRAM) -> Column:
 def contains_join(long: DataFrame, short: DataFrame, text: str, part: str, least: int = 1) -> DataFrame:
     """Rows of `long` and `short` where text contains part, of `least` characters or more; an empty part is in no text.
 
-    A contained text shares its own first GRAM characters, or all if it has fewer, so the equi-join on that gram loses
-    nothing. Grams of fewer characters are made only for the lengths that parts have, which are counted first. Few and
-    short parts go to the texts, which then are not shuffled with their grams.
+    One automaton over the parts reads each text once; its hits meet the rows of `short` by equality.
     """
-    keyed = short.where(F.char_length(part) >= max(least, 1)).withColumn("_gram", F.substring(part, 1, GRAM))
-    sizes, rows, octets = keyed.agg(F.collect_set(F.char_length("_gram")), F.count("*"), F.coalesce(F.sum(F.octet_length(part)), F.lit(0))).first()  # GRAM sizes at most
-    if rows <= MOST_RULES and octets <= MOST_OCTETS:
-        keyed = F.broadcast(keyed)
-    every = F.flatten(F.array(*(grams(F.col(text), n) for n in sizes))) if sizes else F.array().cast("array<string>")
-    return long.withColumn("_gram", F.explode(every)).join(keyed, "_gram").where(F.contains(F.col(text), F.col(part))).drop("_gram")
+    keyed = short.where(F.char_length(part) >= max(least, 1))
+    return automaton.hits(long, text, keyed, part).join(keyed, part)
 
 
-def either_contains(left: DataFrame, right: DataFrame, a: str, b: str, least: int = GRAM) -> DataFrame:
+def either_contains(left: DataFrame, right: DataFrame, a: str, b: str, least: int = LEAST_INSIDE) -> DataFrame:
     """Pairs where either text contains the other, the inner one of `least` characters or more (the source's rule: four)."""
     return contains_join(left, right, a, b, least).unionByName(contains_join(right, left, b, a, least)).distinct()
 
@@ -74,18 +70,16 @@ def best_rule(text: Column, rules: list[tuple[list[str], str, float]]) -> Column
     return F.when(hit.isNotNull(), F.struct(hit["label"].alias("label"), hit["confidence"].alias("confidence"), F.try_element_at(F.filter(hit["keywords"], lambda k: F.contains(text, k)), F.lit(1)).alias("keyword")))
 
 
-def dictionary_match(df: DataFrame, dictionary: DataFrame, key: str, text: str) -> DataFrame:
-    """(key, equipment_id, confidence) for a dictionary of (equipment_id, keyword, confidence, seq).
+def dictionary_match(df: DataFrame, dictionary: DataFrame, key: str, text: str, stop: tuple[str, ...] = ()) -> DataFrame:
+    """(key, equipment_id, confidence) for a dictionary of (equipment_id, keyword, confidence).
 
-    Keywords of ASCII words need no letter or digit to their left. The best confidence of each item counts. The pairs
-    come from an equi-join on words where a keyword is one ASCII word, else on the keyword's first characters.
+    Keywords in ASCII with a letter or digit need no letter or digit to their left; those of the stop-list count for nothing.
+    The best confidence of each item counts.
     """
-    ascii_word = F.col("keyword").rlike("^[A-Za-z0-9]+$")
-    short = dictionary.withColumns({"_word": ascii_word, "_gram": F.substring("keyword", 1, 2)}).where(F.char_length("keyword") >= 2)
-    bounded = F.regexp_like(F.col(text), F.concat(F.lit("(?<![A-Za-z0-9])\\Q"), F.col("keyword"), F.lit("\\E")))
-    pairs = df.select(key, text, F.explode(grams(F.col(text), 2)).alias("_gram")).join(short, "_gram")
-    hits = pairs.where(F.when(F.col("_word"), bounded).otherwise(F.contains(F.col(text), F.col("keyword"))))
-    return hits.groupBy(key, "equipment_id").agg(F.max("confidence").alias("confidence"))
+    word = F.col("keyword").rlike(r"^[\x00-\x7F]*[A-Za-z0-9][\x00-\x7F]*$")
+    known = dictionary.where(~F.col("keyword").isin(*stop)) if stop else dictionary
+    hits = automaton.hits(df, text, known.withColumn("_word", word), "keyword", "_word", [key])
+    return hits.join(known, "keyword").groupBy(key, "equipment_id").agg(F.max("confidence").alias("confidence"))
 
 
 def cascade(df: DataFrame, steps: list[tuple[str, Column]], default: Column) -> DataFrame:

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallybrook.functions import dates
-from tallybrook.operators import coverage, enrichment, linkage, merge, verify, windows
+from tallybrook.operators import coverage, enrichment, intervals, linkage, merge, verify, windows
 from tallybrook.sources.ledger import table
 
 QUERIES: dict = {}
@@ -132,3 +132,27 @@ def rolling_months_of_files(spark: SparkSession, sf: str) -> DataFrame:
 @query("""select rule, keyword, label, cast(confidence as double) as confidence from (values (1, 'small', 'a', 0.7), (1, 'ring', 'a', 0.7), (2, 'red', 'b', 0.9)) as t(rule, keyword, label, confidence)""")
 def rule_catalogue(spark: SparkSession, sf: str) -> DataFrame:
     return enrichment.catalogue(spark, [(["small", "ring"], "a", 0.7), (["red"], "b", 0.9)])
+
+
+@query("""with i as (select date_diff('day', date '1970-01-01', l_shipdate::date) as a, date_diff('day', date '1970-01-01', l_shipdate::date) + l_quantity::int * case when l_linenumber = 7 then 30 else 1 end as b, l_quantity::int as q from lineitem),
+d as (select distinct date_diff('day', date '1970-01-01', o_orderdate::date) as day from orders), n as (select day, count(*) as items, sum(q) as quantity from d join i on day between a and b group by 1)
+select o_orderkey, coalesce(items, 0)::bigint as items, coalesce(quantity, 0)::bigint as quantity from orders left join n on day = date_diff('day', date '1970-01-01', o_orderdate::date)""")
+def items_in_transit(spark: SparkSession, sf: str) -> DataFrame:
+    """For each order, the items under way on its date, some of them for years: a range join without a nested loop."""
+    day = lambda c: F.unix_date(F.col(c).cast("date"))
+    long = F.when(F.col("l_linenumber") == 7, 30).otherwise(1)
+    under_way = table(spark, sf, "lineitem").select(day("l_shipdate").alias("a"), F.col("l_quantity").cast("int").alias("q"), long.alias("by")).select("a", (F.col("a") + F.col("q") * F.col("by")).alias("b"), "q")
+    orders = table(spark, sf, "orders").select("o_orderkey", day("o_orderdate").alias("day"))
+    both = under_way.groupBy("a", "b").agg(F.count("*").alias("n"), F.sum("q").alias("q"))
+    out = intervals.counted(intervals.counted(orders, both, "day", ("a", "b"), "items", "n"), both, "day", ("a", "b"), "quantity", "q")
+    return out.select("o_orderkey", F.col("items").cast("long").alias("items"), F.col("quantity").cast("long").alias("quantity"))
+
+
+@query("""select x.o_custkey, count(*) as pairs, min(date_diff('day', x.o_orderdate::date, y.o_orderdate::date)) as nearest from orders x join orders y on x.o_custkey = y.o_custkey and x.o_orderkey <> y.o_orderkey
+and y.o_orderdate::date between x.o_orderdate::date and x.o_orderdate::date + interval 90 day group by 1""")
+def orders_soon_after(spark: SparkSession, sf: str) -> DataFrame:
+    """Pairs of a customer's orders of which one follows the other within 90 days: a range join within a key."""
+    o = table(spark, sf, "orders").select("o_custkey", F.col("o_orderkey").alias("x"), F.unix_date(F.col("o_orderdate").cast("date")).alias("a"))
+    later = o.select("o_custkey", F.col("x").alias("y"), F.col("a").alias("p"))
+    pairs = intervals.overlapping(o.withColumn("b", F.col("a") + 90), later, ("a", "b"), ("p", "p"), ["o_custkey"]).where("x <> y")
+    return pairs.groupBy("o_custkey").agg(F.count("*").alias("pairs"), F.min(F.col("p") - F.col("a")).cast("long").alias("nearest"))

@@ -8,13 +8,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallybrook.functions import text
-from tallybrook.operators import linkage
+from tallybrook.operators import automaton, linkage
 from tallybrook.plans.ledger_queries import BEST_SQL
 from tallybrook.sources import grids
 from tallybrook.sources.ledger import CONTRACTS_SQL, contracts, table
 
-#: Benchmark passages up to this many are broadcast.
-MOST_PASSAGES = 20_000
 QUERIES: dict = {}
 SQL: dict[str, str] = {}
 
@@ -182,22 +180,19 @@ def multi_strategy(spark: SparkSession, sf: str) -> DataFrame:
     return linkage.multi_strategy(p, known, [("exact", "address"), ("page", "bare")], "doc").select("page_id", "doc", "strategy")
 
 
-@query("select b.item_id, count(*) as documents from benchmark b join documents d on contains(d.text, b.text) group by 1")
+@query("select b.item_id, count(*) as documents from benchmark b join documents d on contains(d.text, b.text) where b.text <> '' group by 1")
 def benchmark_containment(spark: SparkSession, sf: str) -> DataFrame:
-    """Texts that hold a benchmark passage, blocked on the passage's second to fourth words.
-
-    Those words stand between white space in the passage, so they do in a text that holds it: nothing is lost. Passages of
-    under five words, of which there are few, are sought in every text.
-    """
-    passages = table(spark, sf, "benchmark").withColumn("anchor", F.regexp_extract("text", r"^\S*\s(\S+ \S+ \S+)\s", 1)).select("item_id", F.col("text").alias("part"), "anchor")
-    few, none = passages.agg(F.count("*") <= MOST_PASSAGES, F.count_if(F.col("anchor") == "") == 0).first()
-    docs, anchored = table(spark, sf, "documents").select("doc_id", "text"), passages.where("anchor <> ''")
-    words = F.explode(F.array_distinct(F.regexp_extract_all("text", F.lit(r"(?<=\s)(?=(\S+ \S+ \S+)\s)"), F.lit(1)))).alias("anchor")
-    if few:  # the passages go to the texts, which stay where they are
-        held = docs.select("doc_id", "text", words).join(F.broadcast(anchored), "anchor")
-    else:
-        held = docs.select("doc_id", words).join(anchored, "anchor").join(docs, "doc_id")
-    held = held.where(F.contains("text", F.col("part"))).select("doc_id", "item_id")
-    if not none:
-        held = held.unionByName(docs.join(passages.where("anchor = ''"), F.contains(F.col("text"), F.col("part"))).select("doc_id", "item_id"))
-    return held.groupBy("item_id").agg(F.count_distinct("doc_id").alias("documents"))
+    """Texts that hold a benchmark passage: all passages are sought in one reading of a text; an empty one is in none."""
+    passages = table(spark, sf, "benchmark").select("item_id", F.col("text").alias("part"))
+    held = automaton.hits(table(spark, sf, "documents").select("doc_id", "text"), "text", passages, "part", keep=["doc_id"])
+    return held.join(passages, "part").groupBy("item_id").agg(F.count_distinct("doc_id").alias("documents"))
+
+
+@query("""with k as (select item_id, unnest(regexp_extract_all(text, '[A-Za-z]{7,}')) as keyword from benchmark), w as (select distinct keyword from k),
+h as (select doc_id, keyword from documents join w on contains(text, keyword) where regexp_matches(text, '(^|[^A-Za-z0-9])' || keyword))
+select doc_id, item_id as equipment_id, max(length(keyword) / 100.0)::double as confidence from h join k using (keyword) group by 1, 2""")
+def benchmark_words(spark: SparkSession, sf: str) -> DataFrame:
+    """The words of seven letters or more of all benchmark texts as a dictionary, sought in all documents."""
+    words = table(spark, sf, "benchmark").select(F.col("item_id").alias("equipment_id"), F.explode(F.regexp_extract_all("text", F.lit("[A-Za-z]{7,}"), F.lit(0))).alias("keyword"))
+    known = words.distinct().withColumn("confidence", (F.char_length("keyword") / F.lit(100.0)))
+    return linkage.dictionary_match(table(spark, sf, "documents").select("doc_id", "text"), known, "doc_id", "text")
