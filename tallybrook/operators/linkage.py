@@ -1,20 +1,16 @@
-"""Record linkage: ordered rules, blocked substring joins, nearest years, fuzzy scores, and links by natural keys."""
+"""Record linkage: ordered rules, blocked substring joins, nearest years, and links by natural keys."""
 
 from __future__ import annotations
 
 from functools import reduce
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import DoubleType
 
 from tallybrook.operators import automaton
 
 #: Least length of a text within another, by the source's rule.
 LEAST_INSIDE = 4
-#: Passages that ride in a plan at most.
-MOST_RULES = 5000
 
 
 def grams(text: Column, n: int) -> Column:
@@ -98,64 +94,6 @@ def bigram_jaccard_join(left: DataFrame, right: DataFrame, key: str, a: str, b:
     return out.withColumn("jaccard", score).where(F.col("jaccard") >= least).select(key, b, "jaccard")
 
 
-def _lcs(a: str, b: str) -> int:
-    """Length of the longest common subsequence, by bits."""
-    places: dict[str, int] = {}
-    for i, c in enumerate(a):
-        places[c] = places.get(c, 0) | 1 << i
-    row, full = (1 << len(a)) - 1, (1 << len(a)) - 1
-    for c in b:
-        m = row & places.get(c, 0)
-        row = ((row + m) | (row - m)) & full
-    return len(a) - row.bit_count()
-
-
-def indel_ratio(a: str, b: str) -> float:
-    return 100.0 if not a and not b else 200.0 * _lcs(a, b) / (len(a) + len(b))
-
-
-def token_set_ratio(a: str, b: str) -> float:
-    x, y = set(a.split()), set(b.split())
-    if not x or not y:
-        return 0.0
-    both, left, right = sorted(x & y), sorted(x - y), sorted(y - x)
-    if both and (not left or not right):
-        return 100.0
-    base = " ".join(both)
-    one, two = " ".join([*both, *left]), " ".join([*both, *right])
-    scores = [indel_ratio(" ".join(left), " ".join(right)) if not both else indel_ratio(one, two)]
-    if both:
-        scores += [indel_ratio(base, one), indel_ratio(base, two)]
-    return max(scores)
-
-
-@F.pandas_udf(DoubleType())
-def token_set_score(a: pd.Series, b: pd.Series) -> pd.Series:
-    return pd.Series([None if x is None or y is None else token_set_ratio(x, y) for x, y in zip(a, b, strict=True)], dtype="float64")
-
-
-def best_fuzzy(df: DataFrame, corpus: DataFrame, key: str, text: str, name: str, seq: str, cutoff: float = 78.0) -> DataFrame:
-    """(key, name, score / 100) of the best corpus entry at or over the cutoff; of equals, the first by seq.
-
-    Candidates share a two-character gram: texts without one have a score far below any cutoff in use.
-    """
-    near = df.select(key, text, F.explode(grams(F.col(text), 2)).alias("_g")).join(corpus.select(name, seq, F.explode(grams(F.col(name), 2)).alias("_g")), "_g")
-    near = near.groupBy(key, text, name, seq).agg(F.count("*").alias("_n"))
-    scored = near.withColumn("score", token_set_score(text, name)).where(F.col("score") >= cutoff)
-    return scored.groupBy(key).agg(F.min_by(F.struct(name, F.round(F.col("score") / 100, 3).alias("confidence")), F.struct(-F.col("score"), seq)).alias("r")).select(key, "r.*")
-
-
-def nearest_centroid(vectors: DataFrame, centroids: DataFrame, key: str, vector: str, label: str, least: float) -> DataFrame:
-    """The label of the most alike of a few passages, if alike enough. The passages (counted, under MOST_RULES) ride in the plan."""
-    rows = centroids.orderBy(label).limit(MOST_RULES + 1).collect()
-    if len(rows) > MOST_RULES:
-        raise ValueError("too many passages")
-    dot = lambda v: F.aggregate(F.zip_with(vector, v, lambda a, b: a * b), F.lit(0.0), lambda s, x: s + x)
-    options = [F.struct(dot(F.array(*map(F.lit, r[vector]))).alias("score"), F.lit(r[label]).alias(label)) for r in rows]
-    best = F.array_max(F.array(*options))
-    return vectors.select(key, best[label].alias(label), F.round(best["score"], 4).alias("confidence")).where(F.col("confidence") >= least)
-
-
 def relinked(enrichment: DataFrame, contracts: DataFrame, keys: list[str], payload: str, mode: str = "lossless") -> DataFrame:
     """Finds contract ids for rows that carry natural keys and an ordinal (dup_ordinal).
 

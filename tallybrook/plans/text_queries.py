@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallybrook.functions import text
-from tallybrook.operators import automaton, linkage
+from tallybrook.operators import automaton, fuzzy, linkage, passages
 from tallybrook.plans.ledger_queries import BEST_SQL
 from tallybrook.sources import grids
 from tallybrook.sources.ledger import CONTRACTS_SQL, contracts, table
@@ -126,10 +126,19 @@ def bigram_jaccard(spark: SparkSession, sf: str) -> DataFrame:
     return linkage.bigram_jaccard_join(table(spark, sf, "part"), names, "p_partkey", "p_name", "name").withColumn("jaccard", F.round("jaccard", 6))
 
 
-@query()
+@query("""with t as (select distinct p_name || ' ' || lower(p_brand) as a from part), n as (select regexp_replace(p_name, '$', 's') || ' ' || lower(p_brand) as b, min(p_partkey) as seq from part where p_size <= 2 group by 1),
+w as (select a, b, seq, list_sort(list_distinct(string_split(a, ' '))) as x, list_sort(list_distinct(string_split(b, ' '))) as y from t, n),
+d as (select *, array_to_string(list_sort(list_intersect(x, y)), ' ') as base, array_to_string(list_filter(x, lambda v: not list_contains(y, v)), ' ') as l, array_to_string(list_filter(y, lambda v: not list_contains(x, v)), ' ') as r from w),
+c as (select *, list_reduce(string_split(l, ''), lambda row, ch: list_reduce(range(1, length(r) + 1), lambda new, j: list_append(new, case when r[j] = ch then row[j] + 1 else greatest(row[j + 1], new[j]) end), [0::bigint]), list_transform(range(0, length(r) + 1), lambda i: 0::bigint)) as rows from d),
+e as (select a, b, seq, length(base) as s, length(l) as p, length(r) as q, coalesce(rows[length(r) + 1], 0) as m from c),
+f as (select a, b, seq, case when s > 0 and (p = 0 or q = 0) then 100.0::double when s = 0 then 200.0::double * m / (p + q)
+  else greatest(200.0::double * (s + 1 + m) / (2 * s + 2 + p + q), 200.0::double * s / (2 * s + 1 + p), 200.0::double * s / (2 * s + 1 + q)) end as score from e),
+g as (select *, row_number() over (partition by a order by score desc, seq) as k from f where score >= 78)
+select p_partkey, b as name, round(score / 100, 3) as confidence from part join g on g.a = p_name || ' ' || lower(p_brand) where k = 1""")
 def fuzzy_best(spark: SparkSession, sf: str) -> DataFrame:
-    names = spark.createDataFrame([("small ring set", 1), ("red widget", 2), ("blue gear box", 3)], "name string, seq int")
-    return linkage.best_fuzzy(table(spark, sf, "part"), names, "p_partkey", "p_name", "name", "seq")
+    """Each part's name and brand against a list of those of a few sizes, in the plural."""
+    part = table(spark, sf, "part").select("p_partkey", "p_size", F.concat_ws(" ", "p_name", F.lower("p_brand")).alias("text"), F.concat("p_name", F.lit("s "), F.lower("p_brand")).alias("name"))
+    return fuzzy.best(part, part.where("p_size <= 2"), "p_partkey", "text", "name", "p_partkey")
 
 
 @query("""with m as (select label, i, avg(embedding[i]) as m from embeddings, range(1, 65) t(i) group by 1, 2), c as (select label, list(m order by i) as v from m group by 1),
@@ -137,9 +146,9 @@ s as (select vec_id, c.label, list_sum(list_transform(list_zip(embedding, v), la
 r as (select *, row_number() over (partition by vec_id order by d desc, label desc) as k from s) select vec_id, label, round(d, 4) as confidence from r where k = 1 and round(d, 4) >= 0""")
 def embedding_argmax(spark: SparkSession, sf: str) -> DataFrame:
     e = table(spark, sf, "embeddings")
-    dims = e.agg(F.max(F.size("embedding"))).first()[0]
-    means = e.groupBy("label").agg(F.array(*(F.avg(F.get("embedding", F.lit(i))) for i in range(dims))).alias("embedding"))
-    return linkage.nearest_centroid(e, means, "vec_id", "embedding", "label", 0.0)
+    means = e.select("label", F.posexplode("embedding").alias("i", "x")).groupBy("label", "i").agg(F.avg("x").alias("m"))
+    means = means.groupBy("label").agg(F.sort_array(F.collect_list(F.struct("i", "m")))["m"].alias("embedding"))
+    return passages.nearest(e, means, "vec_id", "embedding", "label", 0.0)
 
 
 @query("select d.doc_id, l.quality, count(*) as n from documents d join labels l on l.doc_id = d.doc_id group by 1, 2")
@@ -183,9 +192,9 @@ def multi_strategy(spark: SparkSession, sf: str) -> DataFrame:
 @query("select b.item_id, count(*) as documents from benchmark b join documents d on contains(d.text, b.text) where b.text <> '' group by 1")
 def benchmark_containment(spark: SparkSession, sf: str) -> DataFrame:
     """Texts that hold a benchmark passage: all passages are sought in one reading of a text; an empty one is in none."""
-    passages = table(spark, sf, "benchmark").select("item_id", F.col("text").alias("part"))
-    held = automaton.hits(table(spark, sf, "documents").select("doc_id", "text"), "text", passages, "part", keep=["doc_id"])
-    return held.join(passages, "part").groupBy("item_id").agg(F.count_distinct("doc_id").alias("documents"))
+    wanted = table(spark, sf, "benchmark").select("item_id", F.col("text").alias("part"))
+    held = automaton.hits(table(spark, sf, "documents").select("doc_id", "text"), "text", wanted, "part", keep=["doc_id"])
+    return held.join(wanted, "part").groupBy("item_id").agg(F.count_distinct("doc_id").alias("documents"))
 
 
 @query("""with k as (select item_id, unnest(regexp_extract_all(text, '[A-Za-z]{7,}')) as keyword from benchmark), w as (select distinct keyword from k),

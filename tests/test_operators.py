@@ -5,7 +5,7 @@ import gzip
 import pytest
 from pyspark.sql import functions as F
 
-from tallybrook.operators import linkage, merge, verify, votes, windows
+from tallybrook.operators import fuzzy, linkage, merge, verify, votes, windows
 from tallybrook.sources import exports, grids
 from tallybrook.streaming import incremental
 
@@ -62,7 +62,7 @@ def test_years(spark):
 
 @pytest.mark.parametrize("a, b, want", [("abc", "abc", 100), ("", "a", 0), ("a b", "b a c", 100), ("abcd", "abxd", 75)])
 def test_token_set_ratio(a, b, want):
-    assert linkage.token_set_ratio(a, b) == pytest.approx(want)
+    assert fuzzy.token_set_ratio(a, b) == pytest.approx(want)
 
 
 def test_relinked(spark):
