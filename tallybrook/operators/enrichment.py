@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallybrook.functions import dates
+from tallybrook.functions import dates, text
 from tallybrook.operators import linkage, votes
 
 
@@ -14,41 +14,61 @@ def _answer(org: Column, source: str, confidence: Column | float, ref: Column |
     return F.when(org.isNotNull(), F.struct(org.alias("org"), F.lit(source).alias("source"), c.cast("double").alias("confidence"), (ref if ref is not None else F.lit(None)).cast("bigint").alias("ref")))
 
 
-def requesting_org(contracts: DataFrame, planned: DataFrame, agency_rules: list[tuple[str, str]], overrides: list[tuple[str, str]], keyword_rules: list[tuple[str, str]], vendor_rules: list[tuple[str, str]], default: str) -> DataFrame:
-    """id and the first answer of: agency, sub-agency, exact name, contained name, override, month or majority among
-    planned items of the name, vendor, keywords, default.
+def requesting_org(
+    contracts: DataFrame, planned: DataFrame, agency_rules: list[tuple[str, str]], overrides: list[tuple[str, str]], inferred: list[tuple[str, str]], vendor_rules: list[tuple[str, str]], default: str,
+    explicit: list[tuple[str, str]] | None = None, branches: DataFrame | None = None, joint: DataFrame | None = None,
+) -> DataFrame:
+    """id and the first answer of: agency (of other agencies than the central one, else the default), sub-agency, exact name,
+    contained name, override, month or majority among planned items of the name, equipment's branch, vendor, explicit keywords,
+    inferred keywords, joint equipment, default.
 
     contracts: id, agency_id, contract_name, name_norm, vendor_name, contract_date, fiscal_year. planned: id, org,
-    name_norm, fiscal_year, month (fiscal numbering), each id first seen in its order.
+    name_norm, fiscal_year, month (fiscal numbering), each id first seen in its order. branches: id, branch, seq of the
+    equipment linked to a contract, whose majority counts; joint: id, org of joint equipment, which counts if unanimous.
     """
     one = planned.groupBy("name_norm").agg(F.min("org").alias("_lo"), F.max("org").alias("_hi"), F.min("id").alias("ref"), F.collect_set("fiscal_year").alias("years"))
     single = one.where("_lo = _hi").select("name_norm", F.col("_lo").alias("one_org"), "ref", "years")
     exact = single.select("name_norm", F.col("one_org").alias("exact_org"), F.col("ref").alias("exact_ref"))
-    names = contracts.select("id", F.col("name_norm").alias("_name"))
-    near = linkage.longest_contained(names, single.select(F.col("name_norm").alias("part"), "one_org", "ref", "years"), "id", "_name", "part", "ref").select("id", F.col("one_org").alias("near_org"), F.col("ref").alias("near_ref"), "years")
+    names = contracts.select("name_norm", F.col("name_norm").alias("_name")).where("name_norm is not null").distinct()
+    near = linkage.longest_contained(names, single.select(F.col("name_norm").alias("part"), "one_org", "ref", "years"), "name_norm", "_name", "part", "ref").select("name_norm", F.col("one_org").alias("near_org"), F.col("ref").alias("near_ref"), "years")
     several = planned.join(one.where("_lo <> _hi").select("name_norm"), "name_norm")
-    most = votes.majority(several, "name_norm", "org", "id").select("name_norm", F.col("org").alias("most_org"))
-    by_month = several.groupBy("name_norm", "month").agg(F.min("org").alias("_lo"), F.max("org").alias("_hi")).where("_lo = _hi").select("name_norm", "month", F.col("_lo").alias("month_org"))
-    fiscal = by_month.select("name_norm", F.col("month").alias("_fiscal"), F.col("month_org").alias("fiscal_org"))
-    plain = by_month.select("name_norm", F.col("month").alias("_plain"), F.col("month_org").alias("plain_org"))
+    most = votes.majority(several, "name_norm", "org", "id")
+    most = most.join(several.groupBy("name_norm", "org").agg(F.min("id").alias("most_ref")), ["name_norm", "org"]).select("name_norm", F.col("org").alias("most_org"), "most_ref")
+    by_month = several.groupBy("name_norm", "month").agg(F.min("org").alias("_lo"), F.max("org").alias("_hi"), F.min("id").alias("_ref"))
+    by_month = by_month.where("month is not null").select("name_norm", "month", F.struct(F.when(F.col("_lo") == F.col("_hi"), F.col("_lo")).alias("org"), F.col("_ref").alias("ref")).alias("at"))
+    fiscal = by_month.select("name_norm", F.col("month").alias("_fiscal"), F.col("at").alias("fiscal_at"))
+    plain = by_month.select("name_norm", F.col("month").alias("_plain"), F.col("at").alias("plain_at"))
     month = dates.month_of_text(F.col("contract_date"))
-    c = contracts.withColumns({"_fiscal": dates.fiscal_month(month), "_plain": month})
-    c = c.join(exact, "name_norm", "left").join(near, "id", "left").join(most, "name_norm", "left").join(fiscal, ["name_norm", "_fiscal"], "left").join(plain, ["name_norm", "_plain"], "left")
+    c = contracts.withColumns({"_fiscal": dates.fiscal_month(month), "_plain": month, "_text": text.nfkc(F.col("contract_name")), "_vendor": F.trim(text.nfkc(F.col("vendor_name")))})
+    c = c.join(exact, "name_norm", "left").join(near, "name_norm", "left").join(most, "name_norm", "left").join(fiscal, ["name_norm", "_fiscal"], "left").join(plain, ["name_norm", "_plain"], "left")
+    none = lambda name: F.lit(None).cast("string").alias(name)
+    if branches is not None:
+        c = c.join(votes.majority(branches, "id", "branch", "seq").select("id", F.col("branch").alias("_branch")), "id", "left")
+    else:
+        c = c.select("*", none("_branch"))
+    c = c.join(votes.unanimous(joint, "id", "org").select("id", F.col("org").alias("_joint")), "id", "left") if joint is not None else c.select("*", none("_joint"))
     agency = F.coalesce(*(F.when(F.col("agency_id") == a, F.lit(o)) for a, o in agency_rules), F.lit(None).cast("string"))
+    central = F.lower("agency_id").like(r"atla\_%") | (F.lower("agency_id") == "atla")
     sub = F.when(F.lower("agency_id").like(r"atla\_%"), F.lit(default))
-    vendor = F.coalesce(*(F.when(F.startswith("vendor_name", F.lit(v)), F.lit(o)) for v, o in vendor_rules), F.lit(None).cast("string"))
+    vendor = F.coalesce(*(F.when(F.startswith("_vendor", F.lit(v)), F.lit(o)) for v, o in vendor_rules), F.lit(None).cast("string"))
+    in_month = F.coalesce("fiscal_at", "plain_at")  # the calendar's month counts only where no item is of the fiscal one
+    fallback = _answer(F.lit(default), "fallback", 0.3)
     steps = [
         ("agency", _answer(agency, "agency", 1.0)),
+        ("other_agency", F.when(~F.coalesce(central, F.lit(False)), fallback)),
         ("sub_agency", _answer(sub, "sub_agency", 0.5)),
         ("exact", _answer(F.col("exact_org"), "exact", 0.9, F.col("exact_ref"))),
         ("contained", _answer(F.col("near_org"), "contained", linkage.year_confidence(F.col("fiscal_year"), F.col("years")), F.col("near_ref"))),
         ("override", _answer(linkage.first_rule(F.col("contract_name"), overrides), "override", 0.85)),
-        ("month", _answer(F.coalesce("fiscal_org", "plain_org"), "month", 0.7)),
-        ("majority", _answer(F.col("most_org"), "majority", 0.5)),
+        ("month", _answer(in_month["org"], "month", 0.7, in_month["ref"])),
+        ("majority", _answer(F.col("most_org"), "majority", 0.5, F.col("most_ref"))),
+        ("branch", _answer(F.col("_branch"), "branch", 0.7)),
         ("vendor", _answer(vendor, "vendor", 0.5)),
-        ("keyword", _answer(linkage.first_rule(F.col("contract_name"), keyword_rules), "keyword", 0.5)),
+        ("keyword", _answer(linkage.first_rule(F.col("_text"), explicit or []), "keyword", 0.75) if explicit else F.lit(None)),
+        ("inferred", _answer(linkage.first_rule(F.col("_text"), inferred), "inferred", 0.5) if inferred else F.lit(None)),
+        ("joint", _answer(F.col("_joint"), "inferred", 0.5)),
     ]
-    return linkage.cascade(c, steps, _answer(F.lit(default), "fallback", 0.3)).select("id", "assigned.*")
+    return linkage.cascade(c, steps, fallback).select("id", "assigned.*")
 
 
 def category(contracts: DataFrame, rules: list[tuple[list[str], str, float]], follow_up: list[tuple[str, str, float, float]]) -> DataFrame:
@@ -107,7 +127,9 @@ def majority_cascade(rows: DataFrame, voters: DataFrame, only: str, majority: st
     return linkage.cascade(joined, steps, _answer(F.lit(default), "default", 0.3)).select("id", "assigned.source", "assigned.org", "assigned.confidence")
 
 
-def catalogue(spark: SparkSession, rules: list[tuple[list[str], str, float]]) -> DataFrame:
-    """The rules as a table, a row for each keyword."""
-    flat = [(i + 1, word, label, confidence) for i, (words, label, confidence) in enumerate(rules) for word in words]
-    return spark.createDataFrame(flat, "rule int, keyword string, label string, confidence double")
+def catalogue(rules: DataFrame, pattern: str, label: str, between: str = "|") -> DataFrame:
+    """A table of rules (rule, a pattern of alternatives, label, confidence) for browsing: a row for each keyword, with its place in
+    its rule and how many rules share it."""
+    each = rules.select("rule", F.posexplode(F.split(pattern, "\\Q" + between + "\\E")).alias("_at", "keyword"), F.col(label).alias("label"), "confidence")
+    each = each.select("rule", (F.col("_at") + 1).alias("place"), F.trim("keyword").alias("keyword"), "label", "confidence").where("keyword <> ''")
+    return each.join(each.groupBy("keyword").agg(F.count_distinct("rule").alias("rules")), "keyword").select("rule", "place", "keyword", "label", "confidence", "rules")

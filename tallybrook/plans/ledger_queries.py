@@ -369,10 +369,11 @@ def fiscal_month_order(spark: SparkSession, sf: str) -> DataFrame:
     return t.withColumn("place", F.row_number().over(Window.partitionBy("fiscal_year").orderBy(dates.fiscal_order(F.col("month")))).cast("long"))
 
 
-@query("with {contracts}, a as (select distinct vendor_id, status, 1 as p from contracts where fiscal_year = 1997), b as (select distinct vendor_id, status, 2 as p from contracts where fiscal_year = 1998), u as (select * from a union all select * from b) select vendor_id, status from u qualify row_number() over (partition by vendor_id order by p, status) = 1")
+@query("with {contracts} select vendor_id, status from contracts where fiscal_year is not null qualify row_number() over (partition by vendor_id order by fiscal_year, status) = 1")
 def first_wins_union(spark: SparkSession, sf: str) -> DataFrame:
-    of = lambda y, p: contracts(spark, sf).where(F.col("fiscal_year") == y).select("vendor_id", "status", F.lit(p).alias("p"))
-    return merge.first_of(of(1997, 1).unionByName(of(1998, 2)), ["vendor_id"], F.col("p"), F.col("status")).select("vendor_id", "status")
+    """Every year's vendors with their status; of a vendor in several years the first year's row wins."""
+    yearly = contracts(spark, sf).where("fiscal_year is not null").groupBy("fiscal_year", "vendor_id").agg(F.min("status").alias("status"))
+    return merge.first_of(yearly, ["vendor_id"], F.col("fiscal_year"), F.col("status")).select("vendor_id", "status")
 
 
 #: Both names of a query stand for the one that reads its whole table.

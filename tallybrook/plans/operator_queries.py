@@ -129,9 +129,56 @@ def rolling_months_of_files(spark: SparkSession, sf: str) -> DataFrame:
     return coverage.rolling_cells(files).select(F.col("agency").alias("o_custkey"), "fiscal_year", "month")
 
 
-@query("""select rule, keyword, label, cast(confidence as double) as confidence from (values (1, 'small', 'a', 0.7), (1, 'ring', 'a', 0.7), (2, 'red', 'b', 0.9)) as t(rule, keyword, label, confidence)""")
+@query("""with r as (select p_partkey as rule, p_name, p_type as label, round(p_size / 100, 2)::double as confidence from part), k as (select rule, unnest(string_split(p_name, ' ')) as keyword, generate_subscripts(string_split(p_name, ' '), 1) as place, label, confidence from r)
+select rule, place::int as place, keyword, label, confidence, count(distinct rule) over (partition by keyword) as rules from k""")
 def rule_catalogue(spark: SparkSession, sf: str) -> DataFrame:
-    return enrichment.catalogue(spark, [(["small", "ring"], "a", 0.7), (["red"], "b", 0.9)])
+    """Part names as rules of alternatives."""
+    rules = table(spark, sf, "part").select(F.col("p_partkey").alias("rule"), "p_name", "p_type", F.round(F.col("p_size") / 100, 2).alias("confidence"))
+    return enrichment.catalogue(rules, "p_name", "p_type", " ")
+
+
+#: The rules of `requesting_orgs`; its SQL states them again.
+ORGS = {"ECONOMY": "GSDF", "SMALL": "MSDF", "MEDIUM": "ASDF", "PROMO": "JOINT"}
+
+
+@query("""with item as (select l_orderkey, min(l_partkey) as p_partkey from lineitem group by 1),
+c as (select o_orderkey as id, case o_custkey % 10 when 0 then 'nda' when 1 then 'zzz' when 2 then 'ATLA_x' else 'atla' end as agency, 'V' || o_custkey as vendor, month(o_orderdate) as m, year(o_orderdate - interval 3 month) as fy,
+  case o_orderkey % 3 when 0 then p_name || ' ' || p_size when 1 then lower(p_brand) || ' ' || p_size || ' spare' else lower(p_brand) || ' ' || substr(o_orderpriority, 3) end as name from orders join item on l_orderkey = o_orderkey join part using (p_partkey)),
+pl as (select p_partkey as id, case p_type when 'ECONOMY' then 'GSDF' when 'SMALL' then 'MSDF' when 'MEDIUM' then 'ASDF' when 'PROMO' then 'JOINT' else 'ATLA' end as org, case when p_partkey % 4 = 0 then lower(p_brand) || ' ' || p_size else p_name || ' ' || p_size end as name, 1992 + p_partkey % 8 as fy, 4 + p_partkey % 12 as month from part),
+g as (select name, min(org) as lo, max(org) as hi, min(id) as ref, list(distinct fy) as years from pl group by 1),
+n as (select distinct name from c), nr as (select n.name, g.lo as org, g.ref, g.years, row_number() over (partition by n.name order by length(g.name) desc, g.ref) as k from n join g on g.lo = g.hi and ((contains(n.name, g.name) and length(g.name) >= 4) or (contains(g.name, n.name) and length(n.name) >= 4))),
+v as (select name, org, count(*) as k, min(id) as ref from pl group by 1, 2), mj as (select name, org, ref, row_number() over (partition by name order by k desc, ref) as r from v where name in (select name from g where lo <> hi)),
+mo as (select name, month, case when min(org) = max(org) then min(org) end as org, min(id) as ref from pl where name in (select name from g where lo <> hi) group by 1, 2),
+e as (select l_orderkey as id, case p_size when 10 then 'GSDF' when 20 then 'MSDF' when 30 then 'ASDF' when 40 then 'GSDF' end as branch, l_linenumber * 1000000 + l_partkey as seq, case p_size when 3 then 'J1' when 4 then 'J2' when 13 then 'J1' end as joint from lineitem join part on p_partkey = l_partkey),
+eb as (select id, branch, row_number() over (partition by id order by count(*) desc, min(seq)) as r from e where branch is not null group by id, branch),
+ej as (select id, min(joint) as org from e where joint is not null group by 1 having min(joint) = max(joint)),
+x as (select c.*, g.lo as exact_org, g.ref as exact_ref, nr.org as near_org, nr.ref as near_ref, list_min(list_transform(nr.years, lambda y: abs(y - c.fy))) as apart, mj.org as most_org, mj.ref as most_ref, coalesce(f.name, p.name) as in_month,
+  case when f.name is not null then f.org else p.org end as month_org, case when f.name is not null then f.ref else p.ref end as month_ref, eb.branch, ej.org as joint
+  from c left join g on g.name = c.name and g.lo = g.hi left join nr on nr.name = c.name and nr.k = 1 left join mj on mj.name = c.name and mj.r = 1
+  left join mo f on f.name = c.name and f.month = case when c.m >= 4 then c.m else c.m + 12 end left join mo p on p.name = c.name and p.month = c.m left join eb on eb.id = c.id and eb.r = 1 left join ej on ej.id = c.id),
+z as (select id, case when agency = 'nda' then {'o': 'NDA', 's': 'agency', 'c': 1.0, 'r': null::bigint} when agency = 'zzz' then {'o': 'ATLA', 's': 'fallback', 'c': 0.3, 'r': null::bigint} when agency = 'ATLA_x' then {'o': 'ATLA', 's': 'sub_agency', 'c': 0.5, 'r': null::bigint}
+  when exact_org is not null then {'o': exact_org, 's': 'exact', 'c': 0.9, 'r': exact_ref} when near_org is not null then {'o': near_org, 's': 'contained', 'c': case apart when 0 then 0.9 when 1 then 0.8 else 0.65 end, 'r': near_ref}
+  when contains(name, 'gizmo 4') then {'o': 'MSDF', 's': 'override', 'c': 0.85, 'r': null::bigint} when month_org is not null then {'o': month_org, 's': 'month', 'c': 0.7, 'r': month_ref} when most_org is not null then {'o': most_org, 's': 'majority', 'c': 0.5, 'r': most_ref}
+  when branch is not null then {'o': branch, 's': 'branch', 'c': 0.7, 'r': null::bigint} when starts_with(vendor, 'V12') then {'o': 'FMS', 's': 'vendor', 'c': 0.5, 'r': null::bigint} when contains(name, 'brand#13') then {'o': 'GSDF', 's': 'keyword', 'c': 0.75, 'r': null::bigint}
+  when contains(name, 'urgent') or contains(name, 'URGENT') then {'o': 'MSDF', 's': 'inferred', 'c': 0.5, 'r': null::bigint} when joint is not null then {'o': joint, 's': 'inferred', 'c': 0.5, 'r': null::bigint} else {'o': 'ATLA', 's': 'fallback', 'c': 0.3, 'r': null::bigint} end as a from x)
+select id, a.o as org, a.s as source, a.c::double as confidence, a.r as ref from z""")
+def requesting_orgs(spark: SparkSession, sf: str) -> DataFrame:
+    """The whole cascade over every order: names of parts, planned items by part, equipment by item."""
+    part, line = table(spark, sf, "part"), table(spark, sf, "lineitem")
+    item = line.groupBy(F.col("l_orderkey").alias("o_orderkey")).agg(F.min("l_partkey").alias("p_partkey"))
+    size, brand = F.col("p_size").cast("string"), F.lower("p_brand")
+    which = F.col("o_orderkey") % 3
+    name = F.when(which == 0, F.concat_ws(" ", "p_name", size)).when(which == 1, F.concat_ws(" ", brand, size, F.lit("spare"))).otherwise(F.concat_ws(" ", brand, F.substring("o_orderpriority", 3, 100)))
+    agency = F.when(F.col("o_custkey") % 10 == 0, "nda").when(F.col("o_custkey") % 10 == 1, "zzz").when(F.col("o_custkey") % 10 == 2, "ATLA_x").otherwise("atla")
+    day = F.col("o_orderdate").cast("date")
+    contracts_ = table(spark, sf, "orders").join(item, "o_orderkey").join(part, "p_partkey").select(F.col("o_orderkey").alias("id"), agency.alias("agency_id"), name.alias("contract_name"), name.alias("name_norm"), F.concat(F.lit("V"), "o_custkey").alias("vendor_name"), F.date_format(day, "yyyyMMdd").alias("contract_date"), dates.fiscal_year(day).alias("fiscal_year"))
+    org = F.coalesce(*(F.when(F.col("p_type") == t, F.lit(o)) for t, o in ORGS.items()), F.lit("ATLA"))
+    plan = part.select(F.col("p_partkey").alias("id"), org.alias("org"), F.when(F.col("p_partkey") % 4 == 0, F.concat_ws(" ", brand, size)).otherwise(F.concat_ws(" ", "p_name", size)).alias("name_norm"), (1992 + F.col("p_partkey") % 8).cast("int").alias("fiscal_year"), (4 + F.col("p_partkey") % 12).cast("int").alias("month"))
+    links = line.join(part, F.col("l_partkey") == F.col("p_partkey")).select(F.col("l_orderkey").alias("id"), (F.col("l_linenumber") * 1_000_000 + F.col("l_partkey")).alias("seq"), "p_size")
+    branch = F.when(F.col("p_size").isin(10, 40), "GSDF").when(F.col("p_size") == 20, "MSDF").when(F.col("p_size") == 30, "ASDF")
+    branches = links.select("id", branch.alias("branch"), "seq").where("branch is not null")
+    joint = links.select("id", F.when(F.col("p_size").isin(3, 13), "J1").when(F.col("p_size") == 4, "J2").alias("org")).where("org is not null")
+    return enrichment.requesting_org(contracts_, plan, [("nda", "NDA")], [("gizmo 4", "MSDF")], [("urgent|URGENT", "MSDF")], [("V12", "FMS")], "ATLA", [("brand#13", "GSDF")], branches, joint)
 
 
 @query("""with i as (select date_diff('day', date '1970-01-01', l_shipdate::date) as a, date_diff('day', date '1970-01-01', l_shipdate::date) + l_quantity::int * case when l_linenumber = 7 then 30 else 1 end as b, l_quantity::int as q from lineitem),

@@ -21,8 +21,22 @@ def test_requesting_org_cascade(spark):
     planned = spark.createDataFrame([(1, "GSDF", "戦車部品", 2024, 4), (2, "A", "共通品目名", 2024, 5), (3, "B", "共通品目名", 2024, 6), (4, "B", "共通品目名", 2024, 7)], "id long, org string, name_norm string, fiscal_year int, month int")
     got = {r.id: (r.org, r.source, r.confidence, r.ref) for r in enrichment.requesting_org(contracts, planned, [("nda", "NDA")], [("艦艇", "MSDF")], [("pump", "P")], [("ACME", "V")], "ATLA").collect()}
     assert got == {
-        1: ("NDA", "agency", 1.0, None), 2: ("ATLA", "sub_agency", 0.5, None), 3: ("GSDF", "exact", 0.9, 1), 4: ("GSDF", "contained", 0.8, 1), 5: ("MSDF", "override", 0.85, None), 6: ("A", "month", 0.7, None),
-        7: ("B", "majority", 0.5, None), 8: ("V", "vendor", 0.5, None), 9: ("P", "keyword", 0.5, None), 10: ("ATLA", "fallback", 0.3, None),
+        1: ("NDA", "agency", 1.0, None), 2: ("ATLA", "sub_agency", 0.5, None), 3: ("GSDF", "exact", 0.9, 1), 4: ("GSDF", "contained", 0.8, 1), 5: ("MSDF", "override", 0.85, None), 6: ("A", "month", 0.7, 2),
+        7: ("B", "majority", 0.5, 3), 8: ("V", "vendor", 0.5, None), 9: ("P", "inferred", 0.5, None), 10: ("ATLA", "fallback", 0.3, None),
+    }
+
+
+def test_requesting_org_by_equipment_and_names(spark):
+    rows = [(i, "atla", n, n, v, "20240401", 2024) for i, n, v in [(1, "aaaa", None), (2, "bbbb", "ＡＣＭＥ"), (3, "陸幕 radar", None), (4, "radar", None), (5, "jjjj", None), (6, "kkkk", None), (7, "cccc", None)]]
+    rows += [(8, "elsewhere", "陸幕", "x", None, None, 2024), (9, None, "陸幕", "x", None, None, 2024), (10, "atla", "shared", "shared", None, "20240301", 2024)]
+    contracts = spark.createDataFrame(rows, "id long, agency_id string, contract_name string, name_norm string, vendor_name string, contract_date string, fiscal_year int")
+    planned = spark.createDataFrame([(5, "A", "shared", 2024, 15), (6, "B", "shared", 2024, 15), (7, "B", "shared", 2024, 3)], "id long, org string, name_norm string, fiscal_year int, month int")
+    branches = spark.createDataFrame([(1, "MSDF", 2), (1, "GSDF", 1), (1, "MSDF", 3), (7, "ASDF", 9), (7, "GSDF", 8)], "id long, branch string, seq int")
+    joint = spark.createDataFrame([(5, "J"), (5, "J"), (6, "J"), (6, "K"), (4, "J")], "id long, org string")
+    got = {r.id: (r.org, r.source, r.confidence, r.ref) for r in enrichment.requesting_org(contracts, planned, [("nda", "NDA")], [("zz", "Z")], [("radar", "R")], [("ACME", "V")], "ATLA", [("陸幕", "GSDF")], branches, joint).collect()}
+    assert got == {
+        1: ("MSDF", "branch", 0.7, None), 2: ("V", "vendor", 0.5, None), 3: ("GSDF", "keyword", 0.75, None), 4: ("R", "inferred", 0.5, None), 5: ("J", "inferred", 0.5, None), 6: ("ATLA", "fallback", 0.3, None),
+        7: ("GSDF", "branch", 0.7, None), 8: ("ATLA", "fallback", 0.3, None), 9: ("ATLA", "fallback", 0.3, None), 10: ("B", "majority", 0.5, 6),
     }
 
 
