@@ -39,7 +39,8 @@ from ._components import components, named, roots
 WORDS, SIMILARITY, RECALL = 5, 0.8, 0.999
 TOKENS, SPLIT, DEPTH = 128, 0.8, 4
 SMALL_BUCKET, BLOCK, GROUP_ROWS = 32, 512, 2000
-SKETCH_BLOCK, BLOCK_SHINGLES = 2048, 1 << 20
+#: Hashes that a group of whole components holds about (32 MB), and a block of a larger one at most.
+SKETCH_BLOCK, BLOCK_SHINGLES, GROUP_SHINGLES = 2048, 1 << 20, 1 << 22
 #: Bits of 128 in which sketches may differ: at the threshold 12.8 do on average, with a deviation of 3.4.
 SKETCH_BITS = 30
 #: A character that belongs to a word.
@@ -224,7 +225,8 @@ def alike(sets: list[np.ndarray], left: np.ndarray, right: np.ndarray, similarit
 
 def exact(members: DataFrame, docs: DataFrame, similarity: float) -> DataFrame:
     """(id, links, root) parts for members (id, doc_id, print, fp1, fp2, copies, component, size, shingles): exact links within components."""
-    groups = max(1, -(-members.count() // GROUP_ROWS))
+    rows, shingles = members.agg(F.count("*"), F.coalesce(F.sum("n"), F.lit(0))).first()
+    groups = max(1, -(-rows // GROUP_ROWS), -(-shingles // GROUP_SHINGLES))
     blocks = F.greatest(F.ceil(F.col("size") / BLOCK), F.least(F.ceil(F.col("shingles") / BLOCK_SHINGLES), F.col("size"))).cast("int")
     members = members.withColumn("blocks", blocks).withColumn("block", F.pmod(F.xxhash64(F.lit(3), "id"), F.col("blocks")).cast("int"))
     m, d = members.hint("merge").alias("m"), printed(docs).alias("d")  # members grow with the input: no broadcast

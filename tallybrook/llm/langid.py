@@ -5,11 +5,13 @@ is SCALE times the bucket's share of the text's n-grams, times its inverse docum
 Weights are learnt by follow-the-regularised-leader with L1 and L2 penalties, then one temperature is fitted on a tenth
 of the sample that training left out.
 
-Fitted on about MOST_A_LANG documents of each language, those of the lowest hash, for the MOST_LANGS languages of most
-learning documents (of equally many, the first by name; the driver holds the weights); the frequencies and the
-predictions cover every document. lang, source and doc_id are never inputs of a prediction.
+Fitted on about MOST_A_LANG documents of each language, those of the lowest hash, and about MOST_ROWS in all; the frequencies and the
+predictions cover every document. lang, source and doc_id are never inputs of a prediction. A model tells MOST_LANGS languages
+apart. Where there are more, the most frequent ones (of equally many, the first by name) share a model with one class for all
+others, which a next model tells apart in the same way, and so on: each language has its class, and a model's size is bounded.
 
-Cases: a text that is null or has no letter is `und` with score 0; with no learning rows every text is `und`; equal
+Cases: a text that is null or has no letter is `und` with score 0; very long texts are read whole; of equally likely
+languages the first by name counts; with no learning rows every text is `und`; equal
 doc_ids are predicted each; an empty table gives no rows; other columns play no part.
 """
 
@@ -27,7 +29,9 @@ from pyspark.sql import functions as F
 from ._base import fold, pieces, table
 
 BUCKETS, SCALE = 1 << 14, 20.0
-MOST_A_LANG, MOST_LANGS, EPOCHS = 1000, 500, 3
+MOST_A_LANG, MOST_LANGS, MOST_ROWS, EPOCHS = 1000, 500, 40_000, 3
+#: The class of all languages of the models after this one.
+OTHERS = "\0others"
 ALPHA, BETA, L1, L2 = 0.5, 1.0, 0.02, 0.002
 NONE = "und"
 GAP = 2
@@ -58,6 +62,7 @@ class Model:
     weights: np.ndarray  # (BUCKETS, langs), with the inverse document frequencies multiplied in
     bias: np.ndarray
     temperature: float = 1.0
+    rest: Model | None = None
 
     def logits(self, texts: pa.Array) -> np.ndarray:
         grams, at = grams_of(texts)
@@ -79,7 +84,15 @@ class Model:
             return [NONE] * len(texts), np.zeros(len(texts))
         p = _softmax(self.logits(texts) / self.temperature)
         best = p.argmax(1)
-        return [self.langs[b] if ok else NONE for b, ok in zip(best, letters, strict=True)], np.where(letters, p.max(1), 0.0)
+        names, score = [self.langs[b] if ok else NONE for b, ok in zip(best, letters, strict=True)], np.where(letters, p.max(1), 0.0)
+        if self.rest is not None:
+            further = [i for i, name in enumerate(names) if name == OTHERS]
+            if further:
+                told, sure = self.rest.predict(texts.take(pa.array(further)))
+                score[further] *= sure
+                for i, name in zip(further, told, strict=True):
+                    names[i] = name
+        return names, score
 
 
 def _softmax(z: np.ndarray) -> np.ndarray:
@@ -128,10 +141,10 @@ def temperature_of(logits: np.ndarray, y: np.ndarray) -> float:
 
 def train(docs: DataFrame, most_a_lang: int = MOST_A_LANG) -> Model:
     docs = docs.where(F.col("lang").isNotNull() & F.col("text").isNotNull() & (F.coalesce(fold(F.col("doc_id"), 4), F.lit(0)) != 2)).select("doc_id", "text", "lang")
-    counts = docs.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(MOST_LANGS).collect()
-    if not counts:
+    counts = docs.groupBy("lang").agg(F.count("*").alias("n"))
+    total = counts.count()
+    if not total:
         return Model([], np.zeros((BUCKETS, 0)), np.zeros(0))
-    langs = sorted(r.lang for r in counts)
 
     def frequencies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total, n = np.zeros(BUCKETS, np.int64), 0
@@ -148,9 +161,30 @@ def train(docs: DataFrame, most_a_lang: int = MOST_A_LANG) -> Model:
     seen[df.bucket.to_numpy()] = df.docs.to_numpy()
     idf = np.log((1 + seen[-1]) / (1 + seen[:-1])) + 1
 
-    share = F.create_map(*(F.lit(x) for r in counts for x in (r.lang, min(1.0, most_a_lang / r["count"]))))
+    models: list[Model] = []
+    left, n = docs, total
+    while n:
+        own = MOST_LANGS if n <= MOST_LANGS else MOST_LANGS - 1
+        top = counts.orderBy(F.desc("n"), "lang").limit(own).collect()
+        sizes = {r.lang: r.n for r in top}
+        n -= len(sizes)
+        held = F.broadcast(docs.sparkSession.createDataFrame(list(sizes.items()), "lang string, _n long"))
+        counts = counts.join(held, "lang", "left_anti")
+        known = left.join(held, "lang")
+        if n:
+            left = left.join(held, "lang", "left_anti")
+            sizes[OTHERS] = counts.agg(F.sum("n")).first()[0]
+            known = known.unionByName(left.select("doc_id", "text", F.lit(OTHERS).alias("lang"), F.lit(sizes[OTHERS]).alias("_n")))
+        models.append(_trained(known, sorted(sizes), min(most_a_lang, max(1, MOST_ROWS // len(sizes))), idf))
+    for a, b in zip(models, models[1:], strict=False):
+        a.rest = b
+    return models[0]
+
+
+def _trained(docs: DataFrame, langs: list[str], most_a_lang: int, idf: np.ndarray) -> Model:
+    """One model; docs: doc_id, text, lang and how many documents the language has."""
     draw = F.pmod(F.xxhash64(F.lit(11), "doc_id", "text"), F.lit(1_000_000)) / 1_000_000
-    picked = docs.where(draw < F.try_element_at(share, F.col("lang")))
+    picked = docs.where(draw < F.lit(float(most_a_lang)) / F.col("_n"))
 
     def shares(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

@@ -72,8 +72,6 @@ class Quantiser:
         self.dim = sample.shape[1]
         self.width = -(-self.dim // SUBSPACES)
         self.cells = k_means(sample, cells)
-        size = (self.cells**2).sum(1)
-        self.apart = np.sqrt(np.maximum(size[:, None] + size[None] - 2 * self.cells @ self.cells.T, 1e-24))
         rest = self.padded(sample - self.cells[nearest(sample, self.cells)])
         self.books = [k_means(rest[:, m], CODES) for m in range(rest.shape[1])]
 
@@ -96,7 +94,9 @@ class Quantiser:
         """Lower cells that each row visits."""
         size = (self.cells**2).sum(1)
         d = size[None] - 2 * x @ self.cells.T
-        border = (d - d[np.arange(len(x)), cell][:, None]) / (2 * self.apart[cell])
+        own, at = np.unique(cell, return_inverse=True)  # the cells' distances for these rows alone: a square matrix would grow with the cells
+        apart = np.sqrt(np.maximum(size[own][:, None] + size[None] - 2 * self.cells[own] @ self.cells.T, 1e-24))
+        border = (d - d[np.arange(len(x)), cell][:, None]) / (2 * apart[at])
         lower = np.arange(len(self.cells))[None] < cell[:, None]
         near = lower & (border <= radius + SLACK)
         return [np.flatnonzero(row) for row in near]

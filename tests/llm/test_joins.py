@@ -204,13 +204,26 @@ def test_pfair_schedule_keeps_within_a_block():
         assert seen == given
 
 
-def test_sources_beyond_the_list_share_a_pool(spark, monkeypatch):
+def test_sources_beyond_the_list_are_scheduled_in_pools(spark, monkeypatch):
     monkeypatch.setattr(mixing, "MOST_SOURCES", 2)
-    rows = [(i, f"s{i % 5}", "x" * (400 if i % 5 < 2 else 100)) for i in range(500)]
+    size = {"s0": 400, "s1": 300, **{f"t{i}": 60 for i in range(7)}, **{f"u{i}": 25 for i in range(3)}, "v": 9}
+    rows = [(i, s, "x" * 50) for i, s in enumerate(s for s, n in size.items() for _ in range(n))]
     got = mixing.mixed(spark.createDataFrame(rows, "doc_id long, source string, text string"), block_chars=500).toPandas()
-    assert sorted(got.doc_id) == list(range(500)) and set(got.mix_source) == {"s0", "s1", mixing.POOL} and set(got.source) == {f"s{i}" for i in range(5)}
-    own = got[got.mix_source == mixing.POOL].sort_values("mix_start")
-    assert (own.mix_start == np.arange(300) * 100).all() and own.head(100).source.nunique() == 3
+    assert sorted(got.doc_id) == list(range(len(rows))) and (got.mix_source == got.source).all()
+    for _, own in got.groupby("source"):
+        own = own.sort_values("mix_start")
+        assert (own.mix_start == np.arange(len(own)) * 50).all() and (own.mix_block == own.mix_start // 500).all() and own.mix_slot.is_monotonic_increasing
+    first = got.groupby("mix_slot").source.nunique()
+    assert (first == 1).all()  # no slot serves two sources
+    weight = {s: float(n * 50) ** mixing.POWER for s, n in size.items()}
+    shares = mixing.slots_of({**{s: weight[s] for s in ("s0", "s1")}, "t": 7 * weight["t0"], "u": 3 * weight["u0"], "v": weight["v"]})
+    part = {s: shares.get(s, shares[s[0]] / {"t": 7, "u": 3, "v": 1}[s[0]] if s[0] in "tuv" else 0) / sum(shares.values()) for s in size}
+    blocks = got.groupby(["source", "mix_block"]).mix_slot.first()
+    horizon = got[got.mix_on_target].mix_slot.max()
+    for s in size:
+        own = np.sort(blocks[s].to_numpy())
+        for t in range(1, int(horizon) + 1):  # a block and, in a pool, a turn
+            assert abs((own < t).sum() - part[s] * t) < (1 if s in ("s0", "s1", "v") else 2), (s, t)
 
 
 def test_mixing(spark, odd_docs, no_docs):
@@ -231,3 +244,13 @@ def test_mixing(spark, odd_docs, no_docs):
     out = mixing.reordered(odd_docs)
     assert out.columns == odd_docs.columns and out.count() == odd_docs.count() and out.where("mix_slot = 5").count() == odd_docs.count()
     assert mixing.reordered(no_docs).count() == 0
+
+
+def test_groups_of_components_hold_few_shingles(spark, monkeypatch):
+    """Pairs of long texts are dealt to groups by what they hold, not by how many they are."""
+    monkeypatch.setattr(chosen_path, "GROUP_SHINGLES", 4000)
+    r = np.random.default_rng(8)
+    texts = [" ".join(f"w{x}" for x in r.integers(0, 10**6, 1000)) for _ in range(20)]
+    docs = spark.createDataFrame([(2 * i + k, t + " end" * k) for i, t in enumerate(texts) for k in (0, 1)], "doc_id long, text string")
+    got = {x.doc_id: (x.class_id, x.n_links) for x in chosen_path.join(docs).collect()}
+    assert got == {i: (i - i % 2, 1) for i in range(40)}

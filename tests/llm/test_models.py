@@ -68,9 +68,20 @@ def test_langid_of_odd_documents(spark, odd_docs, no_docs):
     assert langid.predicted(no_docs, empty).count() == 0
 
 
-def test_langid_learns_the_most_frequent_languages(spark, monkeypatch):
+def test_langid_learns_every_language(spark, monkeypatch):
+    monkeypatch.setattr(langid, "MOST_LANGS", 3)
+    words = {"en": "the cat and the dog", "de": "der hund und die katze", "fr": "le chat et le chien", "xx": "zo zozo qua quaqua", "yy": "kip kipu lamo lamoki", "zz": "ŵyr ŷ ŵŵy ŷyŵ"}
+    rows = [(i * 10 + k, f"{t} {t}", lang) for k, (lang, t) in enumerate(words.items()) for i in range(40 - 4 * k)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    model = langid.train(docs)
+    assert model.langs == sorted(["en", "de", langid.OTHERS]) and model.rest.langs == sorted(["fr", "xx", langid.OTHERS]) and model.rest.rest.langs == ["yy", "zz"] and model.rest.rest.rest is None
+    got = langid.predicted(docs, model).toPandas().merge(docs.toPandas(), on="doc_id")
+    assert (got.lang_pred == got.lang).all() and got.score.between(0, 1).all()
+
+
+def test_langid_of_two_languages(spark, monkeypatch):
     monkeypatch.setattr(langid, "MOST_LANGS", 2)
-    rows = [(i, t, lang) for i, (t, lang) in enumerate([("the cat and the dog", "en")] * 8 + [("der hund und die katze", "de")] * 8 + [("le chat et le chien", "fr")] * 3)]
+    rows = [(i, t, lang) for i, (t, lang) in enumerate([("the cat and the dog", "en")] * 8 + [("der hund und die katze", "de")] * 8)]
     docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
     model = langid.train(docs)
     assert model.langs == ["de", "en"] and langid.predicted(docs, model).where("lang_pred in ('de', 'en')").count() == len(rows)

@@ -54,4 +54,4 @@ def test_stages_of_odd_documents_and_of_none(spark, odd_docs, no_docs, tmp_path)
 
 
 def test_names():
-    assert sorted(n.split("_")[0] for n in queries.QUERIES) == sorted(f"op{i}" for i in range(1, 11))
+    assert sorted(n.split("_")[0] for n in queries.QUERIES) == sorted(f"op{i}" for i in range(1, 14))
