@@ -131,3 +131,24 @@ def multi_strategy(left: DataFrame, right: DataFrame, keys: list[tuple[str, str]
     n = range(len(keys))
     hit = reduce(lambda c, i: c.when(F.col(f"_v{i}").isNotNull(), F.lit(keys[i][0])), n, F.when(F.lit(False), F.lit("")))
     return out.withColumns({value: F.coalesce(*(F.col(f"_v{i}") for i in n)), "strategy": hit}).drop(*(f"_v{i}" for i in n))
+
+
+def latest_like(wanted: DataFrame, known: DataFrame, key: str, word: str, name: str, year: str, seq: str) -> DataFrame:
+    """(key, name, year, seq) of the known row of the latest year whose name holds the word; of equals the first by name, then by seq.
+
+    Words and names are compared once each: the latest row of each name first, then the best name of each word.
+    """
+    newest = known.where(F.col(name).isNotNull()).groupBy(name).agg(F.min_by(F.struct(year, seq), F.struct(-F.col(year), F.col(seq))).alias("_r")).select(name, F.col("_r")[year].alias(year), F.col("_r")[seq].alias(seq))
+    words = wanted.select(F.col(word).alias("_word")).distinct()
+    hits = contains_join(newest, words, name, "_word")
+    best = hits.groupBy("_word").agg(F.min_by(F.struct(name, year, seq), F.struct(-F.col(year), F.col(name))).alias("_r"))
+    return wanted.select(key, F.col(word).alias("_word")).join(best, "_word").select(key, "_r.*")
+
+
+def by_name_forms(wanted: DataFrame, known: DataFrame, key: str, name: str, value: str) -> DataFrame:
+    """(key, value, form) by the whole name, else by the name with its ends trimmed and wide spaces made plain; of equal names the least value."""
+    plain = lambda c: F.trim(F.replace(c, F.lit("\u3000"), F.lit(" ")))
+    forms = lambda df: df.withColumns({"exact": F.col(name), "plain": plain(F.col(name))})
+    other = forms(known.select(name, value)).select(F.col("exact").alias("_exact"), F.col("plain").alias("_plain"), value)
+    out = multi_strategy(forms(wanted.select(key, name)), other, [("exact", "_exact"), ("plain", "_plain")], value)
+    return out.where(F.col(value).isNotNull()).select(key, value, F.col("strategy").alias("form"))

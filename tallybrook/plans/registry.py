@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-from tallybrook.plans import function_queries, layout_queries, ledger_queries, operator_queries, page_queries, text_queries, view_queries
+from tallybrook.plans import form_queries, function_queries, layout_queries, ledger_queries, operator_queries, page_queries, text_queries, view_queries
 
-MODULES = (function_queries, layout_queries, ledger_queries, operator_queries, page_queries, text_queries, view_queries)
+MODULES = (form_queries, function_queries, layout_queries, ledger_queries, operator_queries, page_queries, text_queries, view_queries)
 QUERIES = {name: f for m in MODULES for name, f in m.QUERIES.items()}
 SQL = {name: s for m in MODULES for name, s in m.SQL.items()}
