@@ -7,6 +7,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tallybrook.operators.versions import Versions
+
 
 def _all_set(keys: list[str]) -> Column:
     return reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys])
@@ -86,16 +88,6 @@ def with_missing(df: DataFrame, columns: dict[str, str]) -> DataFrame:
     return df.withColumns({c: F.lit(None).cast(t) for c, t in columns.items() if c not in df.columns})
 
 
-def invariant_swap(before: DataFrame, after: DataFrame, path: str, amount: str) -> bool:
-    """Writes `after` as a new version at `path`, which must not exist yet, and returns True, only if rows and the rounded
-    total are unchanged. The old version stays where it is: it is the backup, and what a refused swap leaves in force."""
-    facts = lambda d: tuple(d.agg(F.count("*"), F.round(F.sum(amount) / 100_000_000)).first())
-    if facts(before) != facts(after):
-        return False
-    after.write.mode("errorifexists").parquet(path)
-    return True
-
-
-def protected_swap(existing: DataFrame, new: DataFrame, keys: list[str], protected: Column, seq: str, path: str, amount: str) -> bool:
-    """replace_unprotected, written as a new version if the invariants hold; else nothing is written."""
-    return invariant_swap(existing, replace_unprotected(existing, new, keys, protected, seq), path, amount)
+def protected_swap(versions: Versions, new: DataFrame, keys: list[str], protected: Column, seq: str, amount: str) -> bool:
+    """replace_unprotected over the current version, made the current one if the invariants hold."""
+    return versions.publish(replace_unprotected(versions.read(), new, keys, protected, seq), amount)

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallybrook.functions import dates
-from tallybrook.sources import exports, grids, pages
+from tallybrook.sources import exports, grids, pages, reports
 from tallybrook.sources.ledger import table
 
 QUERIES: dict = {}
@@ -113,3 +113,22 @@ def page_dates(spark: SparkSession, sf: str) -> DataFrame:
         "o_orderkey", dates.page_date(form("契約 令和%d年%d月%d日", y, m, d)).alias("era"), dates.page_date(form("%d/%d/%d", F.year("o_orderdate"), m, d)).alias("plain"),
         dates.page_date(form("%d . %d . %d", y, m, d)).alias("bare"), dates.scan_date(form("r %d . %d . %d", y, m, d)).alias("spaced"), dates.page_date(form("R%d.%d.%d", y + 20, m, d)).alias("none"),
     )
+
+
+@query("""with t as (select page_id, generate_subscripts(regexp_extract_all(h, '<(/?)(html|body|nav|ul|li|article|div|footer)\\b'), 1) as i, unnest(regexp_extract_all(h, '<(/?)(html|body|nav|ul|li|article|div|footer)\\b', 1)) as close, unnest(regexp_extract_all(h, '<(/?)(html|body|nav|ul|li|article|div|footer)\\b', 2)) as tag
+  from (select page_id, lower(html) as h from pages)),
+d as (select *, sum(case when close = '' then 1 else -1 end) over (partition by page_id order by i) as level from t)
+select page_id, tag, (level - 1)::int as depth, count(*) as elements from d where close = '' group by 1, 2, 3""")
+def nested_elements(spark: SparkSession, sf: str) -> DataFrame:
+    """How deep the blocks of each page lie."""
+    return grids.element_depths(table(spark, sf, "pages"), ["html", "body", "nav", "ul", "li", "article", "div", "footer"])
+
+
+@query("""with h(n, head) as (values (1, '<nav>'), (2, '<article>'), (3, '<div class="ad">'), (4, '<footer>')), a as (select page_id, n, instr(html, head) as pos, html from pages, h where html is not null),
+e as (select x.page_id, x.n, x.pos, x.html, coalesce((select y.pos from a y where y.page_id = x.page_id and y.n > x.n and y.pos > x.pos order by y.n limit 1), length(x.html) + 1) as until from a x where x.pos > 0)
+select page_id, n as section, until - pos as size, sha256(substr(html, pos, until - pos)) as digest from e""")
+def page_sections(spark: SparkSession, sf: str) -> DataFrame:
+    """Pages cut at four heads, which do not stand in the list's order everywhere."""
+    heads = [(1, "<nav>"), (2, "<article>"), (3, '<div class="ad">'), (4, "<footer>")]
+    cut = reports.sections(table(spark, sf, "pages").select(F.col("page_id").alias("file_id"), F.col("html").alias("text")), heads)
+    return cut.select(F.col("file_id").alias("page_id"), "section", F.char_length("body").cast("long").alias("size"), F.sha2("body", 256).alias("digest"))

@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import json
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -10,11 +14,26 @@ def csv_by_category(df: DataFrame, path: str, category: str) -> None:
     df.write.mode("overwrite").option("header", True).partitionBy(category).csv(path)
 
 
-def jsonl(df: DataFrame, path: str, meta: str) -> None:
-    """Gzipped JSON lines. The header is an object of its own, with the one field _meta, and alone in the first part: a union
-    keeps the order of its sides' partitions. The reader drops it by that field."""
-    head = df.sparkSession.range(1, numPartitions=1).select(F.to_json(F.struct(F.lit(meta).alias("_meta"))).alias("value"))
-    head.unionByName(df.select(F.to_json(F.struct(*df.columns)).alias("value"))).write.mode("overwrite").option("compression", "gzip").text(path)
+def jsonl(df: DataFrame, path: str, meta: str, every_file: bool = False) -> None:
+    """Gzipped JSON lines. The header is an object of its own, with the one field _meta. It is alone in the first part (a union
+    keeps the order of its sides' partitions), or with `every_file` the first line of each file that has rows; readers drop it by
+    that field."""
+    session, lines = df.sparkSession, df.select(F.to_json(F.struct(*df.columns)).alias("value"))
+    if every_file:
+        head = json.dumps({"_meta": meta}, ensure_ascii=False)
+
+        def headed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            first = True
+            for batch in batches:
+                if first and batch.num_rows:
+                    yield pa.RecordBatch.from_arrays([pa.array([head])], ["value"])
+                    first = False
+                yield batch
+
+        lines = lines.mapInArrow(headed, "value string")
+    else:
+        lines = session.range(1, numPartitions=1).select(F.to_json(F.struct(F.lit(meta).alias("_meta"))).alias("value")).unionByName(lines)
+    lines.write.mode("overwrite").option("compression", "gzip").text(path)
 
 
 def csv_download(df: DataFrame, path: str, order: list, most: int = 50) -> None:

@@ -6,9 +6,13 @@ as JSON or Parquet. Rules map header texts to fields: (ord, keyword, field), the
 
 from __future__ import annotations
 
+import re
+from collections import Counter
 from collections.abc import Iterator
+from html import unescape
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -113,20 +117,86 @@ def framed(sites: DataFrame) -> DataFrame:
     return targets.join(sites.select("url", "html"), "url").select("page_id", "url", "html")
 
 
+#: Elements without an end, whose tags open nothing.
+VOID = frozenset("area base br col embed hr img input link meta source track wbr".split())
+#: Tags, comments, and scripts and styles whole.
+MARKUP = re.compile(r"<!--.*?(?:-->|\Z)|<(script|style)\b[^>]*>.*?(?:</\1\s*>|\Z)|<(/?)([A-Za-z][A-Za-z0-9]*)\b[^>]*?(/?)>", re.S | re.I)
+
+
+def elements(page: str, names: frozenset[str] | None = None) -> list[tuple[str, int, int, int, int, int]]:
+    """(tag, depth, place where it begins, where its content begins, where it ends, where its end tag ends) of a page's elements in
+    their order, those with a name alone if names are given.
+
+    Brackets are matched by a stack of open tags: an end tag closes the last open one of its name and all within it; one without
+    an open tag closes nothing; what is never closed ends with what holds it, or with the page.
+    """
+    out, stack = [], []
+    for m in MARKUP.finditer(page):
+        tag = (m[3] or "").lower()
+        if not tag or (names is not None and tag not in names):
+            continue
+        if m[2]:
+            if any(out[i][0] == tag for i in stack):
+                while True:
+                    i = stack.pop()
+                    out[i][4], out[i][5] = m.start(), m.end() if out[i][0] == tag else m.start()
+                    if out[i][0] == tag:
+                        break
+        else:
+            out.append([tag, len(stack), m.start(), m.end(), len(page), len(page)])
+            if tag not in VOID and not m[4]:
+                stack.append(len(out) - 1)
+            else:
+                out[-1][4] = out[-1][5] = m.end()
+    return [tuple(x) for x in out]
+
+
+def plain(part: str) -> str:
+    """The texts between tags, trimmed and joined by spaces."""
+    return " ".join(t for t in (unescape(x).strip() for x in re.split(r"\0", MARKUP.sub("\0", part))) if t)
+
+
+def page_tables(page: str) -> list[list[list[str]]]:
+    """The tables of a page as rows of cells: a table has all rows within it, those of tables in its cells too, and a row all its
+    cells; rows without text are left out, and so are tables without rows."""
+    found = elements(page, frozenset(("table", "tr", "td", "th")))
+    of = lambda x, *names: [y for y in found if y[0] in names and x[3] <= y[2] < x[4]]
+    text_of = lambda c: re.sub(r"\(PDF[:：][^)]*\)", "", plain(page[c[3] : c[4]])).strip()
+    rows = {tr[2]: [text_of(c) for c in of(tr, "td", "th")] for tr in found if tr[0] == "tr"}
+    filled = lambda places: [rows[i] for i in places if any(rows[i])]
+    tables = [t for t in (filled(tr[2] for tr in of(x, "tr")) for x in found if x[0] == "table") if t]
+    if not any(re.search("契約金額|落札金額", " ".join(r)) for t in tables for r in t):
+        flat = [list(r) for r in dict.fromkeys(tuple(r) for r in filled(rows))]
+        return [flat] if flat else tables
+    return tables
+
+
 def html_tables(sites: DataFrame) -> DataFrame:
     """(page_id, table, row, cells) of the rows with text. Where no row of a page's tables names an amount, which is so where
     tables lie within tables, all its rows count as one table and equal ones once."""
-    row, cell = r"(?is)<tr[^>]*>(.*?)</tr>", r"(?is)<t[dh][^>]*>(.*?)</t[dh]>"
-    text_of = lambda c: F.trim(F.regexp_replace(F.regexp_replace(F.regexp_replace(c, "<[^>]+>", " "), r"\s+", " "), r"\(PDF[:：][^)]*\)", ""))
-    cells = lambda r: F.transform(F.regexp_extract_all(r, F.lit(cell), F.lit(1)), text_of)
-    filled_rows = lambda h: F.filter(F.transform(F.regexp_extract_all(h, F.lit(row), F.lit(1)), cells), lambda c: F.exists(c, lambda x: x != ""))
-    parts = F.slice(F.split("html", r"(?i)</?table\b[^>]*>"), 2, 1_000_000)
-    tables = F.filter(F.transform(parts, filled_rows), lambda t: F.size(t) > 0)
-    named = F.exists("tables", lambda t: F.exists(t, lambda r: F.array_join(r, " ").rlike("契約金額|落札金額")))
-    flat = F.array_distinct(filled_rows(F.col("html")))
-    chosen = F.when(named, F.col("tables")).when(F.size(flat) > 0, F.array(flat)).otherwise(F.col("tables"))
-    out = sites.select("page_id", "html", tables.alias("tables")).select("page_id", F.posexplode(chosen).alias("table", "rows"))
-    return out.select("page_id", "table", F.posexplode("rows").alias("row", "cells"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            out = [(i, t, r, cells) for i, page in enumerate(batch.column(1).to_pylist()) for t, table in enumerate(page_tables(page or "")) for r, cells in enumerate(table)]
+            at, tables, rows, cells = zip(*out, strict=True) if out else ((), (), (), ())
+            yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(at, pa.int64())), pa.array(tables, pa.int32()), pa.array(rows, pa.int32()), pa.array(cells, pa.list_(pa.string()))], ["page_id", "table", "row", "cells"])
+
+    kind = dict(sites.dtypes)["page_id"]
+    return sites.select("page_id", "html").mapInArrow(run, f"page_id {kind}, table int, row int, cells array<string>")
+
+
+def element_depths(sites: DataFrame, names: list[str]) -> DataFrame:
+    """(page_id, tag, depth, elements): how many elements of these names a page has at each depth among them."""
+    wanted = frozenset(names)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            out = [(i, tag, depth, n) for i, page in enumerate(batch.column(1).to_pylist()) for (tag, depth), n in Counter(x[:2] for x in elements(page or "", wanted)).items()]
+            at, tags, depths, n = zip(*out, strict=True) if out else ((), (), (), ())
+            yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(at, pa.int64())), pa.array(tags, pa.string()), pa.array(depths, pa.int32()), pa.array(n, pa.int64())], ["page_id", "tag", "depth", "elements"])
+
+    kind = dict(sites.dtypes)["page_id"]
+    return sites.select("page_id", "html").mapInArrow(run, f"page_id {kind}, tag string, depth int, elements long")
 
 
 def crawl(links: DataFrame, seeds: DataFrame, depth: int) -> DataFrame:
@@ -161,9 +231,20 @@ def decoded(files: DataFrame) -> DataFrame:
     return files.select("path", "content").mapInPandas(run, "path string, text string")
 
 
-def jsonl(spark: SparkSession, path: str, schema: str) -> DataFrame:
-    """Gzipped JSON lines whose first line is a header object with a `_meta` field."""
-    return spark.read.schema(f"{schema}, _meta string").json(path).where("_meta is null").drop("_meta")
+def jsonl(spark: SparkSession, path: str, schema: str, meta: str | None = None) -> DataFrame:
+    """Gzipped JSON lines whose first line is a header object with a `_meta` field; with `meta`, a schema, its fields are put in a
+    struct `meta` beside the rows of its own file. A file without a header has none there; one with nothing else has no row.
+
+    A file's header is its first line in order of the file's blocks; the headers, one for each file, are joined by file.
+    """
+    rows = spark.read.schema(f"{schema}, _meta string").json(path)
+    if meta is None:
+        return rows.where("_meta is null").drop("_meta")
+    names = [f"`{c}`" for c in rows.columns if c != "_meta"]
+    rows = rows.select("*", F.col("_metadata.file_path").alias("_file"), F.col("_metadata.file_block_start").alias("_block"))
+    heads = rows.where("_block = 0 and _meta is not null").groupBy("_file").agg(F.first("_meta").alias("_head"))
+    parsed = heads.select("_file", F.from_json("_head", meta).alias("meta"))
+    return rows.where("_meta is null").join(parsed, "_file", "left").select(*names, "meta")
 
 
 def csv(spark: SparkSession, path: str, encoding: str = "utf-8") -> DataFrame:

@@ -23,6 +23,29 @@ def category_lines(lines: DataFrame, pages: DataFrame) -> DataFrame:
     return parts.select("file_id", "page", "category", name.alias("name"), amounts.oku(F.col("part")).alias("oku")).where(rules.name_is_valid(F.col("name")))
 
 
+def sections(texts: DataFrame, heads: list[tuple[int, str]]) -> DataFrame:
+    """(file_id, section, body) of texts (file_id, text): a section goes from the first place of its head to the first place of
+    the next head in the list that stands behind it, else to the end. Heads that a text lacks give nothing."""
+    at = F.array(*(F.struct(F.lit(n).alias("section"), F.instr("text", h).alias("at")) for n, h in heads))
+    held = texts.select("file_id", "text", at.alias("heads")).select("file_id", "text", "heads", F.posexplode("heads").alias("i", "h")).where("h.at > 0")
+    later = F.get(F.filter(F.slice("heads", F.col("i") + 2, F.lit(len(heads))), lambda x: x["at"] > F.col("h.at")), F.lit(0))["at"]
+    end = F.coalesce(later, F.char_length("text") + 1)
+    return held.select("file_id", F.col("h.section").alias("section"), F.substr("text", F.col("h.at"), end - F.col("h.at")).alias("body"))
+
+
+def narratives(texts: DataFrame, heads: list[tuple[int, str]], keywords: list[tuple[str, int, str]], known: DataFrame | None = None) -> DataFrame:
+    """(file_id, section, name, context) of programmes (pattern, section, name) that the prose of texts names: sought in their
+    section, or in the whole text if it has other sections but not theirs; a text without sections gives none. A name counts once
+    a file, by its first pattern, and not at all where `known` (file_id, name) has it."""
+    parts = sections(texts, heads)
+    held = texts.join(parts.groupBy("file_id").agg(F.map_from_entries(F.collect_list(F.struct("section", "body"))).alias("parts")), "file_id")
+    part = lambda n: F.coalesce(F.try_element_at("parts", F.lit(n)), F.col("text"))
+    seen = F.array(*(F.struct(F.lit(i).alias("i"), F.lit(n).alias("section"), F.lit(name).alias("name"), F.nullif(F.regexp_extract(part(n), p, 0), F.lit("")).alias("context")) for i, (p, n, name) in enumerate(keywords)))
+    rows = held.select("file_id", F.inline(F.filter(seen, lambda x: x["context"].isNotNull())))
+    rows = rows.groupBy("file_id", "name").agg(F.min_by(F.struct("section", "context"), "i").alias("r")).select("file_id", "r.section", "name", F.substring("r.context", 1, 150).alias("context"))
+    return rows if known is None else rows.join(known.select("file_id", "name"), ["file_id", "name"], "left_anti")
+
+
 def with_neighbour(lines: DataFrame, pattern: str) -> DataFrame:
     """Lines that fit, with the texts before and after them."""
     w = Window.partitionBy("file_id", "page").orderBy("line")

@@ -30,8 +30,6 @@ def test_upsert_patch_clone(spark, tmp_path):
     assert merge.cloned_grid(grid, "fy", 2023, [2024, 2025], {"s": "dash"}).where("s = 'dash'").count() == 3
     assert merge.gap_fill(t, new.select("id", "v"), ["id"]).count() == 3
     assert merge.with_missing(t, {"w": "int"}).columns == ["id", "v", "w"]
-    assert not merge.invariant_swap(grid, grid.limit(1), str(tmp_path / "a"), "id")
-    assert merge.invariant_swap(grid, grid, str(tmp_path / "b"), "id")
     assert merge.replace_unprotected(t, new.select("id", "v", "seq").drop("seq").withColumn("seq", F.lit(1)).select("id", "v", "seq"), ["id"], F.col("v") == "x", "seq").count() == 3
 
 
