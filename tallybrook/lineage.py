@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 
 from pyspark.sql import DataFrame
@@ -12,7 +13,7 @@ def cut(df: DataFrame) -> DataFrame:
     context = df.sparkSession.sparkContext
     if context.getCheckpointDir() is None:
         folder = df.sparkSession.conf.get("spark.checkpoint.dir", None)
-        if folder is None and not context.master.startswith("local"):
+        if folder is None and not re.fullmatch(r"local(\[.*\])?", context.master):
             raise ValueError("spark.checkpoint.dir must name a shared folder")
         context.setCheckpointDir(folder or tempfile.mkdtemp(prefix="spark-"))
     return df.checkpoint()

@@ -98,24 +98,28 @@ def relinked(enrichment: DataFrame, contracts: DataFrame, keys: list[str], paylo
     """Finds contract ids for rows that carry natural keys and an ordinal (dup_ordinal).
 
     No id: unmatched. One id and several rows: in mode 'reference' the row of the highest ordinal, else every row. Several
-    ids: all of them if the payloads agree, else by position; rows past the last id are ambiguous.
+    ids: all of them if the payloads agree, else by position; rows past the last id are ambiguous. NULL keys are equal. No list
+    of ids is built: ids are counted first, and a position is met by its number.
     """
-    same = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in keys])
-    ids = contracts.groupBy(*keys).agg(F.sort_array(F.collect_list("id")).alias("ids"))
-    ids = ids.select("ids", *(F.col(k).alias(f"_{k}") for k in keys))
-    group = enrichment.groupBy(*keys).agg(F.count("*").alias("rows"), F.count_distinct(payload).alias("payloads"), F.max("dup_ordinal").alias("last"))
-    group = group.select("rows", "payloads", "last", *(F.col(k).alias(f"_{k}") for k in keys))
-    e = enrichment.join(group, same).drop(*(f"_{k}" for k in keys)).join(ids, same, "left").drop(*(f"_{k}" for k in keys))
-    n = F.coalesce(F.size("ids"), F.lit(0))
-    target = (
-        F.when(n <= 0, F.array().cast("array<bigint>"))
-        .when((n == 1) & F.lit(mode == "reference") & (F.col("dup_ordinal") < F.col("last")), F.array().cast("array<bigint>"))
-        .when((n == 1) | (F.col("payloads") <= 1), F.col("ids"))
-        .when(F.col("dup_ordinal") <= n, F.array(F.try_element_at("ids", F.col("dup_ordinal").cast("int"))))
-        .otherwise(F.array().cast("array<bigint>"))
-    )
-    status = F.when(n <= 0, "unmatched").when((n == 1) | (F.col("payloads") <= 1) | (F.col("dup_ordinal") <= n), "matched").otherwise("ambiguous")
-    return e.withColumns({"status": status, "id": F.explode_outer(target)}).select(*enrichment.columns, "status", "id")
+
+    def joined(left: DataFrame, right: DataFrame, how: str, *more: str) -> DataFrame:
+        right = right.withColumnsRenamed({c: f"_k_{c}" for c in (*keys, *more)})
+        on = reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"_k_{c}")) for c in (*keys, *more)])
+        return left.join(right, on, how).drop(*(f"_k_{c}" for c in (*keys, *more)))
+
+    ids = contracts.groupBy(*keys).agg(F.count("*").alias("_n"))
+    group = enrichment.groupBy(*keys).agg(F.count_distinct(payload).alias("_payloads"), F.max("dup_ordinal").alias("_last"))
+    e = joined(joined(enrichment, group, "inner"), ids, "left").withColumn("_n", F.coalesce("_n", F.lit(0)))
+    every = (F.col("_n") > 0) & ((F.col("_n") == 1) | (F.col("_payloads") <= 1))
+    kept_out = (F.col("_n") == 1) & F.lit(mode == "reference") & (F.col("dup_ordinal") < F.col("_last"))
+    placed = ~every & F.col("dup_ordinal").between(1, F.col("_n"))
+    status = F.when(F.col("_n") == 0, "unmatched").when(every | placed, "matched").otherwise("ambiguous")
+    e = e.withColumns({"status": status, "_way": F.when(every & ~kept_out, "all").when(placed, "place").otherwise("none")}).drop("_n", "_payloads", "_last")
+    told = [*enrichment.columns, "status", "id"]
+    numbered = contracts.select(*keys, "id", F.row_number().over(Window.partitionBy(*keys).orderBy("id")).alias("dup_ordinal"))
+    out = joined(e.where("_way = 'all'"), contracts.select(*keys, "id"), "inner").select(told)
+    out = out.unionByName(joined(e.where("_way = 'place'"), numbered, "inner", "dup_ordinal").select(told))
+    return out.unionByName(e.where("_way = 'none'").withColumn("id", F.lit(None).cast(contracts.schema["id"].dataType)).select(told))
 
 
 def with_ordinals(df: DataFrame, keys: list[str], order: str) -> DataFrame:

@@ -177,3 +177,26 @@ def latest_like(spark: SparkSession, sf: str) -> DataFrame:
     known = table(spark, sf, "orders").join(items, "o_orderkey").join(p, "p_partkey").select(F.col("p_name").alias("name"), F.year("o_orderdate").alias("fy"), F.col("o_orderkey").alias("doc"))
     words = p.select(F.col("p_partkey").alias("id"), F.split("p_name", " ")[1].alias("word"))
     return linkage.latest_like(words, known, "id", "word", "name", "fy", "doc")
+
+
+@query("""with g as (select page_id, lower(list_last(string_split(regexp_extract(url, '^[^?#]*'), '/'))) as filename, case when page_id % 2 = 0 then 'goods' else 'works' end as category, case when page_id % 3 = 0 then null else 'open' end as bid_method from pages where url is not null),
+h as (select filename, min(category) as c, max(bid_method) as b from g where filename <> '' group by 1)
+select page_id, filename, category, bid_method, c as found_category, b as found_bid from g join h using (filename) where category is distinct from c or bid_method is distinct from b""")
+def header_audits(spark: SparkSession, sf: str) -> DataFrame:
+    """Pages whose file says another kind or method than they do: the file's is the first kind and the last method of its pages."""
+    p = table(spark, sf, "pages").where("url is not null")
+    name = F.lower(F.element_at(F.split(F.regexp_extract("url", "^[^?#]*", 0), "/"), -1))
+    grid = p.select("page_id", name.alias("filename"), F.when(F.col("page_id") % 2 == 0, "goods").otherwise("works").alias("category"), F.when(F.col("page_id") % 3 != 0, "open").alias("bid_method"))
+    heads = grid.where("filename <> ''").groupBy("filename").agg(F.min("category").alias("category"), F.max("bid_method").alias("bid_method"))
+    return coverage.header_audit(grid, heads).select("page_id", "filename", "category", "bid_method", "found_category", "found_bid")
+
+
+@query("""with n as (select p_partkey as id, case when p_partkey % 3 = 0 then ' ' || replace(p_name, ' ', chr(12288)) when p_partkey % 3 = 1 then p_name else p_name || '!' end as name from part),
+k as (select p_name as name, min(p_partkey) as doc from part group by 1)
+select id, doc, case when n.name = k.name then 'exact' else 'plain' end as form from n join k on k.name = trim(replace(n.name, chr(12288), ' '))""")
+def names_by_form(spark: SparkSession, sf: str) -> DataFrame:
+    """Names as they are, else without wide spaces and blanks at their ends."""
+    p = table(spark, sf, "part")
+    name = F.when(F.col("p_partkey") % 3 == 0, F.concat(F.lit(" "), F.replace("p_name", F.lit(" "), F.lit("　")))).when(F.col("p_partkey") % 3 == 1, F.col("p_name")).otherwise(F.concat("p_name", F.lit("!")))
+    known = p.select(F.col("p_name").alias("name"), F.col("p_partkey").alias("doc"))
+    return linkage.by_name_forms(p.select(F.col("p_partkey").alias("id"), name.alias("name")), known, "id", "name", "doc")
