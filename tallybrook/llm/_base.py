@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 from collections.abc import Iterator
@@ -24,7 +25,7 @@ def shared_dir(spark: SparkSession) -> str:
     """The folder that spark.checkpoint.dir names; a temporary one only in local mode where none is set, as in tests."""
     path = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not path:
-        if not spark.sparkContext.master.startswith("local"):
+        if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
             raise ValueError("spark.checkpoint.dir must name a folder that all machines share")
         spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="spark-"))
         path = spark.sparkContext.getCheckpointDir()

@@ -6,7 +6,8 @@ the lowest cost that has room, where a piece of n tokens costs linear * n + quad
 sequences is its tokens exactly: `length` each, and powers of two for what is left, so nothing is padded. A document
 that fits nowhere is cut at the sequence with the most room. Nothing is shuffled: a group is a part of one input split.
 
-Cases: null and empty texts are documents of the end id alone; rows of equal doc_id are packed each on their own; an
+Cases: null and empty texts are documents of the end id alone; very long texts are cut into full sequences and a
+rest; of sequences with equal cost the first is taken, of documents of equal length the first; rows of equal doc_id are packed each on their own; an
 empty table gives no rows; other columns play no part.
 """
 

@@ -8,7 +8,7 @@ the same way. A score is the logistic of the sum of the tables' entries.
 The model is fitted on about MOST_ROWS labelled rows, those of the lowest hash; scoring covers every row. Labels, lang,
 source and doc_id are never inputs of a score.
 
-Cases: null and empty texts have all numbers 0 and are scored like any; equal doc_ids are scored each, and the smallest of
+Cases: null and empty texts have all numbers 0 and are scored like any; very long texts are described whole; of cuts with equal gain the first counts; equal doc_ids are scored each, and the smallest of
 their texts is learnt from; with no labelled
 rows every score is 0.5; an empty table gives no rows; other columns play no part in scores and are kept by `kept`.
 """

@@ -10,8 +10,8 @@ overlap. The first rounds count pairs in a table of hashes, in which a cell stan
 replaces little, pairs are counted by sorting, so that none is missed. After that a pair can only be frequent where one was
 before, or beside a new symbol, so later rounds look there alone.
 
-Cases: null and empty texts are documents of the end id alone; rows of equal doc_id are each kept, in the order of
-their text; rows with a null doc_id come first; an empty table gives no rows. Other columns of the input play no part.
+Cases: null and empty texts are documents of the end id alone; very long texts are encoded and compressed whole; pairs that
+stand equally often are replaced in the order of their symbols; rows of equal doc_id are each kept, in the order of their text; rows with a null doc_id come first; an empty table gives no rows. Other columns of the input play no part.
 """
 
 from __future__ import annotations

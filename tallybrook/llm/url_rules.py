@@ -6,7 +6,8 @@ suffix + prefix strings whose shape (number of host labels, length of path) some
 the first 32 bits of their SHA-256, then whole digests are compared. Few rules of few shapes go to the pages, which stay
 where they are, so a common url is no hot key; else distinct urls are judged and joined back.
 
-Cases: a null url, or one without "://", has an empty host and path, no rule, and the default verdict; repeated rows and
+Cases: a null url, or one without "://", has an empty host and path, no rule, and the default verdict; very long urls are
+expanded whole; of fitting rules with equal length the one with the longer host decides; repeated rows and
 equal page_ids are each judged; an empty table gives no rows; other columns play no part.
 """
 

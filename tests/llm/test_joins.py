@@ -254,3 +254,21 @@ def test_groups_of_components_hold_few_shingles(spark, monkeypatch):
     docs = spark.createDataFrame([(2 * i + k, t + " end" * k) for i, t in enumerate(texts) for k in (0, 1)], "doc_id long, text string")
     got = {x.doc_id: (x.class_id, x.n_links) for x in chosen_path.join(docs).collect()}
     assert got == {i: (i - i % 2, 1) for i in range(40)}
+
+
+def test_mixed_rows_equal_a_plain_schedule(spark):
+    """Block by block: releases and deadlines from the weights, the earliest deadline of what may run, slot by slot."""
+    r = np.random.default_rng(3)
+    rows = [(i, str(r.choice(["a", "b", "c"], p=[0.6, 0.3, 0.1])), "x" * int(r.integers(1, 200))) for i in range(700)]
+    got = mixing.mixed(spark.createDataFrame(rows, "doc_id long, source string, text string"), block_chars=700).toPandas()
+    chars = got.assign(n=got.text.str.len()).groupby("source").n.sum()
+    given = mixing.slots_of({s: float(n) ** mixing.POWER for s, n in chars.items()})
+    total, last = sum(given.values()), got.groupby("source").mix_block.max()
+    waiting, slot_of = {s: 0 for s in given}, {}
+    for slot in range(3 * total):
+        free = [(-(-(k + 1) * total // given[s]), s, k) for s, k in waiting.items() if k * total // given[s] <= slot]
+        _, s, k = min(free)
+        slot_of[s, k] = slot
+        waiting[s] = k + 1
+    assert all(last[s] < waiting[s] for s in given)
+    assert [slot_of[s, k] for s, k in zip(got.source, got.mix_block, strict=True)] == got.mix_slot.tolist()

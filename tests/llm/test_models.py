@@ -237,3 +237,56 @@ def test_pii_redacts_very_long_texts_in_linear_time(spark):
         took.append(time.time() - began)
         assert got[1] == "[EMAIL] " * n and got[2] == "[CARD]; [EMAIL]; [PHONE]; " * (n // 6)
     assert took[2] < 3 * took[1] + 10
+
+
+def test_quality_features_by_hand():
+    texts = ["Hello WORLD world world! 12 | x", "", "ÄB cd\nef" + "g" * 30, "a" * 70_000 + " b"]
+    want = []
+    for t in texts:
+        raw, words = t.encode(), t.split()
+        lower, upper, digits = (sum(c in s for c in raw) for s in (b"abcdefghijklmnopqrstuvwxyz", b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"0123456789"))
+        symbols, n = sum(c in b"#$%&*^~<>{}[]\\/=+_@|" for c in raw), max(len(words), 1)
+        ups = [w for w in words if sum(c.isascii() and c.isupper() for c in w) >= 2 and not any(c.isascii() and c.islower() for c in w)]
+        repeats = sum(a == b for a, b in zip(words, words[1:], strict=False))
+        total, letters = max(len(raw), 1), max(lower + upper, 1)
+        want.append([
+            np.log1p(len(words)), sum(len(w.encode()) for w in words) / n, upper / letters, len(ups) / n, symbols / total, np.log1p(symbols), raw.count(b"|") / total, raw.count(b"!") / total,
+            digits / total, repeats / n, np.log1p(repeats), len(set(words)) / n, sum(c in b".,;:?" for c in raw) / n, raw.count(b"\n") / n, sum(len(w.encode()) > 20 for w in words) / n, sum(c > 127 for c in raw) / total,
+        ])
+    assert np.allclose(quality.features_of(pa.array(texts)), want)
+
+
+def test_langid_fit_equals_plain_loops(monkeypatch):
+    monkeypatch.setattr(langid, "BUCKETS", 6)
+    r = np.random.default_rng(1)
+    rows = [(np.sort(r.choice(6, 3, replace=False)), r.random(3)) for _ in range(40)]
+    y = r.integers(0, 3, 40)
+    z, n = [[0.0] * 3 for _ in range(7)], [[0.0] * 3 for _ in range(7)]
+
+    def weight(i, k):
+        if abs(z[i][k]) <= langid.L1:
+            return 0.0
+        return -(z[i][k] - np.sign(z[i][k]) * langid.L1) / ((langid.BETA + n[i][k] ** 0.5) / langid.ALPHA + langid.L2)
+
+    for _ in range(2):
+        for (idx, val), label in zip(rows, y, strict=True):
+            x = {int(i): v for i, v in zip(idx, val, strict=True)} | {6: 1.0}
+            w = {i: [weight(i, k) for k in range(3)] for i in x}
+            e = np.exp([sum(x[i] * w[i][k] for i in x) for k in range(3)])
+            for i in x:
+                for k in range(3):
+                    g = x[i] * (e[k] / e.sum() - (k == label))
+                    step = ((n[i][k] + g * g) ** 0.5 - n[i][k] ** 0.5) / langid.ALPHA
+                    z[i][k] += g - step * w[i][k]
+                    n[i][k] += g * g
+    w, bias = langid.fit(rows, y, 3, 2)
+    assert np.allclose(w, [[weight(i, k) for k in range(3)] for i in range(6)]) and np.allclose(bias, [weight(6, k) for k in range(3)])
+
+
+def test_langid_temperature_has_the_least_loss():
+    r = np.random.default_rng(2)
+    y = r.integers(0, 3, 400)
+    logits = 6.0 * np.eye(3)[y] * (r.random(400) < 0.8)[:, None] + r.normal(size=(400, 3))
+    found = langid.temperature_of(logits, y)
+    loss = lambda t: -np.mean([np.log(np.exp(v[k] / t) / np.exp(v / t).sum()) for v, k in zip(logits, y, strict=True)])
+    assert all(loss(found) <= loss(t) + 1e-6 for t in (0.05, 0.5 * found, 0.8 * found, 1.25 * found, 2 * found, 5)) and langid.temperature_of(logits[:0], y[:0]) == 1.0

@@ -129,3 +129,33 @@ def test_costs_are_more_even_than_those_of_first_fit():
             used[k] = used[k][0] - n, used[k][1] + cost(n)
     full = sorted(ours.values())[len(ours) // 10 :]  # without the short sequences at a group's end
     assert max(full) - min(full) < max(c for _, c in used) - min(c for _, c in used)
+
+
+@pytest.mark.parametrize("length", [16, 64])
+def test_assign_equals_a_plain_search(length):
+    """Longest rest first, each to the cheapest sequence with room for it, else cut into the one with most room."""
+    r = np.random.default_rng(length)
+    for n in (0, 1, 2, 9, 60):
+        sizes = r.integers(0, 3 * length, n)
+        out, seq, rests = [], 0, []
+        for doc, size in enumerate(sizes):
+            for k in range(size // length):
+                out.append((doc, k * length, length, seq, 0))
+                seq += 1
+            if size % length:
+                rests.append((size % length, doc))
+        total = sum(x for x, _ in rests)
+        rooms = [length] * (total // length) + [2**b for b in range(10, -1, -1) if (total % length) // 2**b % 2]
+        held = [[] for _ in rooms]
+        for size, doc in sorted(rests, key=lambda x: (-x[0], x[1])):
+            start = sizes[doc] - size
+            while size:
+                cost = lambda k: sum(packing.LINEAR * x + packing.QUADRATIC * x * x for x in held[k])
+                free = lambda k: rooms[k] - sum(held[k])
+                able = [k for k in range(len(rooms)) if free(k) >= size]
+                k = min(able, key=lambda k: (cost(k), k)) if able else max(range(len(rooms)), key=lambda k: (free(k), -k))
+                part = min(size, free(k))
+                out.append((doc, start, part, seq + k, sum(held[k])))
+                held[k].append(part)
+                size, start = size - part, start + part
+        assert packing.assign(sizes, length) == out
