@@ -100,10 +100,13 @@ def table_records(pages_: DataFrame, header_rules: list[tuple[str, str]], bid_ru
     table = held(table.withColumn("fields", F.aggregate(titles, F.create_map().cast("map<string,int>"), mapped))).where(F.map_contains_key("fields", "contract_amount"))
     rows = table.select("file_id", "page", "tier", "table", "head", "fields", F.posexplode("rows").alias("row", "cells")).where(F.col("row") > F.col("head"))
     place = lambda f: F.try_element_at("fields", F.lit(f))
-    cell = lambda f: F.get("cells", place(f))
+    read = ["contract_name", "vendor_name", "contract_amount", "estimated_price", "award_rate", "contract_date", "bid_method", "corporate_number", "quantity", "unit_measure", "zuii_reason", "contract_officer"]
+    beside_name = F.get("cells", place("contract_name") + 1).alias("beside")
+    rows = held(rows.select("file_id", "page", "tier", "table", "row", beside_name, *(F.get("cells", place(f)).alias(f"c_{f}") for f in read)))
+    cell = lambda f: F.col(f"c_{f}")
     one_line = lambda c: F.nullif(F.trim(F.replace(c, F.lit("\n"), F.lit(" "))), F.lit(""))
     lines = F.filter(F.transform(F.split(cell("vendor_name"), "\n"), lambda s: F.trim(s)), lambda s: s != "")
-    name, beside = one_line(cell("contract_name")), one_line(F.get("cells", place("contract_name") + 1))
+    name, beside = one_line(cell("contract_name")), one_line(F.col("beside"))
     number = lambda c: c.rlike("^[0-9]+$")
     name = F.when(number(name) & beside.isNotNull() & ~number(beside), beside).when(~number(name), name)
     bid, order = F.trim(cell("bid_method")), Window.partitionBy("file_id", "page", "table").orderBy("row").rowsBetween(Window.unboundedPreceding, -1)

@@ -69,7 +69,8 @@ def word_records(words: DataFrame, rules: list[tuple[str, str]], bid_rules: list
     part = lambda h: F.flatten(F.slice("lines", h["at"] + 1, h["n"]))
     squeezed = lambda c: F.regexp_replace(c, "[ 　]", "")
     heads = lambda t: t.rlike(AMOUNT_HEADS) & t.rlike(NAME_HEADS)
-    page = held(page.withColumn("head", first(spans, lambda h: (h["at"] + h["n"] <= F.size("lines")) & heads(squeezed(joined(part(h), "")))))).where("head is not null")
+    page = held(page.withColumn("texts", F.transform(F.slice("lines", 1, 14), lambda ws: squeezed(joined(ws, "")))))  # once a line, not once a span
+    page = held(page.withColumn("head", first(spans, lambda h: (h["at"] + h["n"] <= F.size("lines")) & heads(F.array_join(F.slice("texts", h["at"] + 1, h["n"]), ""))))).where("head is not null").drop("texts")
     table = F.array(*(F.struct(F.lit(k).alias("keyword"), F.lit(f).alias("field")) for k, f in rules))
 
     def placed(fields: Column, w: Column) -> Column:
@@ -83,15 +84,17 @@ def word_records(words: DataFrame, rules: list[tuple[str, str]], bid_rules: list
     money = lambda line: amounts.last_amount(near(line, at("contract_amount")))
     above = lambda i: F.slice("body", F.greatest(i - BLOCK_LINES, F.lit(0)) + 1, F.least(i, F.lit(BLOCK_LINES)) + 1)
     block = lambda line, i: F.flatten(F.filter(above(i), lambda o: F.get(o, F.lit(0)).top >= F.get(line, F.lit(0)).top - BLOCK_APART))
-    ends = F.filter(F.transform("body", lambda line, i: F.struct(i.alias("line"), money(line).alias("amount"), block(line, i).alias("block"))), lambda r: r["amount"] > 0)
+    paid = F.filter(F.transform("body", lambda line, i: F.struct(i.alias("line"), money(line).alias("amount"))), lambda r: r["amount"] > 0)
+    ends = F.transform(paid, lambda r: F.struct(r["line"].alias("line"), r["amount"].alias("amount"), block(F.get("body", r["line"]), r["line"]).alias("block")))  # blocks of paid lines alone
     rows = page.select("file_id", "page", "fields", F.explode(ends).alias("r")).select("file_id", "page", "fields", "r.*")
     value = lambda f: near(F.col("block"), at(f))
     edge = F.array_min(F.map_values("fields")) - 5
     left = F.nullif(F.array_join(F.array_distinct(F.transform(F.filter("block", lambda w: (w.x0 + w.x1) / 2 < edge), lambda w: w.text)), " "), F.lit(""))
+    raw = ["vendor_name", "contract_date", "bid_method", "estimated_price", "award_rate"]
+    rows = held(rows.select("file_id", "page", "line", F.coalesce(value("contract_name"), F.substring(left, 1, 500)).alias("contract_name"), F.col("amount").alias("contract_amount"), *(value(f).alias(f) for f in raw)))
     rows = rows.select(
-        "file_id", "page", "line", F.coalesce(value("contract_name"), F.substring(left, 1, 500)).alias("contract_name"), value("vendor_name").alias("vendor_name"), F.col("amount").alias("contract_amount"),
-        dates.page_date(value("contract_date")).alias("contract_date"), text.bid_method(value("bid_method"), bid_rules).alias("bid_method"),
-        amounts.last_amount(value("estimated_price")).alias("estimated_price"), amounts.rate(value("award_rate")).alias("award_rate"),
+        "file_id", "page", "line", "contract_name", "vendor_name", "contract_amount", dates.page_date(F.col("contract_date")).alias("contract_date"), text.bid_method(F.col("bid_method"), bid_rules).alias("bid_method"),
+        amounts.last_amount(F.col("estimated_price")).alias("estimated_price"), amounts.rate(F.col("award_rate")).alias("award_rate"),
     )
     rows = rows.withColumn("fiscal_year", dates.fiscal_year_of_text(F.col("contract_date"))).where("vendor_name is not null or contract_name is not null")
     return rows if years is None else rows.where(F.col("fiscal_year").isNull() | F.col("fiscal_year").isin(years))
