@@ -109,6 +109,12 @@ class Combiner:
         return out
 
 
+def _rows(batch: pa.RecordBatch) -> Iterator[dict]:
+    """A batch's rows, one block's objects at a time."""
+    for i in range(batch.num_rows):
+        yield batch.slice(i, 1).to_pylist()[0]
+
+
 def _built(digests: list[str], levels: int, arity: int) -> Combiner:
     tree = Combiner(len(digests), levels, arity)
     for i, d in enumerate(digests):
@@ -191,9 +197,7 @@ def rounds_of(leaves: DataFrame, tree: list[str], block: int, arity: int) -> tup
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
-                tops = []
-                for size, items in zip(batch.column("size").to_pylist(), batch.column("items").to_pylist(), strict=True):
-                    tops.append(_built([i["leaf"] for i in items], _levels(size, block, arity), arity).nodes[-1][0])
+                tops = [_built([i["leaf"] for i in r["items"]], _levels(r["size"], block, arity), arity).nodes[-1][0] for r in _rows(batch.select(["size", "items"]))]
                 yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in (*tree, "size", "block")), pa.array(tops, pa.string())], [*tree, "size", "block", "leaf"])
 
         keep = level.select(*tree, "size", "block", F.transform("items", lambda i: F.struct(i["leaf"].alias("leaf"))).alias("items"))
@@ -258,7 +262,7 @@ def manifest(docs: DataFrame, arity: int = ARITY, most: int = BLOCK, proofs: boo
 
 def _spread(batches: Iterator[pa.RecordBatch], block: int, arity: int) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        for r in batch.to_pylist():
+        for r in _rows(batch):
             built = _built([x["leaf"] for x in r["items"]], _levels(r["size"], block, arity), arity)
             yield pa.RecordBatch.from_pylist(
                 [{"lang": x["lang"], "subroot": x["leaf"], "root": r["root"], "path": [{"before": a, "after": b} for a, b in built.siblings(j)] + r["path"]} for j, x in enumerate(r["items"])],
@@ -273,7 +277,7 @@ def _proofs(batches: Iterator[pa.RecordBatch], block: int, arity: int, proofs: b
     names = ["doc_id", "leaf", "subroot", "root", "proof_sha256", "folded_root", "verified"]
     kinds = [pa.int64(), *[pa.string()] * 5, pa.bool_()]
     for batch in batches:
-        for r in batch.to_pylist():
+        for r in _rows(batch):
             built = _built([x["leaf"] for x in r["items"]], _levels(r["size"], block, arity), arity)
             top = [(p["before"], p["after"]) for p in r["path"]]
             rows, paths = [], []
