@@ -311,10 +311,10 @@ def made_texts(seed: int = SEED, wrong: float = WRONG) -> list[dict]:
 
 def candidates(spark: SparkSession, texts: list[dict]) -> list[dict]:
     """Features of every candidate of the texts, with what is known of its text."""
-    made = spark.range(1).select(F.inline(F.from_json(F.lit(json.dumps(texts)), "array<struct<kind:string,text:string,good:int,held:int>>")))
     rows = []
-    for k in KINDS:
-        own = made.where(F.col("kind") == k)
+    for k in KINDS:  # each kind's texts stand in the plan once: plans are kept by the driver
+        mine = json.dumps([t for t in texts if t["kind"] == k], ensure_ascii=False)
+        own = spark.range(1).select(F.inline(F.from_json(F.lit(mine), "array<struct<kind:string,text:string,good:int,held:int>>")))
         own = own.withColumns({"_m": F.regexp_extract_all("text", F.lit(LOOSE[k]), F.lit(0)), "_chunks": chunked(F.col("text"))}).withColumn("s", F.explode(spans(F.col("text"), F.col("_m"), LOOSE[k])))
         rows.append(own.select("kind", "good", "held", *(c.alias(f) for f, c in features(k, F.col("_chunks"), F.col("s")).items())))
     return sorted((r.asDict() for r in reduce(DataFrame.unionByName, rows).collect()), key=lambda r: json.dumps(r, sort_keys=True))
