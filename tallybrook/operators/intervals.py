@@ -4,11 +4,15 @@ Intervals of whole numbers (days, months, places) are laid on a grid of buckets.
 buckets are at least as wide as itself, each level FACTOR times as wide as the one below, so it touches two buckets at most
 however long it is. Of a pair, the shorter one visits the longer one's level, and the two count in the one bucket that holds the
 later of their begins: each pair appears once and nothing needs a distinct. On coarse levels, whose buckets are few and
-visited by many, a bucket is dealt over parts by the visitors' fine buckets; the long intervals, which are few, stand in each.
+visited by many, a bucket is dealt over parts by the visitors' fine buckets, and the long intervals stand in each. A bucket has
+no more parts than visitors, and none without them, so an interval is copied no more often than it is compared. The sizes that
+the planner knows are those before the copies, so the joins are by sorting: nothing goes through the driver.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -55,17 +59,22 @@ def overlapping(left: DataFrame, right: DataFrame, a: tuple[str, str], b: tuple[
         """Visitors with owners of coarser levels, or of the same one too."""
         to = F.filter(F.array(*map(F.lit, levels)), lambda k: (k >= F.col("_own")) if same else (k > F.col("_own")))
         come = visitors.withColumn("_at", F.explode(to))
-        come = _buckets(come, *v, F.col("_at")).withColumn("_part", F.pmod(F.floor(F.col(v[0]) / WIDTH), _parts(F.col("_level")))).drop("_own", "_at", "_width")
-        stay = _buckets(owners, *o, F.col("_own")).withColumn("_part", F.explode(F.sequence(F.lit(0), _parts(F.col("_level")) - 1).cast("array<bigint>"))).drop("_own")
-        both = come.join(stay, [*keys, "_level", "_bucket", "_part"])
+        place = [*keys, "_level", "_bucket"]
+        come, stay = _buckets(come, *v, F.col("_at")).drop("_own", "_at", "_width"), _buckets(owners, *o, F.col("_own")).drop("_own")
+        crowd = come.groupBy(*place).agg(F.least(F.count("*"), _parts(F.first("_level"))).alias("_parts")).hint("merge")
+        come = come.join(crowd, place).withColumn("_part", F.pmod(F.floor(F.col(v[0]) / WIDTH), F.col("_parts"))).drop("_parts")
+        stay = stay.join(crowd, place).withColumn("_part", F.explode(F.sequence(F.lit(0).cast("long"), F.col("_parts") - 1))).drop("_parts")
+        both = come.join(stay.hint("merge"), [*place, "_part"])
         later = F.greatest(F.col(v[0]), F.col(o[0]))
         return both.where((F.col(v[0]) <= F.col(o[1])) & (F.col(o[0]) <= F.col(v[1])) & (F.floor(later / F.col("_width")) == F.col("_bucket")))
 
     names = [*keys, *(c for c in left.columns if c not in keys and c != "_own"), *(c for c in right.columns if c not in keys and c != "_own")]
-    out = met(left, right, a, b, there, True).select(names)
+    out = []
+    if not (here and there) or here[0] <= there[-1]:
+        out.append(met(left, right, a, b, there, True).select(names))
     if here and there and here[-1] > there[0]:
-        out = out.unionByName(met(right, left, b, a, here, False).select(names))
-    return out
+        out.append(met(right, left, b, a, here, False).select(names))
+    return reduce(DataFrame.unionByName, out)
 
 
 def counted(points: DataFrame, intervals: DataFrame, point: str, ends: tuple[str, str], out: str, weight: str | None = None) -> DataFrame:

@@ -34,6 +34,14 @@ def test_nulls_points_and_empty_sides(spark):
     assert sorted((r.j, r.n) for r in intervals.counted(right, left, "c", ("a", "b"), "n").collect()) == [(1, 1), (2, 1), (3, 0), (4, 0)]
 
 
+def test_intervals_are_not_copied_beyond_their_visitors(spark):
+    o = spark.range(2000).selectExpr("id % 500 as k", "id as x", "id as a", "id + 90 as b")  # small enough to be sent whole
+    got = intervals.overlapping(o, o.selectExpr("k", "x as y", "a as p"), ("a", "b"), ("p", "p"), ["k"])
+    assert got.count() == 2000
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "Broadcast" not in plan
+
+
 TEXTS = ["護衛艦の修理", "ss-1 SS 12SS", "", None, "abcabc" * 5000 + "needle in the haystack" + "z" * 1000, "eneedle éneedle", "x" * 30 + "y", "x" * 31]
 WORDS = ["艦", "護衛艦", "SS", "", "needle", "needle in the haystack", "abc", "x" * 24, "x" * 30 + "y", "x" * 29 + "z", None, "修理"]
 
