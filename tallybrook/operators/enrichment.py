@@ -96,14 +96,17 @@ def org_fallback(classified: DataFrame, rules: list[tuple[Column, str, float]])
 def programme_fallback(contracts: DataFrame, programmes: DataFrame, least: int = 6) -> DataFrame:
     """id, org: of programmes whose name and the contract's contain one another, if all agree; else the plurality of shared terms.
 
-    contracts: id, name_norm; programmes: name_norm, org, terms.
+    contracts: id, name_norm; programmes: name_norm, org, terms. Names are compared once each, however many rows have them.
     """
-    long = programmes.where(F.char_length("name_norm") >= least)
-    whole = linkage.either_contains(contracts.select("id", F.col("name_norm").alias("a")), long.select(F.col("name_norm").alias("b"), "org"), "a", "b").where((F.char_length("a") >= least) & (F.char_length("b") >= least))
-    full = votes.unanimous(whole, "id", "org").select("id", F.col("org").alias("full_org"))
+    names = contracts.select(F.col("name_norm").alias("a")).where("a is not null").distinct()
+    long = programmes.where(F.char_length("name_norm") >= least).select(F.col("name_norm").alias("b"), "org").distinct()
+    whole = linkage.either_contains(names, long, "a", "b").where((F.char_length("a") >= least) & (F.char_length("b") >= least))
+    agreed = whole.groupBy("a").agg(F.min("org").alias("_least"), F.max("org").alias("_most"))  # one row a name
+    rows = contracts.select("id", F.col("name_norm").alias("a"))
+    full = rows.join(agreed, "a").groupBy("id").agg(F.min("_least").alias("_least"), F.max("_most").alias("_most")).where("_least = _most").select("id", F.col("_least").alias("full_org"))
     words = programmes.select("org", F.explode("terms").alias("term")).distinct()
-    hits = linkage.contains_join(contracts.select("id", F.col("name_norm").alias("a")), words, "a", "term")
-    some = votes.plurality(hits.select("id", "org"), "id", "org").select("id", F.col("org").alias("some_org"))
+    hits = linkage.contains_join(names, words, "a", "term").where("org is not null").groupBy("a", "org").agg(F.count("*").alias("n"))
+    some = votes.plurality(rows.join(hits, "a").select("id", "org", "n"), "id", "org", "n").select("id", F.col("org").alias("some_org"))
     out = contracts.select("id").join(full, "id", "left").join(some, "id", "left")
     return out.select("id", F.coalesce("full_org", "some_org").alias("org"), F.when(F.col("full_org").isNotNull(), "full_match").when(F.col("some_org").isNotNull(), "kw_match").alias("source")).where("org is not null")
 

@@ -19,9 +19,9 @@ def unanimous(df: DataFrame, key: str, value: str) -> DataFrame:
     return found.where(F.col("_low") == F.col("_high")).select(key, F.col("_low").alias(value))
 
 
-def plurality(df: DataFrame, key: str, value: str) -> DataFrame:
-    """The most frequent value of each key, unless another has as many."""
-    counts = df.where(F.col(value).isNotNull()).groupBy(key, value).agg(F.count("*").alias("votes"))
+def plurality(df: DataFrame, key: str, value: str, weight: str | None = None) -> DataFrame:
+    """The most frequent value of each key, unless another has as many; a row counts once, or as often as its weight says."""
+    counts = df.where(F.col(value).isNotNull()).groupBy(key, value).agg((F.sum(weight) if weight else F.count("*")).alias("votes"))
     w = Window.partitionBy(key).orderBy(F.desc("votes"), value)
     ranked = counts.withColumns({"_rank": F.row_number().over(w), "_next": F.lead("votes").over(w)})
     return ranked.where((F.col("_rank") == 1) & (F.coalesce("_next", F.lit(0)) < F.col("votes"))).select(key, value, "votes")

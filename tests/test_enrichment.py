@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tallybrook.functions import rules
-from tallybrook.operators import coverage, enrichment
+from tallybrook.operators import coverage, enrichment, linkage
 from tallybrook.sources import reports
 
 
@@ -110,3 +110,23 @@ def test_report_lines(spark):
     assert [(x.fiscal_year, x.kind, x.text) for x in reports.portal_rows(portal).collect()] == [(2023, "事前", "甲")]
     assert reports.without_placeholders(spark.createDataFrame([("0一式", "x", 1), ("1", None, None), (None, None, 5)], "quantity string, contract_date string, contract_amount int")).count() == 1
     assert reports.with_neighbour(lines, "戦車").first().after is None
+
+
+def test_programmes_meet_each_name_once(spark, monkeypatch):
+    made, either = [], linkage.either_contains
+    monkeypatch.setattr(linkage, "either_contains", lambda *a, **k: made.append(either(*a, **k)) or made[-1])
+    contracts = spark.range(300).selectExpr("id", "if(id % 3 = 0, 'large ring set', if(id % 3 = 1, 'blue bolt set', null)) as name_norm")
+    programmes = spark.range(200).selectExpr("'large ring' as name_norm", "'army' as org", "array('ring') as terms")
+    programmes = programmes.unionAll(spark.sql("select 'blue gear', 'navy', array('blue') union all select 'old bolts', 'army', array('set', 'bolt')"))
+    got = {r.id: (r.org, r.source) for r in enrichment.programme_fallback(contracts, programmes).collect()}
+    assert got == {i: ("army", ("full_match", "kw_match")[i % 3]) for i in range(300) if i % 3 < 2}
+    assert made[0].count() == 1
+
+
+def test_an_id_of_several_names_has_all_their_words(spark):
+    contracts = spark.createDataFrame([(1, "red ring"), (1, "red bolt"), (2, "red ring"), (2, "red ring"), (3, "xx")], "id int, name_norm string")
+    programmes = spark.createDataFrame([("aaaaaa", "army", ["ring", "bolt"]), ("bbbbbb", "navy", ["red"]), ("red ring", None, None)], "name_norm string, org string, terms array<string>")
+    got = {r.id: r.org for r in enrichment.programme_fallback(contracts, programmes).collect()}
+    assert got == {}
+    more = programmes.unionAll(spark.sql("select 'cccccc', 'navy', array('rin')"))
+    assert {r.id: r.org for r in enrichment.programme_fallback(contracts, more).collect()} == {1: "navy", 2: "navy"}
