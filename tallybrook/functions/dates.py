@@ -34,13 +34,18 @@ def fiscal_order(month: Column) -> Column:
     return (month + 8) % 12
 
 
+def let(value: Column, f) -> Column:
+    """f(value) with the value worked out once: within lambdas of arrays Catalyst merges no equal expressions."""
+    return F.get(F.transform(F.array(value), f), F.lit(0))
+
+
 def _ymd(year: Column, month: Column, day: Column) -> Column:
     fits = month.between(1, 12) & day.between(1, 31)
     return F.when(fits, F.format_string("%04d%02d%02d", year, month, day))
 
 
 def _parts(text: Column, pattern: str) -> tuple[Column, Column, Column]:
-    return tuple(F.nullif(F.regexp_extract(text, pattern, i), F.lit("")).try_cast("int") for i in (1, 2, 3))
+    return tuple(F.regexp_extract(text, pattern, i).try_cast("int") for i in (1, 2, 3))
 
 
 def date_text(value: Column) -> Column:
@@ -67,14 +72,14 @@ def spaced_era_date(value: Column) -> Column:
 
 def _either(text: Column, era: str, three: str | None = None) -> Column:
     """YYYYMMDD of an era date (years 1 to 20 of the present era) anywhere, else a Gregorian one as it is, else a bare triplet."""
-    y, m, d = _parts(text, era)
-    out = F.when(y.between(1, 20), _ymd(y + ERA_BASE["R"], m, d))
-    y, m, d = _parts(text, r"([0-9]{4})[-/年]([0-9]{1,2})[-/月]([0-9]{1,2})")
-    out = F.coalesce(out, F.when(y.isNotNull(), F.format_string("%04d%02d%02d", y, m, d)))
-    if three:
-        y, m, d = _parts(text, three)
-        out = F.coalesce(out, F.when(y.between(1, 20), _ymd(y + ERA_BASE["R"], m, d)))
-    return out
+    def read(t: Column, pattern: str, told) -> Column:
+        of = lambda t: F.struct(*(p.alias(n) for n, p in zip("ymd", _parts(t, pattern), strict=True)))
+        return F.when(t.rlike(pattern), let(of(t), lambda p: told(p["y"], p["m"], p["d"])))
+
+    present = lambda y, m, d: F.when(y.between(1, 20), _ymd(y + ERA_BASE["R"], m, d))
+    plain = lambda y, m, d: F.when(y.isNotNull(), F.format_string("%04d%02d%02d", y, m, d))
+    ways = [(era, present), (r"([0-9]{4})[-/年]([0-9]{1,2})[-/月]([0-9]{1,2})", plain), *([(three, present)] if three else [])]
+    return let(text, lambda t: F.coalesce(*(read(t, pattern, told) for pattern, told in ways)))
 
 
 def page_date(text: Column) -> Column:

@@ -81,10 +81,13 @@ def word_records(words: DataFrame, rules: list[tuple[str, str]], bid_rules: list
     page = held(page.withColumn("body", F.slice("lines", F.col("head")["at"] + F.col("head")["n"] + 1, F.size("lines"))))
     at = lambda f: F.try_element_at("fields", F.lit(f))
     near = lambda ws, x: F.nullif(joined(F.filter(ws, lambda w: F.abs((w.x0 + w.x1) / 2 - x) <= COLUMN_APART)), F.lit(""))
-    money = lambda line: amounts.last_amount(near(line, at("contract_amount")))
+    centred = lambda ws, x: joined(F.filter(ws, lambda w: F.abs((w.x0 + w.x1) / 2 - x) <= COLUMN_APART))
+    money = lambda line: dates.let(centred(line, at("contract_amount")), amounts.last_amount)
     above = lambda i: F.slice("body", F.greatest(i - BLOCK_LINES, F.lit(0)) + 1, F.least(i, F.lit(BLOCK_LINES)) + 1)
     block = lambda line, i: F.flatten(F.filter(above(i), lambda o: F.get(o, F.lit(0)).top >= F.get(line, F.lit(0)).top - BLOCK_APART))
     paid = F.filter(F.transform("body", lambda line, i: F.struct(i.alias("line"), money(line).alias("amount"))), lambda r: r["amount"] > 0)
+    page = held(page.withColumn("paid", paid))
+    paid = F.col("paid")
     ends = F.transform(paid, lambda r: F.struct(r["line"].alias("line"), r["amount"].alias("amount"), block(F.get("body", r["line"]), r["line"]).alias("block")))  # blocks of paid lines alone
     rows = page.select("file_id", "page", "fields", F.explode(ends).alias("r")).select("file_id", "page", "fields", "r.*")
     value = lambda f: near(F.col("block"), at(f))
@@ -146,16 +149,18 @@ def scan_records(words: DataFrame, columns: list[tuple[float, str]], head: float
     good = words.where((F.coalesce("conf", F.lit(1.0)) >= least_confidence) & (t != "") & ~t.rlike(SCAN_TITLES) & F.col("y").between(head, foot))
     field = F.coalesce(*(F.when(F.col("x") < b, F.lit(f)) for b, f in columns), F.lit(columns[-1][1]))
     page = good.groupBy("file_id", "page").agg(F.sort_array(F.collect_list(F.struct("seq", field.alias("field"), "y", t.alias("text")))).alias("items"))
+    page = held(page)
     money = lambda c: _money(found(c, MONEY, 1))
     anchors = F.filter(F.transform("items", lambda w: F.struct(w["y"].alias("y"), F.when(w["field"] == "contract_amount", money(w["text"])).alias("amount"))), lambda a: a["amount"] >= LEAST_MONEY)
-    page = page.withColumn("anchors", anchors).withColumn("ys", F.array_sort(F.col("anchors.y")))
+    page = held(page.withColumn("anchors", anchors)).withColumn("ys", F.sort_array(F.col("anchors.y")))
     rows = page.select("file_id", "page", "items", "ys", F.posexplode("anchors").alias("anchor", "a"))
     y, place = F.col("a.y"), F.array_position("ys", F.col("a.y")).cast("int") - 1
     lo, hi = F.coalesce((y + F.get("ys", place - 1)) / 2, y - band), F.coalesce((y + F.get("ys", place + 1)) / 2, y + band)
-    rows = rows.withColumns({"lo": lo, "hi": hi}).withColumn("items", F.filter("items", lambda w: w["y"].between(F.col("lo"), F.col("hi"))))
+    rows = held(rows.withColumns({"lo": lo, "hi": hi}))  # once a band, not once a word
+    rows = held(rows.withColumn("items", F.filter("items", lambda w: w["y"].between(F.col("lo"), F.col("hi")))))
     of = lambda f: F.transform(F.filter("items", lambda w: w["field"] == f), lambda w: w["text"])
     fixed = lambda c: F.regexp_replace(F.regexp_replace(F.regexp_replace(c, "(?<=年)[sS](?=月)", "5"), "(?<=年)[Oo](?=月)", "0"), "(?<=令和)G(?=年)", "6")
-    date = lambda c: dates.scan_date(found(fixed(c), DATE))
+    date = lambda c: dates.scan_date(F.regexp_extract(fixed(c), DATE, 0))
     seen = lambda items, read: first(F.transform(items, read), lambda x: x.isNotNull())
     text_of = lambda items, n: F.substring(F.nullif(F.array_join(items, " "), F.lit("")), 1, n)
     company, place_only = (lambda c: c.rlike(COMPANIES)), (lambda c: c.rlike(PLACES) & ~c.rlike(COMPANIES))

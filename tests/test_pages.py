@@ -1,5 +1,8 @@
 """Records of unruled pages, scans and lists, each on a hand-made page."""
 
+from pyspark.sql import functions as F
+
+from tallybrook.functions import dates
 from tallybrook.sources import pages
 
 WORDS = "file_id string, page int, text string, x0 double, x1 double, top double"
@@ -67,3 +70,18 @@ def test_companies(spark):
     assert got == [("f", 1, "甲重工", 120, 3000.0, 15.5), ("f", 2, "乙電機", 80, 1500.0, 7.5)]
     millions = spark.createDataFrame([("g", 0, ["位", "会社"]), ("g", 1, ["1", "甲", "120", "300,000"])], df.schema)
     assert pages.companies(millions).first().amount_100m == 3000.0
+
+
+def test_bands_are_worked_out_before_their_words(spark):
+    df = spark.createDataFrame([("f", 1, 0, "1,000,000", 0.9, 0.5, 0.9)], "file_id string, page int, seq int, text string, x double, y double, conf double")
+    out = pages.scan_records(df, [(0.5, "contract_date"), (1.0, "contract_amount")], 0.0, 1.0, 0.1)
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert out.count() == 1 and not [line for line in plan.splitlines() if "lambdafunction" in line and "array_position" in line and "between" not in line and "filter(items" in line]
+
+
+def test_a_date_is_read_once(spark):
+    for read in (dates.scan_date, dates.page_date):
+        told = spark.sql("select '令和6年4月1日' as t").select(read(F.col("t")).alias("d"))
+        assert told.first().d == "20240401"
+        plan = told._jdf.queryExecution().analyzed().toString()
+        assert plan.count("trim(") == 1 and plan.count("regexp_extract(") <= 9  # three parts of each of three forms
