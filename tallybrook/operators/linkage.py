@@ -84,14 +84,13 @@ def cascade(df: DataFrame, steps: list[tuple[str, Column]], default: Column) ->
 
 
 def bigram_jaccard_join(left: DataFrame, right: DataFrame, key: str, a: str, b: str, least: float = 0.5) -> DataFrame:
-    """Pairs of texts whose sets of two characters are alike, counted from shared bigrams."""
-    x = left.select(key, F.explode(grams(F.col(a), 2)).alias("g"))
-    y = right.select(b, F.explode(grams(F.col(b), 2)).alias("g")).distinct()
-    shared = x.join(y, "g").groupBy(key, b).agg(F.count("*").alias("n"))
-    sizes = left.select(key, F.size(grams(F.col(a), 2)).alias("na"))
-    out = shared.join(sizes, key).withColumn("nb", F.size(grams(F.col(b), 2)))
-    score = F.col("n") / (F.col("na") + F.col("nb") - F.col("n"))
-    return out.withColumn("jaccard", score).where(F.col("jaccard") >= least).select(key, b, "jaccard")
+    """Pairs of texts whose sets of two characters are alike, counted from shared bigrams; equal texts are compared once."""
+    x = left.select(F.col(a).alias("_a")).distinct().withColumn("_g", grams(F.col("_a"), 2)).select("_a", F.size("_g").alias("_na"), F.explode("_g").alias("_gram"))
+    y = right.select(b).distinct().withColumn("_g", grams(F.col(b), 2)).select(b, F.size("_g").alias("_nb"), F.explode("_g").alias("_gram"))
+    shared = x.join(y, "_gram").groupBy("_a", b).agg(F.count("*").alias("_n"), F.first("_na").alias("_na"), F.first("_nb").alias("_nb"))
+    score = F.col("_n") / (F.col("_na") + F.col("_nb") - F.col("_n"))
+    alike = shared.withColumn("jaccard", score).where(F.col("jaccard") >= least).select("_a", b, "jaccard")
+    return left.select(key, F.col(a).alias("_a")).join(alike, "_a").select(key, b, "jaccard")
 
 
 def relinked(enrichment: DataFrame, contracts: DataFrame, keys: list[str], payload: str, mode: str = "lossless") -> DataFrame:

@@ -146,3 +146,12 @@ def test_streams(spark, sf, tmp_path):
     q = incremental.windowed(incremental.events(spark, f"{sf}/events.parquet*")).writeStream.format("memory").queryName("w").outputMode("complete").trigger(availableNow=True).start()
     q.awaitTermination()
     assert spark.sql("select sum(n) s from w").first().s == spark.read.parquet(f"{sf}/events.parquet").count()
+
+
+def test_bigram_jaccard_compares_equal_texts_once(spark, monkeypatch):
+    left = spark.range(400).selectExpr("id", "if(id % 2 = 0, 'small ring', 'xyz') as t")
+    right = spark.createDataFrame([("small rings",), ("small rings",), ("",)], "n string")
+    got = linkage.bigram_jaccard_join(left, right, "id", "t", "n")
+    assert {(r.id, r.n, round(r.jaccard, 6)) for r in got.collect()} == {(i, "small rings", 0.9) for i in range(0, 400, 2)} and got.count() == 200
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Aggregate [") == 3 and plan.count("Join") == 2  # both sides are made distinct before they are cut
