@@ -9,6 +9,8 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
+from tallybrook.functions.dates import let
+
 
 @F.pandas_udf(StringType())
 def _nfkc(values: pd.Series) -> pd.Series:
@@ -140,14 +142,26 @@ def rolling_months(digits: Column) -> Column:
     """'456789101112123' -> [4, ..., 12, 1, 2, 3]: two digits where they read 10 to 12 and do not repeat; [] on a repeat."""
     start = F.struct(F.array().cast("array<int>").alias("out"), F.lit(1).alias("at"), F.lit(True).alias("ok"))
 
-    def step(a: Column, _: Column) -> Column:
-        two, one = F.substring(digits, a.at, F.lit(2)), F.substring(digits, a.at, F.lit(1))
-        take = two.isin("10", "11", "12") & ~F.array_contains(a.out, two.try_cast("int"))
-        month = F.when(take, two.try_cast("int")).otherwise(one.try_cast("int"))
-        over, again = a.at > F.length(digits), F.array_contains(a.out, month) | (month == 0)
-        return F.struct(F.when(over | again, a.out).otherwise(F.array_append(a.out, month)).alias("out"), (a.at + F.when(take, 2).otherwise(1)).alias("at"), (a.ok & (over | ~again)).alias("ok"))
+    none = F.array().cast("array<int>")
+
+    def walk(digits: Column) -> Column:
+        def step(a: Column, _: Column) -> Column:
+            two, one = F.substring(digits, a.at, F.lit(2)).try_cast("int"), F.substring(digits, a.at, F.lit(1)).try_cast("int")
+            take = F.substring(digits, a.at, F.lit(2)).isin("10", "11", "12") & ~F.array_contains(a.out, two)
+
+            def told(s: Column) -> Column:
+                again = F.array_contains(a.out, s["month"]) | (s["month"] == 0)
+                return F.struct(F.when(again, a.out).otherwise(F.array_append(a.out, s["month"])).alias("out"), (a.at + F.when(s["take"], 2).otherwise(1)).alias("at"), (a.ok & ~again).alias("ok"))
+
+            return F.when(a.at > F.length(digits), a).otherwise(let(let(take, lambda t: F.struct(t.alias("take"), F.when(t, two).otherwise(one).alias("month"))), told))
+
+        return F.aggregate(F.sequence(F.lit(1), F.greatest(F.length(digits), F.lit(1))), start, step, lambda a: F.when(a.ok, a.out).otherwise(none))
 
-    return F.aggregate(F.sequence(F.lit(1), F.greatest(F.length(digits), F.lit(1))), start, step, lambda a: F.when(a.ok, a.out).otherwise(F.array().cast("array<int>")))
+    walked = let(digits, walk)
+    # where no pair of digits from 10 to 12 stands twice, months are what one pattern cuts, and any other repeat is none
+    tokens = F.regexp_extract_all(digits, F.lit("1[012]|[0-9]"), F.lit(0))
+    cut = F.when((F.size(F.array_distinct(tokens)) == F.size(tokens)) & ~F.array_contains(tokens, "0"), tokens.cast("array<int>")).otherwise(none)
+    return F.when(digits.rlike("^[0-9]*\\z") & ~digits.rlike("10.*10|11.*11|12.*12"), cut).otherwise(walked)
 
 
 def truncated(value: Column, n: int) -> Column:

@@ -1,5 +1,7 @@
 """Scalar functions against values worked out by hand."""
 
+import itertools
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -100,3 +102,22 @@ def test_bids_and_urls(spark):
 ])
 def test_goldens_of_the_source_rules(spark, function, value, want):
     assert of(spark, function, value) == want
+
+
+def test_rolling_months_cut_by_a_pattern_are_those_walked(spark):
+    def walked(digits):
+        out, at = [], 0
+        while at < len(digits):
+            two = digits[at : at + 2]
+            take = two in ("10", "11", "12") and int(two) not in out
+            month = int(two) if take else int(digits[at])
+            if month in out or month == 0:
+                return []
+            out.append(month)
+            at += 2 if take else 1
+        return out
+
+    texts = ["".join(t) for n in range(6) for t in itertools.product("0124", repeat=n)] + ["456789101112123", "1211101", "4564"]
+    df = spark.createDataFrame(list(enumerate([*texts, None, "4x", "４", "4\n"])), "i int, t string")
+    got = {r.i: r.m for r in df.select("i", text.rolling_months(df.t).alias("m")).collect()}
+    assert got == {i: walked(t) for i, t in enumerate(texts)} | {len(texts) + i: [] for i in range(4)}
