@@ -121,3 +121,9 @@ def test_rolling_months_cut_by_a_pattern_are_those_walked(spark):
     df = spark.createDataFrame(list(enumerate([*texts, None, "4x", "４", "4\n"])), "i int, t string")
     got = {r.i: r.m for r in df.select("i", text.rolling_months(df.t).alias("m")).collect()}
     assert got == {i: walked(t) for i, t in enumerate(texts)} | {len(texts) + i: [] for i in range(4)}
+
+
+def test_months_of_a_constant_are_not_walked_in_each_row(spark):
+    df = spark.range(3).select(text.rolling_months(F.lit("4564")).alias("again"), text.rolling_months(F.lit("45610")).alias("m"))
+    assert [(r.again, r.m) for r in df.collect()] == [([], [4, 5, 6, 10])] * 3
+    assert "aggregate(" not in df._jdf.queryExecution().optimizedPlan().toString()
