@@ -1,15 +1,19 @@
 """Records of pages that have no ruled tables: positioned words, recognised lines, scans of one layout, ranked lists.
 
-Words are (file_id, page, text, x0, x1, top). A page becomes one row that holds its lines, and every rule about nearby lines
-is an array expression over that row: one shuffle by page and no Python. What a row holds is bounded by a sheet of paper.
+Words are (file_id, page, text, x0, x1, top). A page becomes one row that holds its words or lines: one shuffle by page. Rules
+about nearby lines are array expressions over that row, or, where these took several times the work, `placed`. What a row
+holds is bounded by a sheet of paper.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallybrook.functions import amounts, dates, text
+from tallybrook.sources import placed
 
 #: How far words of one line, words of one column, and lines of one contract may lie apart.
 LINE_APART, COLUMN_APART, BLOCK_APART, BLOCK_LINES = 6.0, 28.0, 90.0, 5
@@ -57,6 +61,15 @@ def held(df: DataFrame) -> DataFrame:
     return df.select(F.inline(F.array(F.struct(*df.columns))))
 
 
+#: What is read of a contract under a header, the amount first.
+READ = ["contract_amount", "contract_name", "vendor_name", "contract_date", "bid_method", "estimated_price", "award_rate"]
+
+
+def word_cells(words: list[tuple], rules: list[tuple[str, str]]) -> Iterator[tuple]:
+    """(line, *READ, left): the texts of a page's contracts, from its words (x0, top, x1, text) in order."""
+    return placed.paid_lines(words, rules, AMOUNT_HEADS, NAME_HEADS, LINE_APART, COLUMN_APART, BLOCK_APART, BLOCK_LINES, READ)
+
+
 def word_records(words: DataFrame, rules: list[tuple[str, str]], bid_rules: list[tuple[str, str]], years: list[int] | None = None) -> DataFrame:
     """Contracts of pages whose columns are known by the centres of their header words.
 
@@ -64,42 +77,16 @@ def word_records(words: DataFrame, rules: list[tuple[str, str]], bid_rules: list
     word takes its first rule whose field is still free. Each later line with an amount in the amount's column ends a
     contract, whose other fields lie in that line and up to five above it. Texts left of all columns make up for a name.
     """
-    page = held(pages_of(words, LINE_APART)).where((F.size("lines") >= 3) & (F.size(F.flatten("lines")) >= 5))
-    spans = F.array(*(F.struct(F.lit(s).alias("at"), F.lit(n).alias("n")) for s in range(12) for n in (1, 2, 3)))
-    part = lambda h: F.flatten(F.slice("lines", h["at"] + 1, h["n"]))
-    squeezed = lambda c: F.regexp_replace(c, "[ 　]", "")
-    heads = lambda t: t.rlike(AMOUNT_HEADS) & t.rlike(NAME_HEADS)
-    page = held(page.withColumn("texts", F.transform(F.slice("lines", 1, 14), lambda ws: squeezed(joined(ws, "")))))  # once a line, not once a span
-    page = held(page.withColumn("head", first(spans, lambda h: (h["at"] + h["n"] <= F.size("lines")) & heads(F.array_join(F.slice("texts", h["at"] + 1, h["n"]), ""))))).where("head is not null").drop("texts")
-    table = F.array(*(F.struct(F.lit(k).alias("keyword"), F.lit(f).alias("field")) for k, f in rules))
-
-    def placed(fields: Column, w: Column) -> Column:
-        field = first(table, lambda r: F.contains(squeezed(w.text), r["keyword"]) & ~F.map_contains_key(fields, r["field"]))["field"]
-        return F.when(field.isNull(), fields).otherwise(F.map_concat(fields, F.create_map(F.coalesce(field, F.lit("")), (w.x0 + w.x1) / 2)))
-
-    page = held(page.withColumn("fields", F.aggregate(part(F.col("head")), F.create_map().cast("map<string,double>"), placed))).where(F.map_contains_key("fields", "contract_amount"))
-    page = held(page.withColumn("body", F.slice("lines", F.col("head")["at"] + F.col("head")["n"] + 1, F.size("lines"))))
-    at = lambda f: F.try_element_at("fields", F.lit(f))
-    near = lambda ws, x: F.nullif(joined(F.filter(ws, lambda w: F.abs((w.x0 + w.x1) / 2 - x) <= COLUMN_APART)), F.lit(""))
-    centred = lambda ws, x: joined(F.filter(ws, lambda w: F.abs((w.x0 + w.x1) / 2 - x) <= COLUMN_APART))
-    money = lambda line: dates.let(centred(line, at("contract_amount")), amounts.last_amount)
-    above = lambda i: F.slice("body", F.greatest(i - BLOCK_LINES, F.lit(0)) + 1, F.least(i, F.lit(BLOCK_LINES)) + 1)
-    block = lambda line, i: F.flatten(F.filter(above(i), lambda o: F.get(o, F.lit(0)).top >= F.get(line, F.lit(0)).top - BLOCK_APART))
-    paid = F.filter(F.transform("body", lambda line, i: F.struct(i.alias("line"), money(line).alias("amount"))), lambda r: r["amount"] > 0)
-    page = held(page.withColumn("paid", paid))
-    paid = F.col("paid")
-    ends = F.transform(paid, lambda r: F.struct(r["line"].alias("line"), r["amount"].alias("amount"), block(F.get("body", r["line"]), r["line"]).alias("block")))  # blocks of paid lines alone
-    rows = page.select("file_id", "page", "fields", F.explode(ends).alias("r")).select("file_id", "page", "fields", "r.*")
-    value = lambda f: near(F.col("block"), at(f))
-    edge = F.array_min(F.map_values("fields")) - 5
-    left = F.nullif(F.array_join(F.array_distinct(F.transform(F.filter("block", lambda w: (w.x0 + w.x1) / 2 < edge), lambda w: w.text)), " "), F.lit(""))
-    raw = ["vendor_name", "contract_date", "bid_method", "estimated_price", "award_rate"]
-    rows = held(rows.select("file_id", "page", "line", F.coalesce(value("contract_name"), F.substring(left, 1, 500)).alias("contract_name"), F.col("amount").alias("contract_amount"), *(value(f).alias(f) for f in raw)))
+    right = F.col("x1") if "x1" in words.columns else F.col("x0")
+    page = words.groupBy("file_id", "page").agg(F.sort_array(F.collect_list(F.struct(*(F.col(c).cast("double").alias(c) for c in ("x0", "top")), right.cast("double").alias("x1"), "text"))).alias("words"))
+    texts = [(f, "string", placed.TEXT) for f in (*READ, "left")]
+    rows = placed.by_page(page, ["file_id", "page"], ["words"], [("line", "int", placed.NUMBER), *texts], lambda ws: word_cells(ws, rules))
     rows = rows.select(
-        "file_id", "page", "line", "contract_name", "vendor_name", "contract_amount", dates.page_date(F.col("contract_date")).alias("contract_date"), text.bid_method(F.col("bid_method"), bid_rules).alias("bid_method"),
+        "file_id", "page", "line", F.coalesce("contract_name", F.substring("left", 1, 500)).alias("contract_name"), "vendor_name", amounts.last_amount(F.col("contract_amount")).alias("contract_amount"),
+        dates.page_date(F.col("contract_date")).alias("contract_date"), text.bid_method(F.col("bid_method"), bid_rules).alias("bid_method"),
         amounts.last_amount(F.col("estimated_price")).alias("estimated_price"), amounts.rate(F.col("award_rate")).alias("award_rate"),
     )
-    rows = rows.withColumn("fiscal_year", dates.fiscal_year_of_text(F.col("contract_date"))).where("vendor_name is not null or contract_name is not null")
+    rows = held(rows).withColumn("fiscal_year", dates.fiscal_year_of_text(F.col("contract_date"))).where("contract_amount > 0 and (vendor_name is not null or contract_name is not null)")
     return rows if years is None else rows.where(F.col("fiscal_year").isNull() | F.col("fiscal_year").isin(years))
 
 
