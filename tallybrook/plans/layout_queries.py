@@ -80,9 +80,9 @@ def tiered_contracts(spark: SparkSession, sf: str) -> DataFrame:
     step = F.when(F.col("page") % 3 == 2, 20.0).otherwise(0.0)  # in pages of the last kind each field has a line of its own
     down = F.col("at") * 100.0 + 100
     places = [100.0, 200.0, 300.0, 400.0]
-    body = items.select("page", F.inline(F.array(*(_word(F.col(f), x + F.col("shift"), down + step * i, 10.0) for i, (f, x) in enumerate(zip(fields, places, strict=True))))))
-    top = items.where("at = 0").select("page", F.inline(F.array(*(_word(F.lit(k), x + F.col("shift"), 10.0, 10.0) for (k, _), x in zip(RULES, places, strict=True)))))
-    words = body.unionByName(top).withColumn("file_id", F.lit("f")).where("page % 3 <> 0")
+    body = F.array(*(_word(F.col(f), x + F.col("shift"), down + step * i, 10.0) for i, (f, x) in enumerate(zip(fields, places, strict=True))))
+    top = F.array(*(_word(F.lit(k), x + F.col("shift"), 10.0, 10.0) for (k, _), x in zip(RULES, places, strict=True)))
+    words = items.where("page % 3 <> 0").select(F.lit("f").alias("file_id"), "page", F.inline(F.when(F.col("at") == 0, F.concat(top, body)).otherwise(body)))
     return layouts.page_contracts(words, ruled, RULES, []).select("page", "tier", "contract_name", "vendor_name", "contract_amount", "contract_date", "fiscal_year")
 
 

@@ -7,12 +7,14 @@ page (borders, running numbers) goes in two steps, runs of pages and then the ru
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallybrook.functions import amounts, dates, rules, text
 from tallybrook.operators import windows
-from tallybrook.sources import pages
+from tallybrook.sources import pages, placed
 from tallybrook.sources.pages import first, found, held, joined
 
 #: Words nearer than this belong to one column; heights of words that tell none.
@@ -35,8 +37,28 @@ def islands(spans: Column, gap: float) -> Column:
     return F.aggregate(F.array_sort(spans), F.array().cast("array<struct<lo:double,hi:double>>"), lambda a, s: F.when(s["lo"] <= last(a)["hi"] + gap, wider(a, s)).otherwise(F.array_append(a, s)))
 
 
-def _across(words: Column) -> Column:
-    return F.transform(words, lambda w: F.struct(w["x0"].alias("lo"), w["x1"].alias("hi")))
+def _gathered(words: DataFrame, ruled: DataFrame | None) -> DataFrame:
+    """(file_id, page, words, ruled): a page's words (top, x0, x1, bottom, text) and the rows of its ruled tables, in order."""
+    bottom = F.col("bottom") if "bottom" in words.columns else F.lit(None).cast("double")
+    double = [F.col(c).cast("double").alias(c) for c in ("top", "x0", "x1")]
+    w = F.when(F.trim("text") != "", F.struct(*double, F.coalesce(bottom, F.col("top") + WORD_HEIGHT).cast("double").alias("bottom"), "text"))
+    both = words.select("file_id", "page", w.alias("w"), F.lit(None).cast("struct<table:int,row:int,cells:array<string>>").alias("r"))
+    if ruled is not None:
+        none = F.lit(None).cast("struct<top:double,x0:double,x1:double,bottom:double,text:string>")
+        both = both.unionByName(ruled.select("file_id", "page", none.alias("w"), F.struct(F.col("table").cast("int").alias("table"), F.col("row").cast("int").alias("row"), "cells").alias("r")))
+    return both.groupBy("file_id", "page").agg(F.sort_array(F.collect_list("w")).alias("words"), F.sort_array(F.collect_list("r")).alias("ruled"))
+
+
+def _read(words: list[tuple], ruled: list[tuple], gap: float) -> tuple[str, list]:
+    """The tier of a page and its tables."""
+    if ruled:
+        tables: dict[int | None, list] = {}
+        for table, _, cells in ruled:
+            tables.setdefault(table, []).append(cells)
+        return "ruled", list(tables.values())
+    if (grid := placed.grid(words, gap)) is not None:
+        return "text", [grid]
+    return ("words" if words else "none"), []
 
 
 def tiered(words: DataFrame, ruled: DataFrame | None = None, gap: float = COLUMN_GAP) -> DataFrame:
@@ -47,28 +69,9 @@ def tiered(words: DataFrame, ruled: DataFrame | None = None, gap: float = COLUMN
     words form a grid of two columns and two rows at least; 'words': it has words; 'none'. Columns are the islands of the words'
     extents over rows that have more than one, so titles across the page join nothing; rows are islands of heights.
     """
-    bottom = F.col("bottom") if "bottom" in words.columns else F.lit(None).cast("double")
-    w = F.when(F.trim("text") != "", F.struct("top", "x0", "x1", F.coalesce(bottom, F.col("top") + WORD_HEIGHT).alias("bottom"), "text"))
-    both = words.select("file_id", "page", w.alias("w"), F.lit(None).cast("struct<table:int,row:int,cells:array<string>>").alias("r"))
-    if ruled is not None:
-        none = F.lit(None).cast("struct<top:double,x0:double,x1:double,bottom:double,text:string>")
-        both = both.unionByName(ruled.select("file_id", "page", none.alias("w"), F.struct(F.col("table").cast("int").alias("table"), F.col("row").cast("int").alias("row"), "cells").alias("r")))
-    page = both.groupBy("file_id", "page").agg(F.array_sort(F.collect_list("w")).alias("words"), F.array_sort(F.collect_list("r")).alias("ruled"))
-    down = F.transform("words", lambda w: F.struct(w["top"].alias("lo"), w["bottom"].alias("hi")))
-    page = held(page.withColumn("rows", islands(down, 0.0)))
-    in_row = lambda r: F.filter("words", lambda w: (w["top"] >= r["lo"]) & (w["top"] <= r["hi"]))
-    page = held(page.withColumn("lines", F.transform("rows", in_row)).drop("rows"))
-    page = held(page.withColumn("tabular", F.filter("lines", lambda ws: F.size(islands(_across(ws), gap)) > 1)))
-    page = held(page.withColumn("columns", islands(_across(F.flatten("tabular")), gap)))
-    # a word stands in the last column that begins at or left of it; what stands left of all is the first's
-    cell = lambda ws, c, i: F.array_join(F.transform(F.filter(ws, lambda w: (F.size(F.filter("columns", lambda o: o["lo"] <= w["x0"])) == i + 1) | ((i == 0) & (w["x0"] < c["lo"]))), lambda w: w["text"]), " ")
-    grid = F.transform("lines", lambda ws: F.transform("columns", lambda c, i: cell(ws, c, i)))
-    grid = F.when((F.size("columns") >= 2) & (F.size("tabular") >= 2), F.array(grid))
-    tables = F.transform(F.array_distinct(F.col("ruled.table")), lambda t: F.transform(F.filter("ruled", lambda r: r["table"] == t), lambda r: r["cells"]))
-    page = held(page.select("file_id", "page", "words", tables.alias("by_rule"), grid.alias("by_text")))
-    tier = F.when(F.size("by_rule") > 0, "ruled").when(F.col("by_text").isNotNull(), "text").when(F.size("words") > 0, "words").otherwise("none")
-    chosen = F.when(F.size("by_rule") > 0, F.col("by_rule")).otherwise(F.coalesce("by_text", F.array().cast("array<array<array<string>>>")))
-    return page.select("file_id", "page", tier.alias("tier"), chosen.alias("tables"), "words")
+    out = [("tier", "string", placed.TEXT), ("tables", "array<array<array<string>>>", placed.TABLES)]
+    read = placed.by_page(_gathered(words, ruled), ["file_id", "page", "words"], ["words", "ruled"], out, lambda ws, rs: [_read(ws, rs, gap)])
+    return read.select("file_id", "page", "tier", "tables", "words")
 
 
 def table_rows(pages_: DataFrame) -> DataFrame:
@@ -77,6 +80,38 @@ def table_rows(pages_: DataFrame) -> DataFrame:
     return out.select("file_id", "page", "tier", "table", F.posexplode("rows").alias("row", "cells"))
 
 
+#: What is read of a contract in a table, the amount first.
+READ = [*pages.READ, "corporate_number", "quantity", "unit_measure", "zuii_reason", "contract_officer"]
+CELLS = [("table", "int", placed.NUMBER), ("row", "int", placed.NUMBER), *((f"c_{f}", "string", placed.TEXT) for f in READ), ("beside", "string", placed.TEXT)]
+
+
+def _cells(tables: list, header_rules: list[tuple[str, str]]) -> Iterator[tuple]:
+    return placed.paid_rows(tables, header_rules, TABLE_AMOUNTS, TABLE_NAMES, TABLE_HEADER_ROWS, DITTO, READ)
+
+
+def _typed(rows: DataFrame, bid_rules: list[tuple[str, str]], years: list[int] | None) -> DataFrame:
+    """Contracts of cells; those of tier 'words' are texts under a header, which `beside` holds what is left of."""
+    loose, cell = F.col("tier") == "words", lambda f: F.col(f"c_{f}")
+    one_line = lambda c: F.nullif(F.trim(F.replace(c, F.lit("\n"), F.lit(" "))), F.lit(""))
+    plain = rows.select("*", one_line(cell("contract_name")).alias("name"), one_line(F.col("beside")).alias("next"))
+    number = lambda c: c.rlike("^[0-9]+$")
+    name = F.when(number(F.col("name")) & F.col("next").isNotNull() & ~number(F.col("next")), F.col("next")).when(~number(F.col("name")), F.col("name"))
+    name = F.when(loose, F.coalesce(cell("contract_name"), F.substring("beside", 1, 500))).otherwise(F.substring(name, 1, 500))
+    vendor, address = text.vendor_and_address(cell("vendor_name"))
+    only = F.contains(cell("vendor_name"), F.lit("\n"))  # most cells have one line
+    first_line = F.when(only, vendor).otherwise(F.substring(F.nullif(F.trim(cell("vendor_name")), F.lit("")), 1, 300))
+    method = F.when(loose, text.bid_method(cell("bid_method"), bid_rules)).otherwise(F.nullif(text.bid_method(F.trim(cell("bid_method")), bid_rules), F.lit("")))
+    out = held(plain.select(
+        "file_id", "page", "tier", "table", "row", name.alias("contract_name"), F.when(loose, cell("vendor_name")).otherwise(first_line).alias("vendor_name"),
+        F.when(~loose & only, address).alias("vendor_address"), amounts.last_amount(cell("contract_amount")).alias("contract_amount"),
+        amounts.last_amount(cell("estimated_price")).alias("estimated_price"), amounts.rate(cell("award_rate")).alias("award_rate"), dates.page_date(cell("contract_date")).alias("contract_date"), method.alias("bid_method"),
+        *(F.substring(one_line(cell(f)), 1, 500).alias(f) for f in ("corporate_number", "quantity", "unit_measure", "zuii_reason", "contract_officer")),
+    ))
+    out = out.withColumn("fiscal_year", dates.fiscal_year_of_text(F.col("contract_date")))
+    out = out.where("(contract_amount > 0 or tier <> 'words' and contract_amount <> 0) and (vendor_name is not null or contract_name is not null)")
+    return out if years is None else out.where(F.col("fiscal_year").isNull() | F.col("fiscal_year").isin(years))
+
+
 def table_records(pages_: DataFrame, header_rules: list[tuple[str, str]], bid_rules: list[tuple[str, str]], years: list[int] | None = None) -> DataFrame:
     """Contracts of the tables that `tiered` read, each with its tier.
 
@@ -84,51 +119,28 @@ def table_records(pages_: DataFrame, header_rules: list[tuple[str, str]], bid_ru
     Rows need an amount and a name or vendor; ditto marks take the method before them; a name that is a running number gives
     way to the cell right of it.
     """
-    table = pages_.select("file_id", "page", "tier", F.posexplode("tables").alias("table", "rows")).where(F.size("rows") >= 2)
-    table = table.withColumn("rows", F.transform("rows", lambda r: F.transform(r, lambda c: F.coalesce(c, F.lit("")))))
-    flat = lambda r: F.regexp_replace(F.array_join(r, ""), "[\\n 　]", "")
-    at = first(F.filter(F.sequence(F.lit(0), F.lit(TABLE_HEADER_ROWS - 1)), lambda i: i < F.size("rows")), lambda i: flat(F.get("rows", i)).rlike(TABLE_AMOUNTS) & flat(F.get("rows", i)).rlike(TABLE_NAMES))
-    table = held(table.withColumn("head", at)).where("head is not null")
-    known = F.array(*(F.struct(F.lit(k).alias("keyword"), F.lit(f).alias("field")) for k, f in header_rules))
-
-    def mapped(fields: Column, c: Column) -> Column:
-        title = F.regexp_replace(c["text"], "[\\n ]", "")
-        field = first(known, lambda r: F.contains(title, r["keyword"]) & ~F.map_contains_key(fields, r["field"]))["field"]
-        return F.when(field.isNull(), fields).otherwise(F.map_concat(fields, F.create_map(F.coalesce(field, F.lit("")), c["i"])))
-
-    titles = F.transform(F.get("rows", F.col("head")), lambda c, i: F.struct(c.alias("text"), i.alias("i")))
-    table = held(table.withColumn("fields", F.aggregate(titles, F.create_map().cast("map<string,int>"), mapped))).where(F.map_contains_key("fields", "contract_amount"))
-    rows = table.select("file_id", "page", "tier", "table", "head", "fields", F.posexplode("rows").alias("row", "cells")).where(F.col("row") > F.col("head"))
-    place = lambda f: F.try_element_at("fields", F.lit(f))
-    read = ["contract_name", "vendor_name", "contract_amount", "estimated_price", "award_rate", "contract_date", "bid_method", "corporate_number", "quantity", "unit_measure", "zuii_reason", "contract_officer"]
-    beside_name = F.get("cells", place("contract_name") + 1).alias("beside")
-    rows = held(rows.select("file_id", "page", "tier", "table", "row", beside_name, *(F.get("cells", place(f)).alias(f"c_{f}") for f in read)))
-    cell = lambda f: F.col(f"c_{f}")
-    one_line = lambda c: F.nullif(F.trim(F.replace(c, F.lit("\n"), F.lit(" "))), F.lit(""))
-    lines = F.filter(F.transform(F.split(cell("vendor_name"), "\n"), lambda s: F.trim(s)), lambda s: s != "")
-    name, beside = one_line(cell("contract_name")), one_line(F.col("beside"))
-    number = lambda c: c.rlike("^[0-9]+$")
-    name = F.when(number(name) & beside.isNotNull() & ~number(beside), beside).when(~number(name), name)
-    bid, order = F.trim(cell("bid_method")), Window.partitionBy("file_id", "page", "table").orderBy("row").rowsBetween(Window.unboundedPreceding, -1)
-    method = F.when(~bid.isin(DITTO), F.nullif(text.bid_method(bid, bid_rules), F.lit("")))
-    rows = rows.select(
-        "file_id", "page", "tier", "table", "row", F.substring(name, 1, 500).alias("contract_name"), F.substring(F.get(lines, F.lit(0)), 1, 300).alias("vendor_name"),
-        F.substring(F.nullif(F.array_join(F.slice(lines, 2, 1000), " / "), F.lit("")), 1, 500).alias("vendor_address"), amounts.last_amount(cell("contract_amount")).alias("contract_amount"),
-        amounts.last_amount(cell("estimated_price")).alias("estimated_price"), amounts.rate(cell("award_rate")).alias("award_rate"), dates.page_date(cell("contract_date")).alias("contract_date"),
-        F.when(bid.isin(DITTO), F.last(method, ignorenulls=True).over(order)).otherwise(method).alias("bid_method"),
-        *(F.substring(one_line(cell(f)), 1, 500).alias(f) for f in ("corporate_number", "quantity", "unit_measure", "zuii_reason", "contract_officer")),
-    )
-    rows = rows.withColumn("fiscal_year", dates.fiscal_year_of_text(F.col("contract_date"))).where("contract_amount <> 0 and (vendor_name is not null or contract_name is not null)")
-    return rows if years is None else rows.where(F.col("fiscal_year").isNull() | F.col("fiscal_year").isin(years))
+    table = pages_.select("file_id", "page", "tier", F.transform("tables", lambda t: F.struct(t.alias("rows"))).alias("tables"))
+    return _typed(placed.by_page(table, ["file_id", "page", "tier"], ["tables"], CELLS, lambda ts: _cells([t for t, in ts], header_rules)), bid_rules, years)
 
 
 def page_contracts(words: DataFrame, ruled: DataFrame | None, header_rules: list[tuple[str, str]], bid_rules: list[tuple[str, str]], years: list[int] | None = None) -> DataFrame:
-    """Contracts of every page, by the first way that fits it: its ruled tables, a grid of its words, or words under a header."""
-    read = tiered(words, ruled)
-    told = ["file_id", "page", "tier", "contract_name", "vendor_name", "contract_amount", "contract_date", "bid_method", "estimated_price", "award_rate", "fiscal_year"]
-    rest = read.where("tier = 'words'").select("file_id", "page", F.inline("words")).select("file_id", "page", "text", "x0", "x1", "top")
-    loose = pages.word_records(rest, header_rules, bid_rules, years).withColumn("tier", F.lit("words"))
-    return table_records(read, header_rules, bid_rules, years).select(told).unionByName(loose.select(told))
+    """Contracts of every page, by the first way that fits it: its ruled tables, a grid of its words, or words under a header.
+
+    One pass: a page is read and its cells are taken at once.
+    """
+    none = (None,) * (len(READ) - len(pages.READ))
+    order = lambda w: [(v is not None, v) for v in w]
+
+    def read(ws: list[tuple], rs: list[tuple]) -> Iterator[tuple]:
+        tier, tables = _read(ws, rs, COLUMN_GAP)
+        if tier != "words":
+            return ((tier, *r) for r in _cells(tables, header_rules))
+        loose = [(x0, top, x1, t) for top, x0, x1, _, t in ws]
+        loose.sort(key=order if any(None in w for w in loose) else None)
+        return ((tier, 0, line, *told, *none, left) for line, *told, left in pages.word_cells(loose, header_rules))
+
+    rows = placed.by_page(_gathered(words, ruled), ["file_id", "page"], ["words", "ruled"], [("tier", "string", placed.TEXT), *CELLS], read)
+    return _typed(rows, bid_rules, years).select("file_id", "page", "tier", "contract_name", "vendor_name", "contract_amount", "contract_date", "bid_method", "estimated_price", "award_rate", "fiscal_year")
 
 
 def planned_rows(words: DataFrame, codes: dict[str, str]) -> DataFrame:
