@@ -41,9 +41,8 @@ def _grid_words(items: DataFrame) -> DataFrame:
     shift, down = (F.col("page") % 7) * 3.0, F.col("at") * 20.0 + 20 + F.col("at") % 3
     name = F.array(_word(F.col("name"), 50 + shift, down), _word(F.lit("kg"), 50 + shift + F.char_length("name") * 5 + 2, down + 2))
     vendor = F.when(F.col("l_linenumber") % 3 != 0, F.array(_word(F.col("vendor"), 150 + shift, down + 3))).otherwise(F.slice(F.array(_word(F.col("vendor"), 0.0, 0.0)), 1, 0))
-    body = items.select("page", F.inline(F.concat(name, vendor, F.array(_word(F.col("amount"), 250 + shift, down + 1)))))
-    title = items.where("at = 0").select("page", F.inline(F.array(_word(F.lit("list"), 40.0, 0.0, 400.0))))
-    return body.unionByName(title).withColumn("file_id", F.lit("f"))
+    title, body = F.array(_word(F.lit("list"), 40.0, 0.0, 400.0)), F.concat(name, vendor, F.array(_word(F.col("amount"), 250 + shift, down + 1)))
+    return items.select(F.lit("f").alias("file_id"), "page", F.inline(F.when(F.col("at") == 0, F.concat(title, body)).otherwise(body)))
 
 
 @query("""with l as (select *, format('{:,}', floor(l_extendedprice)::bigint) as v, count(*) over (partition by l_orderkey) as n, count(*) filter (l_linenumber % 3 <> 0) over (partition by l_orderkey) as vendors from lineitem),
