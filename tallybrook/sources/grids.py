@@ -9,6 +9,7 @@ from __future__ import annotations
 import re
 from collections import Counter
 from collections.abc import Iterator
+from functools import cache
 from html import unescape
 
 import pandas as pd
@@ -122,6 +123,15 @@ VOID = frozenset("area base br col embed hr img input link meta source track wbr
 #: Tags, comments, and scripts and styles whole.
 MARKUP = re.compile(r"<!--.*?(?:-->|\Z)|<(script|style)\b[^>]*>.*?(?:</\1\s*>|\Z)|<(/?)([A-Za-z][A-Za-z0-9]*)\b[^>]*?(/?)>", re.S | re.I)
 
+#: Comments, scripts, styles and brackets within brackets; where there are none, tags of other names can be passed over.
+TANGLED = re.compile(r"<[^<>]*<|<!--|<(?:script|style)", re.I)
+PDF_MARK = re.compile(r"\(PDF[:：][^)]*\)")
+
+
+@cache
+def _tags(names: frozenset[str]) -> re.Pattern:
+    return re.compile(rf"()<(/?)({'|'.join(sorted(names))})\b[^>]*?(/?)>", re.I)
+
 
 def elements(page: str, names: frozenset[str] | None = None) -> list[tuple[str, int, int, int, int, int]]:
     """(tag, depth, place where it begins, where its content begins, where it ends, where its end tag ends) of a page's elements in
@@ -131,12 +141,16 @@ def elements(page: str, names: frozenset[str] | None = None) -> list[tuple[str,
     an open tag closes nothing; what is never closed ends with what holds it, or with the page.
     """
     out, stack = [], []
-    for m in MARKUP.finditer(page):
-        tag = (m[3] or "").lower()
-        if not tag or (names is not None and tag not in names):
+    markup = _tags(names) if names and not TANGLED.search(page) else MARKUP
+    for m in markup.finditer(page):
+        _, end, tag, empty = m.groups()
+        if not tag:
+            continue
+        tag = tag.lower()
+        if names is not None and tag not in names:
             continue
-        if m[2]:
-            if any(out[i][0] == tag for i in stack):
+        if end:
+            if stack and out[stack[-1]][0] == tag or any(out[i][0] == tag for i in stack):
                 while True:
                     i = stack.pop()
                     out[i][4], out[i][5] = m.start(), m.end() if out[i][0] == tag else m.start()
@@ -144,7 +158,7 @@ def elements(page: str, names: frozenset[str] | None = None) -> list[tuple[str,
                         break
         else:
             out.append([tag, len(stack), m.start(), m.end(), len(page), len(page)])
-            if tag not in VOID and not m[4]:
+            if tag not in VOID and not empty:
                 stack.append(len(out) - 1)
             else:
                 out[-1][4] = out[-1][5] = m.end()
@@ -153,18 +167,31 @@ def elements(page: str, names: frozenset[str] | None = None) -> list[tuple[str,
 
 def plain(part: str) -> str:
     """The texts between tags, trimmed and joined by spaces."""
-    return " ".join(t for t in (unescape(x).strip() for x in re.split(r"\0", MARKUP.sub("\0", part))) if t)
+    if "<" not in part and "\0" not in part:
+        return unescape(part).strip()
+    return " ".join(t for t in (unescape(x).strip() for x in MARKUP.sub("\0", part).split("\0")) if t)
 
 
 def page_tables(page: str) -> list[list[list[str]]]:
     """The tables of a page as rows of cells: a table has all rows within it, those of tables in its cells too, and a row all its
     cells; rows without text are left out, and so are tables without rows."""
     found = elements(page, frozenset(("table", "tr", "td", "th")))
-    of = lambda x, *names: [y for y in found if y[0] in names and x[3] <= y[2] < x[4]]
-    text_of = lambda c: re.sub(r"\(PDF[:：][^)]*\)", "", plain(page[c[3] : c[4]])).strip()
-    rows = {tr[2]: [text_of(c) for c in of(tr, "td", "th")] for tr in found if tr[0] == "tr"}
+
+    def of(i: int, *names: str) -> Iterator[tuple]:
+        """Elements within the i-th: they are in order, so they follow it."""
+        for j in range(i + 1, len(found)):
+            if found[j][2] >= found[i][4]:
+                return
+            if found[j][0] in names:
+                yield found[j]
+
+    def text_of(c: tuple) -> str:
+        told = plain(page[c[3] : c[4]])
+        return PDF_MARK.sub("", told).strip() if "(PDF" in told else told.strip()
+
+    rows = {tr[2]: [text_of(c) for c in of(i, "td", "th")] for i, tr in enumerate(found) if tr[0] == "tr"}
     filled = lambda places: [rows[i] for i in places if any(rows[i])]
-    tables = [t for t in (filled(tr[2] for tr in of(x, "tr")) for x in found if x[0] == "table") if t]
+    tables = [t for t in (filled(tr[2] for tr in of(i, "tr")) for i, x in enumerate(found) if x[0] == "table") if t]
     if not any(re.search("契約金額|落札金額", " ".join(r)) for t in tables for r in t):
         flat = [list(r) for r in dict.fromkeys(tuple(r) for r in filled(rows))]
         return [flat] if flat else tables

@@ -22,11 +22,18 @@ DIGIT = re.compile("[0-9]")
 
 
 def _values(a: pa.Array) -> list:
-    if pa.types.is_floating(a.type):
-        return [x if x is None or x == x else float("inf") for x in a.to_pylist()] if a.null_count else np.nan_to_num(a.to_numpy(), nan=np.inf, posinf=np.inf, neginf=-np.inf).tolist()
+    if pa.types.is_nested(a.type):
+        out = [None] * len(a)
+        for i in np.flatnonzero(a.is_valid().to_numpy(zero_copy_only=False)) if a.null_count else range(len(a)):
+            out[i] = a[i].as_py()
+        return out
     if pa.types.is_string(a.type) or pa.types.is_large_string(a.type):
         return a.to_numpy(zero_copy_only=False).tolist()
-    return a.to_pylist()
+    numbers = (a.fill_null(0) if a.null_count else a).to_numpy()
+    out = (np.nan_to_num(numbers, nan=np.inf, posinf=np.inf, neginf=-np.inf) if pa.types.is_floating(a.type) else numbers).tolist()
+    for i in np.flatnonzero(a.is_null().to_numpy(zero_copy_only=False)) if a.null_count else ():
+        out[i] = None
+    return out
 
 
 def _lists(a: pa.Array) -> list:

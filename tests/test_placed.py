@@ -3,7 +3,7 @@
 import pytest
 
 from tallybrook.plans import registry
-from tallybrook.sources import layouts, pages, placed
+from tallybrook.sources import grids, layouts, pages, placed
 
 RULES = [("件名", "contract_name"), ("契約金額", "contract_amount"), ("方式", "bid_method")]
 
@@ -40,3 +40,11 @@ def test_numbers_beyond_all_others(spark):
     df = spark.createDataFrame(rows, "file_id string, page int, text string, x0 double, x1 double, top double")
     assert sorted((r.contract_name or "", r.contract_amount) for r in pages.word_records(df, RULES, []).collect()) == [("a", 12), ("a", 56)]
     assert layouts.tiered(df.limit(0)).count() == 0
+
+
+def test_tags_of_other_names_are_passed_over():
+    whole = "<table><tr><td> <b>1</b> (PDF:1KB)</td><td>契約金額</td></tr></table>"
+    assert grids.page_tables(whole) == [[["1", "契約金額"]]]
+    assert set(m[3] for m in grids._tags(frozenset(["td", "tr"])).finditer(whole)) == {"td", "tr"}
+    for odd in ('<i title="<td>x</td>">', "<!-- <td>x</td> -->", "<SCRIPT><td>x</td></SCRIPT>"):
+        assert grids.TANGLED.search(odd) and grids.elements(odd, frozenset(["td"])) == [e for e in grids.elements(odd) if e[0] == "td"]
