@@ -98,15 +98,15 @@ def planned_lists(spark: SparkSession, sf: str) -> DataFrame:
     """Ten files of many pages, every third with a header, whose place says whether a number belongs to the organisation or is a quantity."""
     l = table(spark, sf, "lineitem")
     item = F.struct("l_linenumber", "l_partkey", "l_suppkey", F.col("l_quantity").cast("int").cast("string").alias("q"), F.col("l_returnflag").alias("flag"), F.month("l_shipdate").alias("m"))
-    pages = l.groupBy((F.col("l_suppkey") % 10).cast("string").alias("file_id"), F.col("l_orderkey").cast("int").alias("page")).agg(F.array_sort(F.collect_list(item)).alias("items"))
+    pages = l.groupBy((F.col("l_suppkey") % 10).cast("string").alias("file_id"), F.col("l_orderkey").cast("int").alias("page")).agg(F.sort_array(F.collect_list(item)).alias("items"))
     rows = pages.select("file_id", "page", F.posexplode("items").alias("at", "i"))
     down = F.col("at") * 12.0 + 300
-    line = [(F.lit("12"), 100.0), (F.lit("item"), 150.0), (F.col("i.l_partkey").cast("string"), 180.0), (F.col("i.flag"), 300.0), (F.col("i.q"), 350.0), (F.format_string("R5.%d", F.col("i.m")), 420.0), (F.lit("x"), 480.0)]
-    body = rows.select("file_id", "page", F.inline(F.array(*(_word(t, x, down) for t, x in line))))
+    line = [(F.lit("12"), 100.0), (F.lit("item"), 150.0), (F.col("i.l_partkey").cast("string"), 180.0), (F.col("i.flag"), 300.0), (F.col("i.q"), 350.0), (F.concat(F.lit("R5."), F.col("i.m").cast("string")), 420.0), (F.lit("x"), 480.0)]
+    body = F.array(*(_word(t, x, down) for t, x in line))
     number = F.when(F.col("page") % 2 == 0, 345.0).otherwise(375.0)
     heads = F.array(_word(F.lit("要求元"), 302.0, 100.0), _word(F.lit("件数"), number, 110.0), _word(F.lit("納期"), 425.0, 100.0), _word(F.lit("区分"), 485.0, 95.0), _word(F.lit("要求元"), 10.0, 150.0))
-    head = pages.where("page % 3 = 0").select("file_id", "page", F.inline(heads))
-    return layouts.planned_rows(body.unionByName(head), CODES).drop("item_name_norm")
+    words = rows.select("file_id", "page", F.inline(F.when((F.col("page") % 3 == 0) & (F.col("at") == 0), F.concat(heads, body)).otherwise(body)))  # a page's words stay together
+    return layouts.planned_rows(words, CODES).drop("item_name_norm")
 
 
 METHODS = [("一般競争", "open"), ("随意", "direct"), ("FMS", "sales")]

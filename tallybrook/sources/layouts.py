@@ -9,10 +9,14 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallybrook.functions import amounts, dates, rules, text
+from tallybrook.lineage import cut
 from tallybrook.operators import windows
 from tallybrook.sources import pages, placed
 from tallybrook.sources.pages import first, found, held, joined
@@ -143,46 +147,120 @@ def page_contracts(words: DataFrame, ruled: DataFrame | None, header_rules: list
     return _typed(rows, bid_rules, years).select("file_id", "page", "tier", "contract_name", "vendor_name", "contract_amount", "contract_date", "bid_method", "estimated_price", "award_rate", "fiscal_year")
 
 
+#: A line of a planned list, and what a page says to those after it: its own borders, or its words where it knows none.
+LISTED = [("i", "int"), *((f, "string") for f in ("item", "org", "qty", "due"))]
+KEPT = [("own", "array<double>"), ("words", "array<struct<x0:double,top:double,text:string>>")]
+BORDERS = pa.list_(pa.float64())
+CODE = "^[0-9]{1,2}(?:\r\n|[\n\r\x85\u2028\u2029])?$"
+
+
+def _borders(words: list[tuple]) -> list[float | None] | None:
+    """Where lines begin, and the left borders of organisation, quantity, due date and class, by a page's own header."""
+    heads = [(top, x0) for x0, top, t in words if top is not None and top < LIST_HEAD_TO and "要求元" in t]
+    if not heads:
+        return None
+    top, x0 = min(heads, key=lambda h: (h[0], h[1] is not None, h[1] or 0.0))
+    if x0 is None:
+        return [top + LIST_HEAD_APART, None, None, None, None]
+
+    def right(mark: str, least: float, beyond: float) -> float:
+        return next((x for x, y, t in words if x is not None and y is not None and x >= least and abs(y - top) <= LIST_HEAD_APART and mark in t), beyond)
+
+    qty = right("件", x0 + 15, x0 + 40)
+    due = right("納", x0 + 40, qty + 35)
+    return [top + LIST_HEAD_APART, x0 - LIST_SHIFT / 2, *(x - LIST_SHIFT for x in (qty, due, right("区", due + 10, due + 35)))]
+
+
+def _list_lines(words: tuple, borders: np.ndarray) -> tuple[np.ndarray, list[pa.Array]]:
+    """The page, and the columns of LISTED, of all lines with an organisation; borders: a row for each page, or no numbers."""
+    _, of, structs = words
+    (x, told), (top, stands), text_ = placed.places(structs.field(0)), placed.places(structs.field(1)), structs.field(2)
+    low, *edges = borders[of].T
+    here = np.flatnonzero(told & stands & (top >= low))
+    here = here[np.lexsort((np.rint(top[here]), of[here]))]  # lines one below another, words in their order
+    page, y, x, (org, qty, due, kind) = of[here], np.rint(top[here]), x[here], (e[here] for e in edges)
+    line = np.cumsum(np.concatenate([[True], (page[1:] != page[:-1]) | (y[1:] != y[:-1])])[: len(here)]) - 1
+    named = (org <= x) & (x < qty)
+    good = np.bincount(line[named], minlength=line[-1] + 1 if len(line) else 0) > 0
+    n, line = int(good.sum()), (np.cumsum(good) - 1)[line] * good[line] - ~good[line]
+    texts, within = text_.take(pa.array(here)), line >= 0
+    left = within & (x < org)
+    item = left & ~((x <= LIST_CODE_TO) & pc.match_substring_regex(texts, CODE).to_numpy(zero_copy_only=False))
+    seen = np.concatenate([[0], np.cumsum(item)])
+    first_ = np.flatnonzero(np.concatenate([[True], line[1:] != line[:-1]])[: len(line)])
+    before = np.repeat(seen[first_], np.diff(np.concatenate([first_, [len(line)]])))
+    spans = (left & (seen[1:] > before), within & named, within & (qty <= x) & (x < due), within & (due <= x) & (x < kind))
+    name, *rest = (placed.gathered(texts, s, line, n) for s in spans)
+    pages_ = page[first_[line[first_] >= 0]]
+    i = np.arange(n) - np.searchsorted(pages_, pages_)
+    return pages_, [pa.array(i, pa.int32()), name, *(pc.utf8_trim(t, " ") for t in rest)]
+
+
+def _read_lists(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
+    """Lines of pages that come in the order of their runs, each by the last borders of its run."""
+    key = left = None
+    for batch in batches:
+        n = batch.num_rows
+        if not n:
+            continue
+        at, of, structs = words = placed.flat(batch.column("words"))
+        keys = [batch.column(k).to_numpy(zero_copy_only=False) for k in ("file_id", "_run")]
+        fresh = np.concatenate([[key != [k[0] for k in keys]], np.any([k[1:] != k[:-1] for k in keys], axis=0)])
+        marked = np.unique(of[np.flatnonzero(pc.match_substring(structs.field(2), "要求元").to_numpy(zero_copy_only=False))])
+        own = {p: b for p, ws in zip(marked, placed.lists(batch.column("words").take(pa.array(marked))), strict=True) if (b := _borders(ws))}
+        table = np.full((n, 5), np.nan)
+        heads = np.fromiter(own, np.int64, len(own))
+        if own:
+            table[heads] = np.array(list(own.values()), float)
+        last = np.full(n, -1)
+        last[heads] = heads
+        last, begun = np.maximum.accumulate(last), np.maximum.accumulate(np.where(fresh, np.arange(n), -1))
+        known = (last >= begun) & (last >= 0)
+        borders = np.where(known[:, None], table[last], np.nan)
+        if left is not None:
+            before = (begun < 0) & ~known
+            borders[before], known = left, known | before
+        page, lines = _list_lines(words, borders)
+        kept = np.flatnonzero(~known)
+        told = [pa.concat_arrays([c, pa.nulls(len(heads) + len(kept), c.type)]) for c in lines]
+        edges = pa.concat_arrays([pa.nulls(len(page), BORDERS), pa.array([own[h] for h in heads], BORDERS), pa.nulls(len(kept), BORDERS)])
+        later = batch.column("words").take(pa.array(kept))
+        yield batch, np.concatenate([page, heads, kept]), [*told, edges, pa.concat_arrays([pa.nulls(len(page) + len(heads), later.type), later])]
+        key, left = [k[-1] for k in keys], borders[-1] if known[-1] else None
+
+
+def _read_kept(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
+    for batch in batches:
+        borders = np.array([[np.nan if x is None else x for x in b] for b in batch.column("before").to_pylist()], float).reshape(-1, 5)
+        yield batch, *_list_lines(placed.flat(batch.column("words")), borders)
+
+
 def planned_rows(words: DataFrame, codes: dict[str, str]) -> DataFrame:
     """Rows of planned lists whose borders move: (file_id, page, source_row, org_raw, org, item_name, item_name_norm, qty, contract_month).
 
     A page's borders come from its own header, the highest word with 要求元 near its top, else from the last page before it in
     the file that had one; without any, the page has no rows. source_row counts a file's rows with an organisation, known or not;
-    rows of unknown ones are left out.
+    rows of unknown ones are left out. What is read is written once, in the folder of spark.checkpoint.dir, and numbered from there.
     """
-    near = F.struct("x0", "top", "text")
-    page = words.where(F.trim("text") != "").groupBy("file_id", "page").agg(F.array_sort(F.collect_list(near)).alias("words"))
-    heads = F.filter("words", lambda w: F.contains(w["text"], F.lit("要求元")) & (w["top"] < LIST_HEAD_TO))
-    head = F.array_min(F.transform(heads, lambda w: F.struct(w["top"].alias("top"), w["x0"].alias("x0"))))
-    page = held(page.withColumn("head", head))
-
-    def right(words_: str, least: Column, beyond: Column) -> Column:
-        fits = lambda w: (F.abs(w["top"] - F.col("head.top")) <= LIST_HEAD_APART) & (w["x0"] >= least) & w["text"].rlike(words_)
-        return F.coalesce(first(F.col("words"), fits)["x0"], beyond)
-
-    page = held(page.withColumn("qty_x", right("件", F.col("head.x0") + 15, F.col("head.x0") + 40)))
-    page = held(page.withColumn("due_x", right("納", F.col("head.x0") + 40, F.col("qty_x") + 35)))
-    page = held(page.withColumn("class_x", right("区", F.col("due_x") + 10, F.col("due_x") + 35)))
-    borders = F.struct((F.col("head.top") + LIST_HEAD_APART).alias("from"), (F.col("head.x0") - LIST_SHIFT / 2).alias("org"), *((F.col(f"{c}_x") - LIST_SHIFT).alias(c) for c in ("qty", "due", "class")))
-    own = page.select("file_id", "page", F.when(F.col("head").isNotNull(), borders).alias("own"))
-    known = windows.carried_far(own, ["file_id"], "page", "own", "b").where("b is not null").select("file_id", "page", "b")
-    body = page.select("file_id", "page", "words").join(known, ["file_id", "page"])
-    body = held(body.withColumn("words", F.filter("words", lambda w: w["top"] >= F.col("b.from"))))
-    heights = F.array_sort(F.array_distinct(F.transform("words", lambda w: F.bround(w["top"]))))
-    lines = F.transform(heights, lambda y: F.filter("words", lambda w: F.bround(w["top"]) == y))
-    span = lambda ws, lo, hi: F.trim(joined(F.filter(ws, lambda w: (w["x0"] >= lo) & (w["x0"] < hi))))
-    told = F.transform(lines, lambda ws: F.struct(F.filter(ws, lambda w: w["x0"] < F.col("b.org")).alias("left"), span(ws, F.col("b.org"), F.col("b.qty")).alias("org"), span(ws, F.col("b.qty"), F.col("b.due")).alias("qty"), span(ws, F.col("b.due"), F.col("b.class")).alias("due")))
-    body = held(body.select("file_id", "page", F.filter(told, lambda r: r["org"] != "").alias("rows")))
-    before = windows.summed_far(body.select("file_id", "page", F.size("rows").alias("n")), ["file_id"], "page", "n", "before").select("file_id", "page", "before")
-    rows = body.join(before, ["file_id", "page"]).select("file_id", "page", "before", F.posexplode("rows").alias("i", "r"))
-    code = lambda w: w["text"].rlike("^[0-9]{1,2}$") & (w["x0"] <= LIST_CODE_TO)
-    begins = F.coalesce(first(F.transform("r.left", lambda w, i: F.struct(i.alias("i"), code(w).alias("code"))), lambda x: ~x["code"])["i"], F.size("r.left"))
-    item = F.array_join(F.transform(F.slice("r.left", begins + 1, F.size("r.left")), lambda w: w["text"]), " ")
-    raw = F.split("r.org", r"\s+")[0]
-    month = F.coalesce(*(found(F.trim("r.due"), p, 1).try_cast("int") for p in (r"^R[0-9]+\.([0-9]{1,2})", r"^[0-9]{4}/([0-9]{1,2})/", r"^[0-9]{4}年([0-9]{1,2})月")))
+    near = F.struct(F.col("x0").cast("double").alias("x0"), F.col("top").cast("double").alias("top"), "text")
+    page = words.where((F.trim("text") != "") & F.col("file_id").isNotNull() & F.col("page").isNotNull()).groupBy("file_id", "page").agg(F.sort_array(F.collect_list(near)).alias("words"))
+    run = ["file_id", "_run"]
+    # a page is read once, when its run's borders are known; the few before a run's first header are kept for the runs before to tell
+    page = page.withColumn("_run", F.floor(F.col("page") / windows.RUN)).repartition(*run).sortWithinPartitions(*run, "page")
+    told = cut(placed.by_batch(page, [*run, "page"], ["words"], [*LISTED, *KEPT], _read_lists))
+    outer = Window.partitionBy("file_id").orderBy("_run").rowsBetween(Window.unboundedPreceding, -1)
+    runs = told.groupBy(*run).agg(F.max_by("own", F.when(F.col("own").isNotNull(), F.col("page"))).alias("own"))
+    starts = runs.select(*run, F.last("own", ignorenulls=True).over(outer).alias("before")).where("before is not null")
+    kept = told.where("words is not null").select(*run, "page", "words").join(starts, run)
+    later = placed.by_batch(kept, [*run, "page"], ["words", "before"], LISTED, _read_kept)
+    rows = told.where("i is not null").select(*run, "page", *(n for n, _ in LISTED)).unionByName(later)
+    sums = rows.groupBy(*run).agg(F.count("*").alias("n")).select(*run, F.coalesce(F.sum("n").over(outer), F.lit(0)).alias("rows_before"))
+    rows = rows.withColumn("at", F.row_number().over(Window.partitionBy(*run).orderBy("page", "i"))).join(sums, run)
+    raw = F.split("org", r"\s+")[0]
+    month = F.coalesce(*(found("due", p, 1).try_cast("int") for p in (r"^R[0-9]+\.([0-9]{1,2})", r"^[0-9]{4}/([0-9]{1,2})/", r"^[0-9]{4}年([0-9]{1,2})月")))
     out = rows.select(
-        "file_id", "page", (F.col("before") + F.col("i") + 1).alias("source_row"), raw.alias("org_raw"), rules.mapped(raw, codes, F.lit(None).cast("string")).alias("org"), item.alias("item_name"),
-        text.item_name(item).alias("item_name_norm"), F.when(F.col("r.qty").rlike("^[0-9]+$"), F.col("r.qty")).try_cast("int").alias("qty"), dates.fiscal_month(month).alias("contract_month"),
+        "file_id", "page", (F.col("rows_before") + F.col("at")).alias("source_row"), raw.alias("org_raw"), rules.mapped(raw, codes, F.lit(None).cast("string")).alias("org"), F.col("item").alias("item_name"),
+        text.item_name(F.col("item")).alias("item_name_norm"), F.when(F.col("qty").rlike("^[0-9]+$"), F.col("qty")).try_cast("int").alias("qty"), dates.fiscal_month(month).alias("contract_month"),
     )
     return out.where("org is not null")
 

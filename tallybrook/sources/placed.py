@@ -13,6 +13,7 @@ from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql.types import StructType
 
@@ -36,7 +37,7 @@ def _values(a: pa.Array) -> list:
     return out
 
 
-def _lists(a: pa.Array) -> list:
+def lists(a: pa.Array) -> list:
     """A list of tuples for each row of an array of structs."""
     at, structs = a.offsets.to_pylist(), a.values
     rows = list(zip(*(_values(structs.field(i)) for i in range(structs.type.num_fields)), strict=True))
@@ -50,7 +51,7 @@ def by_page(pages: DataFrame, keys: list[str], given: list[str], out: list[tuple
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             at, rows = [], []
-            for i, page in enumerate(zip(*(_lists(batch.column(c)) for c in given), strict=True)):
+            for i, page in enumerate(zip(*(lists(batch.column(c)) for c in given), strict=True)):
                 for r in read(*page):
                     at.append(i)
                     rows.append(r)
@@ -63,6 +64,35 @@ def by_page(pages: DataFrame, keys: list[str], given: list[str], out: list[tuple
     return pages.select(*dict.fromkeys([*keys, *given])).mapInArrow(run, schema)
 
 
+def by_batch(pages: DataFrame, keys: list[str], given: list[str], out: list[tuple[str, str]], read: Callable[[Iterator[pa.RecordBatch]], Iterator[tuple[pa.RecordBatch, np.ndarray, list[pa.Array]]]]) -> DataFrame:
+    """As `by_page`, for what is read of all pages of a batch at once: `read` gives each batch, its rows' pages and their columns."""
+    names = [*keys, *(name for name, _ in out)]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch, at, columns in read(batches):
+            yield pa.RecordBatch.from_arrays([*(batch.column(k).take(pa.array(at)) for k in keys), *columns], names)
+
+    schema = StructType([pages.schema[k] for k in keys] + StructType.fromDDL(", ".join(f"{name} {kind}" for name, kind in out)).fields)
+    return pages.select(*dict.fromkeys([*keys, *given])).mapInArrow(run, schema)
+
+
+def flat(lists: pa.ListArray) -> tuple[np.ndarray, np.ndarray, pa.StructArray]:
+    """Where each list begins, the last one's end too, the list that each struct is of, and the structs."""
+    at = lists.offsets.to_numpy().astype(np.int64)
+    return at - at[0], np.repeat(np.arange(len(lists)), np.diff(at)), lists.values.slice(at[0], at[-1] - at[0])
+
+
+def places(a: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """Coordinates, what is no number beyond all others, and whether there is one."""
+    return np.nan_to_num(a.to_numpy(zero_copy_only=False), nan=np.inf, posinf=np.inf, neginf=-np.inf), a.is_valid().to_numpy(zero_copy_only=False)
+
+
+def gathered(texts: pa.Array, which: np.ndarray, of: np.ndarray, n: int) -> pa.Array:
+    """n texts: those of `texts` that are chosen, joined by spaces for each number of `of`, which ascends."""
+    ends = np.concatenate([[0], np.cumsum(np.bincount(of[which], minlength=n))]).astype(np.int32)
+    return pc.binary_join(pa.ListArray.from_arrays(pa.array(ends), texts.filter(pa.array(which))), " ")
+
+
 def islands(spans: Iterable[tuple], gap: float) -> list[list]:
     """The union of spans (lo, hi) as spans from left to right; those at most `gap` apart are one, those without a begin come first."""
     out: list[list] = []

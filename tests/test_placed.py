@@ -48,3 +48,13 @@ def test_tags_of_other_names_are_passed_over():
     assert set(m[3] for m in grids._tags(frozenset(["td", "tr"])).finditer(whole)) == {"td", "tr"}
     for odd in ('<i title="<td>x</td>">', "<!-- <td>x</td> -->", "<SCRIPT><td>x</td></SCRIPT>"):
         assert grids.TANGLED.search(odd) and grids.elements(odd, frozenset(["td"])) == [e for e in grids.elements(odd) if e[0] == "td"]
+
+
+def test_lists_are_read_once(spark, sf):
+    whole = registry.QUERIES["planned_lists"](spark, sf)
+    assert "Scan parquet" not in plan(whole)  # lines were read and written once; they are numbered from there
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "3")  # borders pass from batch to batch
+    try:
+        assert sorted(map(str, registry.QUERIES["planned_lists"](spark, sf).collect())) == sorted(map(str, whole.collect()))
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
