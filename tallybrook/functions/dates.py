@@ -57,8 +57,9 @@ def date_text(value: Column) -> Column:
     serial = F.when(text.rlike(r"^[3-6][0-9]{4}(\.0+)?$"), F.date_format(F.date_add(F.lit(SERIAL_ZERO).cast("date"), F.regexp_extract(text, "^([0-9]+)", 1).try_cast("int")), "yyyyMMdd"))
     y, m, d = _parts(text, r"^[Rr令和]*\s*([0-9]{1,2})[.年/]([0-9]{1,2})[.月/]([0-9]{1,2})")
     era = F.when(y.between(1, 20), _ymd(y + ERA_BASE["R"], m, d))
-    y, m, d = _parts(text, r"^([0-9]{4})[-/年]([0-9]{1,2})[-/月]([0-9]{1,2})")
-    plain = F.when(y.isNotNull(), F.format_string("%04d%02d%02d", y, m, d))
+    gregorian = r"^([0-9]{4})[-/年]([0-9]{1,2})[-/月]([0-9]{1,2})"
+    digits = [F.regexp_extract(text, gregorian, i) for i in (1, 2, 3)]
+    plain = F.when(text.rlike(gregorian), F.concat(digits[0], *(F.lpad(x, 2, "0") for x in digits[1:])))
     return F.coalesce(serial, era, plain, F.when(text.rlike("^[0-9]{8}$"), text))
 
 

@@ -82,8 +82,15 @@ def vendor_plain(value: Column) -> Column:
     return stripped(full)
 
 
+def lines_of(cell: Column) -> Column:
+    return F.filter(F.transform(F.split(cell, "\n"), lambda x: F.trim(x)), lambda x: x != "")
+
+
 def vendor_and_address(cell: Column) -> tuple[Column, Column]:
-    lines = F.filter(F.transform(F.split(cell, "\n"), lambda x: F.trim(x)), lambda x: x != "")
+    return vendor_of_lines(lines_of(cell))
+
+
+def vendor_of_lines(lines: Column) -> tuple[Column, Column]:
     name = F.substring(F.try_element_at(lines, F.lit(1)), 1, 300)
     rest = F.nullif(F.array_join(F.slice(lines, 2, 1000), " / "), F.lit(""))
     return name, F.substring(rest, 1, 500)

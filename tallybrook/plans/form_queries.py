@@ -128,18 +128,19 @@ case when l_returnflag = 'N' then last_value(own ignore nulls) over (partition b
 def grid_records(spark: SparkSession, sf: str) -> DataFrame:
     """Orders as sheets: titles above a header at some height, columns in two orders, ditto marks for the method."""
     item = F.struct("l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice", "l_shipdate", "l_returnflag")
-    orders = table(spark, sf, "lineitem").groupBy("l_orderkey").agg(F.array_sort(F.collect_list(item)).alias("items"))
-    bid = lambda i: F.when(i.l_returnflag == "A", "一般競争").when(i.l_returnflag == "N", "〃").otherwise("随意契約")
-    cells = lambda i: [F.concat(F.lit("part "), i.l_partkey.cast("string")), F.concat(F.lit("S"), i.l_suppkey.cast("string"), F.lit("\n東京都")), F.format_number(F.floor(i.l_extendedprice), 0), F.date_format(i.l_shipdate, "yyyy/MM/dd"), bid(i)]
-    turned = F.col("l_orderkey") % 2 == 1
-    order = lambda c: F.when(turned, F.array(*c[::-1])).otherwise(F.array(*c))
+    orders = table(spark, sf, "lineitem").groupBy(F.col("l_orderkey").cast("string").alias("file_id")).agg(F.sort_array(F.collect_list(item)).alias("items"))
+    lines = orders.select("file_id", F.col("file_id").cast("long").alias("l_orderkey"), F.posexplode("items").alias("at", "i"))
+    bid = F.when(F.col("i.l_returnflag") == "A", "一般競争").when(F.col("i.l_returnflag") == "N", "〃").otherwise("随意契約")
+    cells = [F.concat(F.lit("part "), F.col("i.l_partkey").cast("string")), F.concat(F.lit("S"), F.col("i.l_suppkey").cast("string"), F.lit("\n東京都")), F.format_number(F.floor("i.l_extendedprice"), 0), F.date_format("i.l_shipdate", "yyyy/MM/dd"), bid]
+    order = lambda c: F.when(F.col("l_orderkey") % 2 == 1, F.array(*c[::-1])).otherwise(F.array(*c))
+    row = lambda n, c: F.struct(F.lit(n).alias("row"), c.alias("cells"))
     head = order([F.lit(x) for x in ("契約件名", "相手方の 商号", "契約金額（円）", "契約締結日", "入札方式")])
-    titles = F.when(F.col("l_orderkey") % 3 == 0, F.array(F.array(F.lit("公表")))).otherwise(F.array(F.array(F.lit("令和")), F.array(F.lit("契約件名"))))
-    rows = F.concat(titles, F.array(head), F.transform("items", lambda i: order(cells(i))))
-    grid = orders.select(F.col("l_orderkey").cast("string").alias("file_id"), F.posexplode(rows).alias("row", "cells"))
+    short = F.col("l_orderkey") % 3 == 0
+    top = F.when(short, F.array(row(0, F.array(F.lit("公表"))), row(1, head))).otherwise(F.array(row(0, F.array(F.lit("令和"))), row(1, F.array(F.lit("契約件名"))), row(2, head)))
+    body = F.array(F.struct((F.col("at") + F.when(short, 2).otherwise(3)).alias("row"), order(cells).alias("cells")))
+    grid = lines.select("file_id", F.inline(F.when(F.col("at") == 0, F.concat(top, body)).otherwise(body)))  # a sheet's rows stay together
     fields = [("件名", "contract_name"), ("相手方", "vendor_name"), ("契約金額", "contract_amount"), ("締結日", "contract_date"), ("方式", "bid_method")]
-    heads = grids.header_rows(grid, ["件名", "契約金額", "締結日"])
-    out = grids.records(grid, heads, grids.column_map(grid, heads, fields), [("一般競争", "一般競争入札"), ("随意", "随意契約")])
+    out = grids.sheet_records(grid, ["件名", "契約金額", "締結日"], fields, [("一般競争", "一般競争入札"), ("随意", "随意契約")])
     return out.drop("row")
 
 

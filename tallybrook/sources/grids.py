@@ -8,7 +8,7 @@ from __future__ import annotations
 
 import re
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from functools import cache
 from html import unescape
 
@@ -50,18 +50,42 @@ def records(grid: DataFrame, headers: DataFrame, columns: DataFrame, bid_rules:
     """Typed rows below the header: ditto marks carried, lines without vendor and amount, or without name and amount, dropped."""
     by_field = columns.groupBy("file_id").agg(F.map_from_entries(F.collect_list(F.struct("field", "column"))).alias("map"))
     body = grid.join(headers, "file_id").where(F.col("row") > F.col("header")).join(by_field, "file_id")
-    cell = lambda f: F.nullif(F.trim(F.try_element_at("cells", F.try_element_at("map", F.lit(f)) + 1)), F.lit(""))
-    name, address = text.vendor_and_address(cell("vendor_name"))
-    bid = text.bid_method(cell("bid_method"), bid_rules)
-    ditto = cell("bid_method").isin(*DITTO)
+    return _typed(body, lambda f: F.try_element_at("cells", F.try_element_at("map", F.lit(f)) + 1), bid_rules, target_year)
+
+
+def sheet_records(grid: DataFrame, words: list[str], rules: list[tuple[str, str]], bid_rules: list[tuple[str, str]], least: int = 2, default: int | None = None, target_year: int | None = None) -> DataFrame:
+    """`records` by `header_rows` and `column_map` in one pass: a sheet's rows are gathered once and meet its header by windows,
+    where those are joined back. Of rows that share the header's number the greatest counts."""
+    order = Window.partitionBy("file_id").orderBy("row")
+    whole = order.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    title = F.regexp_replace(F.array_join("cells", "\u0001", ""), r"\s", "")
+    hits = sum((F.contains(title, F.lit(w)).cast("int") for w in words), F.lit(0))
+    header = F.coalesce(F.min(F.when(F.col("row") < HEADER_ROWS, F.when(hits >= least, F.col("row")))).over(whole), F.lit(default).cast("int"))
+    titles = F.transform("cells", lambda c: F.substring_index(F.regexp_replace(F.coalesce(c, F.lit("")), r"\s", ""), "\u0001", 1))
+    fields = list(dict.fromkeys(f for _, f in rules))
+    place = lambda t, k: F.nullif(F.array_position(F.transform(t, lambda c: F.contains(c, F.lit(k))), F.lit(True)), F.lit(0))
+    places = dates.let(titles, lambda t: F.array(*(F.coalesce(*(place(t, k) for k, g in rules if g == f)) for f in fields)))
+    body = grid.where("file_id is not null and row is not null").withColumn("header", header)
+    body = body.withColumn("places", F.max(F.when(F.col("row") == F.col("header"), places)).over(whole))
+    body = body.where((F.col("row") > F.col("header")) & (F.size(F.array_compact("places")) > 0))
+    of = lambda f: F.try_element_at("cells", F.get("places", F.lit(fields.index(f))).cast("int")) if f in fields else F.lit(None).cast("string")
+    return _typed(body, of, bid_rules, target_year)
+
+
+def _typed(body: DataFrame, of: Callable[[str], Column], bid_rules: list[tuple[str, str]], target_year: int | None) -> DataFrame:
+    """RECORD of rows below a header, whose texts `of` gives by field."""
+    cell = lambda f: F.nullif(F.trim(of(f)), F.lit(""))
+    name, address = text.vendor_of_lines(F.col("_vendor"))
+    ditto, bid = F.coalesce(F.col("_method").isin(*DITTO), F.lit(False)), text.bid_method(F.col("_method"), bid_rules)
     carry = Window.partitionBy("file_id").orderBy("row").rowsBetween(Window.unboundedPreceding, 0)
-    rows = body.select(
-        "file_id", "row", cell("contract_name").alias("contract_name"), name.alias("vendor_name"), address.alias("vendor_address"),
-        amounts.first_nonzero(amounts.amount(cell("contract_amount")), amounts.unit_price_total(F.col("cells"))).alias("contract_amount"),
-        dates.date_text(cell("contract_date")).alias("contract_date"), F.last(F.when(~F.coalesce(ditto, F.lit(False)), bid), ignorenulls=True).over(carry).alias("_carried"), ditto.alias("_ditto"), bid.alias("_bid"),
+    rows = body.select("file_id", "row", "cells", cell("contract_name").alias("contract_name"), text.lines_of(cell("vendor_name")).alias("_vendor"), cell("contract_amount").alias("_amount"), cell("contract_date").alias("_date"), cell("bid_method").alias("_method"))
+    rows = rows.withColumns({"_ditto": ditto, "_bid": bid}).withColumn("_carried", F.last(F.when(~F.col("_ditto"), F.col("_bid")), ignorenulls=True).over(carry))
+    rows = rows.select(
+        "file_id", "row", "contract_name", name.alias("vendor_name"), address.alias("vendor_address"),
+        amounts.first_nonzero(amounts.amount(F.col("_amount")), amounts.unit_price_total(F.col("cells"))).alias("contract_amount"),
+        dates.date_text(F.col("_date")).alias("contract_date"), F.when(F.col("_ditto"), F.col("_carried")).otherwise(F.col("_bid")).alias("bid_method"),
     )
-    rows = rows.withColumn("bid_method", F.when(F.col("_ditto"), F.col("_carried")).otherwise(F.col("_bid")))
-    rows = rows.withColumn("fiscal_year", F.coalesce(dates.fiscal_year_of_text(F.col("contract_date")), F.lit(target_year).cast("int")))
+    rows = pages.held(rows).withColumn("fiscal_year", F.coalesce(dates.fiscal_year_of_text(F.col("contract_date")), F.lit(target_year).cast("int")))
     useful = (F.col("vendor_name").isNotNull() | F.col("contract_amount").isNotNull()) & (F.col("contract_name").isNotNull() | F.col("contract_amount").isNotNull())
     guard = F.lit(True) if target_year is None else F.col("fiscal_year") == target_year
     return rows.where(useful & guard).select(*RECORD)

@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tallybrook.operators import fuzzy, linkage, merge, verify, votes, windows
+from tallybrook.plans import registry
 from tallybrook.sources import exports, grids
 from tallybrook.streaming import incremental
 
@@ -84,6 +85,21 @@ def test_grid_records(spark):
     assert got[3].bid_method == "一般競争入札" and got[5].contract_amount == 1234
 
 
+def test_sheet_records_gather_a_sheet_once(spark, sf):
+    cells = [["表題"], ["番号", "件 名", "契約相手方", "契約金額", "契約日", "契約方式"], ["1", "甲", "A社\n東京", "1,000円", "R6.4.1", "一般競争"], ["2", "乙", "B社", "2,000", "2024/5/1", "〃"], ["3", "丙", "", "", "", ""], None, ["4", "", "C社", "予定調達総額 1,234円", "", "随意契約"]]
+    other = [("g", 0, ["件名", "契約金額"]), ("g", 20, ["a", "5"]), ("h", 0, ["x"]), ("h", 1, ["y"]), (None, 0, ["件名", "契約金額"]), (None, 1, ["a", "5"]), ("i", -1, ["b", "契約金額", None]), ("i", 16, ["件名", "契約金額"]), ("i", None, ["c", "7"])]
+    grid = spark.createDataFrame([*(("f", i, c) for i, c in enumerate(cells)), *other], "file_id string, row int, cells array<string>")
+    words, bids = ["件名", "契約金額", "契約相手方"], [("一般競争", "一般競争入札"), ("随意", "随意契約")]
+    rules = [("件名", "contract_name"), ("番号", "contract_name"), ("契約相手方", "vendor_name"), ("契約金額", "contract_amount"), ("契約日", "contract_date"), ("契約方式", "bid_method")]
+    for least, default in ((2, None), (2, 0), (1, None), (3, 16)):
+        heads = grids.header_rows(grid, words, least, default)
+        joined = grids.records(grid, heads, grids.column_map(grid, heads, rules), bids)
+        got = grids.sheet_records(grid, words, rules, bids, least, default)
+        assert sorted(map(str, got.collect())) == sorted(map(str, joined.collect()))
+    text = registry.QUERIES["grid_records"](spark, sf)._jdf.queryExecution().executedPlan().toString()
+    assert text.count("Scan parquet") == 1 and text.count("Exchange hashpartitioning") == 1 and "Join" not in text
+
+
 def test_lines_bands_html(spark):
     words = spark.createDataFrame([("f", 1, "b", 20.0, 3.0, 0.9), ("f", 1, "a", 1.0, 0.0, 0.9), ("f", 1, "c", 1.0, 12.0, 0.9), ("f", 1, "no", 1.0, 12.0, 0.1)], "file_id string, page int, text string, x0 double, top double, conf double")
     assert sorted((r.line, r.text) for r in grids.lines_of_words(words).collect()) == [(0, "a b"), (1, "c")]
