@@ -23,10 +23,11 @@ def query(sql: str):
 
 
 def _items(spark: SparkSession, sf: str) -> DataFrame:
-    """(page, rows, at, l_linenumber, name, vendor, amount, day, flag): an order is a page, its items in order."""
-    item = F.struct("l_linenumber", F.concat(F.lit("P"), "l_partkey").alias("name"), F.concat(F.lit("S"), "l_suppkey").alias("vendor"), F.format_number(F.floor("l_extendedprice"), 0).alias("amount"), F.date_format("l_shipdate", "yyyy/MM/dd").alias("day"), F.col("l_returnflag").alias("flag"))
-    orders = table(spark, sf, "lineitem").groupBy(F.col("l_orderkey").cast("int").alias("page")).agg(F.array_sort(F.collect_list(item)).alias("items"))
-    return orders.select("page", F.size("items").alias("rows"), F.posexplode("items").alias("at", "i")).select("page", "rows", "at", "i.*")
+    """(page, rows, at, first, l_linenumber, name, vendor, amount, day, flag): an order is a page, its items in order; the first of its flag?"""
+    item = F.struct("l_linenumber", F.concat(F.lit("P"), "l_partkey").alias("name"), F.concat(F.lit("S"), "l_suppkey").alias("vendor"), F.format_number(F.floor("l_extendedprice"), 0).alias("amount"), F.date_format("l_shipdate", "yyyy/MM/dd").alias("day"), F.when(F.col("l_returnflag").isin("A", "N"), F.col("l_returnflag")).otherwise("-").alias("flag"))
+    orders = table(spark, sf, "lineitem").groupBy(F.col("l_orderkey").cast("int").alias("page")).agg(F.sort_array(F.collect_list(item)).alias("items"))
+    first = F.array_position("items.flag", F.col("i.flag")) == F.col("at") + 1
+    return orders.select("page", F.size("items").alias("rows"), "items", F.posexplode("items").alias("at", "i")).select("page", "rows", "at", first.alias("first"), "i.*")
 
 
 def _word(t: Column, x: Column | float, top: Column | float, width: float | None = None) -> Column:
@@ -154,8 +155,9 @@ def main_item_lists(spark: SparkSession, sf: str) -> DataFrame:
     apart = F.array(*line, _word(F.col("amount"), 390.0, down), _word(F.col("vendor"), 450.0, down))
     mixed = F.array(*line, _word(F.concat("amount", "vendor"), 400.0, down))
     names = F.element_at(F.array(F.lit("陸幕"), F.lit("海幕"), F.lit("空幕")), group + 1)
-    heads = items.select("page", group.alias("g"), names.alias("t")).distinct().select("page", F.inline(F.array(_word(F.col("t"), 20.0, F.col("g") * 1000.0 + 50), _word(F.lit("令和5年度"), 60.0, 20.0))))
-    of = lambda odd, words: items.where((F.col("page") % 2 == 1) == odd).select("page", F.inline(words)).unionByName(heads.where((F.col("page") % 2 == 1) == odd)).withColumn("file_id", F.lit("f"))
+    heads = F.array(_word(names, 20.0, group * 1000.0 + 50), _word(F.lit("令和5年度"), 60.0, 20.0))
+    with_head = lambda body: F.inline(F.when(F.col("first"), F.concat(heads, body)).otherwise(body))
+    of = lambda odd, body: items.where((F.col("page") % 2 == 1) == odd).select(F.lit("f").alias("file_id"), "page", with_head(body))
     skipped = "品目|要求機関|区分|令和|平成|（注|（金額"
     even = layouts.main_items(of(False, apart), (60.0, 310.0), (310.0, 380.0), 385.0, 100.0, "[幕庁]|内局", skipped, False)
     odd = layouts.main_items(of(True, mixed), (60.0, 330.0), (330.0, 390.0), 395.0, 80.0, "[幕庁]|内局", skipped, True)

@@ -7,6 +7,7 @@ page (borders, running numbers) goes in two steps, runs of pages and then the ru
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -341,32 +342,47 @@ def yearly_summary(rows: DataFrame) -> DataFrame:
     return table.groupBy("file_id").agg(F.min_by(told, "table").alias("told")).select("file_id", F.inline("told"))
 
 
+NUMERIC, PAID, PLAIN = (re.compile(p + placed.END) for p in (r"[0-9,，\s.]+", "[0-9,，]+", r"[0-9,，\s.-]+"))
+NO_HEAD = re.compile("単位|年度|区分|過去|注|（|※")
+
+
+def _main_lines(words: list[tuple], item: tuple[float, float], quantity: tuple[float, float], amount_from: float, org_to: float, org_pattern: re.Pattern, mixed: bool, bucket: float) -> Iterator[tuple]:
+    """(line, organisation, item, quantity, amount, vendor) of the lines of a page's words (top, x0, text) that head no others."""
+    lines: dict[float, list[tuple]] = {}
+    for top, x, t in words:
+        if top is not None:
+            lines.setdefault(placed.rounded(top / bucket), []).append((x, t))
+    org = ""
+    for n, (_, ws) in enumerate(sorted(lines.items())):
+        ws = sorted(w for w in ws if w[0] is not None)
+        head = "".join([t for x, t in ws if x < org_to and len(t) <= 8 and not NUMERIC.match(t) and not NO_HEAD.search(t)])
+        if org_pattern.search(head):
+            org = head
+            continue
+        name = "".join([t for x, t in ws if item[0] <= x <= item[1] and not NUMERIC.match(t)]).strip(" ")
+        count = "".join([t for x, t in ws if quantity[0] <= x <= quantity[1]]).strip(" ")
+        beyond = [t for x, t in ws if amount_from <= x < float("inf")]
+        paid = "".join(beyond if mixed else [t for t in beyond if PAID.match(t)]).strip(" ")
+        yield n, org, name, count, paid, "" if mixed else "".join([t for t in beyond if not PLAIN.match(t)]).strip(" ")
+
+
 def main_items(words: DataFrame, item: tuple[float, float], quantity: tuple[float, float], amount_from: float, org_to: float, org_pattern: str, skipped: str, mixed: bool, bucket: float = 5.0) -> DataFrame:
     """(file_id, page, line, org, item_name, quantity, amount, vendor_name) of a page's list of main items; layouts are parameters.
 
     A short text left of `org_to` that fits `org_pattern` heads the items below it. `mixed`: amount and vendor share a
     column from `amount_from` on, the number first; else numbers there are the amount and texts the vendor.
     """
-    row = lambda w: amounts.bucket_rows(w["top"], bucket)
-    page = words.where(F.trim("text") != "").groupBy("file_id", "page").agg(F.array_sort(F.collect_list(F.struct(F.col("top"), "x0", "text"))).alias("words"))
-    ys = F.array_sort(F.array_distinct(F.transform("words", row)))
-    page = held(page.withColumn("lines", F.transform(ys, lambda y: F.array_sort(F.transform(F.filter("words", lambda w: row(w) == y), lambda w: F.struct(w["x0"].alias("x0"), w["text"].alias("text")))))))
-    number = r"^[0-9,，\s.]+$"
-    texts = lambda ws: F.array_join(F.transform(ws, lambda w: w["text"]), "")
-    head = lambda ws: texts(F.filter(ws, lambda w: (w["x0"] < org_to) & (F.char_length(w["text"]) <= 8) & ~w["text"].rlike(number) & ~w["text"].rlike("単位|年度|区分|過去|注|（|※")))
-    rows = page.select("file_id", "page", F.posexplode("lines").alias("line", "ws"))
-    org = F.when(head(F.col("ws")).rlike(org_pattern), head(F.col("ws")))
-    order = Window.partitionBy("file_id", "page").orderBy("line").rowsBetween(Window.unboundedPreceding, 0)
-    rows = held(rows.withColumn("head", org))
-    rows = rows.withColumn("org", F.coalesce(F.last("head", ignorenulls=True).over(order), F.lit(""))).where("head is null")
-    within = lambda lo, hi, more: F.filter("ws", lambda w: (w["x0"] >= lo) & (w["x0"] <= hi) & more(w))
-    name = F.trim(texts(within(*item, lambda w: ~w["text"].rlike(number))))
-    beyond = float("inf")
+    at = [F.col(c).cast("double").alias(c) for c in ("top", "x0")]
+    page = words.where(F.trim("text") != "").groupBy("file_id", "page").agg(F.sort_array(F.collect_list(F.struct(*at, "text"))).alias("words"))
+    read = lambda ws: _main_lines(ws, item, quantity, amount_from, org_to, re.compile(org_pattern), mixed, bucket)
+    texts = [(f, "string", placed.TEXT) for f in ("org", "name", "count", "paid", "rest")]
+    rows = placed.by_page(page, ["file_id", "page"], ["words"], [("line", "int", placed.NUMBER), *texts], read)
+    name = F.col("name")
     if mixed:
-        both = F.replace(F.trim(texts(within(amount_from, beyond, lambda w: F.lit(True)))), F.lit("，"), F.lit(","))
+        both = F.replace("paid", F.lit("，"), F.lit(","))
         amount, vendor = found(both, "^([0-9,]+)", 1), F.trim(found(both, r"^[0-9,]+\s*(.*)$", 1))
     else:
-        amount, vendor = F.trim(texts(within(amount_from, beyond, lambda w: w["text"].rlike("^[0-9,，]+$")))), F.trim(texts(within(amount_from, beyond, lambda w: ~w["text"].rlike(r"^[0-9,，\s.-]+$"))))
-        vendor = F.when(~F.replace(vendor, F.lit(" "), F.lit("")).rlike("^[0-9]{13}$"), vendor)
-    out = rows.select("file_id", "page", "line", "org", name.alias("item_name"), F.nullif(F.trim(texts(within(*quantity, lambda w: F.lit(True)))), F.lit("")).alias("quantity"), _number(amount).alias("amount"), F.nullif(vendor, F.lit("")).alias("vendor_name"))
-    return out.where((F.char_length("item_name") >= 2) & ~F.col("item_name").rlike(skipped))
+        amount = F.col("paid")
+        vendor = F.when(~F.replace("rest", F.lit(" "), F.lit("")).rlike("^[0-9]{13}$"), F.col("rest"))
+    out = rows.select("file_id", "page", "line", "org", name.alias("item_name"), F.nullif("count", F.lit("")).alias("quantity"), _number(amount).alias("amount"), F.nullif(vendor, F.lit("")).alias("vendor_name"))
+    return held(out).where((F.char_length("item_name") >= 2) & ~F.col("item_name").rlike(skipped))

@@ -20,6 +20,8 @@ from pyspark.sql.types import StructType
 TEXT, NUMBER = pa.string(), pa.int32()
 TABLES = pa.list_(pa.list_(pa.list_(TEXT)))
 DIGIT = re.compile("[0-9]")
+#: The end of a text as Spark's patterns have it: before a line's end too.
+END = r"(?:\r\n|[\n\r\x85\u2028\u2029])?\Z"
 
 
 def _values(a: pa.Array) -> list:
@@ -87,6 +89,11 @@ def places(a: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return np.nan_to_num(a.to_numpy(zero_copy_only=False), nan=np.inf, posinf=np.inf, neginf=-np.inf), a.is_valid().to_numpy(zero_copy_only=False)
 
 
+def rounded(x: float) -> float:
+    """To a whole number, half to even; what lies beyond all others stays there."""
+    return round(x) if -np.inf < x < np.inf else x
+
+
 def gathered(texts: pa.Array, which: np.ndarray, of: np.ndarray, n: int) -> pa.Array:
     """n texts: those of `texts` that are chosen, joined by spaces for each number of `of`, which ascends."""
     ends = np.concatenate([[0], np.cumsum(np.bincount(of[which], minlength=n))]).astype(np.int32)

@@ -58,3 +58,14 @@ def test_lists_are_read_once(spark, sf):
         assert sorted(map(str, registry.QUERIES["planned_lists"](spark, sf).collect())) == sorted(map(str, whole.collect()))
     finally:
         spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+
+
+def test_main_items_are_laid_out_once(spark, sf):
+    text = plan(registry.QUERIES["main_item_lists"](spark, sf))
+    assert text.count("Scan parquet") == 2 and text.count("MapInArrow") == 2  # even and odd pages
+    assert text.count("Exchange hashpartitioning") == 2 and "Window" not in text
+    nan = float("nan")
+    rows = [("f", 1, t, x, y) for t, x, y in [("空幕", 20.0, 10.0), ("機体", 100.0, 30.0), ("1,0", 400.0, 31.0), ("x", nan, 30.0), ("y", None, 30.0), ("z", 420.0, None), ("戦車\u2028", 100.0, 45.0), ("12\u2028", 100.0, 45.0), ("9", 420.0, nan)]]
+    df = spark.createDataFrame(rows, "file_id string, page int, text string, x0 double, top double")
+    got = layouts.main_items(df, (60, 330), (330, 390), 395, 80, "幕", "品目", False).select("line", "org", "item_name", "amount", "vendor_name").collect()
+    assert sorted(map(tuple, got)) == [(1, "空幕", "機体", 10.0, None), (2, "空幕", "戦車\u2028", None, None)]
