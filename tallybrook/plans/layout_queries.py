@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tallybrook.sources import layouts
@@ -52,7 +52,10 @@ select l_orderkey::int as page, k::int as row, 'P' || l_partkey || ' kg|' || cas
 union all select distinct l_orderkey::int, 0, case when vendors > 0 then 'list||' else 'list|' end from k""")
 def text_grids(spark: SparkSession, sf: str) -> DataFrame:
     """Tables without rulings or header; a page of one row is none."""
-    read = layouts.table_rows(layouts.tiered(_grid_words(_items(spark, sf))))
+    item = table(spark, sf, "lineitem").select(F.col("l_orderkey").cast("int").alias("page"), "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice").repartition("page")
+    item = item.select("page", "l_linenumber", F.concat(F.lit("P"), "l_partkey").alias("name"), F.concat(F.lit("S"), "l_suppkey").alias("vendor"), F.format_number(F.floor("l_extendedprice"), 0).alias("amount"))
+    at = F.row_number().over(Window.partitionBy("page").orderBy("l_linenumber", "name", "vendor", "amount")) - 1
+    read = layouts.table_rows(_grid_words(item.withColumn("at", at)))
     return read.select("page", "row", F.array_join("cells", "|").alias("cells"))
 
 

@@ -66,6 +66,36 @@ def _read(words: list[tuple], ruled: list[tuple], gap: float) -> tuple[str, list
     return ("words" if words else "none"), []
 
 
+def _ruled_rows(ruled: pa.ListArray) -> tuple[np.ndarray, np.ndarray, np.ndarray, pa.ListArray]:
+    """Page, table, row and cells of rows that rulings gave, which come in order; tables and rows are numbered anew."""
+    _, of, structs = placed.flat(ruled)
+    number = structs.field(0)
+    marks = [of, number.fill_null(0).to_numpy(), number.is_null().to_numpy(zero_copy_only=False)]
+    fresh = np.concatenate([[True], np.any([m[1:] != m[:-1] for m in marks], axis=0)])[: len(of)]
+    begins = np.flatnonzero(fresh)
+    table = np.arange(len(begins)) - np.searchsorted(of[begins], of[begins])
+    at = np.cumsum(fresh) - 1
+    return of, table[at], np.arange(len(of)) - begins[at], structs.field(2).cast(pa.list_(placed.TEXT))
+
+
+def _tables(batch: pa.RecordBatch, gap: float) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, pa.ListArray]:
+    """The tier of each page (its place in TIERS), and page, table, row and cells of its tables' rows, in order."""
+    words, ruled = batch.column("words"), batch.column("ruled")
+    some, lined = (np.diff(c.offsets.to_numpy()) > 0 for c in (words, ruled))
+    page, row, cells = placed.grids(words, ~lined, gap)
+    tier = np.where(some, 2, 3)
+    tier[page], tier[lined] = 1, 0
+    if not lined.any():
+        return tier, page, np.zeros(len(page), np.int64), row, cells
+    of, table, at, given = _ruled_rows(ruled)
+    page, table, row = np.concatenate([page, of]), np.concatenate([np.zeros(len(page), np.int64), table]), np.concatenate([row, at])
+    by = np.argsort(page, kind="stable")
+    return tier, page[by], table[by], row[by], pa.concat_arrays([cells, given]).take(pa.array(by))
+
+
+TIERS = pa.array(["ruled", "text", "words", "none"])
+
+
 def tiered(words: DataFrame, ruled: DataFrame | None = None, gap: float = COLUMN_GAP) -> DataFrame:
     """(file_id, page, tier, tables, words): how each page is to be read.
 
@@ -74,15 +104,30 @@ def tiered(words: DataFrame, ruled: DataFrame | None = None, gap: float = COLUMN
     words form a grid of two columns and two rows at least; 'words': it has words; 'none'. Columns are the islands of the words'
     extents over rows that have more than one, so titles across the page join nothing; rows are islands of heights.
     """
-    out = [("tier", "string", placed.TEXT), ("tables", "array<array<array<string>>>", placed.TABLES)]
-    read = placed.by_page(_gathered(words, ruled), ["file_id", "page", "words"], ["words", "ruled"], out, lambda ws, rs: [_read(ws, rs, gap)])
-    return read.select("file_id", "page", "tier", "tables", "words")
 
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
+        for batch in batches:
+            tier, page, table, _, cells = _tables(batch, gap)
+            fresh = np.flatnonzero(np.concatenate([[True], (page[1:] != page[:-1]) | (table[1:] != table[:-1])])[: len(page)])
+            tables = pa.ListArray.from_arrays(pa.array(np.append(fresh, len(page)), pa.int32()), cells)
+            ends = np.concatenate([[0], np.cumsum(np.bincount(page[fresh], minlength=batch.num_rows))])
+            yield batch, np.arange(batch.num_rows), [TIERS.take(pa.array(tier)), pa.ListArray.from_arrays(pa.array(ends, pa.int32()), tables)]
+
+    out = [("tier", "string"), ("tables", "array<array<array<string>>>")]
+    told = placed.by_batch(_gathered(words, ruled), ["file_id", "page", "words"], ["words", "ruled"], out, read)
+    return told.select("file_id", "page", "tier", "tables", "words")
+
+
+def table_rows(words: DataFrame, ruled: DataFrame | None = None, gap: float = COLUMN_GAP) -> DataFrame:
+    """(file_id, page, tier, table, row, cells) of what `tiered` reads as tables, in one pass."""
+
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
+        for batch in batches:
+            tier, page, table, row, cells = _tables(batch, gap)
+            yield batch, page, [TIERS.take(pa.array(tier[page])), pa.array(table, pa.int32()), pa.array(row, pa.int32()), cells]
 
-def table_rows(pages_: DataFrame) -> DataFrame:
-    """(file_id, page, tier, table, row, cells) of what `tiered` read as tables."""
-    out = pages_.select("file_id", "page", "tier", F.posexplode("tables").alias("table", "rows"))
-    return out.select("file_id", "page", "tier", "table", F.posexplode("rows").alias("row", "cells"))
+    out = [("tier", "string"), ("table", "int"), ("row", "int"), ("cells", "array<string>")]
+    return placed.by_batch(_gathered(words, ruled), ["file_id", "page"], ["words", "ruled"], out, read)
 
 
 #: What is read of a contract in a table, the amount first.

@@ -72,7 +72,8 @@ def by_batch(pages: DataFrame, keys: list[str], given: list[str], out: list[tupl
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch, at, columns in read(batches):
-            yield pa.RecordBatch.from_arrays([*(batch.column(k).take(pa.array(at)) for k in keys), *columns], names)
+            whole, rows = np.array_equal(at, np.arange(batch.num_rows)), pa.array(at)
+            yield pa.RecordBatch.from_arrays([*(batch.column(k) if whole else batch.column(k).take(rows) for k in keys), *columns], names)
 
     schema = StructType([pages.schema[k] for k in keys] + StructType.fromDDL(", ".join(f"{name} {kind}" for name, kind in out)).fields)
     return pages.select(*dict.fromkeys([*keys, *given])).mapInArrow(run, schema)
@@ -138,6 +139,73 @@ def grid(words: list[tuple], gap: float) -> list[list[str]] | None:
     return out
 
 
+def risen(v: np.ndarray, run: np.ndarray) -> np.ndarray:
+    """The greatest value of each run up to each place; runs are numbers that stand together."""
+    at = np.arange(len(v))
+    within = at - np.maximum.accumulate(np.where(np.concatenate([[True], run[1:] != run[:-1]])[: len(v)], at, 0))
+    v, step = v.copy(), 1
+    while step <= within.max(initial=0):
+        later = np.flatnonzero(within >= step)
+        v[later] = np.maximum(v[later], v[later - step])
+        step *= 2
+    return v
+
+
+def begun(lo: np.ndarray, hi: np.ndarray, run: np.ndarray, gap: float) -> np.ndarray:
+    """Where the islands of each run's spans begin; lo ascends within a run, no span ends before it begins."""
+    out = np.concatenate([[True], run[1:] != run[:-1]])[: len(run)]
+    out[1:] |= lo[1:] > risen(hi, run)[:-1] + gap
+    return out
+
+
+def grids(lists_: pa.ListArray, which: np.ndarray, gap: float) -> tuple[np.ndarray, np.ndarray, pa.ListArray]:
+    """What `grid` gives for each chosen page that has one: the page and the number of each row, and its cells.
+
+    Pages whose words all have places that are numbers are read at once, others by `grid` itself.
+    """
+    n = len(lists_)
+    _, of, structs = flat(lists_)
+    if not which.all():
+        chosen = which[of]
+        of, structs = of[chosen], structs.filter(pa.array(chosen))
+    top, x0, x1, bottom = span = [structs.field(i).to_numpy(zero_copy_only=False) for i in range(4)]
+    sound = np.isfinite(span).all(axis=0) & (top <= bottom) & (x0 <= x1)
+    odd = np.unique(of[~sound])
+    told = []
+    for p, ws in zip(odd, lists(lists_.take(pa.array(odd))) if len(odd) else (), strict=True):
+        told += [(p, i, cells) for i, cells in enumerate(grid(ws, gap) or ())]
+    if len(odd):
+        kept = ~np.isin(of, odd)
+        of, structs, (top, x0, x1, bottom) = of[kept], structs.filter(pa.array(kept)), (v[kept] for v in span)
+    row = np.cumsum(begun(top, bottom, of, 0.0)) - 1
+    by = np.lexsort((x0, row))
+    parts = np.bincount(row[by][begun(x0[by], x1[by], row[by], gap)])
+    page = of[np.flatnonzero(np.concatenate([[True], row[1:] != row[:-1]])[: len(row)])]  # of each row
+    rows = np.bincount(page, minlength=n)
+    tabular = (parts > 1)[row]
+    by = np.lexsort((~tabular, x0, of))  # of words that begin at one place, those that make columns come first
+    begins = begun(x0[by], np.where(tabular, x1, -np.inf)[by], of[by], gap) & tabular[by]
+    columns = np.bincount(of[by][begins], minlength=n)
+    good = (np.bincount(page[parts > 1], minlength=n) > 1) & (columns > 1)
+    before = lambda counts: np.cumsum(counts) - counts
+    column = np.empty(len(of), np.int64)
+    column[by] = np.maximum(np.cumsum(begins) - before(columns)[of[by]] - 1, 0)
+    sizes = rows * columns * good
+    cell = before(sizes)[of] + (row - before(rows)[of]) * columns[of] + column
+    words = np.flatnonzero(good[of])
+    words = words[np.argsort(cell[words], kind="stable")]
+    texts = gathered(structs.field(4).take(pa.array(words)), np.ones(len(words), bool), cell[words], int(sizes.sum()))
+    page = page[good[page]]
+    cells = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(columns[page])]), pa.int32()), texts)
+    number = np.arange(len(page)) - before(rows * good)[page]
+    if not told:
+        return page, number, cells
+    by_grid = list(zip(*told, strict=True))
+    page, number = np.concatenate([page, by_grid[0]]), np.concatenate([number, by_grid[1]])
+    by = np.argsort(page, kind="stable")
+    return page[by], number[by], pa.concat_arrays([cells, pa.array(by_grid[2], cells.type)]).take(pa.array(by))
+
+
 def lines_of(words: list[tuple], tolerance: float) -> list[list[tuple]]:
     """Lines of words (x0, top, x1, text), in their order: a line goes on while a word lies near the line's highest word."""
     line, start, n = {}, None, -1

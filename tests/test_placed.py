@@ -1,5 +1,7 @@
 """Pages read one at a time: odd words, and plans that lay a table out once."""
 
+import numpy as np
+import pyarrow as pa
 import pytest
 
 from tallybrook.plans import registry
@@ -69,3 +71,29 @@ def test_main_items_are_laid_out_once(spark, sf):
     df = spark.createDataFrame(rows, "file_id string, page int, text string, x0 double, top double")
     got = layouts.main_items(df, (60, 330), (330, 390), 395, 80, "幕", "品目", False).select("line", "org", "item_name", "amount", "vendor_name").collect()
     assert sorted(map(tuple, got)) == [(1, "空幕", "機体", 10.0, None), (2, "空幕", "戦車\u2028", None, None)]
+
+
+def test_grids_of_many_pages_are_read_at_once(monkeypatch):
+    nan, kind = float("nan"), pa.list_(pa.struct([(c, pa.float64()) for c in ("top", "x0", "x1", "bottom")] + [("text", pa.string())]))
+    title, low = [(0.0, 0.0, 200.0, 8.0, "over all")], [(20.0, 5.0, 15.0, 28.0, "a"), (20.0, 60.0, 70.0, 28.0, "b")]
+    good = [*title, *low, (40.0, 0.0, 1.0, 48.0, "l"), (40.0, 6.0, 9.0, 48.0, "c"), (41.0, 12.0, 15.0, 49.0, "c2"), (41.0, 61.0, 65.0, 48.0, "d")]
+    joined = [*low, (40.0, 5.0, 62.0, 48.0, "wide"), (40.0, 90.0, 95.0, 48.0, "e"), (50.0, 5.0, 20.0, 58.0, "f"), (50.0, 60.0, 65.0, 58.0, "g")]
+    odd = [[(None, None, 1.0, None, "n"), *low, *good[3:]], [*good, (nan, 5.0, 6.0, nan, "x")], [(0.0, 9.0, 2.0, -1.0, "y"), *good[1:]]]
+    told = [good, [], title, low, joined, *odd, good[1:]]
+    want = [(p, i, cells) for p, ws in enumerate(placed.lists(pa.array(told, kind))) for i, cells in enumerate(placed.grid(ws, 3.0) or [])]
+    seen, one = [], placed.grid
+    monkeypatch.setattr(placed, "grid", lambda ws, gap: seen.append(ws) or one(ws, gap))
+    page, row, cells = placed.grids(pa.array(told, kind), np.ones(len(told), bool), 3.0)
+    assert list(zip(page, row, cells.to_pylist())) == want and len(seen) == len(odd) and len(want) > 15
+    page, _, _ = placed.grids(pa.array([None, *told], kind).slice(1), np.arange(len(told)) > 0, 3.0)
+    assert set(page) == {p for p, _, _ in want} - {0}
+
+
+def test_tables_are_rows_at_once(spark, sf):
+    text = plan(registry.QUERIES["text_grids"](spark, sf))
+    assert text.count("Generate") == 1 and text.count("collect_list(w") == 2  # words alone are laid out and gathered, in two steps
+    rows = [("f", 1, "a", 0.0, 5.0, 0.0), ("f", 1, "b", 50.0, 55.0, 0.0), ("f", 1, "c", 0.0, 5.0, 20.0), ("f", 1, "d", 50.0, 55.0, 20.0), ("g", 1, "e", 0.0, 5.0, 0.0)]
+    words = spark.createDataFrame(rows, "file_id string, page int, text string, x0 double, x1 double, top double")
+    ruled = spark.createDataFrame([("h", 1, 7, 4, ["z", None]), ("h", 1, None, 2, ["y"]), ("h", 1, 7, 9, None)], "file_id string, page int, table int, row int, cells array<string>")
+    got = sorted(map(tuple, layouts.table_rows(words, ruled).collect()), key=lambda r: r[:5])
+    assert got == [("f", 1, "text", 0, 0, ["a", "b"]), ("f", 1, "text", 0, 1, ["c", "d"]), ("h", 1, "ruled", 0, 0, ["y"]), ("h", 1, "ruled", 1, 0, ["z", None]), ("h", 1, "ruled", 1, 1, None)]
