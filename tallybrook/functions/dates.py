@@ -39,9 +39,14 @@ def let(value: Column, f) -> Column:
     return F.get(F.transform(F.array(value), f), F.lit(0))
 
 
+def _eight(year: Column, month: Column, day: Column) -> Column:
+    """YYYYMMDD of numbers of four, two and two digits at most; a formatter takes several times as long."""
+    return F.concat(*(F.lpad(n.cast("string"), k, "0") for n, k in ((year, 4), (month, 2), (day, 2))))
+
+
 def _ymd(year: Column, month: Column, day: Column) -> Column:
     fits = month.between(1, 12) & day.between(1, 31)
-    return F.when(fits, F.format_string("%04d%02d%02d", year, month, day))
+    return F.when(fits, _eight(year, month, day))
 
 
 def _parts(text: Column, pattern: str) -> tuple[Column, Column, Column]:
@@ -78,7 +83,7 @@ def _either(text: Column, era: str, three: str | None = None) -> Column:
         return F.when(t.rlike(pattern), let(of(t), lambda p: told(p["y"], p["m"], p["d"])))
 
     present = lambda y, m, d: F.when(y.between(1, 20), _ymd(y + ERA_BASE["R"], m, d))
-    plain = lambda y, m, d: F.when(y.isNotNull(), F.format_string("%04d%02d%02d", y, m, d))
+    plain = lambda y, m, d: F.when(y.isNotNull(), _eight(y, m, d))
     ways = [(era, present), (r"([0-9]{4})[-/年]([0-9]{1,2})[-/月]([0-9]{1,2})", plain), *([(three, present)] if three else [])]
     return let(text, lambda t: F.coalesce(*(read(t, pattern, told) for pattern, told in ways)))
 

@@ -8,6 +8,8 @@ holds is bounded by a sheet of paper.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -90,12 +92,23 @@ def word_records(words: DataFrame, rules: list[tuple[str, str]], bid_rules: list
     return rows if years is None else rows.where(F.col("fiscal_year").isNull() | F.col("fiscal_year").isin(years))
 
 
+def _names(t: Column, words: str) -> Column:
+    """Does a text hold one of the words? As a pattern, each is tried at each character, at many times the work."""
+    return reduce(or_, (F.contains(t, F.lit(w)) for w in words.split("|")))
+
+
 def _title(t: Column) -> Column:
-    return t.rlike(TITLES) | ((F.char_length(t) <= 40) & t.rlike(SHORT_TITLES)) | t.isin(METHOD_TITLES)
+    return _names(t, TITLES) | ((F.char_length(t) <= 40) & _names(t, SHORT_TITLES)) | t.isin(METHOD_TITLES)
+
+
+def _paid(t: Column) -> Column:
+    """Does a text hold an amount? The pattern is sought where there is a comma."""
+    return _names(t, ",|，") & t.rlike(MONEY)
 
 
 def _money(t: Column) -> Column:
-    return amounts.amount(F.translate(t, "０１２３４５６７８９", "0123456789"))
+    digits = F.regexp_replace(F.translate(t, "０１２３４５６７８９,，", "0123456789"), "[^0-9]", "")  # of what MONEY finds: digits and commas
+    return F.bround(digits.try_cast("double")).cast("long")
 
 
 def corporate(t: Column) -> Column:
@@ -108,20 +121,27 @@ def line_records(lines: DataFrame) -> DataFrame:
     Date and number are those of the line or else of the first of four lines above and below; the vendor stands next to
     the number's first line, or else above the amount; the name is the first of five lines above that has eight characters.
     """
-    page = lines.groupBy("file_id", "page").agg(F.sort_array(F.collect_list(F.struct("line", F.trim(F.coalesce("text", F.lit(""))).alias("text"))))["text"].alias("texts"))
-    rows = page.select("file_id", "page", "texts", F.posexplode("texts").alias("at", "text")).where(F.col("text").rlike(MONEY) & ~_title(F.col("text")))
-    at, line = F.col("at"), lambda i: F.get("texts", i)
-    up = lambda n: F.slice("texts", F.greatest(at - n, F.lit(0)) + 1, F.least(at, F.lit(n)))
-    rows = rows.withColumn("around", F.concat(up(4), F.slice("texts", at + 2, 4)))
-    seen = lambda read: first(F.transform(F.concat(F.array("text"), "around"), read), lambda x: x.isNotNull())
-    rows = rows.withColumns({"contract_date": seen(lambda t: dates.scan_date(found(t, DATE))), "corporate_number": seen(corporate)})
-    owner = F.when(F.col("corporate_number").isNotNull(), F.array_position(F.transform("texts", lambda t: F.contains(F.replace(t, F.lit(" "), F.lit("")), F.col("corporate_number"))), True).cast("int") - 1)
-    plain = lambda t, n: (F.char_length(t) >= n) & ~_title(t) & ~t.rlike(MONEY) & ~t.rlike(DATE) & ~t.rlike(r"^[0-9\s,，.]+$")
+    text_ = lines.select("file_id", "page", "line", F.trim(F.coalesce("text", F.lit(""))).alias("text"))
+    told = text_.select("*", _title(F.col("text")).alias("title"), _paid(F.col("text")).alias("paid"), found(F.col("text"), DATE).alias("date"))
+    # what a line says is told once, here, where Spark compiles it; over a page's array it would be interpreted, and told again for each line near it
+    plain = ~(F.col("title") | F.col("paid") | F.col("date").isNotNull()) & ~F.col("text").rlike(r"^[0-9\s,，.]+$")
+    line = told.select("file_id", "page", F.struct("line", "text", (F.col("paid") & ~F.col("title")).alias("anchor"), (~F.col("paid") & ~F.col("title")).alias("other"), plain.alias("plain"), F.when(F.col("date").isNotNull(), dates.scan_date(F.col("date"))).alias("day")).alias("l"))
+    page = line.groupBy("file_id", "page").agg(F.sort_array(F.collect_list("l")).alias("lines"))
+    rows = page.select("file_id", "page", "lines", F.posexplode("lines").alias("at", "l")).where("l.anchor")
+    at, line = F.col("at"), lambda i: F.get("lines", i)
+    up = lambda n: F.slice("lines", F.greatest(at - n, F.lit(0)) + 1, F.least(at, F.lit(n)))
+    rows = rows.withColumn("around", F.concat(up(4), F.slice("lines", at + 2, 4)))
+    seen = lambda read: F.coalesce(read(F.col("l")), first(F.transform("around", read), lambda x: x.isNotNull()))
+    whole = lambda l: F.replace(l["text"], F.lit(" "), F.lit(""))  # noqa: E731, E741
+    numbered = F.exists("lines", lambda l: (F.char_length(l["text"]) >= 13) & whole(l).rlike(r"\p{Nd}{13}"))  # noqa: E741
+    rows = rows.withColumns({"contract_date": seen(lambda l: l["day"]), "corporate_number": F.when(numbered, seen(lambda l: corporate(l["text"])))})  # noqa: E741
+    owner = F.when(F.col("corporate_number").isNotNull(), F.array_position(F.transform("lines", lambda l: F.contains(whole(l), F.col("corporate_number"))), True).cast("int") - 1)  # noqa: E741
+    fits = lambda n: lambda l: l["plain"] & (F.char_length(l["text"]) >= n)  # noqa: E731, E741
     options = F.array(*(line(owner + d) for d in (-1, -2, 1, 2)), line(at - 1), line(at - 2))
-    amount = F.filter(F.transform(F.regexp_extract_all("text", F.lit(MONEY), F.lit(1)), _money), lambda x: x >= LEAST_MONEY)
+    amount = F.filter(F.transform(F.regexp_extract_all("l.text", F.lit(MONEY), F.lit(1)), _money), lambda x: x >= LEAST_MONEY)
     return rows.select(
-        "file_id", "page", F.col("at").alias("line"), F.substring(first(up(5), lambda t: plain(t, 8)), 1, 300).alias("contract_name"), F.substring(first(options, lambda t: plain(t, 3)), 1, 200).alias("vendor_name"),
-        F.substring(first(F.col("around"), lambda t: t.rlike(PLACES) & ~_title(t) & ~t.rlike(MONEY)), 1, 300).alias("vendor_address"), "corporate_number", "contract_date",
+        "file_id", "page", F.col("at").alias("line"), F.substring(first(up(5), fits(8))["text"], 1, 300).alias("contract_name"), F.substring(first(options, fits(3))["text"], 1, 200).alias("vendor_name"),
+        F.substring(first(F.col("around"), lambda l: l["other"] & l["text"].rlike(PLACES))["text"], 1, 300).alias("vendor_address"), "corporate_number", "contract_date",  # noqa: E741
         dates.fiscal_year_of_text(F.col("contract_date")).alias("fiscal_year"), F.explode(amount).alias("contract_amount"),
     )
 

@@ -85,3 +85,12 @@ def test_a_date_is_read_once(spark):
         assert told.first().d == "20240401"
         plan = told._jdf.queryExecution().analyzed().toString()
         assert plan.count("trim(") == 1 and plan.count("regexp_extract(") <= 9  # three parts of each of three forms
+
+
+def test_lines_are_told_once(spark):
+    df = spark.createDataFrame([("f", 1, 0, "航空機用部品の製造"), ("f", 1, 1, "٣٤٥,٠٠٠,١١١ 1，500，000 200,000 99,999"), ("f", 1, 2, "R6 . 13 . 1"), ("f", 1, 3, "R 6 . 4 . 1"), ("f", 1, 4, "12345 67890 123")], "file_id string, page int, line int, text string")
+    out = pages.line_records(df)
+    got = sorted((r.contract_amount, r.contract_name, r.vendor_name, r.contract_date, r.corporate_number) for r in out.collect())
+    assert got == [(a, "航空機用部品の製造", "航空機用部品の製造", "20240401", "1234567890123") for a in (200_000, 1_500_000)]
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count(pages.DATE) == 1 and plan.count("合計") == 1 and "format_string" not in plan  # not for each line near it
