@@ -47,11 +47,13 @@ def _gathered(words: DataFrame, ruled: DataFrame | None) -> DataFrame:
     bottom = F.col("bottom") if "bottom" in words.columns else F.lit(None).cast("double")
     double = [F.col(c).cast("double").alias(c) for c in ("top", "x0", "x1")]
     w = F.when(F.trim("text") != "", F.struct(*double, F.coalesce(bottom, F.col("top") + WORD_HEIGHT).cast("double").alias("bottom"), "text"))
-    both = words.select("file_id", "page", w.alias("w"), F.lit(None).cast("struct<table:int,row:int,cells:array<string>>").alias("r"))
-    if ruled is not None:
-        none = F.lit(None).cast("struct<top:double,x0:double,x1:double,bottom:double,text:string>")
-        both = both.unionByName(ruled.select("file_id", "page", none.alias("w"), F.struct(F.col("table").cast("int").alias("table"), F.col("row").cast("int").alias("row"), "cells").alias("r")))
-    return both.groupBy("file_id", "page").agg(F.sort_array(F.collect_list("w")).alias("words"), F.sort_array(F.collect_list("r")).alias("ruled"))
+    row, gathered = "struct<table:int,row:int,cells:array<string>>", F.sort_array(F.collect_list("w")).alias("words")
+    if ruled is None:
+        return words.select("file_id", "page", w.alias("w")).groupBy("file_id", "page").agg(gathered).withColumn("ruled", F.array().cast(f"array<{row}>"))
+    none = F.lit(None).cast("struct<top:double,x0:double,x1:double,bottom:double,text:string>")
+    both = words.select("file_id", "page", w.alias("w"), F.lit(None).cast(row).alias("r"))
+    both = both.unionByName(ruled.select("file_id", "page", none.alias("w"), F.struct(F.col("table").cast("int").alias("table"), F.col("row").cast("int").alias("row"), "cells").alias("r")))
+    return both.groupBy("file_id", "page").agg(gathered, F.sort_array(F.collect_list("r")).alias("ruled"))
 
 
 def _read(words: list[tuple], ruled: list[tuple], gap: float) -> tuple[str, list]:
