@@ -6,7 +6,8 @@ addition, which gives the slices of the score. From the most significant slice d
 while more than k are left; rows still equal after the last slice are the boundary, taken by smaller id. Every block
 gives its k best of each query, and the k best of all blocks are the result: nothing is estimated.
 
-Queries go to row blocks as packed blocks, an equi-join on the block's number.
+Queries go to row blocks as packed blocks, an equi-join on the block's number. It is a merge join: packs are sent once to
+each block, which Spark's estimate of their size does not count, so it would broadcast them through the driver.
 
 Rows with a component of WIDE and more after scaling have blocks of their own, of fewer rows, whose slices are cut from
 whole numbers of any length; so their scores are exact too.
@@ -170,7 +171,7 @@ def top_k(vectors: DataFrame, queries: Column, k: int = TOP, scale: int = SCALE)
     built = rows.withColumn("block", block).groupBy("dim", "block").applyInArrow(index, "block int, dim int, ids binary, bits int, low binary, slices binary")
     asked = rows.where(queries).withColumn("pack", dealt(packs, 2)).groupBy("dim", "pack").applyInArrow(packed, "dim int, query_ids binary, weights binary")
     asked = asked.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(max(1, narrow + wide) - 1))))
-    best = asked.join(built, ["dim", "block"]).mapInArrow(run, "query_id long, vec_id long, score long, beyond string")
+    best = asked.join(built.hint("merge"), ["dim", "block"]).mapInArrow(run, "query_id long, vec_id long, score long, beyond string")
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), F.desc("beyond"), "vec_id")
     return best.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
 

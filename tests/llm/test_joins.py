@@ -47,6 +47,14 @@ def test_bit_sliced_top_k(spark, monkeypatch):
     assert [r.vec_id for r in bitslice.top_k(ties, F.col("vec_id") == 0).orderBy("rank").collect()] == [3, 5, 7, 7, 8]
 
 
+def test_bit_sliced_top_k_broadcasts_no_packs(spark, sf, monkeypatch):
+    monkeypatch.setattr(bitslice, "BLOCK_ROWS", 20)
+    got = bitslice.top_k(spark.read.parquet(f"{sf}/embeddings.parquet"), F.col("vec_id") % 50 == 0)
+    assert len(got.collect()) == 50
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "isFinalPlan=true" in plan and "SortMergeJoin" in plan and "Broadcast" not in plan
+
+
 def test_pq_dedup(spark, monkeypatch):
     x, df = vectors(spark)
     monkeypatch.setattr(pq_dedup, "CELL_ROWS", 40)
