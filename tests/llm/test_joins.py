@@ -55,6 +55,27 @@ def test_bit_sliced_top_k_broadcasts_no_packs(spark, sf, monkeypatch):
     assert "isFinalPlan=true" in plan and "SortMergeJoin" in plan and "Broadcast" not in plan
 
 
+def test_bit_sliced_block_leaves_low_products_out(monkeypatch):
+    r, cuts, sums = np.random.default_rng(4), [], bitslice.score_slices
+    v = np.floor(r.normal(size=(1500, 16)) * 60).astype(int)
+    v[700:720] = v[7]
+    ids = np.arange(1500) * 2
+    planes, low, _ = bitslice.slices_of(v)
+    block = bitslice.Block(planes, low, ids)
+    monkeypatch.setattr(bitslice, "score_slices", lambda planes, parts, cut=0: cuts.append(cut) or sums(planes, parts, cut))
+    for left_out, whole in ((0.0, True), (1.0, False), (50.0, True)):
+        monkeypatch.setattr(bitslice, "LEFT_OUT", left_out)
+        cuts.clear()
+        for q in range(0, 1500, 100):
+            s = v @ v[q]
+            want = [(int(ids[i]), int(s[i])) for i in np.lexsort((ids, -s)) if i != q][:5]
+            assert sorted(block.search(int(ids[q]), v[q], 5), key=lambda x: (-x[1], x[0])) == want
+        assert (0 in cuts) == whole and (max(cuts) > 0) == (left_out > 0)
+    numbers = [r.normal(size=40) * size for size in (1, 100, 1e6, 1e12, 1e30)]
+    assert [bitslice.narrowed(np.floor(x)).tolist() for x in numbers] == [np.floor(x).tolist() for x in numbers]
+    assert [bitslice.narrowed(np.floor(x)).itemsize for x in numbers] == [1, 2, 4, 8, 8]
+
+
 def test_pq_dedup(spark, monkeypatch):
     x, df = vectors(spark)
     monkeypatch.setattr(pq_dedup, "CELL_ROWS", 40)
